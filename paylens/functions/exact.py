@@ -46,6 +46,17 @@ def cents(money: Column) -> Column:
     return (money * 100).cast("bigint")
 
 
+def cents_of_double(col: Column) -> Column:
+    """A double holding an exact two-decimal amount, as integer cents."""
+    return F.round(col * 100).cast("bigint")
+
+
+def cents_to_money(c: Column) -> Column:
+    """Integer cents back to a scale-2 decimal, exactly."""
+    from decimal import Decimal
+    return (c.cast("decimal(38,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
 def money_sum(col: Column) -> Column:
     return F.sum(col).cast(MONEY)
 

@@ -61,36 +61,31 @@ def ntile(df: DataFrame, order: list[Column], tiles: int, name: str = "tile") ->
         .drop("_rn", "_rn_total")
 
 
-def auc(df: DataFrame, score: str, label: str, key: str, digits: int = 3) -> DataFrame:
-    """Mann-Whitney AUC with mid-ranks for tied scores; NULL if a class is empty.
-
-    Sum of positive ranks = sum over distinct scores of
-    pos(s) * (rows below s + (count(s) + 1) / 2), computed from one global
-    ranking and a grouped aggregate; returns one row.
+def score_report(df: DataFrame, score: str, label: str, key: str, parts: int = 10,
+                 digits: int = 3) -> DataFrame:
+    """Tie-aware AUC and top-1/parts lift of a score, from one global ranking.
+
+    Rows are ranked ascending by (score, key desc), so the last
+    floor(n/parts) rows are the top rows by (score desc, key asc).
+    AUC (Mann-Whitney, mid-ranks for ties; NULL if a class is empty): the
+    sum of positive ranks is sum over distinct scores of
+    pos(s) * (rows below s + (count(s) + 1) / 2). One row out.
     """
-    ranked = global_row_number(df.select(score, label, key), [F.col(score), F.col(key)], "_rn")
+    ranked = global_row_number(df.select(score, label, key),
+                               [F.col(score), F.col(key).desc()], "_rn")
+    n = F.col("_rn_total")
+    top = F.col("_rn") > n - F.call_function("div", n, F.lit(parts))
+    y = F.col(label).cast("bigint")
     per_score = ranked.groupBy(score).agg(
-        F.min("_rn").alias("_first"), F.count("*").alias("_n"),
-        F.sum(F.col(label).cast("bigint")).alias("_pos"))
+        F.min("_rn").alias("_first"), F.count("*").alias("_n"), F.sum(y).alias("_pos"),
+        F.count(F.when(top, 1)).alias("_top_n"), F.sum(F.when(top, y)).alias("_top_pos"))
     twice_rank_pos = F.sum(F.col("_pos") * (F.col("_first") * 2 + F.col("_n") - 1))
     p = F.sum("_pos")
     neg = F.sum("_n") - p
     return per_score.agg(
-        round_ratio(twice_rank_pos - p * (p + 1), p * neg * 2, digits).alias("auc"),
-        p.alias("positives"), neg.alias("negatives"))
-
-
-def top_fraction(df: DataFrame, score: str, label: str, key: str, parts: int = 10) -> DataFrame:
-    """Rows in the top floor(n/parts) by score (desc, ties by key asc) and
-    their label rate against the base rate, as one row of counts."""
-    ranked = global_row_number(df.select(score, label, key),
-                               [F.col(score).desc(), F.col(key)], "_rn")
-    k = F.call_function("div", F.col("_rn_total"), F.lit(parts))
-    top = F.col("_rn") <= k
-    y = F.col(label).cast("bigint")
-    return ranked.agg(F.count("*").alias("n"), F.sum(y).alias("positives"),
-                      F.count(F.when(top, 1)).alias("top_n"),
-                      F.sum(F.when(top, y)).alias("top_positives"))
+        F.sum("_n").alias("n"), p.alias("positives"), neg.alias("negatives"),
+        round_ratio(twice_rank_pos - p * (p + 1), p * neg * 2, digits, wide=True).alias("auc"),
+        F.sum("_top_n").alias("top_n"), F.sum("_top_pos").alias("top_positives"))
 
 
 def percentiles_cont(df: DataFrame, value: Column, key: Column, fractions: list[tuple[int, int]],

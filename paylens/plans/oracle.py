@@ -243,4 +243,63 @@ FROM scored"""
     out["wagering_pct_of_max"] = with_ctes(*base, f"\nwg AS ({wag})", select=(
         "SELECT *, CAST(100 AS DOUBLE) * CAST(pcoins_wagered AS DOUBLE) / "
         "(SELECT max(CAST(pcoins_wagered AS DOUBLE)) FROM wg) AS pct_of_max FROM wg"))
+    # --- M
+    hold = "SELECT player_id, propensity AS s, CAST(is_payer AS INTEGER) AS y FROM scored WHERE is_holdout"
+    out["score_auc"] = W(f"""SELECT {S.rr_wide('sum(pos * (2 * (COALESCE(below, 0) + 1) + n - 1)) - sum(pos) * (sum(pos) + 1)',
+                                   '2 * sum(pos) * (sum(n) - sum(pos))', 3)} AS auc,
+  CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(n) - sum(pos) AS BIGINT) AS negatives
+FROM (SELECT s, n, pos, sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+      FROM (SELECT s, count(*) AS n, sum(y) AS pos FROM ({hold}) GROUP BY s))""")
+    top_sel = f"""SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS positives,
+    count(*) FILTER (WHERE rn <= tot // {cfg.n_tiles}) AS top_n,
+    CAST(sum(y) FILTER (WHERE rn <= tot // {cfg.n_tiles}) AS BIGINT) AS top_positives
+  FROM (SELECT *, row_number() OVER (ORDER BY s DESC, player_id) AS rn, count(*) OVER () AS tot FROM ({hold}))"""
+    out["score_top_decile"] = W(f"""SELECT n, positives, top_n, top_positives,
+  {S.pct('positives', 'n')} AS base_rate_pct, {S.pct('top_positives', 'top_n')} AS top_rate_pct,
+  {S.rr_wide('top_positives * n', 'top_n * positives', 1)} AS top_lift FROM ({top_sel})""")
+    feats = []
+    for f in cfg.model_features:
+        if f in ("stated_intent", "was_invited", "surveyed"):
+            feats.append(f"CAST(CAST({f} AS INTEGER) AS DOUBLE) AS {f}")
+        else:
+            feats.append(f"CAST({f} AS DOUBLE) AS {f}")
+    matrix = (f"SELECT player_id, CAST(is_holdout AS INTEGER) AS is_test, CAST(is_payer AS INTEGER) AS y, "
+              f"{', '.join(feats)} FROM scored")
+    out["feature_matrix"] = W(matrix)
+    mom = "\nUNION ALL ".join(
+        f"SELECT '{f}' AS feature, {i} AS pos, round(avg({f}), 6) AS mean, "
+        f"round(CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE CAST(1 AS DOUBLE) END, 6) AS sd "
+        f"FROM m WHERE is_test = 0" for i, f in enumerate(cfg.model_features))
+    out["feature_moments"] = with_ctes(*base, f"\nm AS ({matrix})", select=mom)
+    out["class_balance"] = with_ctes(*base, f"\nm AS ({matrix})", f"""
+cb AS (SELECT count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y = 0) AS n FROM m WHERE is_test = 0),
+kk AS (SELECT CASE WHEN p > 0 THEN GREATEST(1, n // ({cfg.neg_per_pos} * p)) ELSE 1 END AS k FROM cb),
+negs AS (SELECT player_id, row_number() OVER (
+           ORDER BY CAST(('0x' || substr(md5(CAST(player_id AS VARCHAR)), 1, 8)) AS BIGINT), player_id) AS rn
+         FROM m WHERE is_test = 0 AND y = 0)""", select="""SELECT player_id, y FROM m WHERE is_test = 0 AND y = 1
+UNION ALL SELECT player_id, 0 AS y FROM negs, kk WHERE (rn - 1) % k = 0""")
+    # --- V
+    cd = lambda c: f"CAST(CAST(round({c} * 100) AS BIGINT) AS HUGEINT)"
+    micro = f"{cd('l_extendedprice')} * (100 - {cd('l_discount')}) * (100 + {cd('l_tax')})"
+    rc_cents = S.rrs(f"sum({micro})", "10000", 0)
+    rc = f"CAST(CAST({rc_cents} AS DECIMAL(35,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2))"
+    active = ("(SELECT count(DISTINCT user_id) FROM events "
+              "WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 28 DAY)")
+    out["revenue_reconciliation"] = with_ctes(*base, f"""
+rcs AS (SELECT {rc} AS rc FROM lineitem),
+dbs AS (SELECT CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS db FROM scored),
+rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS rc_total_revenue_usd,
+  db AS db_total_revenue_usd, {active} AS rc_active_users_28d, diff AS diff_usd,
+  {S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)} AS diff_pct,
+  abs({S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)}) <= 5.0 AS within_tolerance
+FROM rec""")
+    from paylens.operators.quality import PII_PATTERNS
+    from paylens.plans.registry import PII_SOURCES
+    pii = []
+    for t, cols in PII_SOURCES:
+        for c in cols:
+            for kind, rx in PII_PATTERNS:
+                pii.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{kind}' AS kind, "
+                           f"count(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS violations FROM {t}")
+    out["pii_scan"] = "\nUNION ALL ".join(pii)
     return out

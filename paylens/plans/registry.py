@@ -295,3 +295,108 @@ def q_lever_pct_of_max(spark, d):
 @query("wagering_pct_of_max")
 def q_wagering_pct_of_max(spark, d):
     return levers.pct_of_max(why_pay.wagering_by_game(_ws(spark, d).roles.game_session), "pcoins_wagered")
+
+
+# --- M ---------------------------------------------------------------------
+
+@query("score_auc")
+def q_score_auc(spark, d):
+    """M6 over the additive score on the holdout."""
+    from paylens.operators.ranking import score_report
+    ws = _ws(spark, d)
+    hold = ws.store.filter(F.col("is_holdout")).select("player_id", "propensity", F.col("is_payer").cast("int").alias("y"))
+    return score_report(hold, "propensity", "y", "player_id", ws.cfg.n_tiles).select(
+        "auc", "positives", "negatives")
+
+
+@query("score_top_decile")
+def q_score_top_decile(spark, d):
+    """M7 over the additive score: top floor(n/10) by score vs the base rate."""
+    from paylens.functions.exact import pct, round_ratio
+    from paylens.operators.ranking import score_report
+    ws = _ws(spark, d)
+    hold = ws.store.filter(F.col("is_holdout")).select("player_id", "propensity", F.col("is_payer").cast("int").alias("y"))
+    r = score_report(hold, "propensity", "y", "player_id", ws.cfg.n_tiles)
+    return r.select("n", "positives", "top_n", "top_positives",
+                    pct(F.col("positives"), F.col("n")).alias("base_rate_pct"),
+                    pct(F.col("top_positives"), F.col("top_n")).alias("top_rate_pct"),
+                    round_ratio(F.col("top_positives") * F.col("n"), F.col("top_n") * F.col("positives"), 1)
+                    .alias("top_lift"))
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, d):
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    return model.feature_matrix(ws.store, ws.cfg)
+
+
+@query("feature_moments")
+def q_feature_moments(spark, d):
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    m = model.feature_moments(model.feature_matrix(ws.store, ws.cfg), ws.cfg)
+    return m.select("feature", "pos", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"))
+
+
+@query("class_balance")
+def q_class_balance(spark, d):
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    return model.class_balance(model.feature_matrix(ws.store, ws.cfg), ws.cfg).select("player_id", "y")
+
+
+def _model_run(ws):
+    from paylens.operators import model
+    if "_model" not in ws.__dict__:
+        ws.__dict__["_model"] = model.train(ws.store, ws.cfg)
+    return ws.__dict__["_model"]
+
+
+@query("model_coefficients")
+def q_model_coefficients(spark, d):
+    ws = _ws(spark, d)
+    return _model_run(ws).coefficient_frame(spark)
+
+
+@query("model_report")
+def q_model_report(spark, d):
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    return model.evaluation(_model_run(ws), ws.cfg)
+
+
+# --- V ---------------------------------------------------------------------
+
+@query("revenue_reconciliation")
+def q_revenue_reconciliation(spark, d):
+    from paylens.operators.quality import revenue_reconciliation
+    from paylens.sources.revenue import lineitem_revenue_source
+    ws = _ws(spark, d)
+    return revenue_reconciliation(lineitem_revenue_source(ws.tables), ws.store)
+
+
+PII_SOURCES = (("documents", ("text",)), ("pages", ("url", "html")), ("conversations", ("role", "text")))
+
+
+@query("pii_scan")
+def q_pii_scan(spark, d):
+    from functools import reduce
+
+    from paylens.operators.quality import pii_scan
+    ws = _ws(spark, d)
+    parts = [pii_scan(ws.tables(t).select(*cols), t) for t, cols in PII_SOURCES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("insights_bundle")
+def q_insights_bundle(spark, d):
+    from paylens.operators import bundle
+    from paylens.plans.run import sections
+    return bundle.insights_bundle(sections(_ws(spark, d)))
+
+
+@query("brief_facts")
+def q_brief_facts(spark, d):
+    from paylens.plans.run import brief
+    return brief(_ws(spark, d))
