@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from paylens.functions.exact import avg_exact, count_if, money_sum, pct, rate_pct, round_ratio
 
 
-def headline(store: DataFrame) -> DataFrame:
-    """H1: one row, one pass over the store."""
+def headline(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """H1: one row (or one per ``by`` group, e.g. a tenant key), one pass."""
     payer = F.col("is_payer")
-    return store.agg(
+    return store.groupBy(*by).agg(
         F.count("*").alias("players"),
         count_if(payer).alias("payers"),
         pct(count_if(payer), F.count("*")).alias("payer_pct"),

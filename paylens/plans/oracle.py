@@ -302,4 +302,39 @@ FROM rec""")
                 pii.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{kind}' AS kind, "
                            f"count(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS violations FROM {t}")
     out["pii_scan"] = "\nUNION ALL ".join(pii)
+
+    # --- X
+    out["wagered_before_first_buy"] = f"""WITH
+fb AS (SELECT user_id AS player_id, min(ts) AS first_buy FROM events
+       WHERE event_type = 'purchase' AND value >= 150 GROUP BY user_id),
+fw AS (SELECT user_id AS player_id, min(ts) AS first_wager FROM events
+       WHERE event_type <> 'purchase' AND user_id IS NOT NULL GROUP BY user_id)
+SELECT count(*) AS payers, {S.count_if('fw.first_wager < fb.first_buy')} AS wagered_before,
+  {S.pct(S.count_if('fw.first_wager < fb.first_buy'), 'count(*)', 1)} AS wagered_before_pct
+FROM fb LEFT JOIN fw USING (player_id)"""
+    out["guarded_target_pool"] = E(f"""SELECT {S.count_if(tgt)} AS targets,
+  {S.count_if(f"{tgt} AND age_bucket = 'under_18'")} AS minors_excluded,
+  {S.count_if(f"{tgt} AND age_bucket <> 'under_18'")} AS guarded_targets,
+  {S.count_if(f"{tgt} AND age_bucket <> 'under_18' AND (won - wagered) < {cfg.loss_flag_net!r}")} AS heavy_loss_flagged
+FROM scored LEFT JOIN pgs USING (player_id)""")
+    out["headline_by_tenant"] = W(head.replace("FROM scored", "FROM scored GROUP BY acquisition_source")
+                                  .replace("SELECT count(*) AS players", "SELECT acquisition_source, count(*) AS players"))
+    conv = S.count_if("first_buy_lag_days < 7")
+    out["cohort_conversion_7d"] = W(f"""SELECT CAST(date_trunc('month', created_at) AS DATE) AS period_start,
+  GROUPING(CAST(date_trunc('month', created_at) AS DATE)) = 1 AS is_total,
+  count(*) AS new_customers, {conv} AS conversions_7d, {S.pct(conv, 'count(*)')} AS rate_pct
+FROM scored GROUP BY ROLLUP (CAST(date_trunc('month', created_at) AS DATE))""")
+    out["monthly_purchases"] = W("""SELECT CAST(date_trunc('month', created_at) AS DATE) AS period_start,
+  count(*) AS purchases, CAST(sum(price) AS DECIMAL(38,2)) AS usd
+FROM pcoin_transaction WHERE status = 'completed' GROUP BY period_start""")
+    out["arpu"] = W(f"""SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
+  {S.rr_wide('sum(CAST(lifetime_usd * 100 AS BIGINT))', 'count(*) * 100', 3)} AS arpu_lifetime_usd FROM scored""")
+    out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
+  count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,
+  min(ts) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS first_purchase,
+  max(ts) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS last_purchase,
+  count(*) FILTER (WHERE event_type <> 'purchase') AS wagers,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type <> 'purchase') AS DECIMAL(38,2)) AS wagered
+FROM events GROUP BY user_id"""
     return out

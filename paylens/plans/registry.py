@@ -400,3 +400,53 @@ def q_insights_bundle(spark, d):
 def q_brief_facts(spark, d):
     from paylens.plans.run import brief
     return brief(_ws(spark, d))
+
+
+# --- X ---------------------------------------------------------------------
+
+@query("wagered_before_first_buy")
+def q_wagered_before_first_buy(spark, d):
+    from paylens.operators.extensions import wagered_before_first_buy
+    from paylens.sources.bindings import bind_event_purchases
+    ws = _ws(spark, d)
+    wagers = ws.roles.game_session.filter(F.col("game_type") != "purchase")
+    return wagered_before_first_buy(wagers, bind_event_purchases(ws.tables))
+
+
+@query("guarded_target_pool")
+def q_guarded_target_pool(spark, d):
+    from paylens.operators.extensions import guarded_target_pool
+    ws = _ws(spark, d)
+    return guarded_target_pool(ws.store, ws.economy, ws.cfg)
+
+
+@query("headline_by_tenant")
+def q_headline_by_tenant(spark, d):
+    return headline.headline(_ws(spark, d).store, by=("acquisition_source",))
+
+
+@query("cohort_conversion_7d")
+def q_cohort_conversion_7d(spark, d):
+    from paylens.operators.extensions import cohort_conversion_7d
+    return cohort_conversion_7d(_ws(spark, d).store)
+
+
+@query("monthly_purchases")
+def q_monthly_purchases(spark, d):
+    from paylens.operators.extensions import monthly_purchases
+    return monthly_purchases(_ws(spark, d).roles.pcoin_transaction)
+
+
+@query("arpu")
+def q_arpu(spark, d):
+    from paylens.operators.extensions import arpu
+    return arpu(_ws(spark, d).store)
+
+
+@query("incremental_player_activity")
+def q_incremental_player_activity(spark, d):
+    """The streaming job run over the event table to completion."""
+    import os
+
+    from paylens.streaming.incremental import run_to_completion
+    return run_to_completion(spark, d, file_glob="events.parquet")
