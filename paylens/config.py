@@ -102,6 +102,7 @@ class Config:
     neg_per_pos: int = 4
     reg_param: float = 1e-3
     max_iter: int = 100
+    tol: float = 1e-6
     # guarded targeting (X2): net outcome below this is flagged
     loss_flag_net: float = -5000.0
 

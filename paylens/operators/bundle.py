@@ -9,22 +9,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def insights_bundle(sections: list[tuple[str, DataFrame, list[Column] | None]]) -> DataFrame:
-    """(section, rows, json) per section, in the given order."""
+def _sort_key(order) -> Column:
+    """Ascending struct key for ``sort_array``: (col, "desc") pairs, numbers
+    descending by negation with NULLs last, anything else ascending."""
+    parts = []
+    for i, o in enumerate(order):
+        name, direction = (o, "asc") if isinstance(o, str) else o
+        c = F.col(name)
+        if direction == "desc":
+            parts += [c.isNull().alias(f"n{i}"), (-c).alias(f"k{i}")]
+        else:
+            parts.append(c.alias(f"k{i}"))
+    return F.struct(*parts)
+
+
+def insights_bundle(sections: list[tuple[str, DataFrame, list | None]]) -> DataFrame:
+    """(section, rows, json) per section, in the given order.
+
+    Each section is folded into one JSON array in a single aggregate; the
+    row order is applied by sorting the collected (small) array, so no
+    extra exchange is needed for ordering.
+    """
     parts = []
     for i, (name, df, order) in enumerate(sections):
-        src = df
-        if order:
-            # row order inside a small, aggregated section
-            src = df.withColumn("_ord", F.row_number().over(Window.orderBy(*order)))
         rows = F.struct(*[F.col(c) for c in df.columns])
-        js = (F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(F.col("_ord"), rows.alias("r")))),
-                                    lambda x: x["r"])) if order else F.to_json(F.collect_list(rows)))
-        parts.append(src.agg(F.count("*").alias("rows"), js.alias("json"))
+        if order:
+            js = F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(_sort_key(order).alias("o"),
+                                                                          rows.alias("r")))),
+                                       lambda x: x["r"]))
+        else:
+            js = F.to_json(F.collect_list(rows))
+        parts.append(df.agg(F.count("*").alias("rows"), js.alias("json"))
                      .select(F.lit(i).alias("pos"), F.lit(name).alias("section"), "rows", "json"))
     return reduce(DataFrame.unionByName, parts)
 

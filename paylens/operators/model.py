@@ -88,7 +88,7 @@ def fit(train_z: DataFrame, cfg: Config):
     vec = VectorAssembler(inputCols=list(cfg.model_features), outputCol="features").transform(train_z)
     lr = LogisticRegression(featuresCol="features", labelCol="y", regParam=cfg.reg_param,
                             elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                            maxIter=cfg.max_iter, tol=1e-10)
+                            maxIter=cfg.max_iter, tol=cfg.tol)
     return lr.fit(vec.select("features", F.col("y").cast("double").alias("y")))
 
 
@@ -118,14 +118,21 @@ class ModelRun:
                 .orderBy(F.abs(F.col("coef")).desc(), "feature"))
 
 
+ROWS_PER_PARTITION = 500_000
+
+
 def train(store: DataFrame, cfg: Config) -> ModelRun:
     matrix = feature_matrix(store, cfg)
     moments = Moments.of(feature_moments(matrix, cfg))
     z = standardize(matrix, moments, cfg)
-    train_set = class_balance(z, cfg).persist()
+    balanced = class_balance(z, cfg)
+    counts = balanced.agg(F.count(F.when(F.col("y") == 1, 1)).alias("p"),
+                          F.count(F.when(F.col("y") == 0, 1)).alias("n")).first()
+    # every optimiser iteration is a job over the training set: size its
+    # partitions from the exact row count instead of inheriting the union's
+    parts = max(1, -(-(counts.p + counts.n) // ROWS_PER_PARTITION))
+    train_set = balanced.coalesce(parts).persist()
     model = fit(train_set, cfg)
-    counts = train_set.agg(F.count(F.when(F.col("y") == 1, 1)).alias("p"),
-                           F.count(F.when(F.col("y") == 0, 1)).alias("n")).first()
     coef = dict(zip(cfg.model_features, model.coefficients.toArray().tolist()))
     tests = score(z.filter(F.col("is_test") == 1), coef, float(model.intercept), cfg)
     train_set.unpersist()

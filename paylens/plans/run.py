@@ -29,20 +29,20 @@ def sections(ws: Workspace) -> list[tuple[str, DataFrame, list | None]]:
     lever_tbl = levers.levers(levers.lever_inputs(s, cfg), cfg)
     return [
         ("headline", headline.headline(s), None),
-        ("why_pay.product_mix", why_pay.product_mix(roles.pcoin_transaction), [F.col("usd").desc_nulls_last(), "product_id"]),
-        ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [F.col("sessions").desc(), "game_type"]),
+        ("why_pay.product_mix", why_pay.product_mix(roles.pcoin_transaction), [("usd", "desc"), "product_id"]),
+        ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [("sessions", "desc"), "game_type"]),
         ("why_pay.cosmetics_gap", why_pay.cosmetics_gap(s), None),
-        ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [F.col("usd").desc(), "archetype"]),
+        ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [("usd", "desc"), "archetype"]),
         ("payer_dna.loss_chasing", payer_dna.loss_chasing(ws.economy, s, cfg), ["ord"]),
         ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(ws.economy, s, cfg), ["ord"]),
-        ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [F.col("payer_pct").desc(), "fav_game"]),
+        ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [("payer_pct", "desc"), "fav_game"]),
         ("payer_dna.payer_psychology", payer_dna.payer_psychology(ws.economy, s, cfg), ["grp"]),
-        ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [F.col("n").desc(), "reason"]),
-        ("behavior_diff.predictor_lift", behaviour.predictor_lift(s, cfg), [F.col("lift").desc_nulls_last(), "feature"]),
+        ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [("n", "desc"), "reason"]),
+        ("behavior_diff.predictor_lift", behaviour.predictor_lift(s, cfg), [("lift", "desc"), "feature"]),
         ("propensity.decile_payer_rate", propensity.decile_payer_rate(deciles), ["decile"]),
         ("propensity.summary", propensity.holdout_summary(deciles, cfg), None),
         ("convert_more.target_pool", growth.target_pool(s, cfg), None),
-        ("convert_more.target_by_country", growth.target_by_country(s, cfg), [F.col("targets").desc(), "country_code"]),
+        ("convert_more.target_by_country", growth.target_by_country(s, cfg), [("targets", "desc"), "country_code"]),
         ("convert_more.conversion_moment", growth.conversion_moment(s), None),
         ("convert_more.wagered_before_paying_pct", growth.wagered_share_of_payers(s), None),
         ("expand_more.purchase_freq", growth.purchase_freq(s, cfg), ["ord"]),
@@ -51,8 +51,8 @@ def sections(ws: Workspace) -> list[tuple[str, DataFrame, list | None]]:
         ("expand_more.prime_cross_sell", growth.prime_cross_sell(s), None),
         ("social_retention_geo.social", social.social_rates(s), None),
         ("social_retention_geo.retention_x_pay", social.retention_x_pay(s, cfg), ["ord"]),
-        ("social_retention_geo.geo", social.geo(s, cfg), [F.col("players").desc(), "country_code"]),
-        ("diagnostic.levers", lever_tbl, [F.col("est_upside_usd").desc(), "lever"]),
+        ("social_retention_geo.geo", social.geo(s, cfg), [("players", "desc"), "country_code"]),
+        ("diagnostic.levers", lever_tbl, [("est_upside_usd", "desc"), "lever"]),
         ("revenue_validation", revenue_reconciliation(lineitem_revenue_source(ws.tables), s), None),
     ]
 

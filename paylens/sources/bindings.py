@@ -75,8 +75,10 @@ def bind_player(t: Tables) -> DataFrame:
 
 
 def bind_survey_response(t: Tables) -> DataFrame:
-    ev = t("events").filter(F.col("event_type") == "view")
-    k = _k(F.col("props"))
+    # k is parsed once in its own projection (an expensive expression used
+    # many times is not collapsed into its consumers)
+    ev = t("events").filter(F.col("event_type") == "view").withColumn("_k", _k(F.col("props")))
+    k = F.col("_k")
     age = F.when(k % 8 < 7, F.element_at(F.array(*[F.lit(a) for a in AGE_ANSWERS]), (k % 8 + 1).cast("int")))
     bought_window = (k >= 80) & (k < 90)
     would = (F.when(k < 40, F.array(F.lit("nothing")))
@@ -113,8 +115,8 @@ def bind_room(t: Tables) -> DataFrame:
 
 
 def bind_game_session(t: Tables) -> DataFrame:
-    ev = t("events")
-    k = _k(F.col("props"))
+    ev = t("events").withColumn("_k", _k(F.col("props")))
+    k = F.col("_k")
     host = F.col("user_id")
     guest = host + k + 1
     bet = F.col("value").cast("decimal(18,2)")

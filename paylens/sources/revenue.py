@@ -25,10 +25,11 @@ def read_revenue_document(spark: SparkSession, path: str) -> DataFrame:
 
 def lineitem_revenue_source(t: Tables) -> DataFrame:
     li = t("lineitem")
-    c = lambda name: cents_of_double(F.col(name)).cast("decimal(38,0)")
-    # price, discount and tax carry two decimals: the product is exact in 1e-6 units
+    c = lambda name: cents_of_double(F.col(name))
+    # price, discount and tax carry two decimals: the product is exact in
+    # 1e-6 units and fits 64 bits per row; only the sum needs 38 digits
     micro = c("l_extendedprice") * (F.lit(100) - c("l_discount")) * (F.lit(100) + c("l_tax"))
-    revenue = cents_to_money(round_ratio_scaled(F.sum(micro), F.lit(10000), 0, wide=True))
+    revenue = cents_to_money(round_ratio_scaled(F.sum(micro.cast("decimal(38,0)")), F.lit(10000), 0, wide=True))
     ev = t("events")
     last = ev.select(F.max("ts")).scalar()
     recent = ev.filter(F.col("ts") > last - F.expr(f"INTERVAL {ACTIVE_WINDOW_DAYS} DAYS"))
