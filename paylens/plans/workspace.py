@@ -1,19 +1,25 @@
-"""Workspace: bound role tables and the persisted, scored feature store.
+"""Workspace: bound role tables and the materialised, scored feature store.
 
 The store is the shared input of every analysis, so it is built once per
-(session, data directory, profile) and persisted; lineage stays
-deterministic (all ties have explicit tie-breaks), so a lost cached block is
-recomputed to the same rows.
+(session, data directory, profile). On a cluster it is written as a
+Parquet table under the shared ``spark.checkpoint.dir`` and read back, which
+cuts the lineage: losing an executor then costs a re-read, not a rebuild
+of nine aggregations. In local mode (tests, bench) it is persisted; the
+lineage is deterministic (every tie has an explicit tie-break), so a lost
+block recomputes to the same rows.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.config import FIXTURE_PROFILE, Config
+from paylens.session import ensure_checkpoint_dir
 from paylens.sources.bindings import RoleTables, bind_fixture_tables
 from paylens.sources.tables import Tables
 
@@ -21,11 +27,22 @@ _CACHE: dict = {}
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE_PROFILE):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE_PROFILE,
+                 materialize: str = "auto"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.tables = Tables(spark, sf_dir)
+        if materialize == "auto":
+            materialize = "cache" if spark.sparkContext.master.startswith("local") else "table"
+        self.materialize = materialize
+
+    def _materialize(self, df: DataFrame, name: str) -> DataFrame:
+        if self.materialize == "table":
+            path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-{name}-{uuid.uuid4().hex}")
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def roles(self) -> RoleTables:
@@ -35,18 +52,17 @@ class Workspace:
     def store(self) -> DataFrame:
         from paylens.operators.features import feature_store
         from paylens.operators.propensity import with_propensity
-        scored = with_propensity(feature_store(self.roles), self.cfg)
-        return scored.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._materialize(with_propensity(feature_store(self.roles), self.cfg), "store")
 
     @cached_property
     def economy(self) -> DataFrame:
         from paylens.operators.economy import player_game_economy
-        return player_game_economy(self.roles.game_session, self.store.schema["player_id"].dataType) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        econ = player_game_economy(self.roles.game_session, self.store.schema["player_id"].dataType)
+        return self._materialize(econ, "economy")
 
     def release(self):
         for name in ("store", "economy"):
-            if name in self.__dict__:
+            if name in self.__dict__ and self.materialize == "cache":
                 self.__dict__[name].unpersist()
 
 

@@ -76,3 +76,12 @@ def test_store_joins_share_partitioning(spark):
     assert plan.count(f"Exchange hashpartitioning({base_key},") == 1
     assert len(re.findall(rf"SortMergeJoin \[{re.escape(base_key)}\]", plan)) >= 9
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_store_can_be_materialised_as_a_table(spark):
+    from paylens.operators.headline import headline
+    from paylens.plans.workspace import Workspace
+    a = Workspace(spark, SF001, materialize="table")
+    b = Workspace(spark, SF001, materialize="cache")
+    assert headline(a.store).collect() == headline(b.store).collect()
+    assert all(f.startswith("file:") and "paylens-store-" in f for f in a.store.inputFiles())
