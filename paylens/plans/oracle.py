@@ -105,10 +105,11 @@ FROM (SELECT *, {arche} AS archetype FROM scored WHERE is_payer) GROUP BY archet
     E = lambda sel: with_ctes(*base, _econ(), select=sel)
     out["player_game_economy"] = E("SELECT * FROM pgs")
     net = "(won - wagered)"
-    out["loss_chasing"] = E(f"""SELECT ord, {S.band_label('ord', cfg.net_band)} AS bucket, count(*) AS players,
+    loss_sel = f"""SELECT ord, {S.band_label('ord', cfg.net_band)} AS bucket, count(*) AS players,
   {S.rate_pct('f.is_payer')} AS payer_pct
 FROM (SELECT player_id, {S.band_ord(net, cfg.net_band)} AS ord FROM pgs) z
-JOIN scored f USING (player_id) GROUP BY ord""")
+JOIN scored f USING (player_id) GROUP BY ord"""
+    out["loss_chasing"] = E(loss_sel)
     out["bet_size_lift"] = E(f"""SELECT ord, {S.band_label('ord', cfg.stake_band)} AS bucket, count(*) AS players,
   {S.rate_pct('f.is_payer')} AS payer_pct
 FROM (SELECT player_id, {S.band_ord_ratio('wagered', 'games', cfg.stake_band)} AS ord FROM pgs WHERE games > 0) z
@@ -145,8 +146,8 @@ WHERE s.never_bought_reason IS NOT NULL AND s.never_bought_reason <> '' GROUP BY
     out["holdout_split"] = W("SELECT player_id, is_holdout FROM scored")
     D = lambda sel: with_ctes(*base, _deciles(cfg), select=sel)
     out["score_deciles"] = D("SELECT player_id, propensity, decile FROM holdout")
-    out["decile_payer_rate"] = D(f"SELECT decile, count(*) AS players, {S.rate_pct('is_payer')} AS payer_pct "
-                                 "FROM holdout GROUP BY decile")
+    dec_sel = f"SELECT decile, count(*) AS players, {S.rate_pct('is_payer')} AS payer_pct FROM holdout GROUP BY decile"
+    out["decile_payer_rate"] = D(dec_sel)
     top = f"decile = {cfg.n_tiles}"
     tp, tn = S.count_if(f"{top} AND is_payer"), S.count_if(top)
     out["holdout_summary"] = D(f"""SELECT count(*) AS holdout_size,
@@ -201,9 +202,10 @@ FROM scored WHERE n_purchases >= 1 GROUP BY grp""")
   {S.rate_pct('is_payer', 'n_invited > 0')} AS inviter_payer_pct,
   {S.rate_pct('is_payer', 'n_invited = 0')} AS noninviter_payer_pct FROM scored""")
     ab = cfg.active_band
-    out["retention_x_pay"] = W(f"""SELECT {S.band_label('b', ab)} AS bucket, ord, players, payer_pct FROM (
+    ret_sel = f"""SELECT {S.band_label('b', ab)} AS bucket, ord, players, payer_pct FROM (
   SELECT {S.band_ord('active_days', ab)} AS b, min(active_days) AS ord, count(*) AS players,
-         {S.rate_pct('is_payer')} AS payer_pct FROM scored GROUP BY b)""")
+         {S.rate_pct('is_payer')} AS payer_pct FROM scored GROUP BY b)"""
+    out["retention_x_pay"] = W(ret_sel)
     out["geo"] = W(f"""SELECT country_code, count(*) AS players, {S.rate_pct('is_payer')} AS payer_pct,
   CAST(round({S.money_sum('lifetime_usd')}, 0) AS DECIMAL(38,0)) AS usd
 FROM scored WHERE country_code IS NOT NULL GROUP BY country_code
@@ -243,6 +245,14 @@ FROM scored"""
     out["wagering_pct_of_max"] = with_ctes(*base, f"\nwg AS ({wag})", select=(
         "SELECT *, CAST(100 AS DOUBLE) * CAST(pcoins_wagered AS DOUBLE) / "
         "(SELECT max(CAST(pcoins_wagered AS DOUBLE)) FROM wg) AS pct_of_max FROM wg"))
+    def of_max(ctes, sel, col):
+        return with_ctes(*ctes, f"\nsec AS ({sel})", select=(
+            f"SELECT *, CAST(100 AS DOUBLE) * CAST({col} AS DOUBLE) / "
+            f"(SELECT max(CAST({col} AS DOUBLE)) FROM sec) AS pct_of_max FROM sec"))
+    out["decile_pct_of_max"] = of_max((*base, _deciles(cfg)), dec_sel, "payer_pct")
+    out["loss_pct_of_max"] = of_max((*base, _econ()), loss_sel, "payer_pct")
+    out["retention_pct_of_max"] = of_max(base, ret_sel, "payer_pct")
+
     # --- M
     hold = "SELECT player_id, propensity AS s, CAST(is_payer AS INTEGER) AS y FROM scored WHERE is_holdout"
     out["score_auc"] = W(f"""SELECT {S.rr_wide('sum(pos * (2 * (COALESCE(below, 0) + 1) + n - 1)) - sum(pos) * (sum(pos) + 1)',

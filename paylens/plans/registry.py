@@ -450,3 +450,21 @@ def q_incremental_player_activity(spark, d):
 
     from paylens.streaming.incremental import run_to_completion
     return run_to_completion(spark, d, file_glob="events.parquet")
+
+
+@query("decile_pct_of_max")
+def q_decile_pct_of_max(spark, d):
+    ws = _ws(spark, d)
+    return levers.pct_of_max(propensity.decile_payer_rate(propensity.holdout_deciles(ws.store, ws.cfg)), "payer_pct")
+
+
+@query("loss_pct_of_max")
+def q_loss_pct_of_max(spark, d):
+    ws = _ws(spark, d)
+    return levers.pct_of_max(payer_dna.loss_chasing(ws.economy, ws.store, ws.cfg), "payer_pct")
+
+
+@query("retention_pct_of_max")
+def q_retention_pct_of_max(spark, d):
+    ws = _ws(spark, d)
+    return levers.pct_of_max(social.retention_x_pay(ws.store, ws.cfg), "payer_pct")
