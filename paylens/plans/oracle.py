@@ -92,8 +92,9 @@ FROM scored"""
   CAST(sum(bet_amount) AS DECIMAL(38,2)) AS pcoins_wagered FROM game_session GROUP BY game_type"""
     out["wagering_by_game"] = W(wag)
     owns = "(furniture_cnt > 0 OR wardrobe_cnt > 0)"
-    out["cosmetics_gap"] = W(f"""SELECT {S.count_if(owns)} AS players_with_furniture_or_wardrobe,
-  count(*) AS total_players, {S.pct(S.count_if(owns), 'count(*)', 1)} AS pct FROM scored""")
+    cos_sel = f"""SELECT {S.count_if(owns)} AS players_with_furniture_or_wardrobe,
+  count(*) AS total_players, {S.pct(S.count_if(owns), 'count(*)', 1)} AS pct FROM scored"""
+    out["cosmetics_gap"] = W(cos_sel)
     arche = (f"CASE WHEN is_prime_real THEN 'prime' WHEN lifetime_usd >= {cfg.whale_usd!r} THEN '{cfg.whale_label}' "
              f"WHEN n_purchases >= {cfg.repeat_min} THEN 'repeat' ELSE 'one_time' END")
     out["payer_archetypes"] = W(f"""SELECT archetype, count(*) AS players, {S.money_sum('lifetime_usd')} AS usd,
@@ -138,8 +139,9 @@ WHERE s.never_bought_reason IS NOT NULL AND s.never_bought_reason <> '' GROUP BY
         hi, lo = S.rrs(f"hn{i} * 100", f"hd{i}", 2), S.rrs(f"ln{i} * 100", f"ld{i}", 2)
         rows.append(f"SELECT '{sig.name}' AS feature, CAST({hi} AS DOUBLE) / CAST(100 AS DOUBLE) AS high_pct, "
                     f"CAST({lo} AS DOUBLE) / CAST(100 AS DOUBLE) AS low_pct, {S.rr_wide(hi, lo, 1)} AS lift FROM a")
-    out["predictor_lift"] = with_ctes(*base, f"\na AS (SELECT {', '.join(aggs)} FROM scored)",
-                                      select="\nUNION ALL ".join(rows))
+    lift_a = f"\na AS (SELECT {', '.join(aggs)} FROM scored)"
+    lift_sel = "\nUNION ALL ".join(rows)
+    out["predictor_lift"] = with_ctes(*base, lift_a, select=lift_sel)
 
     # --- P
     out["propensity_score"] = W("SELECT player_id, propensity FROM scored")
@@ -150,7 +152,7 @@ WHERE s.never_bought_reason IS NOT NULL AND s.never_bought_reason <> '' GROUP BY
     out["decile_payer_rate"] = D(dec_sel)
     top = f"decile = {cfg.n_tiles}"
     tp, tn = S.count_if(f"{top} AND is_payer"), S.count_if(top)
-    out["holdout_summary"] = D(f"""SELECT count(*) AS holdout_size,
+    out["holdout_summary"] = D(hold_sel := f"""SELECT count(*) AS holdout_size,
   {S.pct(S.count_if('is_payer'), 'count(*)')} AS holdout_base_payer_pct,
   {S.pct(tp, tn)} AS top_decile_payer_pct,
   {S.rr_wide(f'({tp}) * count(*)', f"({tn}) * ({S.count_if('is_payer')})", 1)} AS top_decile_lift
@@ -158,7 +160,7 @@ FROM holdout""")
 
     # --- C
     tgt = f"(NOT is_payer AND propensity >= CAST({cfg.target_score!r} AS DOUBLE))"
-    out["target_pool"] = W(f"""SELECT {S.count_if(tgt)} AS high_propensity_nonpayers,
+    out["target_pool"] = W(pool_sel := f"""SELECT {S.count_if(tgt)} AS high_propensity_nonpayers,
   {S.count_if('NOT is_payer')} AS total_nonpayers,
   {S.avg_exact('pcoins_wagered', tgt, 0, money=True)} AS avg_wagered,
   {S.avg_exact('max_streak', tgt, 1)} AS avg_streak FROM scored""")
@@ -166,17 +168,17 @@ FROM holdout""")
 WHERE {tgt} AND country_code IS NOT NULL GROUP BY country_code
 ORDER BY targets DESC, country_code LIMIT {cfg.top_countries_target}""")
     buyers = "SELECT * FROM scored WHERE is_payer AND first_buy_lag_days IS NOT NULL"
-    out["conversion_moment"] = W(S.percentile_select(
+    out["conversion_moment"] = W(cm_sel := S.percentile_select(
         buyers, "CAST(round(first_buy_lag_days * 100) AS BIGINT)", "player_id", [(1, 2)], 100, 1,
         extra=(f"{S.pct(S.count_if('first_buy_lag_days < 1'), 'count(*)', 1)} AS same_day_pct",
                f"{S.pct(S.count_if('first_buy_lag_days < 7'), 'count(*)', 1)} AS within_7d_pct"),
         names=("median_lag_days",)))
-    out["wagered_share_of_payers"] = W(f"""SELECT {S.pct(S.count_if('pcoins_wagered > 0'), 'count(*)', 1)}
+    out["wagered_share_of_payers"] = W(wsh_sel := f"""SELECT {S.pct(S.count_if('pcoins_wagered > 0'), 'count(*)', 1)}
   AS wagered_before_paying_pct FROM scored WHERE is_payer""")
 
     # --- E
     fb = cfg.freq_band
-    out["purchase_freq"] = W(f"""SELECT {S.band_label('b', fb)} AS bucket, ord, payers, usd FROM (
+    out["purchase_freq"] = W(pf_sel := f"""SELECT {S.band_label('b', fb)} AS bucket, ord, payers, usd FROM (
   SELECT {S.band_ord('n_purchases', fb)} AS b, min(n_purchases) AS ord, count(*) AS payers,
          {S.money_sum('pcoin_usd')} AS usd
   FROM scored WHERE n_purchases >= 1 GROUP BY b)""")
@@ -190,7 +192,7 @@ FROM scored WHERE n_purchases >= 1 GROUP BY grp""")
     out["whale_concentration"] = W(f"SELECT n AS payers, p0 AS median_usd, p1 AS p90_usd, p2 AS p99_usd, max_usd "
                                    f"FROM ({whale})")
     cand = "(n_purchases >= 1 AND NOT is_prime_real)"
-    out["prime_cross_sell"] = W(f"""SELECT {S.count_if(cand)} AS pcoin_buyers_not_prime,
+    out["prime_cross_sell"] = W(pcs_sel := f"""SELECT {S.count_if(cand)} AS pcoin_buyers_not_prime,
   {S.money_sum('lifetime_usd', cand)} AS their_lifetime_usd FROM scored""")
     one, pay = S.count_if("n_purchases = 1"), S.count_if("is_payer")
     out["one_time_share"] = W(f"""SELECT {one} AS one_time_buyers, {pay} AS payers,
@@ -245,6 +247,33 @@ FROM scored"""
     out["wagering_pct_of_max"] = with_ctes(*base, f"\nwg AS ({wag})", select=(
         "SELECT *, CAST(100 AS DOUBLE) * CAST(pcoins_wagered AS DOUBLE) / "
         "(SELECT max(CAST(pcoins_wagered AS DOUBLE)) FROM wg) AS pct_of_max FROM wg"))
+    facts = f"""
+hd AS ({head}),
+lift AS ({lift_sel}),
+hs AS ({hold_sel}),
+tp AS ({pool_sel}),
+cm AS ({cm_sel}),
+wsh AS ({wsh_sel}),
+cg AS ({cos_sel}),
+pf AS ({pf_sel}),
+pcs AS ({pcs_sel}),
+top AS (SELECT * FROM lv ORDER BY est_upside_usd DESC, lever LIMIT 1)"""
+    out["brief_facts"] = with_ctes(*base, _deciles(cfg), lever_cte, lift_a, facts, select="""SELECT
+  (SELECT lever FROM top) AS top_lever, (SELECT est_upside_usd FROM top) AS top_usd,
+  (SELECT pool FROM top) AS top_pool,
+  (SELECT wagered_before_paying_pct FROM wsh) AS wagered_before_pct,
+  (SELECT same_day_pct FROM cm) AS same_day_pct, (SELECT pct FROM cg) AS cosmetics_pct,
+  (SELECT max(lift) FROM lift WHERE starts_with(feature, 'wagered')) AS wager_lift,
+  (SELECT max(lift) FROM lift WHERE starts_with(feature, 'stated intent')) AS intent_lift,
+  (SELECT top_decile_payer_pct FROM hs) AS top_decile_pct,
+  (SELECT holdout_base_payer_pct FROM hs) AS base_decile_pct,
+  (SELECT top_decile_lift FROM hs) AS decile_lift,
+  payers, players, payer_pct, total_usd, arppu_usd AS arppu,
+  (SELECT high_propensity_nonpayers FROM tp) AS hp_nonpayers,
+  (SELECT max(payers) FROM pf WHERE ord = 1) AS one_timers,
+  (SELECT pcoin_buyers_not_prime FROM pcs) AS prime_pool
+FROM hd""")
+
     def of_max(ctes, sel, col):
         return with_ctes(*ctes, f"\nsec AS ({sel})", select=(
             f"SELECT *, CAST(100 AS DOUBLE) * CAST({col} AS DOUBLE) / "
