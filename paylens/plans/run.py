@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,58 +24,119 @@ from paylens.sources import sinks
 from paylens.sources.revenue import lineitem_revenue_source
 
 
+class Analyses:
+    """Every analysis frame of one workspace, each built once and shared by
+    the insights bundle and the brief (rankings checkpoint eagerly, so
+    building a frame twice would rank twice)."""
+
+    def __init__(self, ws: Workspace):
+        self.ws = ws
+
+    @cached_property
+    def deciles(self) -> DataFrame:
+        return propensity.holdout_deciles(self.ws.store, self.ws.cfg)
+
+    @cached_property
+    def levers(self) -> DataFrame:
+        return levers.levers(levers.lever_inputs(self.ws.store, self.ws.cfg), self.ws.cfg)
+
+    @cached_property
+    def head(self) -> DataFrame:
+        return headline.headline(self.ws.store)
+
+    @cached_property
+    def lift(self) -> DataFrame:
+        return behaviour.predictor_lift(self.ws.store, self.ws.cfg)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return propensity.holdout_summary(self.deciles, self.ws.cfg)
+
+    @cached_property
+    def pool(self) -> DataFrame:
+        return growth.target_pool(self.ws.store, self.ws.cfg)
+
+    @cached_property
+    def moment(self) -> DataFrame:
+        return growth.conversion_moment(self.ws.store)
+
+    @cached_property
+    def wager_share(self) -> DataFrame:
+        return growth.wagered_share_of_payers(self.ws.store)
+
+    @cached_property
+    def cosmetics(self) -> DataFrame:
+        return why_pay.cosmetics_gap(self.ws.store)
+
+    @cached_property
+    def freq(self) -> DataFrame:
+        return growth.purchase_freq(self.ws.store, self.ws.cfg)
+
+    @cached_property
+    def cross_sell(self) -> DataFrame:
+        return growth.prime_cross_sell(self.ws.store)
+
+    def sections(self) -> list[tuple[str, DataFrame, list | None]]:
+        ws = self.ws
+        s, cfg, roles = ws.store, ws.cfg, ws.roles
+        return [
+            ("headline", self.head, None),
+            ("why_pay.product_mix", why_pay.product_mix(roles.pcoin_transaction), [("usd", "desc"), "product_id"]),
+            ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [("sessions", "desc"), "game_type"]),
+            ("why_pay.cosmetics_gap", self.cosmetics, None),
+            ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [("usd", "desc"), "archetype"]),
+            ("payer_dna.loss_chasing", payer_dna.loss_chasing(ws.economy, s, cfg), ["ord"]),
+            ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(ws.economy, s, cfg), ["ord"]),
+            ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [("payer_pct", "desc"), "fav_game"]),
+            ("payer_dna.payer_psychology", payer_dna.payer_psychology(ws.economy, s, cfg), ["grp"]),
+            ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [("n", "desc"), "reason"]),
+            ("behavior_diff.predictor_lift", self.lift, [("lift", "desc"), "feature"]),
+            ("propensity.decile_payer_rate", propensity.decile_payer_rate(self.deciles), ["decile"]),
+            ("propensity.summary", self.summary, None),
+            ("convert_more.target_pool", self.pool, None),
+            ("convert_more.target_by_country", growth.target_by_country(s, cfg), [("targets", "desc"), "country_code"]),
+            ("convert_more.conversion_moment", self.moment, None),
+            ("convert_more.wagered_before_paying_pct", self.wager_share, None),
+            ("expand_more.purchase_freq", self.freq, ["ord"]),
+            ("expand_more.one_time_vs_repeat", growth.one_time_vs_repeat(s, cfg), ["grp"]),
+            ("expand_more.whale_concentration", growth.whale_concentration(s), None),
+            ("expand_more.prime_cross_sell", self.cross_sell, None),
+            ("social_retention_geo.social", social.social_rates(s), None),
+            ("social_retention_geo.retention_x_pay", social.retention_x_pay(s, cfg), ["ord"]),
+            ("social_retention_geo.geo", social.geo(s, cfg), [("players", "desc"), "country_code"]),
+            ("diagnostic.levers", self.levers, [("est_upside_usd", "desc"), "lever"]),
+            ("revenue_validation", revenue_reconciliation(lineitem_revenue_source(ws.tables), s), None),
+        ]
+
+    def brief(self) -> DataFrame:
+        return bundle.brief_facts(self.head, self.levers, self.wager_share, self.moment, self.cosmetics,
+                                  self.lift, self.summary, self.pool, self.freq, self.cross_sell)
+
+
+def analyses(ws: Workspace) -> Analyses:
+    if "_analyses" not in ws.__dict__:
+        ws.__dict__["_analyses"] = Analyses(ws)
+    return ws.__dict__["_analyses"]
+
+
 def sections(ws: Workspace) -> list[tuple[str, DataFrame, list | None]]:
-    s, cfg, roles = ws.store, ws.cfg, ws.roles
-    deciles = propensity.holdout_deciles(s, cfg)
-    lever_tbl = levers.levers(levers.lever_inputs(s, cfg), cfg)
-    return [
-        ("headline", headline.headline(s), None),
-        ("why_pay.product_mix", why_pay.product_mix(roles.pcoin_transaction), [("usd", "desc"), "product_id"]),
-        ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [("sessions", "desc"), "game_type"]),
-        ("why_pay.cosmetics_gap", why_pay.cosmetics_gap(s), None),
-        ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [("usd", "desc"), "archetype"]),
-        ("payer_dna.loss_chasing", payer_dna.loss_chasing(ws.economy, s, cfg), ["ord"]),
-        ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(ws.economy, s, cfg), ["ord"]),
-        ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [("payer_pct", "desc"), "fav_game"]),
-        ("payer_dna.payer_psychology", payer_dna.payer_psychology(ws.economy, s, cfg), ["grp"]),
-        ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [("n", "desc"), "reason"]),
-        ("behavior_diff.predictor_lift", behaviour.predictor_lift(s, cfg), [("lift", "desc"), "feature"]),
-        ("propensity.decile_payer_rate", propensity.decile_payer_rate(deciles), ["decile"]),
-        ("propensity.summary", propensity.holdout_summary(deciles, cfg), None),
-        ("convert_more.target_pool", growth.target_pool(s, cfg), None),
-        ("convert_more.target_by_country", growth.target_by_country(s, cfg), [("targets", "desc"), "country_code"]),
-        ("convert_more.conversion_moment", growth.conversion_moment(s), None),
-        ("convert_more.wagered_before_paying_pct", growth.wagered_share_of_payers(s), None),
-        ("expand_more.purchase_freq", growth.purchase_freq(s, cfg), ["ord"]),
-        ("expand_more.one_time_vs_repeat", growth.one_time_vs_repeat(s, cfg), ["grp"]),
-        ("expand_more.whale_concentration", growth.whale_concentration(s), None),
-        ("expand_more.prime_cross_sell", growth.prime_cross_sell(s), None),
-        ("social_retention_geo.social", social.social_rates(s), None),
-        ("social_retention_geo.retention_x_pay", social.retention_x_pay(s, cfg), ["ord"]),
-        ("social_retention_geo.geo", social.geo(s, cfg), [("players", "desc"), "country_code"]),
-        ("diagnostic.levers", lever_tbl, [("est_upside_usd", "desc"), "lever"]),
-        ("revenue_validation", revenue_reconciliation(lineitem_revenue_source(ws.tables), s), None),
-    ]
+    return analyses(ws).sections()
 
 
 def brief(ws: Workspace) -> DataFrame:
-    s, cfg = ws.store, ws.cfg
-    deciles = propensity.holdout_deciles(s, cfg)
-    return bundle.brief_facts(
-        headline.headline(s), levers.levers(levers.lever_inputs(s, cfg), cfg),
-        growth.wagered_share_of_payers(s), growth.conversion_moment(s), why_pay.cosmetics_gap(s),
-        behaviour.predictor_lift(s, cfg), propensity.holdout_summary(deciles, cfg), growth.target_pool(s, cfg),
-        growth.purchase_freq(s, cfg), growth.prime_cross_sell(s))
+    return analyses(ws).brief()
 
 
 def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXTURE_PROFILE) -> dict:
     ws = workspace(spark, data_dir, cfg)
-    secs = sections(ws)
-    bund = bundle.insights_bundle(secs).persist()
-    doc = bundle.bundle_document(bund)
+    a = analyses(ws)
+    secs = a.sections()
+    # the three documents are a few hundred bytes each: keep them so the
+    # gate and the writes do not recompute the analyses behind them
+    doc = bundle.bundle_document(bundle.insights_bundle(secs)).persist()
     run = model.train(ws.store, cfg)
-    report = sinks.model_report_document(model.evaluation(run, cfg), run.coefficient_frame(spark))
-    facts = brief(ws)
+    report = sinks.model_report_document(model.evaluation(run, cfg), run.coefficient_frame(spark)).persist()
+    facts = a.brief().persist()
     # gate everything first; only then write
     for name, df in (("insights", doc), ("model_report", report), ("brief_facts", facts)):
         assert_no_pii(df, name)
@@ -82,7 +144,8 @@ def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXT
     sinks.write_document(doc, os.path.join(out_dir, "insights.json"), gate=False)
     sinks.write_document(report, os.path.join(out_dir, "model_report.json"), gate=False)
     facts.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "brief_facts"))
-    bund.unpersist()
+    for df in (doc, report, facts):
+        df.unpersist()
     return {"sections": len(secs), "out": out_dir}
 
 

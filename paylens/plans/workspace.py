@@ -1,12 +1,13 @@
 """Workspace: bound role tables and the materialised, scored feature store.
 
 The store is the shared input of every analysis, so it is built once per
-(session, data directory, profile). On a cluster it is written as a
-Parquet table under the shared ``spark.checkpoint.dir`` and read back, which
-cuts the lineage: losing an executor then costs a re-read, not a rebuild
-of nine aggregations. In local mode (tests, bench) it is persisted; the
-lineage is deterministic (every tie has an explicit tie-break), so a lost
-block recomputes to the same rows.
+(session, data directory, profile) and written as a Parquet table under the
+shared ``spark.checkpoint.dir``, then read back. That cuts the lineage:
+losing an executor costs a re-read, not a rebuild of nine aggregations,
+and every analysis plans against a two-line scan instead of the whole
+store derivation. ``materialize="cache"`` persists instead (the lineage is
+deterministic -- every tie has an explicit tie-break -- so a lost block
+recomputes to the same rows).
 """
 
 from __future__ import annotations
@@ -33,9 +34,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.tables = Tables(spark, sf_dir)
-        if materialize == "auto":
-            materialize = "cache" if spark.sparkContext.master.startswith("local") else "table"
-        self.materialize = materialize
+        self.materialize = "table" if materialize == "auto" else materialize
 
     def _materialize(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "table":
