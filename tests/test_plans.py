@@ -85,3 +85,39 @@ def test_store_can_be_materialised_as_a_table(spark):
     b = Workspace(spark, SF001, materialize="cache")
     assert headline(a.store).collect() == headline(b.store).collect()
     assert all(f.startswith("file:") and "paylens-store-" in f for f in a.store.inputFiles())
+
+
+def _single_partition_children(plan: str) -> list[str]:
+    """The operator under each ``Exchange SinglePartition`` (tree text)."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for nxt in lines[i + 1:]:
+                d = len(nxt) - len(nxt.lstrip(" :+-"))
+                if d > depth:
+                    out.append(nxt.strip(" :+-*()0123456789"))
+                    break
+    return out
+
+
+def _batch_names():
+    from __spark_entry__ import queries
+    return [n for n in queries() if n != "incremental_player_activity"]
+
+
+@pytest.mark.parametrize("name", _batch_names())
+def test_single_partition_only_above_aggregates(spark, name):
+    """No unaggregated rows ever funnel into one partition: a SinglePartition
+    exchange may only carry partial aggregates (one row per task) or the
+    per-partition counts of the global ranking."""
+    from __spark_entry__ import queries
+    df = queries()[name](spark, SF001)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for child in _single_partition_children(plan):
+        assert "Aggregate" in child, f"{name}: SinglePartition over {child[:80]}"
