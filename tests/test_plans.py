@@ -92,13 +92,12 @@ def _single_partition_children(plan: str) -> list[str]:
     lines = plan.splitlines()
     out = []
     for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            depth = len(line) - len(line.lstrip(" :+-"))
-            for nxt in lines[i + 1:]:
-                d = len(nxt) - len(nxt.lstrip(" :+-"))
-                if d > depth:
-                    out.append(nxt.strip(" :+-*()0123456789"))
-                    break
+        node = line.lstrip(" :+-")
+        if node.startswith("Exchange SinglePartition") and i + 1 < len(lines):
+            depth = len(line) - len(node)
+            nxt = lines[i + 1]
+            if len(nxt) - len(nxt.lstrip(" :+-")) > depth:  # the exchange's only child
+                out.append(nxt.strip(" :+-*()0123456789"))
     return out
 
 
