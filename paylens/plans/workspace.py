@@ -59,6 +59,15 @@ class Workspace:
         econ = player_game_economy(self.roles.game_session, self.store.schema["player_id"].dataType)
         return self._materialize(econ, "economy")
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the store (``player_features``), the game economy
+        (``pgs``) and the nine role tables as session temp views for SQL."""
+        names = []
+        for name, df in (("player_features", self.store), ("pgs", self.economy), *self.roles.as_dict().items()):
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def release(self):
         for name in ("store", "economy"):
             if name in self.__dict__ and self.materialize == "cache":

@@ -41,3 +41,19 @@ def test_csv_export_and_gated_documents(spark):
     with pytest.raises(PIIGateError):
         sinks.write_document(bad, os.path.join(d, "bad"))
     assert not os.path.exists(os.path.join(d, "bad"))
+
+
+def test_views_serve_spark_sql(spark):
+    """The store as a temp view answers the same question in SQL."""
+    from paylens.operators.headline import headline
+    from paylens.plans.workspace import workspace
+    ws = workspace(spark, SF001)
+    assert "player_features" in ws.register_views()
+    via_sql = spark.sql("""
+        SELECT count(*) AS players, count_if(is_payer) AS payers,
+               CAST(sum(lifetime_usd) AS decimal(38,2)) AS total_usd
+        FROM player_features""").first()
+    h = headline(ws.store).first()
+    assert (via_sql.players, via_sql.payers, via_sql.total_usd) == (h.players, h.payers, h.total_usd)
+    econ = spark.sql("SELECT count(*) AS n, sum(games) AS g FROM pgs").first()
+    assert econ.n == ws.economy.count() and econ.g > 0
