@@ -86,14 +86,22 @@ def owned_items(room: DataFrame) -> DataFrame:
 def wager_profile(game_session: DataFrame) -> DataFrame:
     """hosted sessions, stakes, modal game (ties -> smallest name).
 
-    ``mode`` keeps a value->count map per group in its partial buffer; the
-    map is bounded by the number of game types, not by group size.
+    Sessions first collapse to (host, game type) counts and stake sums in a
+    code-generated hash aggregate (a hot host spreads over its game types);
+    the per-host pass then sees a handful of rows per host and picks the
+    mode as min(-count, game type). NULL game types count as sessions but
+    never as the mode.
     """
-    return (game_session.filter(F.col("host_player_id").isNotNull())
-            .groupBy(F.col("host_player_id").alias("player_id"))
-            .agg(F.count("*").alias("n_games_hosted"),
-                 F.sum(F.coalesce(F.col("bet_amount"), F.lit(0))).cast(MONEY).alias("pcoins_wagered"),
-                 F.mode("game_type", deterministic=True).alias("fav_game")))
+    per_type = (game_session.filter(F.col("host_player_id").isNotNull())
+                .groupBy(F.col("host_player_id").alias("player_id"), "game_type")
+                .agg(F.count("*").alias("n"),
+                     F.sum(F.coalesce(F.col("bet_amount"), F.lit(0))).alias("s")))
+    ranked = F.when(F.col("game_type").isNotNull(),
+                    F.struct((-F.col("n")).alias("neg_n"), F.col("game_type").alias("g")))
+    return (per_type.groupBy("player_id")
+            .agg(F.sum("n").alias("n_games_hosted"),
+                 F.sum("s").cast(MONEY).alias("pcoins_wagered"),
+                 F.min(ranked)["g"].alias("fav_game")))
 
 
 def event_count(events: DataFrame, name: str) -> DataFrame:

@@ -53,8 +53,10 @@ def _k(props):
 def bind_player(t: Tables) -> DataFrame:
     span = (t("orders").groupBy(F.col("o_custkey").alias("player_id"))
             .agg(F.min("o_orderdate").alias("created_at"), F.max("o_orderdate").alias("last_seen")))
-    logins = (t("events").groupBy(F.col("user_id").alias("player_id"))
-              .agg(F.collect_set(F.to_date("ts")).alias("login_dates")))
+    # distinct (player, day) first: the set-building aggregate then sees one
+    # row per active day instead of one per event
+    logins = (t("events").select(F.col("user_id").alias("player_id"), F.to_date("ts").alias("d"))
+              .distinct().groupBy("player_id").agg(F.collect_list("d").alias("login_dates")))
     key = F.col("c_custkey")
     cust = (t("customer")
             .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
