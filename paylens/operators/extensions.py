@@ -24,10 +24,9 @@ def wagered_before_first_buy(game_session: DataFrame, purchases: DataFrame) -> D
                  pct(count_if(before), F.count("*"), 1).alias("wagered_before_pct"))
 
 
-def guarded_target_pool(store: DataFrame, economy: DataFrame, cfg: Config) -> DataFrame:
+def guarded_target_pool(store: DataFrame, cfg: Config) -> DataFrame:
     """The convert pool without minors, flagging heavy net losers."""
-    j = store.select("player_id", "is_payer", "propensity", "age_bucket") \
-        .join(economy.select("player_id", (F.col("won") - F.col("wagered")).alias("net")), "player_id", "left")
+    j = store.withColumn("net", F.col("pgs_won") - F.col("pgs_wagered"))
     target = ~F.col("is_payer") & (F.col("propensity") >= F.lit(float(cfg.target_score)))
     minor = F.col("age_bucket") == "under_18"
     eligible = target & ~minor

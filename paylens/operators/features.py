@@ -143,16 +143,30 @@ STORE_COLUMNS = (
     "lifetime_usd", "is_payer", "is_prime_real", "first_buy_lag_days")
 
 
-def feature_store(roles: RoleTables) -> DataFrame:
-    """Left-join the per-player aggregates onto the live players."""
+ECONOMY_COLUMNS = ("in_pgs", "pgs_games", "pgs_wagered", "pgs_wins", "pgs_won")
+
+
+def feature_store(roles: RoleTables, economy: DataFrame | None = None) -> DataFrame:
+    """Left-join the per-player aggregates onto the live players.
+
+    The per-player game economy (D0) rides along as a tenth left join on the
+    same key (``pgs_*`` columns, ``in_pgs`` = the player took part in a
+    session), so the payer-DNA cross-tabs are single passes over the store
+    instead of a store x economy join each.
+    """
     base = player_base(roles.player)
+    if economy is None:
+        from paylens.operators.economy import player_game_economy
+        economy = player_game_economy(roles.game_session, roles.player.schema["player_id"].dataType)
+    econ = economy.select("player_id", F.lit(True).alias("in_pgs"),
+                          *[F.col(c).alias(f"pgs_{c}") for c in ("games", "wagered", "wins", "won")])
     sv = latest_survey(roles.survey_response).withColumn("_sv", F.lit(True))
     buys = purchases(roles.pcoin_transaction).withColumn("_bu", F.lit(True))
     prime = prime_revenue(roles.prime_subscription_event).withColumn("_pr", F.lit(True))
     joined = base
     for side in (sv, room_streak(roles.player_room), owned_items(roles.room),
                  wager_profile(roles.game_session), event_count(roles.pet_feeding, "n_feedings"),
-                 event_count(roles.arcade_score, "n_arcade"), invite_count(roles.player), buys, prime):
+                 event_count(roles.arcade_score, "n_arcade"), invite_count(roles.player), buys, prime, econ):
         joined = joined.join(side, "player_id", "left")
 
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -181,5 +195,7 @@ def feature_store(roles: RoleTables) -> DataFrame:
         (F.col("_bu").isNotNull() | F.col("_pr").isNotNull()).alias("is_payer"),
         F.col("_pr").isNotNull().alias("is_prime_real"),
         F.when(F.col("first_buy").isNotNull(),
-               round_ratio(lag_us, F.lit(DAY_US), 2)).alias("first_buy_lag_days"))
+               round_ratio(lag_us, F.lit(DAY_US), 2)).alias("first_buy_lag_days"),
+        F.coalesce(F.col("in_pgs"), F.lit(False)).alias("in_pgs"),
+        "pgs_games", "pgs_wagered", "pgs_wins", "pgs_won")
     return out

@@ -11,25 +11,25 @@ from paylens.functions.exact import avg_exact, cents, rate_pct, round_ratio
 from paylens.functions.survey import RESPONSE_SCHEMA
 
 
-def _payer_rate_by_band(tagged: DataFrame, store: DataFrame, band) -> DataFrame:
-    j = tagged.join(store.select("player_id", "is_payer"), "player_id")
-    return (j.groupBy("ord").agg(F.count("*").alias("players"),
-                                 rate_pct(F.col("is_payer")).alias("payer_pct"))
+def _payer_rate_by_band(players: DataFrame, ord_col, band) -> DataFrame:
+    return (players.groupBy(ord_col.alias("ord")).agg(F.count("*").alias("players"),
+                                                      rate_pct(F.col("is_payer")).alias("payer_pct"))
             .select("ord", label_of(F.col("ord"), band).alias("bucket"), "players", "payer_pct"))
 
 
-def loss_chasing(economy: DataFrame, store: DataFrame, cfg: Config) -> DataFrame:
-    """Net outcome (won - wagered) bands; NULL net falls to the last band."""
-    net = F.col("won") - F.col("wagered")
-    tagged = economy.select("player_id", band_ord(net, cfg.net_band).alias("ord"))
-    return _payer_rate_by_band(tagged, store, cfg.net_band)
+def loss_chasing(store: DataFrame, cfg: Config) -> DataFrame:
+    """Net outcome (won - wagered) bands over live players who played;
+    NULL net falls to the last band. One pass over the store (the economy
+    columns were joined in when the store was built)."""
+    net = F.col("pgs_won") - F.col("pgs_wagered")
+    return _payer_rate_by_band(store.filter(F.col("in_pgs")), band_ord(net, cfg.net_band), cfg.net_band)
 
 
-def bet_size_lift(economy: DataFrame, store: DataFrame, cfg: Config) -> DataFrame:
+def bet_size_lift(store: DataFrame, cfg: Config) -> DataFrame:
     """Average stake (wagered / games) bands, compared without dividing."""
-    tagged = (economy.filter(F.col("games") > 0)
-              .select("player_id", band_ord_ratio(F.col("wagered"), F.col("games"), cfg.stake_band).alias("ord")))
-    return _payer_rate_by_band(tagged, store, cfg.stake_band)
+    played = store.filter(F.col("in_pgs") & (F.col("pgs_games") > 0))
+    return _payer_rate_by_band(played, band_ord_ratio(F.col("pgs_wagered"), F.col("pgs_games"), cfg.stake_band),
+                               cfg.stake_band)
 
 
 def game_type_pay(store: DataFrame) -> DataFrame:
@@ -38,19 +38,18 @@ def game_type_pay(store: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("players"), rate_pct(F.col("is_payer")).alias("payer_pct")))
 
 
-def payer_psychology(economy: DataFrame, store: DataFrame, cfg: Config) -> DataFrame:
-    """Whales vs regular payers (spend > 0) on game behaviour."""
+def payer_psychology(store: DataFrame, cfg: Config) -> DataFrame:
+    """Whales vs regular payers (spend > 0) who played, on game behaviour."""
     grp = F.when(F.col("lifetime_usd") >= F.lit(cfg.whale_usd), F.lit(cfg.whale_label)).otherwise(F.lit("regular_payer"))
-    payers = (store.filter(F.col("is_payer") & (F.col("lifetime_usd") > 0))
-              .select("player_id", grp.alias("grp")))
-    j = payers.join(economy, "player_id")
-    win_rate = F.when(F.col("games") != 0, F.col("wins") * 100.0 / F.col("games"))
-    net = F.col("won") - F.col("wagered")
-    return j.groupBy("grp").agg(
+    payers = store.filter(F.col("is_payer") & (F.col("lifetime_usd") > 0) & F.col("in_pgs"))
+    games, wins = F.col("pgs_games"), F.col("pgs_wins")
+    win_rate = F.when(games != 0, wins * 100.0 / games)
+    net = F.col("pgs_won") - F.col("pgs_wagered")
+    return payers.groupBy(grp.alias("grp")).agg(
         F.count("*").alias("players"),
-        avg_exact(F.col("games"), None, 0).alias("avg_games"),
+        avg_exact(games, None, 0).alias("avg_games"),
         F.round(F.avg(win_rate), 1).alias("win_rate"),
-        avg_exact(F.col("wagered"), None, 0, money=True).alias("avg_wagered"),
+        avg_exact(F.col("pgs_wagered"), None, 0, money=True).alias("avg_wagered"),
         avg_exact(net, None, 0, money=True).alias("avg_net_pcoins"))
 
 

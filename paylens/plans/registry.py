@@ -144,13 +144,13 @@ def q_player_game_economy(spark, d):
 @query("loss_chasing")
 def q_loss_chasing(spark, d):
     ws = _ws(spark, d)
-    return payer_dna.loss_chasing(ws.economy, ws.store, ws.cfg)
+    return payer_dna.loss_chasing(ws.store, ws.cfg)
 
 
 @query("bet_size_lift")
 def q_bet_size_lift(spark, d):
     ws = _ws(spark, d)
-    return payer_dna.bet_size_lift(ws.economy, ws.store, ws.cfg)
+    return payer_dna.bet_size_lift(ws.store, ws.cfg)
 
 
 @query("game_type_pay")
@@ -161,7 +161,7 @@ def q_game_type_pay(spark, d):
 @query("payer_psychology")
 def q_payer_psychology(spark, d):
     ws = _ws(spark, d)
-    return payer_dna.payer_psychology(ws.economy, ws.store, ws.cfg)
+    return payer_dna.payer_psychology(ws.store, ws.cfg)
 
 
 @query("why_never_bought")
@@ -417,7 +417,7 @@ def q_wagered_before_first_buy(spark, d):
 def q_guarded_target_pool(spark, d):
     from paylens.operators.extensions import guarded_target_pool
     ws = _ws(spark, d)
-    return guarded_target_pool(ws.store, ws.economy, ws.cfg)
+    return guarded_target_pool(ws.store, ws.cfg)
 
 
 @query("headline_by_tenant")
@@ -461,7 +461,7 @@ def q_decile_pct_of_max(spark, d):
 @query("loss_pct_of_max")
 def q_loss_pct_of_max(spark, d):
     ws = _ws(spark, d)
-    return levers.pct_of_max(payer_dna.loss_chasing(ws.economy, ws.store, ws.cfg), "payer_pct")
+    return levers.pct_of_max(payer_dna.loss_chasing(ws.store, ws.cfg), "payer_pct")
 
 
 @query("retention_pct_of_max")

@@ -85,10 +85,10 @@ class Analyses:
             ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [("sessions", "desc"), "game_type"]),
             ("why_pay.cosmetics_gap", self.cosmetics, None),
             ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [("usd", "desc"), "archetype"]),
-            ("payer_dna.loss_chasing", payer_dna.loss_chasing(ws.economy, s, cfg), ["ord"]),
-            ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(ws.economy, s, cfg), ["ord"]),
+            ("payer_dna.loss_chasing", payer_dna.loss_chasing(s, cfg), ["ord"]),
+            ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(s, cfg), ["ord"]),
             ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [("payer_pct", "desc"), "fav_game"]),
-            ("payer_dna.payer_psychology", payer_dna.payer_psychology(ws.economy, s, cfg), ["grp"]),
+            ("payer_dna.payer_psychology", payer_dna.payer_psychology(s, cfg), ["grp"]),
             ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [("n", "desc"), "reason"]),
             ("behavior_diff.predictor_lift", self.lift, [("lift", "desc"), "feature"]),
             ("propensity.decile_payer_rate", propensity.decile_payer_rate(self.deciles), ["decile"]),

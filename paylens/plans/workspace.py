@@ -51,12 +51,12 @@ class Workspace:
     def store(self) -> DataFrame:
         from paylens.operators.features import feature_store
         from paylens.operators.propensity import with_propensity
-        return self._materialize(with_propensity(feature_store(self.roles), self.cfg), "store")
+        return self._materialize(with_propensity(feature_store(self.roles, self.economy), self.cfg), "store")
 
     @cached_property
     def economy(self) -> DataFrame:
         from paylens.operators.economy import player_game_economy
-        econ = player_game_economy(self.roles.game_session, self.store.schema["player_id"].dataType)
+        econ = player_game_economy(self.roles.game_session, self.roles.player.schema["player_id"].dataType)
         return self._materialize(econ, "economy")
 
     def register_views(self, prefix: str = "") -> list[str]:

@@ -94,8 +94,7 @@ def test_admin_grant_prime_only_and_negative_lag(spark, roles):
     assert got[1].is_payer and got[1].lifetime_usd == Decimal("0.00") and got[1].first_buy_lag_days == 2.0
     assert got[2].is_payer and got[2].first_buy_lag_days is None and got[2].is_prime_real
     assert got[3].first_buy_lag_days == -1.0
-    econ = player_game_economy(r.game_session)
-    psych = {x.grp: x.players for x in payer_psychology(econ, s, REF).collect()}
+    psych = {x.grp: x.players for x in payer_psychology(s, REF).collect()}
     assert psych == {"regular_payer": 1}  # player 1 (0 usd) is excluded, player 3 counted
     cm = one(conversion_moment(s))
     assert cm.same_day_pct == 50.0 and cm.within_7d_pct == 100.0 and cm.median_lag_days == 0.5
