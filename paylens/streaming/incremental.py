@@ -65,10 +65,25 @@ def _batch_writer(sink: str):
     return write
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+_DEFAULT_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def _prefer_rocksdb(spark: SparkSession) -> None:
+    """One state row per player (plus event ids inside the watermark) does
+    not belong on the JVM heap at scale: use the RocksDB state store unless
+    the session already chose a provider."""
+    current = spark.conf.get(_PROVIDER_KEY, None)
+    if current in (None, "", _DEFAULT_PROVIDER):
+        spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
+
+
 def start(spark: SparkSession, source: str, sink: str, checkpoint: str,
           s: StreamSettings = StreamSettings(), available_now: bool = True, max_files: int | None = None,
           file_glob: str | None = None):
     """``source`` is a folder that receives event files (``file_glob`` picks them)."""
+    _prefer_rocksdb(spark)
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
