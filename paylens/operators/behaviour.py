@@ -14,7 +14,7 @@ from paylens.config import Config
 from paylens.functions.exact import round_ratio, round_ratio_scaled
 
 
-def predictor_lift(store: DataFrame, cfg: Config) -> DataFrame:
+def predictor_lift(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     payer = F.col("is_payer").cast("int")
     aggs, rows = [], []
     for i, sig in enumerate(cfg.lifts):
@@ -24,12 +24,12 @@ def predictor_lift(store: DataFrame, cfg: Config) -> DataFrame:
         rows.append(F.struct(F.lit(sig.name).alias("feature"),
                              F.col(f"hn{i}").alias("hn"), F.col(f"hd{i}").alias("hd"),
                              F.col(f"ln{i}").alias("ln"), F.col(f"ld{i}").alias("ld")))
-    one = store.agg(*aggs)
-    long = one.select(F.inline(F.array(*rows)))
+    one = store.groupBy(*by).agg(*aggs)
+    long = one.select(*by, F.inline(F.array(*rows)))
     # pcts are rounded to hundredths first; the lift is the ratio of the rounded pcts
     high_h = round_ratio_scaled(F.col("hn") * 100, F.col("hd"), 2)
     low_h = round_ratio_scaled(F.col("ln") * 100, F.col("ld"), 2)
-    return long.select("feature",
+    return long.select(*by, "feature",
                        (high_h.cast("double") / 100.0).alias("high_pct"),
                        (low_h.cast("double") / 100.0).alias("low_pct"),
                        round_ratio(high_h, low_h, 1).alias("lift"))

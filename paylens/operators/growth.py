@@ -15,10 +15,10 @@ def _target(cfg: Config):
     return ~F.col("is_payer") & (F.col("propensity") >= F.lit(float(cfg.target_score)))
 
 
-def target_pool(store: DataFrame, cfg: Config) -> DataFrame:
+def target_pool(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """C1."""
     t = _target(cfg)
-    return store.agg(count_if(t).alias("high_propensity_nonpayers"),
+    return store.groupBy(*by).agg(count_if(t).alias("high_propensity_nonpayers"),
                      count_if(~F.col("is_payer")).alias("total_nonpayers"),
                      avg_exact(F.col("pcoins_wagered"), t, 0, money=True).alias("avg_wagered"),
                      avg_exact(F.col("max_streak"), t, 1).alias("avg_streak"))
@@ -50,19 +50,19 @@ def wagered_share_of_payers(store: DataFrame) -> DataFrame:
                       .alias("wagered_before_paying_pct"))
 
 
-def purchase_freq(store: DataFrame, cfg: Config) -> DataFrame:
+def purchase_freq(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """E1."""
     ordc = band_ord(F.col("n_purchases"), cfg.freq_band)
-    return (store.filter(F.col("n_purchases") >= 1).groupBy(ordc.alias("_b"))
+    return (store.filter(F.col("n_purchases") >= 1).groupBy(*by, ordc.alias("_b"))
             .agg(F.min("n_purchases").alias("ord"), F.count("*").alias("payers"),
                  money_sum(F.col("pcoin_usd")).alias("usd"))
-            .select(label_of(F.col("_b"), cfg.freq_band).alias("bucket"), "ord", "payers", "usd"))
+            .select(*by, label_of(F.col("_b"), cfg.freq_band).alias("bucket"), "ord", "payers", "usd"))
 
 
-def one_time_vs_repeat(store: DataFrame, cfg: Config) -> DataFrame:
+def one_time_vs_repeat(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """E2."""
     grp = F.when(F.col("n_purchases") >= cfg.repeat_min, F.lit("repeat")).otherwise(F.lit("one_time"))
-    return (store.filter(F.col("n_purchases") >= 1).groupBy(grp.alias("grp"))
+    return (store.filter(F.col("n_purchases") >= 1).groupBy(*by, grp.alias("grp"))
             .agg(F.count("*").alias("players"),
                  avg_exact(F.col("pcoins_wagered"), None, 0, money=True).alias("avg_wagered"),
                  avg_exact(F.col("max_streak"), None, 1).alias("avg_streak"),
@@ -80,16 +80,16 @@ def whale_concentration(store: DataFrame) -> DataFrame:
         F.col("p2").alias("p99_usd"), "max_usd")
 
 
-def prime_cross_sell(store: DataFrame) -> DataFrame:
+def prime_cross_sell(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """E4."""
     cand = (F.col("n_purchases") >= 1) & ~F.col("is_prime_real")
-    return store.agg(count_if(cand).alias("pcoin_buyers_not_prime"),
+    return store.groupBy(*by).agg(count_if(cand).alias("pcoin_buyers_not_prime"),
                      money_sum(F.when(cand, F.col("lifetime_usd"))).alias("their_lifetime_usd"))
 
 
-def one_time_share(store: DataFrame) -> DataFrame:
+def one_time_share(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """E5: one-time buyers as a truncated % of all payers."""
     one = count_if(F.col("n_purchases") == 1)
     payers = count_if(F.col("is_payer"))
-    return store.agg(one.alias("one_time_buyers"), payers.alias("payers"),
+    return store.groupBy(*by).agg(one.alias("one_time_buyers"), payers.alias("payers"),
                      F.when(payers > 0, F.call_function("div", one * 100, payers)).alias("one_time_pct"))

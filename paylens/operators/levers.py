@@ -15,14 +15,14 @@ from paylens.config import Config
 from paylens.functions.exact import cents, count_if, round_ratio
 
 
-def lever_inputs(store: DataFrame, cfg: Config) -> DataFrame:
+def lever_inputs(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """L1: pools, plus spend sums and counts behind the average LTVs."""
     payer = F.col("is_payer")
     hp = ~payer & (F.col("propensity") >= F.lit(float(cfg.target_score)))
     one = F.col("n_purchases") == 1
     rep = F.col("n_purchases") >= cfg.repeat_min
     c = cents(F.col("lifetime_usd"))
-    return store.agg(
+    return store.groupBy(*by).agg(
         count_if(hp).alias("hp_nonpayers"),
         count_if(one).alias("one_timers"),
         count_if((F.col("n_purchases") >= 1) & ~F.col("is_prime_real")).alias("prime_candidates"),
@@ -45,8 +45,8 @@ def lever_texts(cfg: Config) -> list[tuple[str, str]]:
     ]
 
 
-def levers(inputs: DataFrame, cfg: Config) -> DataFrame:
-    """L2: three levers, one row each, in one pass over the L1 row."""
+def levers(inputs: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    """L2: three levers, one row each, in one pass over the L1 row(s)."""
     conv, rep, prime = _frac(cfg.convert_rate), _frac(cfg.repeat_rate), _frac(cfg.prime_rate) * _frac(cfg.prime_price)
     w = lambda c: F.col(c).cast("decimal(38,0)")
     # pool * rate * (payer_cents / payers) / 100
@@ -67,7 +67,7 @@ def levers(inputs: DataFrame, cfg: Config) -> DataFrame:
         F.struct(F.lit(name).alias("lever"), F.col(pool).alias("pool"),
                  F.lit(assumption).alias("assumption"), est.alias("est_upside_usd"))
         for (name, assumption), (pool, est) in zip(lever_texts(cfg), sized)])
-    return inputs.select(F.inline(rows))
+    return inputs.select(*by, F.inline(rows))
 
 
 def pct_of_max(df: DataFrame, col: str, name: str = "pct_of_max") -> DataFrame:

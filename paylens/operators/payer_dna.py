@@ -32,9 +32,9 @@ def bet_size_lift(store: DataFrame, cfg: Config) -> DataFrame:
                                cfg.stake_band)
 
 
-def game_type_pay(store: DataFrame) -> DataFrame:
+def game_type_pay(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """D3: payer rate by modal game."""
-    return (store.filter(F.col("fav_game").isNotNull()).groupBy("fav_game")
+    return (store.filter(F.col("fav_game").isNotNull()).groupBy(*by, "fav_game")
             .agg(F.count("*").alias("players"), rate_pct(F.col("is_payer")).alias("payer_pct")))
 
 

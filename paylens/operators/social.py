@@ -10,23 +10,23 @@ from paylens.functions.buckets import band_ord, label_of
 from paylens.functions.exact import money_sum, rate_pct
 
 
-def social_rates(store: DataFrame) -> DataFrame:
+def social_rates(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """G1: four payer rates in one pass (the reference runs four subqueries)."""
     payer = F.col("is_payer")
-    return store.agg(
+    return store.groupBy(*by).agg(
         rate_pct(payer, F.col("was_invited")).alias("invited_in_payer_pct"),
         rate_pct(payer, ~F.col("was_invited")).alias("organic_payer_pct"),
         rate_pct(payer, F.col("n_invited") > 0).alias("inviter_payer_pct"),
         rate_pct(payer, F.col("n_invited") == 0).alias("noninviter_payer_pct"))
 
 
-def retention_x_pay(store: DataFrame, cfg: Config) -> DataFrame:
+def retention_x_pay(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Active-day buckets; ``ord`` is the bucket's smallest active_days."""
     b = band_ord(F.col("active_days"), cfg.active_band)
-    return (store.groupBy(b.alias("_b"))
+    return (store.groupBy(*by, b.alias("_b"))
             .agg(F.min("active_days").alias("ord"), F.count("*").alias("players"),
                  rate_pct(F.col("is_payer")).alias("payer_pct"))
-            .select(label_of(F.col("_b"), cfg.active_band).alias("bucket"), "ord", "players", "payer_pct"))
+            .select(*by, label_of(F.col("_b"), cfg.active_band).alias("bucket"), "ord", "players", "payer_pct"))
 
 
 def geo(store: DataFrame, cfg: Config) -> DataFrame:

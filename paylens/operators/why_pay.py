@@ -24,10 +24,10 @@ def wagering_by_game(game_session: DataFrame) -> DataFrame:
                  money_sum(F.col("bet_amount")).alias("pcoins_wagered")))
 
 
-def cosmetics_gap(store: DataFrame) -> DataFrame:
-    """W3."""
+def cosmetics_gap(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """W3 (``by``: optional tenant/group keys, X4)."""
     owns = (F.col("furniture_cnt") > 0) | (F.col("wardrobe_cnt") > 0)
-    return store.agg(count_if(owns).alias("players_with_furniture_or_wardrobe"),
+    return store.groupBy(*by).agg(count_if(owns).alias("players_with_furniture_or_wardrobe"),
                      F.count("*").alias("total_players"),
                      pct(count_if(owns), F.count("*"), 1).alias("pct"))
 
@@ -40,9 +40,9 @@ def archetype(cfg: Config):
             .otherwise(F.lit("one_time")))
 
 
-def payer_archetypes(store: DataFrame, cfg: Config) -> DataFrame:
+def payer_archetypes(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """W4."""
-    return (store.filter(F.col("is_payer")).groupBy(archetype(cfg).alias("archetype"))
+    return (store.filter(F.col("is_payer")).groupBy(*by, archetype(cfg).alias("archetype"))
             .agg(F.count("*").alias("players"), money_sum(F.col("lifetime_usd")).alias("usd"),
                  avg_exact(F.col("pcoins_wagered"), None, 0, money=True).alias("avg_wagered"),
                  avg_exact(F.col("max_streak"), None, 1).alias("avg_streak")))

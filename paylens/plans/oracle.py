@@ -274,6 +274,24 @@ top AS (SELECT * FROM lv ORDER BY est_upside_usd DESC, lever LIMIT 1)"""
   (SELECT pcoin_buyers_not_prime FROM pcs) AS prime_pool
 FROM hd""")
 
+    # --- X4: tenant-grouped variants
+    tn = "acquisition_source"
+    out["archetypes_by_tenant"] = W(f"""SELECT {tn}, archetype, count(*) AS players, {S.money_sum('lifetime_usd')} AS usd,
+  {S.avg_exact('pcoins_wagered', None, 0, money=True)} AS avg_wagered,
+  {S.avg_exact('max_streak', None, 1)} AS avg_streak
+FROM (SELECT *, {arche} AS archetype FROM scored WHERE is_payer) GROUP BY {tn}, archetype""")
+    out["retention_by_tenant"] = W(f"""SELECT {tn}, {S.band_label('b', ab)} AS bucket, ord, players, payer_pct FROM (
+  SELECT {tn}, {S.band_ord('active_days', ab)} AS b, min(active_days) AS ord, count(*) AS players,
+         {S.rate_pct('is_payer')} AS payer_pct FROM scored GROUP BY {tn}, b)""")
+    inputs_t = inputs.replace("SELECT ", f"SELECT {tn}, ", 1) + f" GROUP BY {tn}"
+    sel_t = "\nUNION ALL ".join(
+        f"SELECT {tn}, '{name}' AS lever, {pool} AS pool, '{assumption}' AS assumption, {est} AS est_upside_usd FROM li"
+        for (name, assumption), (pool, est) in zip(lever_texts(cfg), sized))
+    out["levers_by_tenant"] = with_ctes(*base, f"\nli AS ({inputs_t}),\nlv AS ({sel_t})", select="SELECT * FROM lv")
+    rows_t = [r.replace("SELECT ", f"SELECT {tn}, ", 1) for r in rows]
+    out["lift_by_tenant"] = with_ctes(*base, f"\na AS (SELECT {tn}, {', '.join(aggs)} FROM scored GROUP BY {tn})",
+                                      select="\nUNION ALL ".join(rows_t))
+
     def of_max(ctes, sel, col):
         return with_ctes(*ctes, f"\nsec AS ({sel})", select=(
             f"SELECT *, CAST(100 AS DOUBLE) * CAST({col} AS DOUBLE) / "

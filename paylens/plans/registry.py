@@ -468,3 +468,30 @@ def q_loss_pct_of_max(spark, d):
 def q_retention_pct_of_max(spark, d):
     ws = _ws(spark, d)
     return levers.pct_of_max(social.retention_x_pay(ws.store, ws.cfg), "payer_pct")
+
+
+TENANT = ("acquisition_source",)
+
+
+@query("archetypes_by_tenant")
+def q_archetypes_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return why_pay.payer_archetypes(ws.store, ws.cfg, by=TENANT)
+
+
+@query("retention_by_tenant")
+def q_retention_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return social.retention_x_pay(ws.store, ws.cfg, by=TENANT)
+
+
+@query("levers_by_tenant")
+def q_levers_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return levers.levers(levers.lever_inputs(ws.store, ws.cfg, by=TENANT), ws.cfg, by=TENANT)
+
+
+@query("lift_by_tenant")
+def q_lift_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return behaviour.predictor_lift(ws.store, ws.cfg, by=TENANT)
