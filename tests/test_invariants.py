@@ -70,3 +70,22 @@ def test_bundle_document_is_json(spark):
     b = bundle.insights_bundle(sections(workspace(spark, SF001)))
     doc = json.loads(bundle.bundle_document(b).first().document)
     assert doc["headline"][0]["players"] > 0 and len(doc["diagnostic.levers"]) == 3
+
+
+def test_reference_profile_runs_end_to_end(spark):
+    """The published thresholds (REFERENCE_PROFILE) drive the same run."""
+    import json
+    import os
+    import tempfile
+
+    from paylens.config import REFERENCE_PROFILE
+    from paylens.plans.run import run_all
+    from tests.conftest import SF0001
+    out = tempfile.mkdtemp(prefix="paylens-ref-run-")
+    res = run_all(spark, SF0001, out, REFERENCE_PROFILE)
+    assert res["sections"] == 26
+    part = [f for f in os.listdir(os.path.join(out, "insights.json")) if f.startswith("part-")][0]
+    doc = json.loads(open(os.path.join(out, "insights.json", part)).read())
+    assert {r["archetype"] for r in doc["why_pay.payer_archetypes"]} <= {"prime", "whale_75+", "repeat", "one_time"}
+    assert [r["bucket"] for r in doc["social_retention_geo.retention_x_pay"]][-1] == "30+"
+    assert len(doc["diagnostic.levers"]) == 3
