@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, label_of
 from paylens.functions.exact import avg_exact, cents, count_if, money_sum, pct
+from paylens.operators.headline import aggregate
 from paylens.operators.ranking import percentiles_cont
 
 
@@ -15,13 +16,16 @@ def _target(cfg: Config):
     return ~F.col("is_payer") & (F.col("propensity") >= F.lit(float(cfg.target_score)))
 
 
+def target_pool_metrics(cfg: Config) -> dict:
+    t = _target(cfg)
+    return {"high_propensity_nonpayers": count_if(t), "total_nonpayers": count_if(~F.col("is_payer")),
+            "avg_wagered": avg_exact(F.col("pcoins_wagered"), t, 0, money=True),
+            "avg_streak": avg_exact(F.col("max_streak"), t, 1)}
+
+
 def target_pool(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """C1."""
-    t = _target(cfg)
-    return store.groupBy(*by).agg(count_if(t).alias("high_propensity_nonpayers"),
-                     count_if(~F.col("is_payer")).alias("total_nonpayers"),
-                     avg_exact(F.col("pcoins_wagered"), t, 0, money=True).alias("avg_wagered"),
-                     avg_exact(F.col("max_streak"), t, 1).alias("avg_streak"))
+    return aggregate(store, target_pool_metrics(cfg), by)
 
 
 def target_by_country(store: DataFrame, cfg: Config) -> DataFrame:
@@ -43,11 +47,14 @@ def conversion_moment(store: DataFrame) -> DataFrame:
     return out.select("same_day_pct", "within_7d_pct", F.col("p0").alias("median_lag_days"))
 
 
-def wagered_share_of_payers(store: DataFrame) -> DataFrame:
+def wagered_share_metrics() -> dict:
+    payer = F.col("is_payer")
+    return {"wagered_before_paying_pct": pct(count_if(payer & (F.col("pcoins_wagered") > 0)), count_if(payer), 1)}
+
+
+def wagered_share_of_payers(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """C4: share of payers with any wager (no time condition, as published)."""
-    payers = store.filter(F.col("is_payer"))
-    return payers.agg(pct(count_if(F.col("pcoins_wagered") > 0), F.count("*"), 1)
-                      .alias("wagered_before_paying_pct"))
+    return aggregate(store, wagered_share_metrics(), by)
 
 
 def purchase_freq(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
@@ -80,11 +87,15 @@ def whale_concentration(store: DataFrame) -> DataFrame:
         F.col("p2").alias("p99_usd"), "max_usd")
 
 
+def prime_cross_sell_metrics() -> dict:
+    cand = (F.col("n_purchases") >= 1) & ~F.col("is_prime_real")
+    return {"pcoin_buyers_not_prime": count_if(cand),
+            "their_lifetime_usd": money_sum(F.when(cand, F.col("lifetime_usd")))}
+
+
 def prime_cross_sell(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """E4."""
-    cand = (F.col("n_purchases") >= 1) & ~F.col("is_prime_real")
-    return store.groupBy(*by).agg(count_if(cand).alias("pcoin_buyers_not_prime"),
-                     money_sum(F.when(cand, F.col("lifetime_usd"))).alias("their_lifetime_usd"))
+    return aggregate(store, prime_cross_sell_metrics(), by)
 
 
 def one_time_share(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

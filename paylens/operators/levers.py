@@ -15,20 +15,27 @@ from paylens.config import Config
 from paylens.functions.exact import cents, count_if, round_ratio
 
 
-def lever_inputs(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+def lever_input_metrics(cfg: Config) -> dict:
     """L1: pools, plus spend sums and counts behind the average LTVs."""
     payer = F.col("is_payer")
     hp = ~payer & (F.col("propensity") >= F.lit(float(cfg.target_score)))
     one = F.col("n_purchases") == 1
     rep = F.col("n_purchases") >= cfg.repeat_min
     c = cents(F.col("lifetime_usd"))
-    return store.groupBy(*by).agg(
-        count_if(hp).alias("hp_nonpayers"),
-        count_if(one).alias("one_timers"),
-        count_if((F.col("n_purchases") >= 1) & ~F.col("is_prime_real")).alias("prime_candidates"),
-        count_if(payer).alias("payers"), F.sum(F.when(payer, c)).alias("payer_cents"),
-        count_if(rep).alias("repeaters"), F.sum(F.when(rep, c)).alias("repeat_cents"),
-        count_if(one).alias("onetimers_n"), F.sum(F.when(one, c)).alias("onetime_cents"))
+    return {
+        "hp_nonpayers": count_if(hp),
+        "one_timers": count_if(one),
+        "prime_candidates": count_if((F.col("n_purchases") >= 1) & ~F.col("is_prime_real")),
+        "payers": count_if(payer), "payer_cents": F.sum(F.when(payer, c)),
+        "repeaters": count_if(rep), "repeat_cents": F.sum(F.when(rep, c)),
+        "onetimers_n": count_if(one), "onetime_cents": F.sum(F.when(one, c)),
+    }
+
+
+def lever_inputs(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    """L1."""
+    from paylens.operators.headline import aggregate
+    return aggregate(store, lever_input_metrics(cfg), by)
 
 
 def _frac(x: float) -> Fraction:

@@ -10,14 +10,18 @@ from paylens.functions.buckets import band_ord, label_of
 from paylens.functions.exact import money_sum, rate_pct
 
 
+def social_metrics() -> dict:
+    payer = F.col("is_payer")
+    return {"invited_in_payer_pct": rate_pct(payer, F.col("was_invited")),
+            "organic_payer_pct": rate_pct(payer, ~F.col("was_invited")),
+            "inviter_payer_pct": rate_pct(payer, F.col("n_invited") > 0),
+            "noninviter_payer_pct": rate_pct(payer, F.col("n_invited") == 0)}
+
+
 def social_rates(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """G1: four payer rates in one pass (the reference runs four subqueries)."""
-    payer = F.col("is_payer")
-    return store.groupBy(*by).agg(
-        rate_pct(payer, F.col("was_invited")).alias("invited_in_payer_pct"),
-        rate_pct(payer, ~F.col("was_invited")).alias("organic_payer_pct"),
-        rate_pct(payer, F.col("n_invited") > 0).alias("inviter_payer_pct"),
-        rate_pct(payer, F.col("n_invited") == 0).alias("noninviter_payer_pct"))
+    from paylens.operators.headline import aggregate
+    return aggregate(store, social_metrics(), by)
 
 
 def retention_x_pay(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:

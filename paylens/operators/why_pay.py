@@ -24,12 +24,16 @@ def wagering_by_game(game_session: DataFrame) -> DataFrame:
                  money_sum(F.col("bet_amount")).alias("pcoins_wagered")))
 
 
+def cosmetics_metrics() -> dict:
+    owns = (F.col("furniture_cnt") > 0) | (F.col("wardrobe_cnt") > 0)
+    return {"players_with_furniture_or_wardrobe": count_if(owns), "total_players": F.count("*"),
+            "pct": pct(count_if(owns), F.count("*"), 1)}
+
+
 def cosmetics_gap(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """W3 (``by``: optional tenant/group keys, X4)."""
-    owns = (F.col("furniture_cnt") > 0) | (F.col("wardrobe_cnt") > 0)
-    return store.groupBy(*by).agg(count_if(owns).alias("players_with_furniture_or_wardrobe"),
-                     F.count("*").alias("total_players"),
-                     pct(count_if(owns), F.count("*"), 1).alias("pct"))
+    from paylens.operators.headline import aggregate
+    return aggregate(store, cosmetics_metrics(), by)
 
 
 def archetype(cfg: Config):

@@ -32,17 +32,35 @@ class Analyses:
     def __init__(self, ws: Workspace):
         self.ws = ws
 
+    def _families(self) -> dict[str, dict]:
+        cfg = self.ws.cfg
+        return {"head": headline.headline_metrics(), "cos": why_pay.cosmetics_metrics(),
+                "pool": growth.target_pool_metrics(cfg), "wsh": growth.wagered_share_metrics(),
+                "pcs": growth.prime_cross_sell_metrics(), "soc": social.social_metrics(),
+                "li": levers.lever_input_metrics(cfg)}
+
+    @cached_property
+    def store_metrics(self) -> DataFrame:
+        """All one-row metrics over the store in a single aggregate pass (the
+        reference scans the store once per metric family); one cached row."""
+        aggs = [c.alias(f"{fam}__{n}") for fam, m in self._families().items() for n, c in m.items()]
+        return self.ws.store.agg(*aggs).persist()
+
+    def _family(self, fam: str) -> DataFrame:
+        names = self._families()[fam].keys()
+        return self.store_metrics.select(*[F.col(f"{fam}__{n}").alias(n) for n in names])
+
     @cached_property
     def deciles(self) -> DataFrame:
         return propensity.holdout_deciles(self.ws.store, self.ws.cfg)
 
     @cached_property
     def levers(self) -> DataFrame:
-        return levers.levers(levers.lever_inputs(self.ws.store, self.ws.cfg), self.ws.cfg)
+        return levers.levers(self._family("li"), self.ws.cfg)
 
     @cached_property
     def head(self) -> DataFrame:
-        return headline.headline(self.ws.store)
+        return self._family("head")
 
     @cached_property
     def lift(self) -> DataFrame:
@@ -54,7 +72,7 @@ class Analyses:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return growth.target_pool(self.ws.store, self.ws.cfg)
+        return self._family("pool")
 
     @cached_property
     def moment(self) -> DataFrame:
@@ -62,11 +80,11 @@ class Analyses:
 
     @cached_property
     def wager_share(self) -> DataFrame:
-        return growth.wagered_share_of_payers(self.ws.store)
+        return self._family("wsh")
 
     @cached_property
     def cosmetics(self) -> DataFrame:
-        return why_pay.cosmetics_gap(self.ws.store)
+        return self._family("cos")
 
     @cached_property
     def freq(self) -> DataFrame:
@@ -74,7 +92,7 @@ class Analyses:
 
     @cached_property
     def cross_sell(self) -> DataFrame:
-        return growth.prime_cross_sell(self.ws.store)
+        return self._family("pcs")
 
     def sections(self) -> list[tuple[str, DataFrame, list | None]]:
         ws = self.ws
@@ -101,7 +119,7 @@ class Analyses:
             ("expand_more.one_time_vs_repeat", growth.one_time_vs_repeat(s, cfg), ["grp"]),
             ("expand_more.whale_concentration", growth.whale_concentration(s), None),
             ("expand_more.prime_cross_sell", self.cross_sell, None),
-            ("social_retention_geo.social", social.social_rates(s), None),
+            ("social_retention_geo.social", self._family("soc"), None),
             ("social_retention_geo.retention_x_pay", social.retention_x_pay(s, cfg), ["ord"]),
             ("social_retention_geo.geo", social.geo(s, cfg), [("players", "desc"), "country_code"]),
             ("diagnostic.levers", self.levers, [("est_upside_usd", "desc"), "lever"]),
