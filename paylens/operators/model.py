@@ -143,6 +143,7 @@ def evaluation(run: ModelRun, cfg: Config) -> DataFrame:
     """M6 + M7 on the held-out natural distribution: one row."""
     rep = score_report(run.test_scores, "score", "y", "player_id", cfg.n_tiles, 3)
     return rep.select(
+        F.lit("logistic regression (MLlib, L-BFGS, L2 on weights)").alias("model"),
         (F.lit(run.train_pos) + F.lit(run.train_neg)).alias("train_rows"),
         F.col("n").alias("test_rows"),
         F.lit(f"trained on {run.train_pos} payers + {run.train_neg} sampled non-payers").alias("class_balance"),
@@ -150,7 +151,9 @@ def evaluation(run: ModelRun, cfg: Config) -> DataFrame:
         pct(F.col("positives"), F.col("n")).alias("test_base_rate_pct"),
         pct(F.col("top_positives"), F.col("top_n")).alias("top_decile_rate_pct"),
         round_ratio(F.col("top_positives") * F.col("n"), F.col("top_n") * F.col("positives"), 1)
-        .alias("top_decile_lift"))
+        .alias("top_decile_lift"),
+        F.lit("Coefficients are per +1 SD of the feature; odds_per_sd > 1 means the feature raises "
+              "the odds of paying.").alias("note"))
 
 
 def gradient_norm(train_z: DataFrame, coef: dict[str, float], intercept: float, cfg: Config) -> float:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, band_ord_ratio, label_of
-from paylens.functions.exact import avg_exact, cents, rate_pct, round_ratio
+from paylens.functions.exact import avg_exact, rate_pct
 from paylens.functions.survey import RESPONSE_SCHEMA
 
 

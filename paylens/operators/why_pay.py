@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.config import Config
-from paylens.functions.exact import MONEY, avg_exact, count_if, money_sum, pct
+from paylens.functions.exact import avg_exact, count_if, money_sum, pct
 
 
 def product_mix(pcoin_transaction: DataFrame) -> DataFrame:

@@ -111,6 +111,7 @@ class Analyses:
             ("behavior_diff.predictor_lift", self.lift, [("lift", "desc"), "feature"]),
             ("propensity.decile_payer_rate", propensity.decile_payer_rate(self.deciles), ["decile"]),
             ("propensity.summary", self.summary, None),
+            ("propensity.weights", propensity.score_weights(ws.spark, cfg), None),
             ("convert_more.target_pool", self.pool, None),
             ("convert_more.target_by_country", growth.target_by_country(s, cfg), [("targets", "desc"), "country_code"]),
             ("convert_more.conversion_moment", self.moment, None),

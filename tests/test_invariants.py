@@ -83,7 +83,7 @@ def test_reference_profile_runs_end_to_end(spark):
     from tests.conftest import SF0001
     out = tempfile.mkdtemp(prefix="paylens-ref-run-")
     res = run_all(spark, SF0001, out, REFERENCE_PROFILE)
-    assert res["sections"] == 26
+    assert res["sections"] == 27
     part = [f for f in os.listdir(os.path.join(out, "insights.json")) if f.startswith("part-")][0]
     doc = json.loads(open(os.path.join(out, "insights.json", part)).read())
     assert {r["archetype"] for r in doc["why_pay.payer_archetypes"]} <= {"prime", "whale_75+", "repeat", "one_time"}

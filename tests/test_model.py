@@ -1,6 +1,5 @@
 """M4-M7: the MLlib fit minimises the reference objective; AUC sees signal."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
