@@ -35,12 +35,15 @@ def participant_ids(col: Column, dtype: T.DataType, key: str = "playerId") -> Co
 
     JSON text: only a top-level array is unnested (a bare object or broken
     text yields no participants; ``from_json`` alone would wrap an object
-    into a one-element array). Elements may be objects ``{key: id}``.
+    into a one-element array). Each element is read on its own, so an
+    element that is not an object (a number, a string, null) gives a NULL
+    id without discarding its siblings -- parsing the array as
+    ``array<map<...>>`` would null the whole array on one odd element.
     Typed input: an array of ids or of structs with ``key``.
     """
     if isinstance(dtype, T.StringType):
-        parsed = F.from_json(col, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-        ids = F.transform(parsed, lambda m: m[key])
+        elems = F.from_json(col, T.ArrayType(T.StringType()))
+        ids = F.transform(elems, lambda e: F.get_json_object(e, f"$.{key}"))
         return F.when(F.json_array_length(col).isNotNull(), ids)
     elem = dtype.elementType if isinstance(dtype, T.ArrayType) else None
     if isinstance(elem, T.StructType):

@@ -28,7 +28,9 @@ def player_game_economy(game_session: DataFrame, key_type: T.DataType = T.LongTy
             .filter(F.col("pid").isNotNull()))
     win = F.coalesce(F.array_contains(F.col("winners"), F.col("pid")), F.lit(False))
     key = F.lower(F.col("pid")) if textual else F.col("pid")
-    return (rows.groupBy(key.cast(key_type).alias("player_id"))
+    # an id text that is not a valid key drops out instead of failing the job
+    keyed = rows.withColumn("player_id", key.try_cast(key_type)).filter(F.col("player_id").isNotNull())
+    return (keyed.groupBy("player_id")
             .agg(F.count("*").alias("games"),
                  F.sum("bet_amount").cast(MONEY).alias("wagered"),
                  F.count(F.when(win, 1)).alias("wins"),
