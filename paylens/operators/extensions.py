@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.config import Config
-from paylens.functions.exact import cents, count_if, money_sum, pct, round_ratio
+from paylens.functions.exact import cents, cents_to_money, count_if, money_sum, pct, round_ratio
 
 
 def wagered_before_first_buy(game_session: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -53,8 +53,22 @@ def monthly_purchases(pcoin_transaction: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("purchases"), money_sum(F.col("price")).alias("usd")))
 
 
-def arpu(store: DataFrame) -> DataFrame:
-    """Lifetime revenue per player (3 dp)."""
+def arpu(store: DataFrame, pcoin_transaction: DataFrame, window_days: int = 28) -> DataFrame:
+    """Revenue per player, lifetime and over the last ``window_days``.
+
+    The window ends at the newest purchase; its revenue is the completed
+    purchases inside it and its audience the players last seen inside it.
+    """
     c = F.sum(cents(F.col("lifetime_usd")))
+    done = pcoin_transaction.filter(F.col("status").cast("string") == "completed")
+    end = pcoin_transaction.select(F.max("created_at")).scalar()
+    start = end - F.expr(f"INTERVAL {window_days} DAYS")
+    recent_cents = done.filter(F.col("created_at") > start).select(F.sum(cents(F.col("price")))).scalar()
+    active = count_if(F.col("last_seen") > start)
     return store.agg(F.count("*").alias("players"), money_sum(F.col("lifetime_usd")).alias("total_usd"),
-                     round_ratio(c, F.count("*") * 100, 3).alias("arpu_lifetime_usd"))
+                     round_ratio(c, F.count("*") * 100, 3).alias("arpu_lifetime_usd"),
+                     active.alias("active_users_28d")) \
+        .select("players", "total_usd", "arpu_lifetime_usd", "active_users_28d",
+                cents_to_money(F.coalesce(recent_cents, F.lit(0))).alias("revenue_28d_usd"),
+                round_ratio(F.coalesce(recent_cents, F.lit(0)), F.col("active_users_28d") * 100, 3)
+                .alias("arpu_28d_usd"))

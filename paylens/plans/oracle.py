@@ -384,8 +384,15 @@ FROM scored GROUP BY ROLLUP (CAST(date_trunc('month', created_at) AS DATE))""")
     out["monthly_purchases"] = W("""SELECT CAST(date_trunc('month', created_at) AS DATE) AS period_start,
   count(*) AS purchases, CAST(sum(price) AS DECIMAL(38,2)) AS usd
 FROM pcoin_transaction WHERE status = 'completed' GROUP BY period_start""")
-    out["arpu"] = W(f"""SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
-  {S.rr_wide('sum(CAST(lifetime_usd * 100 AS BIGINT))', 'count(*) * 100', 3)} AS arpu_lifetime_usd FROM scored""")
+    win_start = "((SELECT max(created_at) FROM pcoin_transaction) - INTERVAL 28 DAY)"
+    recent = (f"(SELECT COALESCE(sum(CAST(price * 100 AS BIGINT)), 0) FROM pcoin_transaction "
+              f"WHERE status = 'completed' AND created_at > {win_start})")
+    out["arpu"] = W(f"""SELECT players, total_usd, arpu_lifetime_usd, active_users_28d,
+  CAST(CAST({recent} AS DECIMAL(35,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2)) AS revenue_28d_usd,
+  {S.rr_wide(recent, 'active_users_28d * 100', 3)} AS arpu_28d_usd
+FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
+  {S.rr_wide('sum(CAST(lifetime_usd * 100 AS BIGINT))', 'count(*) * 100', 3)} AS arpu_lifetime_usd,
+  {S.count_if(f'last_seen > {win_start}')} AS active_users_28d FROM scored)""")
     out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,

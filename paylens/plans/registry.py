@@ -440,7 +440,8 @@ def q_monthly_purchases(spark, d):
 @query("arpu")
 def q_arpu(spark, d):
     from paylens.operators.extensions import arpu
-    return arpu(_ws(spark, d).store)
+    ws = _ws(spark, d)
+    return arpu(ws.store, ws.roles.pcoin_transaction)
 
 
 @query("incremental_player_activity")
