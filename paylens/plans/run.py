@@ -146,8 +146,10 @@ def brief(ws: Workspace) -> DataFrame:
     return analyses(ws).brief()
 
 
-def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXTURE_PROFILE) -> dict:
-    ws = workspace(spark, data_dir, cfg)
+def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXTURE_PROFILE,
+            fresh: bool = False) -> dict:
+    """``fresh`` rebuilds everything instead of reusing this session's store."""
+    ws = Workspace(spark, data_dir.rstrip("/"), cfg) if fresh else workspace(spark, data_dir, cfg)
     a = analyses(ws)
     secs = a.sections()
     # the three documents are a few hundred bytes each: keep them so the
