@@ -49,8 +49,12 @@ holdout AS (
 )"""
 
 
-def oracle_sql(cfg: Config = FIXTURE_PROFILE) -> dict[str, str]:
-    base = (BINDINGS, STORE, _scored(cfg))
+def oracle_sql(cfg: Config = FIXTURE_PROFILE, store_table: str | None = None) -> dict[str, str]:
+    """``store_table``: read the scored store from that table instead of
+    deriving it from the driver tables (only store-level texts are then
+    meaningful; used to replay the analyses on hand-built stores)."""
+    base = ((BINDINGS, STORE, _scored(cfg)) if store_table is None
+            else (f"\nscored AS (SELECT * FROM {store_table})",))
     W = lambda sel, *more: with_ctes(*base, *more, select=sel)
     out: dict[str, str] = {}
 

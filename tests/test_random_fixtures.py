@@ -199,3 +199,84 @@ def test_store_and_economy_match_bruteforce(spark, roles, seed):
     assert [d[0] for d in cur.description] == list(STORE_COLUMNS)
     want = cur.fetchall()
     assert len(got) == len(want) and _norm(got) == _norm(want)
+
+
+# Store-level analyses: Spark operator vs the driver oracle text replayed on the
+# same (random) store.
+def _store_ops():
+    from paylens.operators import (behaviour, extensions, growth, headline, levers, model, payer_dna,
+                                   propensity, social, why_pay)
+    from paylens.operators.ranking import score_report
+    T = ("acquisition_source",)
+
+    def dec(s, c):
+        return propensity.holdout_deciles(s, c)
+
+    def hold(s):
+        return s.filter(F.col("is_holdout")).select("player_id", "propensity",
+                                                     F.col("is_payer").cast("int").alias("y"))
+    from pyspark.sql import functions as F
+    return {
+        "headline": lambda s, c: headline.headline(s),
+        "stated_vs_revealed": lambda s, c: headline.stated_vs_revealed(headline.headline(s)),
+        "cosmetics_gap": lambda s, c: why_pay.cosmetics_gap(s),
+        "payer_archetypes": lambda s, c: why_pay.payer_archetypes(s, c),
+        "game_type_pay": lambda s, c: payer_dna.game_type_pay(s),
+        "predictor_lift": lambda s, c: behaviour.predictor_lift(s, c),
+        "score_deciles": lambda s, c: dec(s, c).select("player_id", "propensity", "decile"),
+        "decile_payer_rate": lambda s, c: propensity.decile_payer_rate(dec(s, c)),
+        "holdout_summary": lambda s, c: propensity.holdout_summary(dec(s, c), c),
+        "target_pool": lambda s, c: growth.target_pool(s, c),
+        "target_by_country": lambda s, c: growth.target_by_country(s, c),
+        "conversion_moment": lambda s, c: growth.conversion_moment(s),
+        "wagered_share_of_payers": lambda s, c: growth.wagered_share_of_payers(s),
+        "purchase_freq": lambda s, c: growth.purchase_freq(s, c),
+        "one_time_vs_repeat": lambda s, c: growth.one_time_vs_repeat(s, c),
+        "whale_concentration": lambda s, c: growth.whale_concentration(s),
+        "prime_cross_sell": lambda s, c: growth.prime_cross_sell(s),
+        "one_time_share": lambda s, c: growth.one_time_share(s),
+        "social_rates": lambda s, c: social.social_rates(s),
+        "retention_x_pay": lambda s, c: social.retention_x_pay(s, c),
+        "geo": lambda s, c: social.geo(s, c),
+        "lever_inputs": lambda s, c: levers.lever_inputs(s, c),
+        "levers": lambda s, c: levers.levers(levers.lever_inputs(s, c), c),
+        "score_auc": lambda s, c: score_report(hold(s), "propensity", "y", "player_id", c.n_tiles)
+        .select("auc", "positives", "negatives"),
+        "feature_matrix": lambda s, c: model.feature_matrix(s, c),
+        "class_balance": lambda s, c: model.class_balance(model.feature_matrix(s, c), c).select("player_id", "y"),
+        "cohort_conversion_7d": lambda s, c: extensions.cohort_conversion_7d(s),
+        "headline_by_tenant": lambda s, c: headline.headline(s, by=T),
+        "archetypes_by_tenant": lambda s, c: why_pay.payer_archetypes(s, c, by=T),
+        "retention_by_tenant": lambda s, c: social.retention_x_pay(s, c, by=T),
+        "levers_by_tenant": lambda s, c: levers.levers(levers.lever_inputs(s, c, by=T), c, by=T),
+        "lift_by_tenant": lambda s, c: behaviour.predictor_lift(s, c, by=T),
+    }
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("profile", ["reference", "fixture"])
+def test_store_analyses_match_oracle_on_random_store(spark, roles, seed, profile):
+    import os
+    import tempfile
+
+    from paylens.config import FIXTURE_PROFILE, REFERENCE_PROFILE
+    from paylens.operators.features import feature_store
+    from paylens.operators.propensity import with_propensity
+    from paylens.plans.oracle import oracle_sql
+    from tests.oracle_compare import rows_of
+    cfg = REFERENCE_PROFILE if profile == "reference" else FIXTURE_PROFILE
+    data = gen(seed)
+    store = with_propensity(feature_store(roles(**data)), cfg)
+    path = os.path.join(tempfile.mkdtemp(prefix="paylens-rstore-"), "store")
+    store.write.parquet(path)
+    store = spark.read.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW rstore AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    sql = oracle_sql(cfg, store_table="rstore")
+    for name, op in _store_ops().items():
+        df = op(store, cfg)
+        a, ac = rows_of(df.columns, [tuple(r) for r in df.collect()])
+        cur = con.execute(sql[name])
+        b, bc = rows_of([d[0] for d in cur.description], cur.fetchall())
+        assert ac == bc, name
+        assert sorted(a, key=repr) == sorted(b, key=repr), name
