@@ -89,3 +89,38 @@ def test_reference_profile_runs_end_to_end(spark):
     assert {r["archetype"] for r in doc["why_pay.payer_archetypes"]} <= {"prime", "whale_75+", "repeat", "one_time"}
     assert [r["bucket"] for r in doc["social_retention_geo.retention_x_pay"]][-1] == "30+"
     assert len(doc["diagnostic.levers"]) == 3
+
+
+def test_bundle_sections_equal_standalone_queries(spark, q):
+    """Each insights section carries the same rows as its oracle-checked query."""
+    import json
+    from decimal import Decimal
+
+    from paylens.operators import bundle
+    from paylens.plans.run import sections
+    from paylens.plans.workspace import workspace
+    pairs = {"headline": "headline", "why_pay.product_mix": "product_mix",
+             "why_pay.wagering_by_game": "wagering_by_game", "why_pay.cosmetics_gap": "cosmetics_gap",
+             "why_pay.payer_archetypes": "payer_archetypes", "payer_dna.loss_chasing": "loss_chasing",
+             "payer_dna.bet_size_lift": "bet_size_lift", "payer_dna.game_type_pay": "game_type_pay",
+             "payer_dna.payer_psychology": "payer_psychology", "payer_dna.why_never_bought": "why_never_bought",
+             "behavior_diff.predictor_lift": "predictor_lift", "propensity.decile_payer_rate": "decile_payer_rate",
+             "propensity.summary": "holdout_summary", "convert_more.target_pool": "target_pool",
+             "convert_more.target_by_country": "target_by_country",
+             "convert_more.conversion_moment": "conversion_moment",
+             "convert_more.wagered_before_paying_pct": "wagered_share_of_payers",
+             "expand_more.purchase_freq": "purchase_freq", "expand_more.one_time_vs_repeat": "one_time_vs_repeat",
+             "expand_more.whale_concentration": "whale_concentration",
+             "expand_more.prime_cross_sell": "prime_cross_sell", "social_retention_geo.social": "social_rates",
+             "social_retention_geo.retention_x_pay": "retention_x_pay", "social_retention_geo.geo": "geo",
+             "diagnostic.levers": "levers", "revenue_validation": "revenue_reconciliation"}
+    got = {r.section: json.loads(r.json) for r in bundle.insights_bundle(sections(workspace(spark, SF001))).collect()}
+
+    def norm(v):
+        return float(v) if isinstance(v, (Decimal, float, int)) and not isinstance(v, bool) else v
+
+    for section, name in pairs.items():
+        want = sorted((tuple(sorted((k, norm(v)) for k, v in r.asDict().items())) for r in q(name).collect()),
+                      key=repr)
+        have = sorted((tuple(sorted((k, norm(v)) for k, v in r.items())) for r in got[section]), key=repr)
+        assert have == want, section
