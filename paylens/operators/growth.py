@@ -76,9 +76,18 @@ def one_time_vs_repeat(store: DataFrame, cfg: Config, by: tuple[str, ...] = ())
                  F.round(F.avg("active_days"), 1).alias("avg_active_days")))
 
 
-def whale_concentration(store: DataFrame) -> DataFrame:
-    """Payers, exact p50/p90/p99 and max of lifetime spend."""
+def whale_concentration(store: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
+    """Payers, exact p50/p90/p99 and max of lifetime spend.
+
+    ``approx_accuracy`` switches to ``percentile_approx`` (one pass, no
+    ranking, values taken from the data rather than interpolated).
+    """
     payers = store.filter(F.col("is_payer"))
+    if approx_accuracy:
+        q = F.percentile_approx(F.col("lifetime_usd").cast("double"), [0.5, 0.9, 0.99], approx_accuracy)
+        return payers.agg(F.count("*").alias("payers"), q.alias("q"), F.max("lifetime_usd").alias("max_usd")) \
+            .select("payers", F.round(F.col("q")[0], 2).alias("median_usd"), F.round(F.col("q")[1], 2).alias("p90_usd"),
+                    F.round(F.col("q")[2], 2).alias("p99_usd"), "max_usd")
     q = percentiles_cont(payers, cents(F.col("lifetime_usd")), F.col("player_id"),
                          [(1, 2), (9, 10), (99, 100)], 100, 2, keep=("lifetime_usd",),
                          extra=(F.max("lifetime_usd").alias("max_usd"),))

@@ -9,18 +9,23 @@ from paylens.config import Config
 from paylens.functions.exact import avg_exact, count_if, money_sum, pct
 
 
-def product_mix(pcoin_transaction: DataFrame) -> DataFrame:
+def _distinct(col: str, rsd: float | None):
+    """Exact distinct count, or HyperLogLog++ with relative error ``rsd``."""
+    return F.approx_count_distinct(col, rsd) if rsd else F.countDistinct(col)
+
+
+def product_mix(pcoin_transaction: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Completed transactions by product (deleted players included)."""
     return (pcoin_transaction.filter(F.col("status").cast("string") == "completed")
             .groupBy("product_id")
-            .agg(F.count("*").alias("tx"), F.countDistinct("player_id").alias("ppl"),
+            .agg(F.count("*").alias("tx"), _distinct("player_id", approx_rsd).alias("ppl"),
                  money_sum(F.col("price")).alias("usd")))
 
 
-def wagering_by_game(game_session: DataFrame) -> DataFrame:
+def wagering_by_game(game_session: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Sessions, distinct hosts, total stake per game type."""
     return (game_session.groupBy("game_type")
-            .agg(F.count("*").alias("sessions"), F.countDistinct("host_player_id").alias("hosts"),
+            .agg(F.count("*").alias("sessions"), _distinct("host_player_id", approx_rsd).alias("hosts"),
                  money_sum(F.col("bet_amount")).alias("pcoins_wagered")))
 
 

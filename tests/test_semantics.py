@@ -253,3 +253,21 @@ def test_exact_rounding_half_away_from_zero(spark):
     df = spark.createDataFrame([(145, 100), (-145, 100), (1, 3), (2, 3), (5, 0)], "n long, d long")
     got = [r[0] for r in df.select(round_ratio(F.col("n"), F.col("d"), 1)).collect()]
     assert got == [1.5, -1.5, 0.3, 0.7, None]
+
+
+def test_approximate_options_stay_close(spark):
+    """Named approximate options: HLL distinct counts and
+    percentile_approx track the exact operators."""
+    from paylens.operators.growth import whale_concentration
+    from paylens.operators.why_pay import product_mix
+    from paylens.plans.workspace import workspace
+    from tests.conftest import SF001
+    ws = workspace(spark, SF001)
+    exact = {r.product_id: r.ppl for r in product_mix(ws.roles.pcoin_transaction).collect()}
+    approx = {r.product_id: r.ppl for r in product_mix(ws.roles.pcoin_transaction, approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.06 * exact[k] for k in exact)
+    e, a = whale_concentration(ws.store).first(), whale_concentration(ws.store, approx_accuracy=100000).first()
+    assert a.payers == e.payers and a.max_usd == e.max_usd
+    for f in ("median_usd", "p90_usd", "p99_usd"):
+        assert abs(a[f] - e[f]) <= 0.05 * abs(e[f])
