@@ -151,13 +151,28 @@ def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXT
     """``fresh`` rebuilds everything instead of reusing this session's store."""
     ws = Workspace(spark, data_dir.rstrip("/"), cfg) if fresh else workspace(spark, data_dir, cfg)
     a = analyses(ws)
-    secs = a.sections()
+    secs = a.sections()  # builds every analysis plan (rankings checkpoint here, once)
+    facts_plan = a.brief()
     # the three documents are a few hundred bytes each: keep them so the
-    # gate and the writes do not recompute the analyses behind them
-    doc = bundle.bundle_document(bundle.insights_bundle(secs)).persist()
-    run = model.train(ws.store, cfg)
-    report = sinks.model_report_document(model.evaluation(run, cfg), run.coefficient_frame(spark)).persist()
-    facts = a.brief().persist()
+    # gate and the writes do not recompute the analyses behind them. They
+    # are independent, so their jobs run concurrently (Spark schedules jobs
+    # from several driver threads side by side; most stages here are small).
+    from concurrent.futures import ThreadPoolExecutor
+
+    def materialise(df):
+        df = df.persist()
+        df.count()
+        return df
+
+    def model_report():
+        run = model.train(ws.store, cfg)
+        return materialise(sinks.model_report_document(model.evaluation(run, cfg), run.coefficient_frame(spark)))
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_doc = pool.submit(lambda: materialise(bundle.bundle_document(bundle.insights_bundle(secs))))
+        f_report = pool.submit(model_report)
+        f_facts = pool.submit(lambda: materialise(facts_plan))
+        doc, report, facts = f_doc.result(), f_report.result(), f_facts.result()
     # gate everything first; only then write
     for name, df in (("insights", doc), ("model_report", report), ("brief_facts", facts)):
         assert_no_pii(df, name)
