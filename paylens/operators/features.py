@@ -35,7 +35,7 @@ def player_base(player: DataFrame) -> DataFrame:
                     "acquisition_source", F.col("invited_by").alias("invited_by_player_id"),
                     F.coalesce(F.col("pcoins"), F.lit(0)).alias("pcoins_balance"),
                     F.coalesce(F.col("coins"), F.lit(0)).alias("coins_balance"),
-                    F.when(F.col("login_dates").isNull(), F.lit(0)).otherwise(F.size("login_dates"))
+                    array_len(F.col("login_dates"), player.schema["login_dates"].dataType)
                     .alias("login_days"),
                     F.coalesce(active, F.lit(0.0)).alias("active_days")))
 
@@ -48,10 +48,11 @@ def _survey_order(survey: DataFrame):
 
 
 def latest_survey(survey: DataFrame) -> DataFrame:
-    """most recent response per player, parsed once.
+    """most recent response per player, parsed once (winners only).
 
-    ``max_by`` keeps only a (value, order) pair per group in the partial
-    aggregate, so no group is ever sorted or collected.
+    ``max_by`` keeps one (value, order) pair per group in its partial
+    aggregate: a player with a third of all responses costs one row per map
+    task, and no group is windowed or collected.
     """
     latest = (survey.groupBy("player_id")
               .agg(F.max_by("responses", _survey_order(survey)).alias("responses")))

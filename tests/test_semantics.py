@@ -271,3 +271,14 @@ def test_approximate_options_stay_close(spark):
     assert a.payers == e.payers and a.max_usd == e.max_usd
     for f in ("median_usd", "p90_usd", "p99_usd"):
         assert abs(a[f] - e[f]) <= 0.05 * abs(e[f])
+
+
+def test_login_dates_as_json_text(spark):
+    from paylens.operators.features import player_base
+    df = spark.createDataFrame(
+        [(1, T0, day(3), None, None, None, "o", None, False, 1.0, 0.0, '["2025-01-01","2025-01-02"]'),
+         (2, T0, day(3), None, None, None, "o", None, False, 1.0, 0.0, None)],
+        "player_id bigint, created_at timestamp_ntz, last_seen timestamp_ntz, country_code string, gender string, "
+        "language string, acquisition_source string, invited_by bigint, is_deleted boolean, pcoins double, "
+        "coins double, login_dates string")
+    assert {r.player_id: r.login_days for r in player_base(df).collect()} == {1: 2, 2: 0}
