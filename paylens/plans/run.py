@@ -147,9 +147,11 @@ def brief(ws: Workspace) -> DataFrame:
 
 
 def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXTURE_PROFILE,
-            fresh: bool = False) -> dict:
-    """``fresh`` rebuilds everything instead of reusing this session's store."""
-    ws = Workspace(spark, data_dir.rstrip("/"), cfg) if fresh else workspace(spark, data_dir, cfg)
+            fresh: bool = False, ws: Workspace | None = None) -> dict:
+    """``fresh`` rebuilds everything instead of reusing this session's store;
+    ``ws`` runs on a prepared workspace (e.g. other role tables)."""
+    if ws is None:
+        ws = Workspace(spark, data_dir.rstrip("/"), cfg) if fresh else workspace(spark, data_dir, cfg)
     a = analyses(ws)
     secs = a.sections()  # builds every analysis plan (rankings checkpoint here, once)
     facts_plan = a.brief()

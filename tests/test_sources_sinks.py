@@ -73,3 +73,27 @@ def test_store_sink_partitioned_by_tenant(spark):
     one = tenants[0].split("=", 1)[1]
     assert back.filter(f"acquisition_source = '{one}'").count() == \
         ws.store.filter(f"acquisition_source = '{one}'").count()
+
+
+def test_gate_blocks_every_write(spark):
+    """A personal-data-shaped value reaching any document stops the run
+    before a single output (store included) is written."""
+    from pyspark.sql import functions as F
+
+    from paylens.operators.quality import PIIGateError
+    from paylens.plans.run import run_all
+    from paylens.plans.workspace import Workspace
+    from paylens.sources.bindings import bind_fixture_tables
+    from tests.conftest import SF0001
+    ws = Workspace(spark, SF0001)
+    roles = bind_fixture_tables(ws.tables)
+    # half the players get an email as country: it becomes the top country of
+    # the geo section (a single player would not make the top-10 report)
+    roles.player = roles.player.withColumn(
+        "country_code", F.when(F.col("player_id") % 2 == 0, F.lit("someone@example.com"))
+        .otherwise(F.col("country_code")))
+    ws.__dict__["roles"] = roles
+    out = os.path.join(tempfile.mkdtemp(prefix="paylens-gate-"), "out")
+    with pytest.raises(PIIGateError, match="email"):
+        run_all(spark, SF0001, out, ws=ws)
+    assert not os.path.exists(out)
