@@ -126,6 +126,7 @@ def purchases(pcoin_transaction: DataFrame) -> DataFrame:
                  F.min("created_at").alias("first_buy")))
 
 
+# Subscription event types that carry revenue.
 PRIME_EVENTS = ("INITIAL_PURCHASE", "RENEWAL")
 
 

@@ -48,7 +48,7 @@ def lever_texts(cfg: Config) -> list[tuple[str, str]]:
         ("Convert high-propensity non-payers", f"{cfg.convert_rate * 100:g}% convert × avg payer LTV"),
         ("Turn one-time buyers into repeat",
          f"{cfg.repeat_rate * 100:g}% make a 2nd purchase × (repeat − one-time LTV)"),
-        ("Cross-sell PRIME to pcoin buyers", f"{cfg.prime_rate * 100:g}% subscribe × ${cfg.prime_price:g}/yr"),
+        ("Cross-sell the subscription to coin buyers", f"{cfg.prime_rate * 100:g}% subscribe × ${cfg.prime_price:g}/yr"),
     ]
 
 

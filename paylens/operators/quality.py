@@ -24,8 +24,8 @@ def revenue_reconciliation(second_source: DataFrame, store: DataFrame, tolerance
     diff = (db_total - rc).cast("decimal(38,2)")
     diff_pct = round_ratio(cents(diff) * 100, cents(rc), 2, wide=True)
     return second_source.select(
-        rc.alias("rc_total_revenue_usd"), db_total.alias("db_total_revenue_usd"),
-        F.col("active_users_28d").alias("rc_active_users_28d"), diff.alias("diff_usd"),
+        rc.alias("external_revenue_usd"), db_total.alias("store_revenue_usd"),
+        F.col("active_users_28d").alias("external_active_users_28d"), diff.alias("diff_usd"),
         diff_pct.alias("diff_pct"), (F.abs(diff_pct) <= tolerance_pct).alias("within_tolerance"))
 
 

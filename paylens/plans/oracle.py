@@ -349,8 +349,8 @@ UNION ALL SELECT player_id, 0 AS y FROM negs, kk WHERE (rn - 1) % k = 0""")
     out["revenue_reconciliation"] = with_ctes(*base, f"""
 rcs AS (SELECT {rc} AS rc FROM lineitem),
 dbs AS (SELECT CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS db FROM scored),
-rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS rc_total_revenue_usd,
-  db AS db_total_revenue_usd, {active} AS rc_active_users_28d, diff AS diff_usd,
+rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS external_revenue_usd,
+  db AS store_revenue_usd, {active} AS external_active_users_28d, diff AS diff_usd,
   {S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)} AS diff_pct,
   abs({S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)}) <= 5.0 AS within_tolerance
 FROM rec""")

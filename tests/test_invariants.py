@@ -51,7 +51,7 @@ def test_lever_arithmetic(q, spark):
     from paylens.plans.workspace import workspace
     cfg = workspace(spark, SF001).cfg
     lv = {r.lever: r for r in q("levers").collect()}
-    prime = lv["Cross-sell PRIME to pcoin buyers"]
+    prime = lv["Cross-sell the subscription to coin buyers"]
     assert prime.est_upside_usd == round(prime.pool * cfg.prime_rate * cfg.prime_price)
 
 

@@ -22,8 +22,8 @@ def test_revenue_document_reconciles(spark):
     ws = workspace(spark, SF001)
     r = revenue_reconciliation(doc, ws.store).first()
     total = ws.store.agg({"lifetime_usd": "sum"}).first()[0]
-    assert r.rc_active_users_28d == 157 and r.db_total_revenue_usd == total
-    assert r.diff_usd == total - r.rc_total_revenue_usd and r.within_tolerance
+    assert r.external_active_users_28d == 157 and r.store_revenue_usd == total
+    assert r.diff_usd == total - r.external_revenue_usd and r.within_tolerance
 
 
 def test_csv_export_and_gated_documents(spark):
