@@ -100,7 +100,12 @@ def bind_survey_response(t: Tables) -> DataFrame:
 
 
 def bind_player_room(t: Tables) -> DataFrame:
-    """One room per active user; streak = longest run of consecutive event days."""
+    """One room per active user; streak = longest run of consecutive event days.
+
+    The per-player window runs over distinct (player, day) pairs, so its
+    size is bounded by the calendar span, not by how many events a (hot)
+    player produces.
+    """
     days = t("events").select(F.col("user_id").alias("player_id"), F.to_date("ts").alias("d")).distinct()
     run_key = F.unix_date("d") - F.row_number().over(Window.partitionBy("player_id").orderBy("d"))
     runs = (days.withColumn("run", run_key).groupBy("player_id", "run").agg(F.count("*").alias("len")))
