@@ -28,11 +28,18 @@ _IDX_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
-    """Add a 1-based global row number following ``order`` (make it unique)."""
+    """Add a 1-based global row number following ``order`` (make it unique).
+
+    Without ``num_partitions`` the range exchange is sized by AQE from the
+    data (adjacent ranges are coalesced, so order is kept): a 10k-row
+    holdout becomes one partition, a billion rows a few hundred. The
+    checkpoint then freezes whatever layout was chosen.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     tagged = ranged.withColumn("_mid", mid)
     pid = F.shiftrightunsigned(F.col("_mid"), _IDX_BITS)

@@ -27,3 +27,14 @@ def roles(spark):
     def make(**rows):
         return RoleTables(**{r: spark.createDataFrame(rows.get(r, []), ROLE_SCHEMAS[r]) for r in ROLES})
     return make
+
+
+@pytest.fixture
+def multi_partition(spark):
+    """Keep range exchanges at spark.sql.shuffle.partitions partitions (no AQE
+    coalescing), so ranking tests cross partition boundaries."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield spark
+    spark.conf.set(key, old)

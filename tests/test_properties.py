@@ -25,7 +25,8 @@ def test_round_ratio_is_decimal_half_up(spark, pairs, digits):
 
 @SLOW
 @given(st.lists(st.integers(0, 6), min_size=1, max_size=120), st.integers(1, 12))
-def test_ntile_equals_sql_ntile(spark, scores, tiles):
+def test_ntile_equals_sql_ntile(multi_partition, scores, tiles):
+    spark = multi_partition
     from paylens.operators.ranking import ntile
     df = spark.createDataFrame(list(enumerate(scores)), "id long, s long")
     mine = {r.id: r.t for r in ntile(df, [F.col("s"), F.col("id")], tiles, "t").collect()}
@@ -36,7 +37,8 @@ def test_ntile_equals_sql_ntile(spark, scores, tiles):
 
 @SLOW
 @given(st.lists(st.integers(-1000, 1000), min_size=1, max_size=80))
-def test_percentiles_equal_numpy_linear(spark, vals):
+def test_percentiles_equal_numpy_linear(multi_partition, vals):
+    spark = multi_partition
     from paylens.operators.ranking import percentiles_cont
     df = spark.createDataFrame(list(enumerate(vals)), "k long, v long")
     r = percentiles_cont(df, F.col("v"), F.col("k"), [(1, 2), (9, 10), (99, 100)], 1, 6).first()
@@ -46,7 +48,8 @@ def test_percentiles_equal_numpy_linear(spark, vals):
 
 @SLOW
 @given(st.lists(st.tuples(st.integers(0, 5), st.booleans()), min_size=2, max_size=80))
-def test_auc_equals_pairwise_count(spark, rows):
+def test_auc_equals_pairwise_count(multi_partition, rows):
+    spark = multi_partition
     from paylens.operators.ranking import score_report
     df = spark.createDataFrame([(i, float(s), int(y)) for i, (s, y) in enumerate(rows)], "k long, s double, y int")
     got = score_report(df, "s", "y", "k", 10, 6).first()
@@ -61,3 +64,18 @@ def test_auc_equals_pairwise_count(spark, rows):
     k = len(rows) // 10
     order = sorted(range(len(rows)), key=lambda i: (-rows[i][0], i))
     assert got.top_n == k and (got.top_positives or 0) == sum(rows[i][1] for i in order[:k])
+
+
+def test_global_row_number_crosses_partitions(multi_partition):
+    """Offsets from many range partitions reproduce SQL row_number exactly."""
+    from paylens.operators.ranking import global_row_number
+    spark = multi_partition
+    df = spark.range(5000).select(F.col("id"), ((F.col("id") * 7919) % 101).alias("s"))
+    ranked = global_row_number(df, [F.col("s"), F.col("id")], "rn", num_partitions=7)
+    assert ranked.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    mine = {r.id: r.rn for r in ranked.collect()}
+    df.createOrReplaceTempView("grn")
+    ref = {r.id: r.rn for r in spark.sql("SELECT id, row_number() OVER (ORDER BY s, id) AS rn FROM grn").collect()}
+    assert mine == ref
+    auto = global_row_number(df, [F.col("s"), F.col("id")], "rn")
+    assert {r.id: r.rn for r in auto.collect()} == ref

@@ -165,7 +165,8 @@ def test_lift_uses_rounded_pcts_and_null_for_empty_low(spark):
 
 @pytest.mark.parametrize("n,sizes", [(7, [1] * 7), (10, [1] * 10), (23, [3, 3, 3, 2, 2, 2, 2, 2, 2, 2]),
                                      (34661, [3467] + [3466] * 9)])
-def test_ntile_sizes(spark, n, sizes):
+def test_ntile_sizes(multi_partition, n, sizes):
+    spark = multi_partition
     from paylens.operators.ranking import ntile
     df = spark.range(n).select(F.col("id"), (F.col("id") % 13).alias("score"))
     t = ntile(df, [F.col("score"), F.col("id")], 10, "tile")
@@ -176,7 +177,8 @@ def test_ntile_sizes(spark, n, sizes):
     assert all(a.hi <= b.lo for a, b in zip(bounds, bounds[1:]))
 
 
-def test_ntile_matches_sql_ntile(spark):
+def test_ntile_matches_sql_ntile(multi_partition):
+    spark = multi_partition
     from paylens.operators.ranking import ntile
     df = spark.range(1003).select(F.col("id"), ((F.col("id") * 7919) % 97).alias("s"))
     mine = {r.id: r.t for r in ntile(df, [F.col("s"), F.col("id")], 10, "t").collect()}
