@@ -111,11 +111,13 @@ class ModelRun:
     test_scores: DataFrame
 
     def coefficient_frame(self, spark) -> DataFrame:
-        """M8: coef (3 dp) and odds per sd (2 dp), by |coef| descending."""
-        rows = [(f, float(w)) for f, w in self.coefficients.items()]
-        df = spark.createDataFrame(rows, "feature string, w double")
-        return (df.select("feature", F.round("w", 3).alias("coef"), F.round(F.exp("w"), 2).alias("odds_per_sd"))
-                .orderBy(F.abs(F.col("coef")).desc(), "feature"))
+        """M8: coef (3 dp) and odds per sd (2 dp), by |rounded coef| descending,
+        ties in feature order. Thirteen numbers from the fitted model."""
+        rows = [(i, f, float(w)) for i, (f, w) in enumerate(self.coefficients.items())]
+        df = spark.createDataFrame(rows, "pos int, feature string, w double")
+        return (df.select("pos", "feature", F.round("w", 3).alias("coef"),
+                          F.round(F.exp("w"), 2).alias("odds_per_sd"))
+                .orderBy(F.abs(F.col("coef")).desc(), "pos").drop("pos"))
 
 
 ROWS_PER_PARTITION = 500_000

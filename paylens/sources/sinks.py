@@ -35,9 +35,10 @@ def write_document(doc: DataFrame, path: str, gate: bool = True) -> None:
 
 def model_report_document(evaluation: DataFrame, coefficients: DataFrame) -> DataFrame:
     """Evaluation row + ordered coefficients as one JSON object."""
-    key = F.struct((-F.abs(F.col("coef"))).alias("k"), F.col("feature").alias("f"))
+    ordered = coefficients.withColumn("_pos", F.monotonically_increasing_id())
+    key = F.struct(F.col("_pos").alias("k"))
     row = F.struct("feature", "coef", "odds_per_sd")
-    arr = coefficients.agg(F.transform(F.sort_array(F.collect_list(F.struct(key.alias("o"), row.alias("r")))),
+    arr = ordered.agg(F.transform(F.sort_array(F.collect_list(F.struct(key.alias("o"), row.alias("r")))),
                                        lambda x: x["r"]).alias("c"))
     c_json = arr.select(F.to_json("c")).scalar()
     return evaluation.select(F.concat(F.expr("substring(to_json(struct(*)), 1, length(to_json(struct(*))) - 1)"),
