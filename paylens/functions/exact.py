@@ -22,7 +22,10 @@ def _int_div(a: Column, b: Column) -> Column:
 def round_ratio_scaled(num: Column, den: Column, digits: int, wide: bool = False) -> Column:
     """round(num / den, digits) * 10^digits as an integer, half away from zero.
 
-    ``wide`` evaluates in decimal(38,0) for products beyond 64 bits.
+    ``wide`` evaluates the operands in decimal(38,0), so numerators and
+    denominators may be products far beyond 64 bits; the rounded, scaled
+    quotient itself is a 64-bit integer (|result| < 9.2e18), which every
+    figure here (percentages, averages, dollar amounts) is far inside.
     """
     scale = 10 ** digits
     if wide:

@@ -79,3 +79,23 @@ def test_global_row_number_crosses_partitions(multi_partition):
     assert mine == ref
     auto = global_row_number(df, [F.col("s"), F.col("id")], "rn")
     assert {r.id: r.rn for r in auto.collect()} == ref
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(1, 10**18).flatmap(
+    lambda d: st.tuples(st.integers(-(10**16) * d, (10**16) * d), st.just(d))), min_size=1, max_size=20),
+       st.integers(0, 2))
+def test_wide_round_ratio_is_exact_for_huge_values(spark, pairs, digits):
+    """decimal(38,0) path (lever sizing): exact for operands far beyond 64
+    bits, as long as the rounded, scaled quotient fits in 64 bits."""
+    from hypothesis import assume
+    from pyspark.sql.types import DecimalType, StructField, StructType
+    assume(all(abs(n) // d * 10 ** digits < 2 ** 62 for n, d in pairs))
+
+    from paylens.functions.exact import round_ratio_scaled
+    schema = StructType([StructField("n", DecimalType(38, 0)), StructField("d", DecimalType(38, 0))])
+    df = spark.createDataFrame([(Decimal(n), Decimal(d)) for n, d in pairs], schema)
+    got = [int(r[0]) for r in df.select(round_ratio_scaled(F.col("n"), F.col("d"), digits, wide=True)).collect()]
+    want = [int((Decimal(n) / Decimal(d)).scaleb(digits).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+            for n, d in pairs]
+    assert got == want
