@@ -72,7 +72,8 @@ def avg_exact(col: Column, cond: Column | None, digits: int, money: bool = False
     num = F.sum(val)
     den = F.count(val)
     if money:
-        return round_ratio(num, den * 100, digits)
+        # cent sums of a large population can pass 1e16: round in 38 digits
+        return round_ratio(num, den * 100, digits, wide=True)
     return round_ratio(num, den, digits)
 
 

@@ -66,9 +66,9 @@ def arpu(store: DataFrame, pcoin_transaction: DataFrame, window_days: int = 28)
     recent_cents = done.filter(F.col("created_at") > start).select(F.sum(cents(F.col("price")))).scalar()
     active = count_if(F.col("last_seen") > start)
     return store.agg(F.count("*").alias("players"), money_sum(F.col("lifetime_usd")).alias("total_usd"),
-                     round_ratio(c, F.count("*") * 100, 3).alias("arpu_lifetime_usd"),
+                     round_ratio(c, F.count("*") * 100, 3, wide=True).alias("arpu_lifetime_usd"),
                      active.alias("active_users_28d")) \
         .select("players", "total_usd", "arpu_lifetime_usd", "active_users_28d",
                 cents_to_money(F.coalesce(recent_cents, F.lit(0))).alias("revenue_28d_usd"),
-                round_ratio(F.coalesce(recent_cents, F.lit(0)), F.col("active_users_28d") * 100, 3)
+                round_ratio(F.coalesce(recent_cents, F.lit(0)), F.col("active_users_28d") * 100, 3, wide=True)
                 .alias("arpu_28d_usd"))
