@@ -152,7 +152,7 @@ def evaluation(run: ModelRun, cfg: Config) -> DataFrame:
         F.col("auc").alias("test_auc"),
         pct(F.col("positives"), F.col("n")).alias("test_base_rate_pct"),
         pct(F.col("top_positives"), F.col("top_n")).alias("top_decile_rate_pct"),
-        round_ratio(F.col("top_positives") * F.col("n"), F.col("top_n") * F.col("positives"), 1)
+        round_ratio(F.col("top_positives").cast("decimal(38,0)") * F.col("n"), F.col("top_n").cast("decimal(38,0)") * F.col("positives"), 1, wide=True)
         .alias("top_decile_lift"),
         F.lit("Coefficients are per +1 SD of the feature; odds_per_sd > 1 means the feature raises "
               "the odds of paying.").alias("note"))

@@ -58,4 +58,5 @@ def holdout_summary(deciles: DataFrame, cfg: Config) -> DataFrame:
         n.alias("holdout_size"),
         pct(p, n).alias("holdout_base_payer_pct"),
         pct(tp, tn).alias("top_decile_payer_pct"),
-        round_ratio(tp * n, tn * p, 1).alias("top_decile_lift"))
+        round_ratio(tp.cast("decimal(38,0)") * n, tn.cast("decimal(38,0)") * p, 1, wide=True)
+        .alias("top_decile_lift"))

@@ -86,12 +86,14 @@ def score_report(df: DataFrame, score: str, label: str, key: str, parts: int = 1
     per_score = ranked.groupBy(score).agg(
         F.min("_rn").alias("_first"), F.count("*").alias("_n"), F.sum(y).alias("_pos"),
         F.count(F.when(top, 1)).alias("_top_n"), F.sum(F.when(top, y)).alias("_top_pos"))
-    twice_rank_pos = F.sum(F.col("_pos") * (F.col("_first") * 2 + F.col("_n") - 1))
+    # rank sums and P*N pass 64 bits at ~3e9 rows: keep them in 38 digits
+    D = "decimal(38,0)"
+    twice_rank_pos = F.sum(F.col("_pos").cast(D) * (F.col("_first") * 2 + F.col("_n") - 1))
     p = F.sum("_pos")
     neg = F.sum("_n") - p
     return per_score.agg(
         F.sum("_n").alias("n"), p.alias("positives"), neg.alias("negatives"),
-        round_ratio(twice_rank_pos - p * (p + 1), p * neg * 2, digits, wide=True).alias("auc"),
+        round_ratio(twice_rank_pos - p.cast(D) * (p + 1), p.cast(D) * neg * 2, digits, wide=True).alias("auc"),
         F.sum("_top_n").alias("top_n"), F.sum("_top_pos").alias("top_positives"))
 
 

@@ -320,7 +320,7 @@ def q_score_top_decile(spark, d):
     return r.select("n", "positives", "top_n", "top_positives",
                     pct(F.col("positives"), F.col("n")).alias("base_rate_pct"),
                     pct(F.col("top_positives"), F.col("top_n")).alias("top_rate_pct"),
-                    round_ratio(F.col("top_positives") * F.col("n"), F.col("top_n") * F.col("positives"), 1)
+                    round_ratio(F.col("top_positives").cast("decimal(38,0)") * F.col("n"), F.col("top_n").cast("decimal(38,0)") * F.col("positives"), 1, wide=True)
                     .alias("top_lift"))
 
 
