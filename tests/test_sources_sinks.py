@@ -97,3 +97,20 @@ def test_gate_blocks_every_write(spark):
     with pytest.raises(PIIGateError, match="email"):
         run_all(spark, SF0001, out, ws=ws)
     assert not os.path.exists(out)
+
+
+def test_role_tables_read_back_give_the_same_store(spark):
+    """S1 production path: one folder per role, read back, same store."""
+    from paylens.operators.features import STORE_COLUMNS, feature_store
+    from paylens.sources.bindings import ROLES, bind_fixture_tables
+    from paylens.sources.tables import Tables, read_role_tables
+    from tests.conftest import SF0001
+    roles = bind_fixture_tables(Tables(spark, SF0001))
+    root = os.path.join(tempfile.mkdtemp(prefix="paylens-roles-"), "roles")
+    for name, df in roles.as_dict().items():
+        df.write.parquet(os.path.join(root, name))
+    back = read_role_tables(spark, root)
+    assert set(back.as_dict()) == set(ROLES)
+    a = feature_store(roles).select(*STORE_COLUMNS)
+    b = feature_store(back).select(*STORE_COLUMNS)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
