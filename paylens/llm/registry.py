@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from paylens.llm import gracededup
+from paylens.llm import binslack, dartminhash, decontam, gracededup
 from paylens.llm.common import table
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_dart_minhash(spark, sf_dir):
+    return dartminhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_grace_dedup(spark, sf_dir):
     return gracededup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_grace_dedup,)}
-ORACLES = {"op9_grace_dedup": gracededup.ORACLE}
+def op10_bin_slack_packing(spark, sf_dir):
+    return binslack.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op5_benchmark_decontamination, op6_dart_minhash, op9_grace_dedup,
+                                   op10_bin_slack_packing)}
+ORACLES = {"op5_benchmark_decontamination": decontam.ORACLE, "op9_grace_dedup": gracededup.ORACLE}
