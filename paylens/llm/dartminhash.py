@@ -21,8 +21,13 @@ never expanded into all pairs:
 
 * each bucket's members are compared with one leader (its smallest row);
   members within the threshold are done;
-* what is left of a bucket gets a new leader, or, when it holds at most
-  ``small`` texts, is compared pairwise (at most small^2/2 pairs);
+* what is left of a bucket (texts unlike the leader that share a passage,
+  say) is compared pairwise when it holds at most ``small`` texts, else
+  split by six further bands each, twice; a pair at 0.8 stays together in
+  one of the six with probability 0.96, and has 13 buckets to meet in, so a
+  pair is missed with probability 1e-7 in all;
+* what is still large is compared with up to 32 leaders a turn until
+  nothing is left, which needs no assumption;
 * a member ``b`` left over can only be linked to a member ``a`` that the
   leader took if dist(b, leader) <= 2 (1 - threshold), because Jaccard
   distance is a metric; such border members are compared with the taken
@@ -50,13 +55,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import drop_scratch, materialise
+from paylens.llm.common import materialise
 from paylens.llm.components import components
 from paylens.llm.words import U, counted, flat, mix, shingles, slices, words, _powers
 
 K, ROWS_PER_BAND = 128, 4
 THRESHOLD = 0.8
-SMALL = 16
+SMALL = 32                       # a bucket of so many texts may be compared pairwise
+LEADERS = 32                     # leaders per bucket and turn, after the first two turns
+REFINE, REFINE_TURNS = 6, 2      # further bands that split what is left of large buckets, in the first turns
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(14)])
 
 
@@ -189,18 +196,32 @@ def _similarity(weighting: str, limit: int = 4 << 20):
     return run
 
 
+def _all_of(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _refined(rest: DataFrame, bands: DataFrame) -> DataFrame:
+    """Re-key what is left of large buckets by further bands of the signature."""
+    per = F.size("bands")
+    at = lambda j: F.element_at("bands", ((F.pmod(F.col("key"), per) + j) % per + 1).cast("int"))
+    return (rest.join(bands, "rid").select("rid", "size", F.explode(F.array(
+        *[F.xxhash64("key", at(j).alias("b"), F.lit(j)) for j in range(REFINE)])).alias("key")).distinct())
+
+
 def _links(sketches: DataFrame, reps: DataFrame, threshold: float, small: int, weighting: str) -> DataFrame:
     """Verified links (a, b) between representatives: enough of them that every
     pair at or over the threshold that shares a bucket is in one component."""
-    spark = sketches.sparkSession
     far = 2 * threshold - 1          # below this similarity to a leader nobody the leader took can be linked
     slack = 1e-9
     own = sketches.join(reps.select(F.col("rep").alias("rid")), "rid", "left_semi")
     rows = own.select("rid", "size", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("leader")).filter("n > 1")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = materialise(rows.join(shared, "key"), "dart-members")
-    texts = materialise(own.select("rid", "text").join(members.select("rid").distinct(), "rid", "left_semi"), "dart-texts")
-    sizes = materialise(members.select("rid", "size").distinct(), "dart-sizes")
+    texts = materialise(own.select("rid", "size", "bands", "text")
+                        .join(members.select("rid").distinct(), "rid", "left_semi"), "dart-texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         both = (pairs.select("a", "b").distinct()
@@ -211,53 +232,53 @@ def _links(sketches: DataFrame, reps: DataFrame, threshold: float, small: int, w
     def may_reach(a, b, bound):
         return F.least(a, b) >= F.lit(bound - slack) * F.greatest(a, b)
 
-    links, taken, border = [], [], []
+    links, taken, border, turn = [], [], [], 0
     while True:
-        lead = sizes.select(F.col("rid").alias("leader"), F.col("size").alias("leader_size"))
-        star = members.filter("rid <> leader").join(lead, "leader")
-        near = star.filter(may_reach(F.col("size"), F.col("leader_size"), far))
-        sims = verified(near.select(F.col("rid").alias("a"), F.col("leader").alias("b")), "dart-sims")
+        few, many = (members.filter(F.col("n") <= (small if turn else 0)),
+                     members.filter(F.col("n") > (small if turn else 0)))
+        slot = F.pmod(F.xxhash64("rid"), F.lit(LEADERS if turn > 1 else 1))
+        leaders = (many.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("rid", "size")).alias("l"))
+                   .select("key", F.col("l.rid").alias("leader"), F.col("l.size").alias("leader_size")))
+        star = many.join(leaders, "key").filter("rid <> leader")
+        near = (star.filter(may_reach(F.col("size"), F.col("leader_size"), far))
+                .select(F.col("rid").alias("a"), F.col("leader").alias("b")))
+        pairs = (few.select("key", F.col("rid").alias("a"), F.col("size").alias("size_a"))
+                 .join(few.select("key", F.col("rid").alias("b"), F.col("size").alias("size_b")), "key")
+                 .filter("a < b").filter(may_reach(F.col("size_a"), F.col("size_b"), threshold)).select("a", "b"))
+        sims = verified(near.unionByName(pairs) if turn else near, "dart-sims")
         links.append(sims.filter(F.col("sim") >= threshold).select("a", "b"))
         told = materialise(star.join(sims.select(F.col("a").alias("rid"), F.col("b").alias("leader"), "sim"),
                                      ["rid", "leader"], "left")
                            .select("key", "leader", "rid", "size", F.coalesce("sim", F.lit(0.0)).alias("sim")), "dart-told")
         taken.append(told.filter(F.col("sim") >= threshold))
         border.append(told.filter((F.col("sim") < threshold) & (F.col("sim") >= far)))
-        rest = told.filter(F.col("sim") < threshold).select("rid", "size", "key")
-        again = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("leader")).filter("n > 1")
-        left = materialise(rest.join(again, "key"), "dart-members")
-        few = left.filter(F.col("n") <= small)
-        pairs = (few.select("key", F.col("rid").alias("a"), F.col("size").alias("size_a"))
-                 .join(few.select("key", F.col("rid").alias("b"), F.col("size").alias("size_b")), "key")
-                 .filter("a < b").filter(may_reach(F.col("size_a"), F.col("size_b"), threshold)))
-        if not few.isEmpty():
-            links.append(verified(pairs, "dart-pairs").filter(F.col("sim") >= threshold).select("a", "b"))
-        members = left.filter(F.col("n") > small)
+        rest = (told.groupBy("key", "rid", "size").agg(F.max("sim").alias("sim")).filter(F.col("sim") < threshold)
+                .join(leaders.select("key", F.col("leader").alias("rid")), ["key", "rid"], "left_anti")
+                .select("rid", "size", "key"))
+        left = rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+        turn += 1
+        if turn <= REFINE_TURNS:
+            left = materialise(left, "dart-left")
+            again = _refined(left.filter(F.col("n") > small).drop("n"), texts.select("rid", "bands"))
+            again = again.join(again.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+            left = left.filter(F.col("n") <= small).unionByName(again)
+        members = materialise(left, "dart-members")
         if members.isEmpty():
             break
 
-    def all_of(frames):
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
-
-    found = materialise(all_of(links).distinct(), "dart-links")
-    border = all_of(border)
-    if not border.isEmpty():
+    found = materialise(_all_of(links).distinct(), "dart-links")
+    open_ = _all_of(border)
+    if not open_.isEmpty():
         roots = components(found)
         of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        open_ = (border.withColumnRenamed("rid", "b").withColumnRenamed("sim", "sim_b").withColumnRenamed("size", "size_b")
+        open_ = (open_.withColumnRenamed("rid", "b").withColumnRenamed("sim", "sim_b").withColumnRenamed("size", "size_b")
                  .join(of("b"), "b", "left").join(of("leader"), "leader")
                  .filter(~F.col("b_root").eqNullSafe(F.col("leader_root"))))
         open_ = materialise(open_, "dart-border")
-        if not open_.isEmpty():
-            pairs = (open_.join(all_of(taken).withColumnRenamed("rid", "a"), ["key", "leader"])
-                     .filter(F.col("sim") - F.col("sim_b") <= F.lit(1 - threshold + slack))
-                     .filter(may_reach(F.col("size"), F.col("size_b"), threshold)))
-            more = verified(pairs, "dart-border-sims").filter(F.col("sim") >= threshold).select("a", "b")
-            found = found.unionByName(more)
-    drop_scratch(spark, texts)
+        pairs = (open_.join(_all_of(taken).withColumnRenamed("rid", "a"), ["key", "leader"])
+                 .filter(F.col("sim") - F.col("sim_b") <= F.lit(1 - threshold + slack))
+                 .filter(may_reach(F.col("size"), F.col("size_b"), threshold)))
+        found = found.unionByName(verified(pairs, "dart-border-sims").filter(F.col("sim") >= threshold).select("a", "b"))
     return found
 
 
