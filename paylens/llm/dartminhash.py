@@ -19,20 +19,16 @@ Joining. ``bands`` bands of four coordinates: a pair of similarity 0.8
 meets in at least one of 32 buckets with probability 1 - 5e-8. Buckets are
 never expanded into all pairs:
 
-* each bucket's members are compared with one leader (its smallest row);
-  members within the threshold are done;
-* what is left of a bucket (texts unlike the leader that share a passage,
-  say) is compared pairwise when it holds at most ``small`` texts, else
-  split by six further bands each, twice; a pair at 0.8 stays together in
-  one of the six with probability 0.96, and has 13 buckets to meet in, so a
-  pair is missed with probability 1e-7 in all;
-* what is still large is compared with up to 32 leaders a turn until
-  nothing is left, which needs no assumption;
-* a member ``b`` left over can only be linked to a member ``a`` that the
-  leader took if dist(b, leader) <= 2 (1 - threshold), because Jaccard
-  distance is a metric; such border members are compared with the taken
-  ones where |dist(a, leader) - dist(b, leader)| allows it, unless they are
-  in one class already.
+* each bucket's members are compared with one leader (its smallest text);
+  those at the threshold are linked, and components give first classes;
+* only buckets that still hold several classes go on. There a text drops out
+  if shingles that occur in another class make up less than the threshold
+  of it, since no text outside its class can then be similar enough (texts
+  that share a passage and little else end here, without any pair);
+* what stays of a bucket is dealt into blocks of about ``block`` texts, and
+  each pair of blocks is one task's group: it counts the overlaps of all its
+  texts as a matrix product over their shared shingles and returns at most
+  one link per text, so no pairs are emitted however many there are.
 
 So no link between texts that share a bucket is lost for the classes.
 Every link is verified on the full shingle sets. Equal word sequences are
@@ -61,9 +57,8 @@ from paylens.llm.words import U, counted, flat, mix, shingles, slices, words, _p
 
 K, ROWS_PER_BAND = 128, 4
 THRESHOLD = 0.8
-SMALL = 32                       # a bucket of so many texts may be compared pairwise
-LEADERS = 32                     # leaders per bucket and turn, after the first two turns
-REFINE, REFINE_TURNS = 6, 2      # further bands that split what is left of large buckets, in the first turns
+BLOCK = 1024                     # texts per block in the comparison of what one leader leaves open
+COLUMNS = 8192                   # shingles per step of a block's overlap matrix
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(14)])
 
 
@@ -196,98 +191,135 @@ def _similarity(weighting: str, limit: int = 4 << 20):
     return run
 
 
-def _all_of(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _element_rows(weighting: str):
+    """(rid, root, h, w): the weighted shingles of each text."""
+    def run(batches):
+        for batch in batches:
+            for i, j, raw, off in slices(batch.column("text")):
+                _, _, d, x, w = _elements(raw, off, weighting)
+                at = pa.array(d + i)
+                yield pa.RecordBatch.from_arrays([batch.column("rid").take(at), batch.column("root").take(at),
+                                                  pa.array(x.view(np.int64)), pa.array(w)], ["rid", "root", "h", "w"])
+    return run
+
+
+def _block_links(threshold: float, weighting: str):
+    """Links between the texts of one block pair (or block) that are in different
+    classes: each text that has any, with a text it is connected to."""
+    def run(table: pa.Table) -> pa.Table:
+        rid, root, own = (table.column(c).to_numpy() for c in ("rid", "root", "own"))
+        n, docs, hashes = len(rid), [], []
+        for i, _, raw, off in slices(table.column("text")):
+            _, _, d, x, w = _elements(raw, off, weighting)
+            if weighting == "count":                   # a weight of 3 is three unit elements
+                times = w.astype(np.int64)
+                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                d, x = np.repeat(d, times), mix(np.repeat(x, times) + nth.astype(U))
+            docs.append(d + i)
+            hashes.append(x)
+        doc = np.concatenate(docs)
+        _, column, seen = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        size = np.bincount(doc, minlength=n).astype(np.float32)
+        use = seen[column] > 1                         # other columns overlap with nothing
+        doc, column = doc[use], np.unique(column[use], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        doc, column = doc[order], column[order]
+        overlap = np.zeros((n, n), np.float32)
+        width = int(column[-1]) + 1 if len(column) else 0
+        for c in range(0, width, COLUMNS):
+            lo, hi = np.searchsorted(column, [c, c + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, width - c)), np.float32)
+            part[doc[lo:hi], column[lo:hi] - c] = 1
+            overlap += part @ part.T
+        linked = overlap >= np.float32(threshold - 1e-6) * (size[:, None] + size[None, :] - overlap)
+        linked &= (overlap > 0) & (root[:, None] != root[None, :])
+        label = np.arange(n)
+        while True:                                    # smallest index in reach
+            new = np.minimum(label, np.where(linked, label[None, :], n).min(axis=1, initial=n))
+            new = new[new]
+            if (new == label).all():
+                break
+            label = new
+        at = np.flatnonzero(label != np.arange(n))
+        return pa.table({"a": pa.array(rid[at], pa.int64()), "b": pa.array(rid[label[at]], pa.int64())})
+    return run
 
 
-def _refined(rest: DataFrame, bands: DataFrame) -> DataFrame:
-    """Re-key what is left of large buckets by further bands of the signature."""
-    per = F.size("bands")
-    at = lambda j: F.element_at("bands", ((F.pmod(F.col("key"), per) + j) % per + 1).cast("int"))
-    return (rest.join(bands, "rid").select("rid", "size", F.explode(F.array(
-        *[F.xxhash64("key", at(j).alias("b"), F.lit(j)) for j in range(REFINE)])).alias("key")).distinct())
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members (rid, size, root, key) of buckets that hold more than one class, with the bucket's n."""
+    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    return members.join(mixed.select("key", "n"), "key").select("rid", "size", "root", "key", "n")
 
 
-def _links(sketches: DataFrame, reps: DataFrame, threshold: float, small: int, weighting: str) -> DataFrame:
+def _links(sketches: DataFrame, reps: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
     """Verified links (a, b) between representatives: enough of them that every
     pair at or over the threshold that shares a bucket is in one component."""
-    far = 2 * threshold - 1          # below this similarity to a leader nobody the leader took can be linked
     slack = 1e-9
     own = sketches.join(reps.select(F.col("rep").alias("rid")), "rid", "left_semi")
     rows = own.select("rid", "size", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = materialise(rows.join(shared, "key"), "dart-members")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("size", "rid")).alias("l")).filter("n > 1")
+    members = materialise(rows.join(shared.select("key", "l"), "key").select(
+        "rid", "size", "key", F.col("l.rid").alias("leader"), F.col("l.size").alias("leader_size")), "dart-members")
     texts = materialise(own.select("rid", "size", "bands", "text")
                         .join(members.select("rid").distinct(), "rid", "left_semi"), "dart-texts")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.select("a", "b").distinct()
                 .join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b"))
-        return materialise(both.mapInArrow(_similarity(weighting), "a long, b long, sim double"), name)
-
-    def may_reach(a, b, bound):
-        return F.least(a, b) >= F.lit(bound - slack) * F.greatest(a, b)
-
-    links, taken, border, turn = [], [], [], 0
-    while True:
-        few, many = (members.filter(F.col("n") <= (small if turn else 0)),
-                     members.filter(F.col("n") > (small if turn else 0)))
-        slot = F.pmod(F.xxhash64("rid"), F.lit(LEADERS if turn > 1 else 1))
-        leaders = (many.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("rid", "size")).alias("l"))
-                   .select("key", F.col("l.rid").alias("leader"), F.col("l.size").alias("leader_size")))
-        star = many.join(leaders, "key").filter("rid <> leader")
-        near = (star.filter(may_reach(F.col("size"), F.col("leader_size"), far))
-                .select(F.col("rid").alias("a"), F.col("leader").alias("b")))
-        pairs = (few.select("key", F.col("rid").alias("a"), F.col("size").alias("size_a"))
-                 .join(few.select("key", F.col("rid").alias("b"), F.col("size").alias("size_b")), "key")
-                 .filter("a < b").filter(may_reach(F.col("size_a"), F.col("size_b"), threshold)).select("a", "b"))
-        sims = verified(near.unionByName(pairs) if turn else near, "dart-sims")
-        links.append(sims.filter(F.col("sim") >= threshold).select("a", "b"))
-        told = materialise(star.join(sims.select(F.col("a").alias("rid"), F.col("b").alias("leader"), "sim"),
-                                     ["rid", "leader"], "left")
-                           .select("key", "leader", "rid", "size", F.coalesce("sim", F.lit(0.0)).alias("sim")), "dart-told")
-        taken.append(told.filter(F.col("sim") >= threshold))
-        border.append(told.filter((F.col("sim") < threshold) & (F.col("sim") >= far)))
-        rest = (told.groupBy("key", "rid", "size").agg(F.max("sim").alias("sim")).filter(F.col("sim") < threshold)
-                .join(leaders.select("key", F.col("leader").alias("rid")), ["key", "rid"], "left_anti")
-                .select("rid", "size", "key"))
-        left = rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
-        turn += 1
-        if turn <= REFINE_TURNS:
-            left = materialise(left, "dart-left")
-            again = _refined(left.filter(F.col("n") > small).drop("n"), texts.select("rid", "bands"))
-            again = again.join(again.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
-            left = left.filter(F.col("n") <= small).unionByName(again)
-        members = materialise(left, "dart-members")
-        if members.isEmpty():
-            break
-
-    found = materialise(_all_of(links).distinct(), "dart-links")
-    open_ = _all_of(border)
-    if not open_.isEmpty():
-        roots = components(found)
-        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        open_ = (open_.withColumnRenamed("rid", "b").withColumnRenamed("sim", "sim_b").withColumnRenamed("size", "size_b")
-                 .join(of("b"), "b", "left").join(of("leader"), "leader")
-                 .filter(~F.col("b_root").eqNullSafe(F.col("leader_root"))))
-        open_ = materialise(open_, "dart-border")
-        pairs = (open_.join(_all_of(taken).withColumnRenamed("rid", "a"), ["key", "leader"])
-                 .filter(F.col("sim") - F.col("sim_b") <= F.lit(1 - threshold + slack))
-                 .filter(may_reach(F.col("size"), F.col("size_b"), threshold)))
-        found = found.unionByName(verified(pairs, "dart-border-sims").filter(F.col("sim") >= threshold).select("a", "b"))
-    return found
-
-
-def _classes(sketches: DataFrame, threshold: float, small: int, weighting: str) -> DataFrame:
+        sims = both.mapInArrow(_similarity(weighting), "a long, b long, sim double")
+        return materialise(sims.filter(F.col("sim") >= threshold).select("a", "b"), "dart-links")
+
+    def may_reach(a, b):
+        return F.least(a, b) >= F.lit(threshold - slack) * F.greatest(a, b)
+
+    def classed(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows in buckets of several classes under the links found so far, without
+        the texts that cannot be linked out of their class."""
+        roots = components(links).withColumnRenamed("node", "rid")
+        rooted = rows.join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+        open_ = materialise(_mixed(rooted), "dart-open")
+        some = open_.select("rid", "root").distinct().join(texts.select("rid", "text"), "rid").select("rid", "root", "text")
+        elements = materialise(some.mapInArrow(_element_rows(weighting), "rid long, root long, h long, w double"), "dart-elements")
+        across = elements.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("h")
+        common = elements.join(across, "h", "left_semi").groupBy("rid").agg(F.sum("w").alias("common"))
+        able = common.join(texts.select("rid", "size"), "rid").filter(
+            F.col("common") >= F.lit(threshold - slack) * F.col("size")).select("rid")
+        return materialise(_mixed(open_.drop("n").join(able, "rid", "left_semi")), "dart-open")
+
+    star = members.filter("rid <> leader").filter(may_reach(F.col("size"), F.col("leader_size")))
+    links = verified(star.select(F.col("rid").alias("a"), F.col("leader").alias("b")))
+    roots = components(links).withColumnRenamed("node", "rid")
+    rooted = members.select("rid", "size", "key").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    open_ = materialise(_mixed(rooted), "dart-open")
+
+    # a text can only be linked out of its class if shingles that occur in
+    # other classes make up the threshold of its weight
+    some = open_.select("rid", "root").distinct().join(texts.select("rid", "text"), "rid").select("rid", "root", "text")
+    elements = materialise(some.mapInArrow(_element_rows(weighting), "rid long, root long, h long, w double"), "dart-elements")
+    across = elements.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("h")
+    common = elements.join(across, "h", "left_semi").groupBy("rid").agg(F.sum("w").alias("common"))
+    able = common.join(texts.select("rid", "size"), "rid").filter(
+        F.col("common") >= F.lit(threshold - slack) * F.col("size")).select("rid")
+    open_ = _mixed(open_.drop("n").join(able, "rid", "left_semi"))
+
+    # what is left is compared across classes, block against block
+    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    own_block = F.pmod(F.xxhash64("rid", "key"), blocks).cast("int")
+    placed = (open_.select("key", "rid", "root", blocks.alias("blocks"), own_block.alias("own"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("key", "rid", "root", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")))
+    full = placed.join(texts.select("rid", "text"), "rid")
+    more = full.groupBy("key", "one", "two").applyInArrow(_block_links(threshold, weighting), "a long, b long")
+    return links.unionByName(materialise(more.distinct(), "dart-links")).distinct()
+
+
+def _classes(sketches: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
     """(hi, lo) -> class_id, class_size, keep_rid for texts with words."""
     best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("rid").alias("rid")))
     reps = materialise(sketches.filter("hi is not null").groupBy("hi", "lo").agg(
         F.min("rid").alias("rep"), best.alias("best"), F.count("*").alias("n")), "dart-reps")
-    roots = components(_links(sketches, reps, threshold, small, weighting))
+    roots = components(_links(sketches, reps, threshold, block, weighting))
     placed = (reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
               .withColumn("root", F.coalesce("root", "rep")))
     total = placed.groupBy("root").agg(F.min("best").alias("keep"), F.sum("n").alias("class_size"))
@@ -296,10 +328,10 @@ def _classes(sketches: DataFrame, threshold: float, small: int, weighting: str)
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "set",
-                           small: int = SMALL) -> DataFrame:
+                           block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest id of its class), class_size."""
     sk = _sketches(docs, k, weighting, False)
-    classes = _classes(sk, threshold, small, weighting)
+    classes = _classes(sk, threshold, block, weighting)
     with_words = (sk.filter("hi is not null").select("id", "hi", "lo").join(classes, ["hi", "lo"])
                   .select(F.col("id").alias("doc_id"), "class_id", "class_size"))
     without = sk.filter("hi is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"),
@@ -308,10 +340,10 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "set",
-                     small: int = SMALL) -> DataFrame:
+                     block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay (one per class, the smallest id), with all their columns."""
     sk = _sketches(docs, k, weighting, True)
-    classes = _classes(sk, threshold, small, weighting).filter("class_size > 1")
+    classes = _classes(sk, threshold, block, weighting).filter("class_size > 1")
     gone = materialise(sk.filter("hi is not null").select("rid", "hi", "lo").join(classes, ["hi", "lo"])
                        .filter("rid <> keep_rid").select("rid"), "dart-gone")
     stay = sk.join(gone, "rid", "left_anti")

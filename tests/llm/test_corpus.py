@@ -185,8 +185,8 @@ def test_large_buckets_lose_no_link(spark):
         base[rng.integers(0, 80)] = word()
         texts[i] = " ".join(base)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for small in (4, 32):
-        got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicate_classes(docs, small=small).collect()}
+    for block in (16, 1024):
+        got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicate_classes(docs, block=block).collect()}
         assert got == classes_by_force(texts)
 
 
