@@ -96,6 +96,14 @@ def cell_starts(values: DataFrame, column: str, bits: int) -> list:
     return sorted(r["v"] for r in placed.groupBy(cell).agg(F.min("v").alias("v")).collect())
 
 
+def _cell(value, starts: list):
+    """Number of the last cell that starts at or below a value (null: 0)."""
+    if not starts:
+        return F.lit(0)
+    below = F.array_size(F.filter(F.array(*map(F.lit, starts)), lambda s: s <= value))
+    return F.coalesce(F.greatest(below - 1, F.lit(0)), F.lit(0))
+
+
 def _ordered(docs: DataFrame, dimensions, shards: int, bits: int, with_rows: bool) -> tuple[DataFrame, DataFrame]:
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     size = (F.octet_length(body) + 8).cast("long")
@@ -107,8 +115,7 @@ def _ordered(docs: DataFrame, dimensions, shards: int, bits: int, with_rows: boo
     cells = []
     for i in range(len(dimensions)):
         starts = cell_starts(base, f"d{i}", bits)
-        below = F.array_size(F.filter(F.array(*map(F.lit, starts)), lambda s, i=i: s <= F.col(f"d{i}"))) if starts else F.lit(0)
-        cells.append(F.coalesce(F.greatest(below - 1, F.lit(0)), F.lit(0)).alias(f"c{i}"))
+        cells.append(_cell(F.col(f"d{i}"), starts))
     keep = [c for c in base.columns if not (c.startswith("d") and c[1:].isdigit())]
     placed = base.select(*keep, F.array(*cells).alias("cells"))
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from paylens.llm.common import held_out, materialise
 from paylens.llm.words import U, VISIBLE, _LOWER, _powers, counted, mix, slices, words
 
-BITS, MAX_ROWS, FOLDS, RIDGE, TURNS, KEEP = 15, 3000, 5, 1e-5, 200, 0.5
+BITS, MAX_ROWS, FOLDS, RIDGE, TURNS, KEEP = 15, 2000, 5, 1e-5, 120, 0.5
 
 
 @dataclass

@@ -53,7 +53,8 @@ TARGET_SCOPE, NEGATION_SCOPE = 4, 3
 PREFIXES = (4, 5, 6, 7)          # bytes of a word's beginning that an arc may spell
 OTHER, TARGET, NEGATOR, REPORTER, THREAT, INSULT, CLAUSE = range(7)
 SYMBOLS = 16                     # threat, negated, targeted, reported
-MAX_ROWS, MAX_ARCS, MIN_DOCS, MIN_ODDS, MAX_WEIGHT = 10_000, 4096, 5, 20.0, 6.0
+MAX_ROWS, MAX_ARCS, MIN_ODDS, MAX_WEIGHT = 10_000, 4096, 20.0, 6.0
+MIN_EVIDENCE = 14.0              # log likelihood ratio of an arc; chance stays below it in a million arcs
 THRESHOLD, FOLDS = 0.3, 4
 
 
@@ -107,7 +108,7 @@ def _hashes(raw, off):
     for n in PREFIXES:
         long = end - start > n
         at = np.where(long, start + n, start)
-        heads.append(np.where(long, mix((sums[at] - sums[start]) * down[start] + U(n) * U(0xA24BAED4963EE407)), U(0)))
+        heads.append(np.where(long, mix((sums[at] - sums[start]) * down[start] + U(n * 0xA24BAED4963EE407 % 2 ** 64)), U(0)))
     return start, end, doc, h, heads
 
 
@@ -227,9 +228,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs:
         base = -4.0 if not bad else 4.0
         return Grammar(np.zeros(0, U), np.zeros(0), np.concatenate([[base], np.zeros(SYMBOLS)]))
     odds = F.expr(f"((bad + 0.5D) / {bad + 1}) / ((good + 0.5D) / {good + 1})")
+    share = bad / (bad + good)
+    evidence = F.expr(f"bad * ln(greatest(bad, 0.5D) / ((bad + good) * {share}D)) + "
+                      f"good * ln(greatest(good, 0.5D) / ((bad + good) * {1 - share}D))")
     arcs = (sample.mapInArrow(_arc_counts, "arc long, bad long, good long").groupBy("arc")
-            .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") >= MIN_DOCS)
-            .withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
+            .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+            .withColumn("odds", odds).filter((F.col("odds") >= MIN_ODDS) & (evidence >= MIN_EVIDENCE))
             .orderBy(F.desc("bad"), "arc").limit(max_arcs).select("arc", F.log("odds").alias("w")).collect())
     h = np.array([r["arc"] for r in arcs], np.int64).view(U)
     order = np.argsort(h)
