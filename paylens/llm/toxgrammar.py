@@ -53,7 +53,8 @@ TARGET_SCOPE, NEGATION_SCOPE = 4, 3
 PREFIXES = (4, 5, 6, 7)          # bytes of a word's beginning that an arc may spell
 OTHER, TARGET, NEGATOR, REPORTER, THREAT, INSULT, CLAUSE = range(7)
 SYMBOLS = 16                     # threat, negated, targeted, reported
-MAX_ROWS, MAX_ARCS, MIN_ODDS, MAX_WEIGHT = 10_000, 4096, 20.0, 6.0
+MAX_ROWS, MAX_ARCS, MAX_WEIGHT = 10_000, 4096, 6.0
+MIN_RATIO = 200.0                # share of toxic rows with an arc over that of clean ones
 MIN_EVIDENCE = 14.0              # log likelihood ratio of an arc; chance stays below it in a million arcs
 THRESHOLD, FOLDS = 0.3, 4
 
@@ -233,7 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs:
                       f"good * ln(greatest(good, 0.5D) / ((bad + good) * {1 - share}D))")
     arcs = (sample.mapInArrow(_arc_counts, "arc long, bad long, good long").groupBy("arc")
             .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-            .withColumn("odds", odds).filter((F.col("odds") >= MIN_ODDS) & (evidence >= MIN_EVIDENCE))
+            .withColumn("odds", odds).filter(evidence >= MIN_EVIDENCE)
+            .filter(F.col("bad") * good >= MIN_RATIO * bad * F.col("good"))
             .orderBy(F.desc("bad"), "arc").limit(max_arcs).select("arc", F.log("odds").alias("w")).collect())
     h = np.array([r["arc"] for r in arcs], np.int64).view(U)
     order = np.argsort(h)
