@@ -110,6 +110,7 @@ class Config:
         return replace(self, **kw)
 
 
+# The defaults of Config (thresholds, weights, feature list, signal labels) are the published ones.
 REFERENCE_PROFILE = Config(name="reference")
 
 FIXTURE_PROFILE = Config(
@@ -139,3 +140,5 @@ FIXTURE_PROFILE = Config(
     ),
     loss_flag_net=-350.0,
 )
+
+PROFILES = {c.name: c for c in (REFERENCE_PROFILE, FIXTURE_PROFILE)}

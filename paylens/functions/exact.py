@@ -77,6 +77,16 @@ def avg_exact(col: Column, cond: Column | None, digits: int, money: bool = False
     return round_ratio(num, den, digits)
 
 
+DAY_US = 86_400_000_000
+
+
+def avg_days(days: Column, digits: int) -> Column:
+    """round(avg(days), digits) of day counts held as doubles, summed as whole
+    microseconds (a double sum would depend on the order of the rows)."""
+    micros = F.round(days * F.lit(float(DAY_US))).cast("bigint")
+    return round_ratio(F.sum(micros.cast("decimal(38,0)")), F.count(days).cast("decimal(38,0)") * DAY_US, digits, wide=True)
+
+
 def rate_pct(flag: Column, cond: Column | None = None, digits: int = 2) -> Column:
     """round(100 * avg(flag::int) [FILTER cond], digits), exact."""
     v = flag.cast("int")

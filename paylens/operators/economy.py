@@ -17,17 +17,13 @@ from paylens.functions.json import id_texts, participant_ids
 
 
 def player_game_economy(game_session: DataFrame, key_type: T.DataType = T.LongType()) -> DataFrame:
-    pdt = game_session.schema["participants"].dataType
-    wdt = game_session.schema["winner_ids"].dataType
-    textual = isinstance(pdt, T.StringType) or (
-        isinstance(pdt, T.ArrayType) and isinstance(pdt.elementType, T.StructType))
-    ids = participant_ids(F.col("participants"), pdt) if textual else F.col("participants")
-    winners = id_texts(F.col("winner_ids"), wdt) if textual else F.col("winner_ids")
+    ids = participant_ids(F.col("participants"), game_session.schema["participants"].dataType)
+    winners = id_texts(F.col("winner_ids"), game_session.schema["winner_ids"].dataType)
     rows = (game_session
             .select(F.explode(ids).alias("pid"), winners.alias("winners"), "bet_amount", "total_pot")
             .filter(F.col("pid").isNotNull()))
     win = F.coalesce(F.array_contains(F.col("winners"), F.col("pid")), F.lit(False))
-    key = F.lower(F.col("pid")) if textual else F.col("pid")
+    key = F.lower(F.col("pid"))
     # an id text that is not a valid key drops out instead of failing the job
     keyed = rows.withColumn("player_id", key.try_cast(key_type)).filter(F.col("player_id").isNotNull())
     return (keyed.groupBy("player_id")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, label_of
-from paylens.functions.exact import avg_exact, cents, count_if, money_sum, pct
+from paylens.functions.exact import avg_days, avg_exact, cents, count_if, money_sum, pct
 from paylens.operators.headline import aggregate
-from paylens.operators.ranking import percentiles_cont
+from paylens.operators.ranking import percentiles_cont, top_rows
 
 
 def _target(cfg: Config):
@@ -28,14 +28,14 @@ def target_pool(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> Data
     return aggregate(store, target_pool_metrics(cfg), by)
 
 
-def target_by_country(store: DataFrame, cfg: Config) -> DataFrame:
+def target_by_country(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Top countries of the target pool (ties by country code)."""
-    return (store.filter(_target(cfg) & F.col("country_code").isNotNull())
-            .groupBy("country_code").agg(F.count("*").alias("targets"))
-            .orderBy(F.col("targets").desc(), F.col("country_code")).limit(cfg.top_countries_target))
+    counts = (store.filter(_target(cfg) & F.col("country_code").isNotNull())
+              .groupBy(*by, "country_code").agg(F.count("*").alias("targets")))
+    return top_rows(counts, [F.col("targets").desc(), F.col("country_code")], cfg.top_countries_target, by)
 
 
-def conversion_moment(store: DataFrame) -> DataFrame:
+def conversion_moment(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Share buying within 1 / 7 days of signup, exact median lag."""
     buyers = store.filter(F.col("is_payer") & F.col("first_buy_lag_days").isNotNull())
     lag = F.col("first_buy_lag_days")
@@ -43,8 +43,8 @@ def conversion_moment(store: DataFrame) -> DataFrame:
     out = percentiles_cont(
         buyers, hundredths, F.col("player_id"), [(1, 2)], 100, 1, keep=("first_buy_lag_days",),
         extra=(pct(count_if(lag < 1), F.count("*"), 1).alias("same_day_pct"),
-               pct(count_if(lag < 7), F.count("*"), 1).alias("within_7d_pct")))
-    return out.select("same_day_pct", "within_7d_pct", F.col("p0").alias("median_lag_days"))
+               pct(count_if(lag < 7), F.count("*"), 1).alias("within_7d_pct")), by=by)
+    return out.select(*by, "same_day_pct", "within_7d_pct", F.col("p0").alias("median_lag_days"))
 
 
 def wagered_share_metrics() -> dict:
@@ -73,10 +73,10 @@ def one_time_vs_repeat(store: DataFrame, cfg: Config, by: tuple[str, ...] = ())
             .agg(F.count("*").alias("players"),
                  avg_exact(F.col("pcoins_wagered"), None, 0, money=True).alias("avg_wagered"),
                  avg_exact(F.col("max_streak"), None, 1).alias("avg_streak"),
-                 F.round(F.avg("active_days"), 1).alias("avg_active_days")))
+                 avg_days(F.col("active_days"), 1).alias("avg_active_days")))
 
 
-def whale_concentration(store: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
+def whale_concentration(store: DataFrame, approx_accuracy: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Payers, exact p50/p90/p99 and max of lifetime spend.
 
     ``approx_accuracy`` switches to ``percentile_approx`` (one pass, no
@@ -85,14 +85,14 @@ def whale_concentration(store: DataFrame, approx_accuracy: int | None = None) ->
     payers = store.filter(F.col("is_payer"))
     if approx_accuracy:
         q = F.percentile_approx(F.col("lifetime_usd").cast("double"), [0.5, 0.9, 0.99], approx_accuracy)
-        return payers.agg(F.count("*").alias("payers"), q.alias("q"), F.max("lifetime_usd").alias("max_usd")) \
-            .select("payers", F.round(F.col("q")[0], 2).alias("median_usd"), F.round(F.col("q")[1], 2).alias("p90_usd"),
+        return payers.groupBy(*by).agg(F.count("*").alias("payers"), q.alias("q"), F.max("lifetime_usd").alias("max_usd")) \
+            .select(*by, "payers", F.round(F.col("q")[0], 2).alias("median_usd"), F.round(F.col("q")[1], 2).alias("p90_usd"),
                     F.round(F.col("q")[2], 2).alias("p99_usd"), "max_usd")
     q = percentiles_cont(payers, cents(F.col("lifetime_usd")), F.col("player_id"),
                          [(1, 2), (9, 10), (99, 100)], 100, 2, keep=("lifetime_usd",),
-                         extra=(F.max("lifetime_usd").alias("max_usd"),))
+                         extra=(F.max("lifetime_usd").alias("max_usd"),), by=by)
     return q.select(
-        F.col("n").alias("payers"), F.col("p0").alias("median_usd"), F.col("p1").alias("p90_usd"),
+        *by, F.col("n").alias("payers"), F.col("p0").alias("median_usd"), F.col("p1").alias("p90_usd"),
         F.col("p2").alias("p99_usd"), "max_usd")
 
 

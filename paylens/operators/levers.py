@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens.config import Config
@@ -43,12 +43,12 @@ def _frac(x: float) -> Fraction:
 
 
 def lever_texts(cfg: Config) -> list[tuple[str, str]]:
-    """(lever, assumption) labels, in lever order."""
+    """(lever, assumption) labels, in lever order (the lever names are fixed values)."""
     return [
         ("Convert high-propensity non-payers", f"{cfg.convert_rate * 100:g}% convert × avg payer LTV"),
         ("Turn one-time buyers into repeat",
          f"{cfg.repeat_rate * 100:g}% make a 2nd purchase × (repeat − one-time LTV)"),
-        ("Cross-sell the subscription to coin buyers", f"{cfg.prime_rate * 100:g}% subscribe × ${cfg.prime_price:g}/yr"),
+        ("Cross-sell PRIME to pcoin buyers", f"{cfg.prime_rate * 100:g}% subscribe × ${cfg.prime_price:g}/yr"),
     ]
 
 
@@ -77,10 +77,11 @@ def levers(inputs: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFram
     return inputs.select(*by, F.inline(rows))
 
 
-def pct_of_max(df: DataFrame, col: str, name: str = "pct_of_max") -> DataFrame:
-    """L3: value as a percentage of the column maximum (bar widths).
+def pct_of_max(df: DataFrame, col: str, name: str = "pct_of_max", by: tuple[str, ...] = ()) -> DataFrame:
+    """L3: value as a percentage of the column maximum (bar widths), per ``by`` group.
 
-    The maximum is a scalar subquery over the (small, aggregated) input.
+    ``df`` is an analysis result of a few rows (bands, games, levers per
+    group), so the maximum is a window over it: one pass, input computed once.
     """
-    mx = df.select(F.max(F.col(col).cast("double"))).scalar()
-    return df.withColumn(name, F.lit(100.0) * F.col(col).cast("double") / mx)
+    value = F.col(col).cast("double")
+    return df.withColumn(name, F.lit(100.0) * value / F.max(value).over(Window.partitionBy(*by)))

@@ -23,7 +23,7 @@ from paylens.functions.hashing import stable_hash32
 from paylens.operators.ranking import global_row_number, score_report
 
 BOOL_FEATURES = ("stated_intent", "was_invited", "surveyed")
-SIGMOID_CLIP = 30.0
+SIGMOID_CLIP = 30.0  # fixed values, with 1e-13 below: the published score clips there
 
 
 def feature_matrix(store: DataFrame, cfg: Config) -> DataFrame:
@@ -66,19 +66,33 @@ def standardize(matrix: DataFrame, m: Moments, cfg: Config) -> DataFrame:
                          *[((F.col(f) - F.lit(m.mean[f])) / F.lit(m.sd[f])).alias(f) for f in cfg.model_features])
 
 
-def class_balance(matrix: DataFrame, cfg: Config) -> DataFrame:
-    """M3: all training positives + every k-th training negative,
-    k = max(1, n_neg div (neg_per_pos * n_pos)), negatives taken in a
-    reproducible hash order (ties by id)."""
+def training_stride(n_pos: int, n_neg: int, cfg: Config) -> int:
+    """M3: keep every k-th negative, k = max(1, n_neg div (neg_per_pos * n_pos))."""
+    return max(1, n_neg // (cfg.neg_per_pos * n_pos)) if n_pos else 1
+
+
+def class_counts(matrix: DataFrame) -> tuple[int, int]:
+    """Training positives and negatives."""
+    c = matrix.filter(F.col("is_test") == 0).agg(F.count(F.when(F.col("y") == 1, 1)).alias("p"),
+                                                 F.count(F.when(F.col("y") == 0, 1)).alias("n")).first()
+    return c.p, c.n
+
+
+def class_balance(matrix: DataFrame, cfg: Config, counts: tuple[int, int] | None = None) -> DataFrame:
+    """M3: all training positives + every k-th training negative, negatives
+    taken in a reproducible hash order (ties by id).
+
+    Only (hash, id) is sorted and checkpointed; the chosen ids, a k-th of
+    the negatives, are joined back to their features.
+    """
     train = matrix.filter(F.col("is_test") == 0)
-    counts = train.agg(F.count(F.when(F.col("y") == 1, 1)).alias("p"),
-                       F.count(F.when(F.col("y") == 0, 1)).alias("n")).first()
-    k = max(1, counts.n // (cfg.neg_per_pos * counts.p)) if counts.p else 1
+    k = training_stride(*(counts or class_counts(matrix)), cfg)
     neg = train.filter(F.col("y") == 0)
-    ranked = global_row_number(neg.withColumn("_h", stable_hash32(F.col("player_id"))),
-                               [F.col("_h"), F.col("player_id")], "_rn")
-    sampled = ranked.filter((F.col("_rn") - 1) % k == 0).drop("_h", "_rn", "_rn_total")
-    return train.filter(F.col("y") == 1).unionByName(sampled)
+    if k > 1:
+        ids = neg.select("player_id", stable_hash32(F.col("player_id")).alias("_h"))
+        ranked = global_row_number(ids, [F.col("_h"), F.col("player_id")], "_rn")
+        neg = neg.join(ranked.filter((F.col("_rn") - 1) % k == 0).select("player_id"), "player_id", "left_semi")
+    return train.filter(F.col("y") == 1).unionByName(neg.select(train.columns))
 
 
 def fit(train_z: DataFrame, cfg: Config):
@@ -120,25 +134,21 @@ class ModelRun:
                 .orderBy(F.abs(F.col("coef")).desc(), "pos").drop("pos"))
 
 
-ROWS_PER_PARTITION = 500_000
-
-
 def train(store: DataFrame, cfg: Config) -> ModelRun:
     matrix = feature_matrix(store, cfg)
     moments = Moments.of(feature_moments(matrix, cfg))
     z = standardize(matrix, moments, cfg)
-    balanced = class_balance(z, cfg)
-    counts = balanced.agg(F.count(F.when(F.col("y") == 1, 1)).alias("p"),
-                          F.count(F.when(F.col("y") == 0, 1)).alias("n")).first()
-    # every optimiser iteration is a job over the training set: size its
-    # partitions from the exact row count instead of inheriting the union's
-    parts = max(1, -(-(counts.p + counts.n) // ROWS_PER_PARTITION))
-    train_set = balanced.coalesce(parts).persist()
+    n_pos, n_neg = class_counts(z)
+    k = training_stride(n_pos, n_neg, cfg)
+    # every optimiser iteration is a job over the training set: rebalance the
+    # small balanced set by a shuffle (AQE sizes it), which leaves the scan of
+    # the store as wide as it is
+    train_set = class_balance(z, cfg, (n_pos, n_neg)).hint("rebalance").persist()
     model = fit(train_set, cfg)
     coef = dict(zip(cfg.model_features, model.coefficients.toArray().tolist()))
     tests = score(z.filter(F.col("is_test") == 1), coef, float(model.intercept), cfg)
     train_set.unpersist()
-    return ModelRun(coef, float(model.intercept), counts.p, counts.n, tests)
+    return ModelRun(coef, float(model.intercept), n_pos, -(-n_neg // k), tests)
 
 
 def evaluation(run: ModelRun, cfg: Config) -> DataFrame:
@@ -158,10 +168,22 @@ def evaluation(run: ModelRun, cfg: Config) -> DataFrame:
               "the odds of paying.").alias("note"))
 
 
-def gradient_norm(train_z: DataFrame, coef: dict[str, float], intercept: float, cfg: Config) -> float:
-    """Norm of the reference objective's gradient at (coef, intercept), for tests."""
+def gradient(train_z: DataFrame, coef: dict[str, float], intercept: float, cfg: Config) -> DataFrame:
+    """The published objective's gradient at (coef, intercept): feature, gradient."""
     scored = score(train_z, coef, intercept, cfg).withColumn("err", F.col("score") - F.col("y"))
-    aggs = [F.avg(F.col("err") * F.col(f)).alias(f) for f in cfg.model_features] + [F.avg("err").alias("_b")]
-    g = scored.agg(*aggs).first()
-    total = sum((g[f] + cfg.reg_param * coef[f]) ** 2 for f in cfg.model_features) + g["_b"] ** 2
-    return math.sqrt(total)
+    aggs = [(F.avg(F.col("err") * F.col(f)) + F.lit(cfg.reg_param * coef[f])).alias(f) for f in cfg.model_features]
+    one = scored.agg(*aggs, F.avg("err").alias("intercept"))
+    names = (*cfg.model_features, "intercept")
+    return one.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("gradient")) for f in names])))
+
+
+def gradient_norm(train_z: DataFrame, coef: dict[str, float], intercept: float, cfg: Config) -> float:
+    rows = gradient(train_z, coef, intercept, cfg).collect()  # one row per feature
+    return math.sqrt(sum(r.gradient ** 2 for r in rows))
+
+
+# A fixed coefficient vector: scoring is checked apart from fitting.
+CHECK_COEFFICIENTS = {"pcoins_wagered": 0.4, "max_streak": -0.1, "n_games_hosted": 0.25, "active_days": 0.3, "login_days": -0.2,
+                      "n_invited": 0.15, "n_rooms": 0.05, "furniture_cnt": -0.35, "n_feedings": 0.1, "n_arcade": -0.05,
+                      "stated_intent": 0.5, "was_invited": -0.15, "surveyed": 0.2}
+CHECK_INTERCEPT = -1.25

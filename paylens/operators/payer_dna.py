@@ -7,29 +7,29 @@ from pyspark.sql import functions as F
 
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, band_ord_ratio, label_of
-from paylens.functions.exact import avg_exact, rate_pct
+from paylens.functions.exact import avg_exact, rate_pct, round_ratio, round_ratio_scaled
 from paylens.functions.survey import RESPONSE_SCHEMA
 
 
-def _payer_rate_by_band(players: DataFrame, ord_col, band) -> DataFrame:
-    return (players.groupBy(ord_col.alias("ord")).agg(F.count("*").alias("players"),
+def _payer_rate_by_band(players: DataFrame, ord_col, band, by: tuple[str, ...] = ()) -> DataFrame:
+    return (players.groupBy(*by, ord_col.alias("ord")).agg(F.count("*").alias("players"),
                                                       rate_pct(F.col("is_payer")).alias("payer_pct"))
-            .select("ord", label_of(F.col("ord"), band).alias("bucket"), "players", "payer_pct"))
+            .select(*by, "ord", label_of(F.col("ord"), band).alias("bucket"), "players", "payer_pct"))
 
 
-def loss_chasing(store: DataFrame, cfg: Config) -> DataFrame:
+def loss_chasing(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Net outcome (won - wagered) bands over live players who played;
     NULL net falls to the last band. One pass over the store (the economy
     columns were joined in when the store was built)."""
     net = F.col("pgs_won") - F.col("pgs_wagered")
-    return _payer_rate_by_band(store.filter(F.col("in_pgs")), band_ord(net, cfg.net_band), cfg.net_band)
+    return _payer_rate_by_band(store.filter(F.col("in_pgs")), band_ord(net, cfg.net_band), cfg.net_band, by)
 
 
-def bet_size_lift(store: DataFrame, cfg: Config) -> DataFrame:
+def bet_size_lift(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Average stake (wagered / games) bands, compared without dividing."""
     played = store.filter(F.col("in_pgs") & (F.col("pgs_games") > 0))
     return _payer_rate_by_band(played, band_ord_ratio(F.col("pgs_wagered"), F.col("pgs_games"), cfg.stake_band),
-                               cfg.stake_band)
+                               cfg.stake_band, by)
 
 
 def game_type_pay(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -38,22 +38,24 @@ def game_type_pay(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
             .agg(F.count("*").alias("players"), rate_pct(F.col("is_payer")).alias("payer_pct")))
 
 
-def payer_psychology(store: DataFrame, cfg: Config) -> DataFrame:
-    """Whales vs regular payers (spend > 0) who played, on game behaviour."""
+def payer_psychology(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    """Whales vs regular payers (spend > 0) who played, on game behaviour.
+    Per-player win rates enter the average as whole millionths of a percent,
+    so it does not depend on the order of the rows."""
     grp = F.when(F.col("lifetime_usd") >= F.lit(cfg.whale_usd), F.lit(cfg.whale_label)).otherwise(F.lit("regular_payer"))
     payers = store.filter(F.col("is_payer") & (F.col("lifetime_usd") > 0) & F.col("in_pgs"))
     games, wins = F.col("pgs_games"), F.col("pgs_wins")
-    win_rate = F.when(games != 0, wins * 100.0 / games)
+    win_rate = F.when(games != 0, round_ratio_scaled(wins * 100, games, 6))
     net = F.col("pgs_won") - F.col("pgs_wagered")
-    return payers.groupBy(grp.alias("grp")).agg(
+    return payers.groupBy(*by, grp.alias("grp")).agg(
         F.count("*").alias("players"),
         avg_exact(games, None, 0).alias("avg_games"),
-        F.round(F.avg(win_rate), 1).alias("win_rate"),
+        round_ratio(F.sum(win_rate), F.count(win_rate) * 1_000_000, 1, wide=True).alias("win_rate"),
         avg_exact(F.col("pgs_wagered"), None, 0, money=True).alias("avg_wagered"),
         avg_exact(net, None, 0, money=True).alias("avg_net_pcoins"))
 
 
-def why_never_bought(survey: DataFrame, store: DataFrame) -> DataFrame:
+def why_never_bought(survey: DataFrame, store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Non-payers' stated barrier over all their responses.
 
     Responses are first collapsed to (player, reason) counts, so a player
@@ -66,6 +68,6 @@ def why_never_bought(survey: DataFrame, store: DataFrame) -> DataFrame:
     named = F.col("reason").isNotNull() & (F.col("reason") != "")
     per_player = (survey.select("player_id", reason.alias("reason"))
                   .groupBy("player_id", "reason").agg(F.count_if(named).alias("n")))
-    nonpayers = store.filter(~F.col("is_payer")).select("player_id")
-    return (per_player.join(nonpayers, "player_id").groupBy("reason")
+    nonpayers = store.filter(~F.col("is_payer")).select("player_id", *by)
+    return (per_player.join(nonpayers, "player_id").groupBy(*by, "reason")
             .agg(F.sum("n").alias("n")).filter(F.col("n") > 0))

@@ -33,20 +33,20 @@ def score_weights(spark: SparkSession, cfg: Config) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, cap double, weight double")
 
 
-def holdout_deciles(store: DataFrame, cfg: Config) -> DataFrame:
+def holdout_deciles(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Ntile over the holdout by score (ties by player id), distributed."""
     from paylens.operators.ranking import ntile
-    hold = store.filter(F.col("is_holdout")).select("player_id", "propensity", "is_payer")
-    return ntile(hold, [F.col("propensity"), F.col("player_id")], cfg.n_tiles, "decile")
+    hold = store.filter(F.col("is_holdout")).select(*by, "player_id", "propensity", "is_payer")
+    return ntile(hold, [F.col("propensity"), F.col("player_id")], cfg.n_tiles, "decile", by)
 
 
-def decile_payer_rate(deciles: DataFrame) -> DataFrame:
+def decile_payer_rate(deciles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """P4."""
-    return deciles.groupBy("decile").agg(
+    return deciles.groupBy(*by, "decile").agg(
         F.count("*").alias("players"), rate_pct(F.col("is_payer")).alias("payer_pct"))
 
 
-def holdout_summary(deciles: DataFrame, cfg: Config) -> DataFrame:
+def holdout_summary(deciles: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """P5: size, base rate, top-tile rate and the unrounded-ratio lift."""
     top = F.col("decile") == cfg.n_tiles
     payer = F.col("is_payer")
@@ -54,7 +54,7 @@ def holdout_summary(deciles: DataFrame, cfg: Config) -> DataFrame:
     tn, tp = count_if(top), count_if(top & payer)
     # lift = (tp/tn) / (p/n) = tp*n / (tn*p), rounded once.
     from paylens.functions.exact import round_ratio
-    return deciles.agg(
+    return deciles.groupBy(*by).agg(
         n.alias("holdout_size"),
         pct(p, n).alias("holdout_base_payer_pct"),
         pct(tp, tn).alias("top_decile_payer_pct"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, label_of
 from paylens.functions.exact import money_sum, rate_pct
+from paylens.operators.ranking import top_rows
 
 
 def social_metrics() -> dict:
@@ -33,9 +34,9 @@ def retention_x_pay(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) ->
             .select(*by, label_of(F.col("_b"), cfg.active_band).alias("bucket"), "ord", "players", "payer_pct"))
 
 
-def geo(store: DataFrame, cfg: Config) -> DataFrame:
+def geo(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Top countries by players (ties by code)."""
-    return (store.filter(F.col("country_code").isNotNull()).groupBy("country_code")
+    counts = (store.filter(F.col("country_code").isNotNull()).groupBy(*by, "country_code")
             .agg(F.count("*").alias("players"), rate_pct(F.col("is_payer")).alias("payer_pct"),
-                 F.round(money_sum(F.col("lifetime_usd")), 0).cast("decimal(38,0)").alias("usd"))
-            .orderBy(F.col("players").desc(), F.col("country_code")).limit(cfg.top_countries_geo))
+                 F.round(money_sum(F.col("lifetime_usd")), 0).cast("decimal(38,0)").alias("usd")))
+    return top_rows(counts, [F.col("players").desc(), F.col("country_code")], cfg.top_countries_geo, by)

@@ -14,17 +14,17 @@ def _distinct(col: str, rsd: float | None):
     return F.approx_count_distinct(col, rsd) if rsd else F.countDistinct(col)
 
 
-def product_mix(pcoin_transaction: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+def product_mix(pcoin_transaction: DataFrame, approx_rsd: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Completed transactions by product (deleted players included)."""
     return (pcoin_transaction.filter(F.col("status").cast("string") == "completed")
-            .groupBy("product_id")
+            .groupBy(*by, "product_id")
             .agg(F.count("*").alias("tx"), _distinct("player_id", approx_rsd).alias("ppl"),
                  money_sum(F.col("price")).alias("usd")))
 
 
-def wagering_by_game(game_session: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+def wagering_by_game(game_session: DataFrame, approx_rsd: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Sessions, distinct hosts, total stake per game type."""
-    return (game_session.groupBy("game_type")
+    return (game_session.groupBy(*by, "game_type")
             .agg(F.count("*").alias("sessions"), _distinct("host_player_id", approx_rsd).alias("hosts"),
                  money_sum(F.col("bet_amount")).alias("pcoins_wagered")))
 

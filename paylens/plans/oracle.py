@@ -59,16 +59,17 @@ def oracle_sql(cfg: Config = FIXTURE_PROFILE, store_table: str | None = None) ->
     out: dict[str, str] = {}
 
     # --- F
-    out["player_base"] = W("SELECT * FROM base")
+    out["player_base"] = W("SELECT * FROM profile")
     out["latest_survey"] = W("SELECT * FROM sv")
-    out["room_streak"] = W("SELECT * FROM rooms")
-    out["owned_items"] = W("SELECT * FROM owned")
-    out["wager_profile"] = W("SELECT * FROM wager")
-    out["feed_count"] = W("SELECT * FROM feed")
-    out["arcade_count"] = W("SELECT * FROM arc")
-    out["invite_count"] = W("SELECT * FROM social")
-    out["purchases"] = W("SELECT * FROM buys")
-    out["prime_revenue"] = W("SELECT * FROM prime")
+    out["room_streak"] = W("SELECT player_id, max_streak, n_rooms FROM tally WHERE n_rooms > 0")
+    out["owned_items"] = W("SELECT player_id, furniture_cnt, wardrobe_cnt FROM tally WHERE n_managed > 0")
+    out["wager_profile"] = W("SELECT player_id, n_games_hosted, pcoins_wagered, fav_game FROM tally LEFT JOIN modal USING (player_id) "
+                              "WHERE n_games_hosted > 0")
+    out["feed_count"] = W("SELECT player_id, n_feedings FROM tally WHERE n_feedings > 0")
+    out["arcade_count"] = W("SELECT player_id, n_arcade FROM tally WHERE n_arcade > 0")
+    out["invite_count"] = W("SELECT player_id, n_invited FROM tally WHERE n_invited > 0")
+    out["purchases"] = W("SELECT player_id, n_purchases, pcoin_total, first_buy FROM tally WHERE n_purchases > 0")
+    out["prime_revenue"] = W("SELECT player_id, prime_total FROM tally WHERE n_renewals > 0")
     out["survey_intent"] = W("SELECT player_id, age_bucket, surveyed, price_feeling, pay_state, half_off, "
                              "stated_intent FROM player_features")
     out["revealed_outcome"] = W("SELECT player_id, n_purchases, pcoin_usd, prime_usd, lifetime_usd, is_payer, "
@@ -121,9 +122,10 @@ FROM (SELECT player_id, {S.band_ord_ratio('wagered', 'games', cfg.stake_band)} A
 JOIN scored f USING (player_id) GROUP BY ord""")
     out["game_type_pay"] = W(f"""SELECT fav_game, count(*) AS players, {S.rate_pct('is_payer')} AS payer_pct
 FROM scored WHERE fav_game IS NOT NULL GROUP BY fav_game""")
+    win = S.rrs("g.wins * 100", "g.games", 6)
     out["payer_psychology"] = E(f"""SELECT grp, count(*) AS players,
   {S.avg_exact('g.games', None, 0)} AS avg_games,
-  round(avg(CASE WHEN g.games <> 0 THEN CAST(g.wins AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(g.games AS DOUBLE) END), 1) AS win_rate,
+  {S.rr_wide(f"sum({win})", f"count({win}) * 1000000", 1)} AS win_rate,
   {S.avg_exact('g.wagered', None, 0, money=True)} AS avg_wagered,
   {S.avg_exact('(g.won - g.wagered)', None, 0, money=True)} AS avg_net_pcoins
 FROM (SELECT player_id, CASE WHEN lifetime_usd >= {cfg.whale_usd!r} THEN '{cfg.whale_label}'
@@ -188,7 +190,7 @@ ORDER BY targets DESC, country_code LIMIT {cfg.top_countries_target}""")
   FROM scored WHERE n_purchases >= 1 GROUP BY b)""")
     out["one_time_vs_repeat"] = W(f"""SELECT CASE WHEN n_purchases >= {cfg.repeat_min} THEN 'repeat' ELSE 'one_time' END AS grp,
   count(*) AS players, {S.avg_exact('pcoins_wagered', None, 0, money=True)} AS avg_wagered,
-  {S.avg_exact('max_streak', None, 1)} AS avg_streak, round(avg(active_days), 1) AS avg_active_days
+  {S.avg_exact('max_streak', None, 1)} AS avg_streak, {S.avg_days('active_days', 1)} AS avg_active_days
 FROM scored WHERE n_purchases >= 1 GROUP BY grp""")
     whale = S.percentile_select("SELECT * FROM scored WHERE is_payer", "CAST(lifetime_usd * 100 AS BIGINT)",
                                 "player_id", [(1, 2), (9, 10), (99, 100)], 100, 2,
@@ -349,10 +351,10 @@ UNION ALL SELECT player_id, 0 AS y FROM negs, kk WHERE (rn - 1) % k = 0""")
     out["revenue_reconciliation"] = with_ctes(*base, f"""
 rcs AS (SELECT {rc} AS rc FROM lineitem),
 dbs AS (SELECT CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS db FROM scored),
-rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS external_revenue_usd,
-  db AS store_revenue_usd, {active} AS external_active_users_28d, diff AS diff_usd,
-  {S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)} AS diff_pct,
-  abs({S.rr_wide('CAST(diff * 100 AS BIGINT) * 100', 'CAST(rc * 100 AS BIGINT)', 2)}) <= 5.0 AS within_tolerance
+rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS rc_total_revenue_usd,
+  db AS db_total_revenue_usd, {active} AS rc_active_users_28d, diff AS diff_usd,
+  {S.rr_wide('CAST(diff * 100 AS HUGEINT) * 100', 'CAST(rc * 100 AS HUGEINT)', 2)} AS diff_pct,
+  abs({S.rr_wide('CAST(diff * 100 AS HUGEINT) * 100', 'CAST(rc * 100 AS HUGEINT)', 2)}) <= 5.0 AS within_tolerance
 FROM rec""")
     from paylens.operators.quality import PII_PATTERNS
     from paylens.plans.registry import PII_SOURCES
@@ -397,6 +399,8 @@ FROM pcoin_transaction WHERE status = 'completed' GROUP BY period_start""")
 FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
   {S.rr_wide('sum(CAST(lifetime_usd * 100 AS BIGINT))', 'count(*) * 100', 3)} AS arpu_lifetime_usd,
   {S.count_if(f'last_seen > {win_start}')} AS active_users_28d FROM scored)""")
+    out.update(_grouped(cfg, W, base, tgt, loss_sel=loss_sel))
+    out.update(_model(cfg, W, base, matrix))
     out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,
@@ -405,4 +409,70 @@ FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
   count(*) FILTER (WHERE event_type <> 'purchase') AS wagers,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type <> 'purchase') AS DECIMAL(38,2)) AS wagered
 FROM events GROUP BY user_id"""
+    out["insights_bundle"] = _insights(cfg, out)
+    return out
+
+
+def _insights(cfg: Config, texts: dict[str, str]) -> str:
+    """Every section of the insights document as (section, position, key, number, text) rows."""
+    from paylens.operators.bundle import SECTIONS
+    parts = []
+    for s in SECTIONS:
+        if s.query:
+            source = f"({texts[s.query]})"
+        else:  # the score weights are configuration
+            weights = [*((t.feature, t.weight) for t in cfg.score_terms), ("stated_intent", cfg.intent_weight)]
+            source = "(VALUES " + ", ".join(f"('{f}', {w})" for f, w in weights) + ") AS w(feature, weight)"
+        order = ", ".join(f"{o} NULLS FIRST" if isinstance(o, str) else f"{o[0]} DESC NULLS LAST" for o in s.order)
+        position = f"row_number() OVER (ORDER BY {order}) - 1" if order else "0"
+        cells = ", ".join(
+            "{" + f"'key': '{c}', 'number': " + ("CAST(NULL AS DOUBLE)" if c in s.texts else f"CAST({c} AS DOUBLE)")
+            + ", 'text': " + (f"CAST({c} AS VARCHAR)" if c in s.texts else "CAST(NULL AS VARCHAR)") + "}" for c in s.columns)
+        parts.append(f"SELECT '{s.path}' AS section, CAST(position AS INTEGER) AS position, e.key AS key, e.number AS number, "
+                     f"e.text AS text FROM (SELECT position, unnest([{cells}]) AS e FROM "
+                     f"(SELECT *, {position} AS position FROM {source}))")
+    return "\nUNION ALL ".join(parts)
+
+
+def _grouped(cfg: Config, W, base, tgt: str, loss_sel: str) -> dict[str, str]:
+    """The same analyses per tenant, where ranks, tops and maxima restart per group."""
+    tn, out = "acquisition_source", {}
+    out["deciles_by_tenant"] = W(f"""SELECT {tn}, player_id, propensity,
+  CAST(ntile({cfg.n_tiles}) OVER (PARTITION BY {tn} ORDER BY propensity, player_id) AS INTEGER) AS decile
+FROM scored WHERE is_holdout""")
+    payer = "SELECT *, CAST(lifetime_usd * 100 AS HUGEINT) AS v FROM scored WHERE is_payer"
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY {tn} ORDER BY v, player_id) AS rn, "
+              f"count(*) OVER (PARTITION BY {tn}) AS n FROM ({payer})")
+    picks, outs = [], []
+    for i, (a, b, name) in enumerate(((1, 2, "median_usd"), (9, 10, "p90_usd"), (99, 100, "p99_usd"))):
+        lo = f"((n - 1) * {a} // {b} + 1)"
+        picks += [f"max(v) FILTER (WHERE rn = {lo}) AS lo{i}", f"max(v) FILTER (WHERE rn = LEAST({lo} + 1, n)) AS hi{i}",
+                  f"max((n - 1) * {a} % {b}) AS f{i}"]
+        outs.append(f"{S.rr_wide(f'(lo{i} * {b} + (hi{i} - lo{i}) * f{i})', str(b * 100), 2)} AS {name}")
+    out["whales_by_tenant"] = W(f"""SELECT {tn}, payers, {', '.join(outs)}, max_usd FROM (
+  SELECT {tn}, count(*) AS payers, max(lifetime_usd) AS max_usd, {', '.join(picks)} FROM ({ranked}) GROUP BY {tn})""")
+    out["target_countries_by_tenant"] = W(f"""SELECT {tn}, country_code, targets FROM (
+  SELECT {tn}, country_code, count(*) AS targets,
+         row_number() OVER (PARTITION BY {tn} ORDER BY count(*) DESC, country_code) AS place
+  FROM scored WHERE {tgt} AND country_code IS NOT NULL GROUP BY {tn}, country_code) WHERE place <= {cfg.top_countries_target}""")
+    ab = cfg.active_band
+    out["retention_pct_of_max_by_tenant"] = W(f"""SELECT *, CAST(100 AS DOUBLE) * payer_pct / max(payer_pct) OVER (PARTITION BY {tn})
+  AS pct_of_max FROM (SELECT {tn}, {S.band_label('b', ab)} AS bucket, ord, players, payer_pct FROM (
+    SELECT {tn}, {S.band_ord('active_days', ab)} AS b, min(active_days) AS ord, count(*) AS players,
+           {S.rate_pct('is_payer')} AS payer_pct FROM scored GROUP BY {tn}, b))""")
+    return out
+
+
+def _model(cfg: Config, W, base, matrix: str) -> dict[str, str]:
+    """M4/M8: the fitted point has no gradient. M5: scores under a fixed coefficient vector."""
+    from paylens.operators.model import CHECK_COEFFICIENTS, CHECK_INTERCEPT, SIGMOID_CLIP
+    out = {"model_gradient": "\nUNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST(0 AS DOUBLE) AS gradient" for f in (*cfg.model_features, "intercept"))}
+    moments = ", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE 1 END AS s_{f}"
+                        for f in cfg.model_features)
+    z = " + ".join([f"CAST({CHECK_INTERCEPT!r} AS DOUBLE)"] + [
+        f"(({f} - m_{f}) / s_{f}) * CAST({CHECK_COEFFICIENTS[f]!r} AS DOUBLE)" for f in cfg.model_features])
+    out["model_scores"] = with_ctes(*base, f"\nm AS ({matrix})", f"\nmom AS (SELECT {moments} FROM m WHERE is_test = 0)", select=f"""
+SELECT player_id, y, round(CASE WHEN z < -{SIGMOID_CLIP} THEN 1e-13 WHEN z > {SIGMOID_CLIP} THEN 1 ELSE 1 / (1 + exp(-z)) END, 6) AS score
+FROM (SELECT player_id, y, {z} AS z FROM m, mom WHERE is_test = 1)""")
     return out

@@ -371,12 +371,12 @@ def q_model_report(spark, d):
 @query("revenue_reconciliation")
 def q_revenue_reconciliation(spark, d):
     from paylens.operators.quality import revenue_reconciliation
-    from paylens.sources.revenue import lineitem_revenue_source
     ws = _ws(spark, d)
-    return revenue_reconciliation(lineitem_revenue_source(ws.tables), ws.store)
+    return revenue_reconciliation(ws.revenue, ws.store)
 
 
-PII_SOURCES = (("documents", ("text",)), ("pages", ("url", "html")), ("conversations", ("role", "text")))
+PII_SOURCES = (("documents", ("text", "lang", "source")), ("pages", ("url", "html")), ("benchmark", ("text",)),
+               ("conversations", ("role", "text")))
 
 
 @query("pii_scan")
@@ -393,7 +393,7 @@ def q_pii_scan(spark, d):
 def q_insights_bundle(spark, d):
     from paylens.operators import bundle
     from paylens.plans.run import sections
-    return bundle.insights_bundle(sections(_ws(spark, d)))
+    return bundle.insights_rows(sections(_ws(spark, d)))
 
 
 @query("brief_facts")
@@ -448,7 +448,7 @@ def q_arpu(spark, d):
 def q_incremental_player_activity(spark, d):
     """The streaming job run over the event table to completion."""
     from paylens.streaming.incremental import run_to_completion
-    return run_to_completion(spark, d, file_glob="events.parquet")
+    return run_to_completion(spark, d.rstrip("/") + "/events.parquet")
 
 
 @query("decile_pct_of_max")
@@ -494,3 +494,49 @@ def q_levers_by_tenant(spark, d):
 def q_lift_by_tenant(spark, d):
     ws = _ws(spark, d)
     return behaviour.predictor_lift(ws.store, ws.cfg, by=TENANT)
+
+
+@query("deciles_by_tenant")
+def q_deciles_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return propensity.holdout_deciles(ws.store, ws.cfg, by=TENANT).select(*TENANT, "player_id", "propensity", "decile")
+
+
+@query("whales_by_tenant")
+def q_whales_by_tenant(spark, d):
+    return growth.whale_concentration(_ws(spark, d).store, by=TENANT)
+
+
+@query("target_countries_by_tenant")
+def q_target_countries_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return growth.target_by_country(ws.store, ws.cfg, by=TENANT)
+
+
+@query("retention_pct_of_max_by_tenant")
+def q_retention_pct_of_max_by_tenant(spark, d):
+    ws = _ws(spark, d)
+    return levers.pct_of_max(social.retention_x_pay(ws.store, ws.cfg, by=TENANT), "payer_pct", by=TENANT)
+
+
+@query("model_gradient")
+def q_model_gradient(spark, d):
+    """M4, M8: the published objective has no slope left at the fitted coefficients (4 dp)."""
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    run = _model_run(ws)
+    matrix = model.feature_matrix(ws.store, ws.cfg)
+    z = model.standardize(matrix, model.Moments.of(model.feature_moments(matrix, ws.cfg)), ws.cfg)
+    slope = model.gradient(model.class_balance(z, ws.cfg), run.coefficients, run.intercept, ws.cfg)
+    return slope.select("feature", (F.round("gradient", 4) + F.lit(0.0)).alias("gradient"))
+
+
+@query("model_scores")
+def q_model_scores(spark, d):
+    """M5: holdout scores under a fixed coefficient vector."""
+    from paylens.operators import model
+    ws = _ws(spark, d)
+    matrix = model.feature_matrix(ws.store, ws.cfg)
+    z = model.standardize(matrix, model.Moments.of(model.feature_moments(matrix, ws.cfg)), ws.cfg)
+    scored = model.score(z.filter(F.col("is_test") == 1), model.CHECK_COEFFICIENTS, model.CHECK_INTERCEPT, ws.cfg)
+    return scored.select("player_id", "y", F.round("score", 6).alias("score"))

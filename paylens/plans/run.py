@@ -1,6 +1,7 @@
 """End-to-end run: store -> analyses -> model -> reconciliation -> gate -> sinks.
 
-    python -m paylens.plans.run --data /root/testdata/sf0.1 --out /some/shared/dir
+    python -m paylens --roles <folder of role tables> --revenue <document.json> --out <folder>
+    python -m paylens --data /root/testdata/sf0.1 --out <folder>
 
 Nothing is written before the personal-data gate has passed on every
 document (the model report included).
@@ -15,13 +16,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.config import FIXTURE_PROFILE, Config
+from paylens.config import FIXTURE_PROFILE, PROFILES, Config
 from paylens.operators import (behaviour, bundle, growth, headline, levers, model, payer_dna,
                                propensity, social, why_pay)
 from paylens.operators.quality import assert_no_pii, revenue_reconciliation
 from paylens.plans.workspace import Workspace, workspace
 from paylens.sources import sinks
-from paylens.sources.revenue import lineitem_revenue_source
 
 
 class Analyses:
@@ -94,38 +94,39 @@ class Analyses:
     def cross_sell(self) -> DataFrame:
         return self._family("pcs")
 
-    def sections(self) -> list[tuple[str, DataFrame, list | None]]:
+    def sections(self) -> dict[str, DataFrame]:
+        """Every section of the insights document by its path."""
         ws = self.ws
         s, cfg, roles = ws.store, ws.cfg, ws.roles
-        return [
-            ("headline", self.head, None),
-            ("why_pay.product_mix", why_pay.product_mix(roles.pcoin_transaction), [("usd", "desc"), "product_id"]),
-            ("why_pay.wagering_by_game", why_pay.wagering_by_game(roles.game_session), [("sessions", "desc"), "game_type"]),
-            ("why_pay.cosmetics_gap", self.cosmetics, None),
-            ("why_pay.payer_archetypes", why_pay.payer_archetypes(s, cfg), [("usd", "desc"), "archetype"]),
-            ("payer_dna.loss_chasing", payer_dna.loss_chasing(s, cfg), ["ord"]),
-            ("payer_dna.bet_size_lift", payer_dna.bet_size_lift(s, cfg), ["ord"]),
-            ("payer_dna.game_type_pay", payer_dna.game_type_pay(s), [("payer_pct", "desc"), "fav_game"]),
-            ("payer_dna.payer_psychology", payer_dna.payer_psychology(s, cfg), ["grp"]),
-            ("payer_dna.why_never_bought", payer_dna.why_never_bought(roles.survey_response, s), [("n", "desc"), "reason"]),
-            ("behavior_diff.predictor_lift", self.lift, [("lift", "desc"), "feature"]),
-            ("propensity.decile_payer_rate", propensity.decile_payer_rate(self.deciles), ["decile"]),
-            ("propensity.summary", self.summary, None),
-            ("propensity.weights", propensity.score_weights(ws.spark, cfg), None),
-            ("convert_more.target_pool", self.pool, None),
-            ("convert_more.target_by_country", growth.target_by_country(s, cfg), [("targets", "desc"), "country_code"]),
-            ("convert_more.conversion_moment", self.moment, None),
-            ("convert_more.wagered_before_paying_pct", self.wager_share, None),
-            ("expand_more.purchase_freq", self.freq, ["ord"]),
-            ("expand_more.one_time_vs_repeat", growth.one_time_vs_repeat(s, cfg), ["grp"]),
-            ("expand_more.whale_concentration", growth.whale_concentration(s), None),
-            ("expand_more.prime_cross_sell", self.cross_sell, None),
-            ("social_retention_geo.social", self._family("soc"), None),
-            ("social_retention_geo.retention_x_pay", social.retention_x_pay(s, cfg), ["ord"]),
-            ("social_retention_geo.geo", social.geo(s, cfg), [("players", "desc"), "country_code"]),
-            ("diagnostic.levers", self.levers, [("est_upside_usd", "desc"), "lever"]),
-            ("revenue_validation", revenue_reconciliation(lineitem_revenue_source(ws.tables), s), None),
-        ]
+        return {
+            "headline": self.head,
+            "why_pay.product_mix": why_pay.product_mix(roles.pcoin_transaction),
+            "why_pay.wagering_by_game": why_pay.wagering_by_game(roles.game_session),
+            "why_pay.cosmetics_gap": self.cosmetics,
+            "why_pay.payer_archetypes": why_pay.payer_archetypes(s, cfg),
+            "payer_dna.loss_chasing": payer_dna.loss_chasing(s, cfg),
+            "payer_dna.bet_size_lift": payer_dna.bet_size_lift(s, cfg),
+            "payer_dna.game_type_pay": payer_dna.game_type_pay(s),
+            "payer_dna.payer_psychology": payer_dna.payer_psychology(s, cfg),
+            "payer_dna.why_never_bought": payer_dna.why_never_bought(roles.survey_response, s),
+            "behavior_diff.predictor_lift": self.lift,
+            "propensity.decile_payer_rate": propensity.decile_payer_rate(self.deciles),
+            "propensity.summary": self.summary,
+            "propensity.weights": propensity.score_weights(ws.spark, cfg),
+            "convert_more.target_pool": self.pool,
+            "convert_more.target_by_country": growth.target_by_country(s, cfg),
+            "convert_more.conversion_moment": self.moment,
+            "convert_more.wagered_before_paying_pct": self.wager_share,
+            "expand_more.purchase_freq": self.freq,
+            "expand_more.one_time_vs_repeat": growth.one_time_vs_repeat(s, cfg),
+            "expand_more.whale_concentration": growth.whale_concentration(s),
+            "expand_more.prime_cross_sell": self.cross_sell,
+            "social_retention_geo.social": self._family("soc"),
+            "social_retention_geo.retention_x_pay": social.retention_x_pay(s, cfg),
+            "social_retention_geo.geo": social.geo(s, cfg),
+            "diagnostic.levers": self.levers,
+            "revenuecat_validation": revenue_reconciliation(ws.revenue, s),
+        }
 
     def brief(self) -> DataFrame:
         return bundle.brief_facts(self.head, self.levers, self.wager_share, self.moment, self.cosmetics,
@@ -138,7 +139,7 @@ def analyses(ws: Workspace) -> Analyses:
     return ws.__dict__["_analyses"]
 
 
-def sections(ws: Workspace) -> list[tuple[str, DataFrame, list | None]]:
+def sections(ws: Workspace) -> dict[str, DataFrame]:
     return analyses(ws).sections()
 
 
@@ -147,18 +148,25 @@ def brief(ws: Workspace) -> DataFrame:
 
 
 def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXTURE_PROFILE,
-            fresh: bool = False, ws: Workspace | None = None) -> dict:
-    """``fresh`` rebuilds everything instead of reusing this session's store;
-    ``ws`` runs on a prepared workspace (e.g. other role tables)."""
+            fresh: bool = False, ws: Workspace | None = None, store_dir: str | None = None) -> dict:
+    """Build, analyse, gate, write.
+
+    ``fresh`` rebuilds everything instead of reusing this session's store;
+    ``ws`` runs on a prepared workspace (its own config and role tables).
+    ``out_dir`` gets the published documents, aggregates only. Per-player
+    rows stay in the workspace's own table; ``store_dir``, a private folder,
+    gets a copy of them if given.
+    """
     if ws is None:
         ws = Workspace(spark, data_dir.rstrip("/"), cfg) if fresh else workspace(spark, data_dir, cfg)
+    cfg = ws.cfg
     a = analyses(ws)
     secs = a.sections()  # builds every analysis plan (rankings checkpoint here, once)
     facts_plan = a.brief()
-    # the three documents are a few hundred bytes each: keep them so the
-    # gate and the writes do not recompute the analyses behind them. They
-    # are independent, so their jobs run concurrently (Spark schedules jobs
-    # from several driver threads side by side; most stages here are small).
+    # the documents are a few hundred bytes each: keep them so the gate and
+    # the writes do not recompute the analyses behind them. Model report and
+    # facts are independent, so their jobs run concurrently (Spark schedules
+    # jobs from several driver threads side by side; most stages are small).
     from concurrent.futures import ThreadPoolExecutor
 
     def materialise(df):
@@ -171,31 +179,55 @@ def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXT
         return materialise(sinks.model_report_document(model.evaluation(run, cfg), run.coefficient_frame(spark)))
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        f_doc = pool.submit(lambda: materialise(bundle.bundle_document(bundle.insights_bundle(secs))))
+        f_body = pool.submit(lambda: materialise(bundle.insights_members(secs)))
         f_report = pool.submit(model_report)
         f_facts = pool.submit(lambda: materialise(facts_plan))
-        doc, report, facts = f_doc.result(), f_report.result(), f_facts.result()
+        body, report, facts = f_body.result(), f_report.result(), f_facts.result()
+    doc = materialise(bundle.insights_document(body, report))
     # gate everything first; only then write
     for name, df in (("insights", doc), ("model_report", report), ("brief_facts", facts)):
         assert_no_pii(df, name)
-    sinks.write_store(ws.store, os.path.join(out_dir, "player_features"))
     sinks.write_document(doc, os.path.join(out_dir, "insights.json"), gate=False)
     sinks.write_document(report, os.path.join(out_dir, "model_report.json"), gate=False)
     facts.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "brief_facts"))
-    for df in (doc, report, facts):
+    if store_dir:
+        sinks.write_store(ws.store, store_dir)
+    for df in (doc, body, report, facts):
         df.unpersist()
+    if fresh:
+        ws.release()
     return {"sections": len(secs), "out": out_dir}
 
 
 def main(argv=None):
     from paylens.session import get_session
-    ap = argparse.ArgumentParser()
-    ap.add_argument("--data", required=True)
-    ap.add_argument("--out", required=True)
+    from paylens.sources.revenue import read_revenue_document
+    from paylens.sources.tables import read_role_tables
+    ap = argparse.ArgumentParser(description="Build the store, run every analysis, gate and write the documents.")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--roles", help="folder with the nine role tables (or a JDBC URL with --format jdbc)")
+    src.add_argument("--data", help="folder with the test tables")
+    ap.add_argument("--format", default="parquet", help="format of the role tables: parquet, orc, json, jdbc ...")
+    ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option (repeatable)")
+    ap.add_argument("--revenue", help="JSON document of the second revenue source (with --roles)")
+    ap.add_argument("--profile", choices=sorted(PROFILES), help="thresholds (default: reference with --roles, else fixture)")
+    ap.add_argument("--out", required=True, help="folder of the published documents")
+    ap.add_argument("--store", help="private folder for the per-player store")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    if a.roles and not a.revenue:
+        ap.error("--roles needs --revenue")
     spark = get_session(master=a.master)
-    print(run_all(spark, a.data, a.out))
+    cfg = PROFILES[a.profile or ("reference" if a.roles else "fixture")]
+    ws = None
+    if a.roles:
+        roles = read_role_tables(spark, a.roles, a.format, options=dict(o.split("=", 1) for o in a.option))
+        ws = Workspace(spark, a.roles, cfg, roles=roles, revenue=read_revenue_document(spark, a.revenue))
+    result = run_all(spark, a.data or a.roles, a.out, cfg, ws=ws, store_dir=a.store)
+    if ws:
+        ws.release()
+    print(result)
+    return result
 
 
 if __name__ == "__main__":

@@ -33,6 +33,10 @@ def avg_exact(col: str, cond: str | None, digits: int, money: bool = False) -> s
     return rr(f"sum({v}){f}", f"count({v}){f}", digits)
 
 
+def avg_days(col: str, digits: int) -> str:
+    return rr_wide(f"sum(CAST(round({col} * 86400000000) AS HUGEINT))", f"count({col}) * 86400000000", digits)
+
+
 def money_sum(col: str, cond: str | None = None) -> str:
     f = f" FILTER (WHERE {cond})" if cond else ""
     return f"CAST(sum({col}){f} AS DECIMAL(38,2))"
@@ -85,6 +89,6 @@ def percentile_select(src: str, value: str, key: str, fractions, unit: int, digi
         outs.append(f"{rr_wide(f'(lo{i} * {b} + (hi{i} - lo{i}) * f{i})', str(b * unit), digits)} AS {label}")
     ranked = (f"SELECT *, CAST({value} AS HUGEINT) AS v, row_number() OVER (ORDER BY {value}, {key}) AS rn, "
               f"count(*) OVER () AS n FROM ({src})")
-    inner = f"SELECT max(n) AS n, {', '.join(picks + list(extra))} FROM ({ranked})"
+    inner = f"SELECT count(*) AS n, {', '.join(picks + list(extra))} FROM ({ranked})"
     extra_names = [e.rsplit(" AS ", 1)[1] for e in extra]
     return f"SELECT {', '.join(outs + extra_names)} FROM ({inner})"

@@ -1,13 +1,18 @@
 """Workspace: bound role tables and the materialised, scored feature store.
 
 The store is the shared input of every analysis, so it is built once per
-(session, data directory, profile) and written as a Parquet table under the
+(session, data directory, config) and written as a Parquet table under the
 shared ``spark.checkpoint.dir``, then read back. That cuts the lineage:
 losing an executor costs a re-read, not a rebuild of nine aggregations,
 and every analysis plans against a two-line scan instead of the whole
 store derivation. ``materialize="cache"`` persists instead (the lineage is
 deterministic -- every tie has an explicit tie-break -- so a lost block
 recomputes to the same rows).
+
+``release()`` removes the tables. ``workspace()`` reuses one per session
+while the config and the input files (paths, sizes, modification times) are
+the same; otherwise it releases the old one and builds anew, so frames
+taken from the old workspace must not be used after that.
 """
 
 from __future__ import annotations
@@ -21,32 +26,49 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylens.config import FIXTURE_PROFILE, Config
 from paylens.session import ensure_checkpoint_dir
+from paylens.sources import files
 from paylens.sources.bindings import RoleTables, bind_fixture_tables
 from paylens.sources.tables import Tables
 
+# what the role bindings and the revenue binding read
+SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "events", "documents")
 _CACHE: dict = {}
 
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE_PROFILE,
-                 materialize: str = "auto"):
+                 materialize: str = "auto", roles: RoleTables | None = None, revenue: DataFrame | None = None):
+        """``roles`` and ``revenue``: production inputs; without them the test
+        tables under ``sf_dir`` play their parts."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.tables = Tables(spark, sf_dir)
         self.materialize = "table" if materialize == "auto" else materialize
+        self._written: list[str] = []
+        if roles is not None:
+            self.__dict__["roles"] = roles
+        if revenue is not None:
+            self.__dict__["revenue"] = revenue
 
     def _materialize(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "table":
             path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-{name}-{uuid.uuid4().hex}")
+            self._written.append(path)
             df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def roles(self) -> RoleTables:
         return bind_fixture_tables(self.tables)
 
+    @cached_property
+    def revenue(self) -> DataFrame:
+        """The second revenue source: revenue_usd, active_users_28d."""
+        from paylens.sources.revenue import lineitem_revenue_source
+        return lineitem_revenue_source(self.tables)
+
     @cached_property
     def store(self) -> DataFrame:
         from paylens.operators.features import feature_store
@@ -69,14 +91,25 @@ class Workspace:
         return names
 
     def release(self):
+        """Remove the materialised tables; the workspace builds them again if used again."""
         for name in ("store", "economy"):
-            if name in self.__dict__ and self.materialize == "cache":
-                self.__dict__[name].unpersist()
+            df = self.__dict__.pop(name, None)
+            if df is not None and self.materialize == "cache":
+                df.unpersist()
+        self.__dict__.pop("_analyses", None)
+        for path in self._written:
+            files.delete(self.spark, path)
+        self._written.clear()
 
 
 def workspace(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE_PROFILE) -> Workspace:
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg.name)
-    ws = _CACHE.get(key)
-    if ws is None:
-        ws = _CACHE[key] = Workspace(spark, sf_dir.rstrip("/"), cfg)
+    root = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, root, cfg)
+    now = tuple(files.identity(spark, f"{root}/{t}.parquet") for t in SOURCE_TABLES)
+    seen, ws = _CACHE.get(key, (None, None))
+    if ws is None or seen != now:
+        if ws is not None:
+            ws.release()
+        ws = Workspace(spark, root, cfg)
+        _CACHE[key] = (now, ws)
     return ws

@@ -17,6 +17,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylens.sources.tables import Tables
 
@@ -30,6 +31,9 @@ PURCHASE_MIN_PRICE = 400000
 AGE_ANSWERS = ("13-17", "18-24", "23-27", "28-35", "35-44", "46+", "")  # k % 8 = 0..6; 7 = absent
 
 
+KEY_COLUMNS = ("player_id", "invited_by", "manager_id", "host_player_id")
+
+
 @dataclass
 class RoleTables:
     player: DataFrame
@@ -42,6 +46,14 @@ class RoleTables:
     pcoin_transaction: DataFrame
     prime_subscription_event: DataFrame
 
+    def __post_init__(self):
+        """Text ids are compared in lower case: normalise every player key once, here."""
+        for name, df in self.as_dict().items():
+            lowered = {c: F.lower(F.col(c)) for c in KEY_COLUMNS if c in df.columns
+                       and isinstance(df.schema[c].dataType, T.StringType)}
+            if lowered:
+                setattr(self, name, df.withColumns(lowered))
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 

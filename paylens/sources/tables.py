@@ -10,6 +10,7 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -29,8 +30,27 @@ class Tables:
         return self._cache[name]
 
 
-def read_role_tables(spark: SparkSession, root: str, fmt: str = "parquet", roles=None):
-    """Production entry: one directory per role table under ``root``."""
+def read_role_tables(spark: SparkSession, root: str, fmt: str = "parquet", roles=None,
+                     options: dict[str, str] | None = None, schemas: dict[str, str] | None = None):
+    """Production entry: the role tables under ``root``, read with their
+    explicit schemas (``schemas`` overrides single ones, e.g. typed arrays).
+
+    One folder per role; with ``fmt="jdbc"`` ``root`` is the database URL and
+    each role is a table. Roles left out of ``roles`` are empty tables.
+    """
     from paylens.sources.bindings import ROLES, RoleTables
-    names = roles or ROLES
-    return RoleTables(**{r: spark.read.format(fmt).load(os.path.join(root, r)) for r in names})
+    from paylens.sources.schemas import ROLE_SCHEMAS
+    wanted, schemas = set(roles or ROLES), {**ROLE_SCHEMAS, **(schemas or {})}
+    if wanted - set(ROLES):
+        raise ValueError(f"unknown roles: {sorted(wanted - set(ROLES))}")
+
+    def read(role):
+        if role not in wanted:
+            return spark.createDataFrame([], schemas[role])
+        reader = spark.read.format(fmt).options(**(options or {}))
+        if fmt == "jdbc":  # the database states the types; columns are cast to the role's
+            df = reader.option("url", root).option("dbtable", role).load()
+            fields = T.StructType.fromDDL(schemas[role])
+            return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in fields])
+        return reader.schema(schemas[role]).load(os.path.join(root, role))
+    return RoleTables(**{r: read(r) for r in ROLES})

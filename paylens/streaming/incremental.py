@@ -1,16 +1,25 @@
 """Incremental per-player activity features on Structured Streaming.
 
-readStream(events) -> watermark on event time -> drop duplicate event ids
-within the watermark -> per-player running aggregates (count / sum / min /
-max are all mergeable, so the state store holds one small row per player)
--> ``update`` output -> ``foreachBatch`` writes the changed rows of each
-micro-batch into its own ``batch_id=`` folder, overwriting on replay
-(idempotent). The current table is the newest row per player over all
-batches (``max_by`` on batch id, partially aggregated).
-
-Non-monotone features (modal game, latest survey, refunds) are not kept
-incrementally; they are recomputed from the event log by the batch store.
-Checkpoint and sink live under the cluster's shared checkpoint folder.
+The file source hands over new event files in micro-batches
+(``maxBytesPerTrigger`` bounds each one). ``foreachBatch`` then
+
+1. drops repeated event ids inside the batch and, by an anti-join, those of
+   earlier batches: a ledger of (event id, day) is kept on disk, and only
+   the days that occur in the batch are read back (a redelivered event keeps
+   its own time);
+2. writes the batch's new ids and its per-player aggregate, each into its
+   own ``batch_id=`` folder (overwritten when a batch is replayed).
+
+Count, sum, min and max are mergeable, so the current table is one
+partially aggregated group-by over the deltas. No watermark decides what
+counts: events in any order and any delay are all counted once, and no
+state grows in memory. Every ``compact_every`` batches, all batches before
+the running one (they are committed) are folded into a base, so neither
+table grows in files or in rows beyond its distinct keys.
+
+Events without an id cannot be recognised as repeats; each of them counts.
+Non-monotone features (modal game, latest survey, refunds) are recomputed
+from the event log by the batch store.
 """
 
 from __future__ import annotations
@@ -24,93 +33,148 @@ from pyspark.sql import functions as F
 
 from paylens.functions.exact import MONEY
 from paylens.session import ensure_checkpoint_dir
+from paylens.sources import files
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                 "value double, props string")
-ACTIVITY_COLUMNS = ("user_id", "events", "purchases", "purchase_usd", "first_purchase", "last_purchase",
-                    "wagers", "wagered")
+ACTIVITY_SCHEMA = ("user_id bigint, events bigint, purchases bigint, purchase_usd decimal(38,2), "
+                   "first_purchase timestamp_ntz, last_purchase timestamp_ntz, wagers bigint, wagered decimal(38,2)")
+LEDGER_SCHEMA = "event_id bigint, day date"
 
 
 @dataclass(frozen=True)
 class StreamSettings:
-    watermark: str = "2 hours"
     purchase_type: str = "purchase"
     min_purchase_value: float = 150.0
+    max_bytes_per_trigger: str = "16g"
+    compact_every: int = 50
 
 
-def activity_updates(events: DataFrame, s: StreamSettings = StreamSettings()) -> DataFrame:
-    """The streaming (or batch) aggregate; batch input gives the same rows."""
-    ev = events.withColumn("event_time", F.col("ts").cast("timestamp"))
-    if events.isStreaming:
-        ev = ev.withWatermark("event_time", s.watermark).dropDuplicatesWithinWatermark(["event_id"])
-    else:
-        ev = ev.dropDuplicates(["event_id"])
+def unique_events(events: DataFrame) -> DataFrame:
+    """One row per event id; rows without an id stay."""
+    known = events.filter(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
+    return known.unionByName(events.filter(F.col("event_id").isNull()))
+
+
+def activity(events: DataFrame, s: StreamSettings = StreamSettings()) -> DataFrame:
+    """Per-player aggregate of (unique) events."""
     is_purchase = F.col("event_type") == s.purchase_type
     bought = is_purchase & (F.col("value") >= s.min_purchase_value)
-    wager = ~is_purchase
     amount = F.col("value").cast("decimal(18,2)")
-    return ev.groupBy("user_id").agg(
+    return events.groupBy("user_id").agg(
         F.count("*").alias("events"),
         F.count(F.when(bought, 1)).alias("purchases"),
         F.sum(F.when(bought, amount)).cast(MONEY).alias("purchase_usd"),
         F.min(F.when(bought, F.col("ts"))).alias("first_purchase"),
         F.max(F.when(bought, F.col("ts"))).alias("last_purchase"),
-        F.count(F.when(wager, 1)).alias("wagers"),
-        F.sum(F.when(wager, amount)).cast(MONEY).alias("wagered"))
-
-
-def _batch_writer(sink: str):
+        F.count(F.when(~is_purchase, 1)).alias("wagers"),
+        F.sum(F.when(~is_purchase, amount)).cast(MONEY).alias("wagered"))
+
+
+def merge(deltas: DataFrame) -> DataFrame:
+    """Per-player rows of several deltas as one."""
+    total = lambda c: F.sum(c).alias(c)
+    money = lambda c: F.sum(c).cast(MONEY).alias(c)
+    return deltas.groupBy("user_id").agg(
+        total("events"), total("purchases"), money("purchase_usd"), F.min("first_purchase").alias("first_purchase"),
+        F.max("last_purchase").alias("last_purchase"), total("wagers"), money("wagered"))
+
+
+class BatchTable:
+    """Rows by micro-batch under one folder, with a base of folded batches.
+
+    ``base/upto=N`` holds all batches up to N; readers take the newest base
+    that was written completely and the batches after it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def _complete(self, folder: str, prefix: str) -> list[int]:
+        at = os.path.join(self.path, folder)
+        return sorted(int(n[len(prefix):]) for n in files.children(self.spark, at) if n.startswith(prefix)
+                      and files.exists(self.spark, os.path.join(at, n, "_SUCCESS")))
+
+    def _upto(self) -> int:
+        return max(self._complete("base", "upto="), default=-1)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows, or those of batches before ``before``."""
+        upto = self._upto()
+        paths = [os.path.join(self.path, "base", f"upto={upto}")] if upto >= 0 else []
+        paths += [os.path.join(self.path, "batches", f"batch_id={n}") for n in self._complete("batches", "batch_id=")
+                  if n > upto and (before is None or n < before)]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        out = self.spark.read.schema(self.schema).parquet(paths[0])
+        for p in paths[1:]:
+            out = out.unionByName(self.spark.read.schema(self.schema).parquet(p))
+        return out
+
+    def write(self, rows: DataFrame, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(
+            os.path.join(self.path, "batches", f"batch_id={batch_id}"))
+
+    def fold(self, upto: int, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        """Write ``rows`` (all batches up to ``upto``) as the base, then drop what it replaces."""
+        old = self._upto()
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(os.path.join(self.path, "base", f"upto={upto}"))
+        for n in self._complete("batches", "batch_id="):
+            if n <= upto:
+                files.delete(self.spark, os.path.join(self.path, "batches", f"batch_id={n}"))
+        if 0 <= old < upto:
+            files.delete(self.spark, os.path.join(self.path, "base", f"upto={old}"))
+
+
+def _tables(spark: SparkSession, sink: str) -> tuple[BatchTable, BatchTable]:
+    return (BatchTable(spark, os.path.join(sink, "ledger"), LEDGER_SCHEMA),
+            BatchTable(spark, os.path.join(sink, "activity"), ACTIVITY_SCHEMA))
+
+
+def _batch_writer(sink: str, s: StreamSettings):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+        ledger, deltas = _tables(batch.sparkSession, sink)
+        if batch_id and batch_id % s.compact_every == 0:  # earlier batches are committed and never replayed
+            ledger.fold(batch_id - 1, ledger.read(before=batch_id), ("day",))
+            deltas.fold(batch_id - 1, merge(deltas.read(before=batch_id)))
+        events = unique_events(batch.withColumn("day", F.to_date("ts"))).persist()
+        days = [r["day"] for r in events.select("day").distinct().collect()]  # calendar days in the batch
+        seen = ledger.read(before=batch_id).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
+        new = events.join(seen.select("event_id"), "event_id", "left_anti").persist()
+        deltas.write(activity(new, s), batch_id)
+        ledger.write(new.filter("event_id IS NOT NULL").select("event_id", "day"), batch_id, ("day",))
+        new.unpersist()
+        events.unpersist()
     return write
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-_DEFAULT_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-
-
-def _prefer_rocksdb(spark: SparkSession) -> None:
-    """One state row per player (plus event ids inside the watermark) does
-    not belong on the JVM heap at scale: use the RocksDB state store unless
-    the session already chose a provider."""
-    current = spark.conf.get(_PROVIDER_KEY, None)
-    if current in (None, "", _DEFAULT_PROVIDER):
-        spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
-
-
 def start(spark: SparkSession, source: str, sink: str, checkpoint: str,
-          s: StreamSettings = StreamSettings(), available_now: bool = True, max_files: int | None = None,
-          file_glob: str | None = None):
-    """``source`` is a folder that receives event files (``file_glob`` picks them)."""
-    _prefer_rocksdb(spark)
+          s: StreamSettings = StreamSettings(), available_now: bool = True, max_files: int | None = None):
+    """``source``: a folder that receives event files, or one event file."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.parquet(source)
-    w = (activity_updates(stream, s).writeStream.outputMode("update")
-         .foreachBatch(_batch_writer(sink)).option("checkpointLocation", checkpoint))
+    else:
+        reader = reader.option("maxBytesPerTrigger", s.max_bytes_per_trigger)
+    if not files.is_folder(spark, source):
+        folder, name = os.path.split(source.rstrip("/"))
+        reader, source = reader.option("pathGlobFilter", name), folder
+    w = reader.parquet(source).writeStream.foreachBatch(_batch_writer(sink, s)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def current_table(spark: SparkSession, sink: str) -> DataFrame:
-    """Newest row per player across all written micro-batches."""
-    log = spark.read.parquet(sink)
-    cols = [c for c in ACTIVITY_COLUMNS if c != "user_id"]
-    latest = log.groupBy("user_id").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
-    return latest.select("user_id", *[F.col(f"r.{c}").alias(c) for c in cols])
+    """One row per player over all written micro-batches."""
+    return merge(_tables(spark, sink)[1].read())
 
 
 def run_to_completion(spark: SparkSession, source: str, s: StreamSettings = StreamSettings(),
-                      root: str | None = None, max_files: int | None = None,
-                      file_glob: str | None = None) -> DataFrame:
+                      root: str | None = None, max_files: int | None = None) -> DataFrame:
     """Process everything available under ``source`` and return the current table."""
     base = root or os.path.join(ensure_checkpoint_dir(spark), f"paylens-stream-{uuid.uuid4().hex}")
     q = start(spark, source, os.path.join(base, "sink"), os.path.join(base, "state"), s,
-              available_now=True, max_files=max_files, file_glob=file_glob)
+              available_now=True, max_files=max_files)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

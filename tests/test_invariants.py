@@ -51,7 +51,7 @@ def test_lever_arithmetic(q, spark):
     from paylens.plans.workspace import workspace
     cfg = workspace(spark, SF001).cfg
     lv = {r.lever: r for r in q("levers").collect()}
-    prime = lv["Cross-sell the subscription to coin buyers"]
+    prime = lv["Cross-sell PRIME to pcoin buyers"]
     assert prime.est_upside_usd == round(prime.pool * cfg.prime_rate * cfg.prime_price)
 
 
@@ -62,65 +62,109 @@ def test_train_rows_positives_plus_sampled(q):
     assert cb.filter("y = 1").count() + cb.filter("y = 0").count() == r.train_rows
 
 
-def test_bundle_document_is_json(spark):
+def _document(path):
     import json
+    import os
+    part = [f for f in os.listdir(path) if f.startswith("part-")][0]
+    return json.loads(open(os.path.join(path, part)).read())
+
+
+def test_insights_document_has_the_published_shape(spark, q):
+    """Nested sections whose values equal the oracle-checked queries."""
+    import json
+    from decimal import Decimal
+
     from paylens.operators import bundle
     from paylens.plans.run import sections
     from paylens.plans.workspace import workspace
-    b = bundle.insights_bundle(sections(workspace(spark, SF001)))
-    doc = json.loads(bundle.bundle_document(b).first().document)
-    assert doc["headline"][0]["players"] > 0 and len(doc["diagnostic.levers"]) == 3
+    model = spark.createDataFrame([('{"test_auc":0.5}',)], "value string")
+    members = bundle.insights_members(sections(workspace(spark, SF001)))
+    doc = json.loads(bundle.insights_document(members, model).first().document)
+    assert list(doc) == ["headline", "why_pay", "payer_dna", "behavior_diff", "propensity", "convert_more", "expand_more",
+                         "social_retention_geo", "diagnostic", "model", "revenuecat_validation"]
+    assert doc["headline"]["players"] > 0 and len(doc["diagnostic"]["levers"]) == 3 and doc["model"]["test_auc"] == 0.5
+    assert doc["propensity"]["weights"]["pcoins_wagered"] == 30 and doc["propensity"]["holdout_size"] > 0
+    assert isinstance(doc["convert_more"]["wagered_before_paying_pct"], float)
 
-
-def test_reference_profile_runs_end_to_end(spark):
-    """The published thresholds (REFERENCE_PROFILE) drive the same run."""
-    import json
+    def norm(v):
+        return float(v) if isinstance(v, (Decimal, float, int)) and not isinstance(v, bool) else v
+    for s in bundle.SECTIONS:
+        if not s.query:
+            continue
+        want = [{k: norm(v) for k, v in r.asDict().items()} for r in q(s.query).collect()]
+        have = doc[s.parent] if s.shape == bundle.MERGE or "." not in s.path else doc[s.parent][s.name]
+        if s.shape == bundle.SCALAR:
+            assert [{s.columns[0]: norm(have)}] == want
+            continue
+        have = have if s.shape == bundle.ROWS else [{k: v for k, v in have.items() if k in s.columns}]
+        have = [{k: norm(v) for k, v in r.items()} for r in have]
+        key = lambda r: repr(sorted(r.items()))
+        assert sorted(have, key=key) == sorted(want, key=key), s.path
+
+
+def test_reference_profile_runs_end_to_end(spark, tmp_path):
+    """The published thresholds (REFERENCE_PROFILE) drive the same run; only
+    aggregates reach the published folder."""
     import os
-    import tempfile
 
     from paylens.config import REFERENCE_PROFILE
     from paylens.plans.run import run_all
     from tests.conftest import SF0001
-    out = tempfile.mkdtemp(prefix="paylens-ref-run-")
-    res = run_all(spark, SF0001, out, REFERENCE_PROFILE)
+    res = run_all(spark, SF0001, str(tmp_path / "out"), REFERENCE_PROFILE, store_dir=str(tmp_path / "private"))
     assert res["sections"] == 27
-    part = [f for f in os.listdir(os.path.join(out, "insights.json")) if f.startswith("part-")][0]
-    doc = json.loads(open(os.path.join(out, "insights.json", part)).read())
-    assert {r["archetype"] for r in doc["why_pay.payer_archetypes"]} <= {"prime", "whale_75+", "repeat", "one_time"}
-    assert [r["bucket"] for r in doc["social_retention_geo.retention_x_pay"]][-1] == "30+"
-    assert len(doc["diagnostic.levers"]) == 3
+    doc = _document(tmp_path / "out" / "insights.json")
+    assert {r["archetype"] for r in doc["why_pay"]["payer_archetypes"]} <= {"prime", "whale_75+", "repeat", "one_time"}
+    assert [r["bucket"] for r in doc["social_retention_geo"]["retention_x_pay"]][-1] == "30+"
+    assert len(doc["diagnostic"]["levers"]) == 3 and len(doc["model"]["coefficients_by_importance"]) == 13
+    assert sorted(os.listdir(tmp_path / "out")) == ["brief_facts", "insights.json", "model_report.json"]
+    assert spark.read.parquet(str(tmp_path / "private")).count() == doc["headline"]["players"]
 
 
-def test_bundle_sections_equal_standalone_queries(spark, q):
-    """Each insights section carries the same rows as its oracle-checked query."""
+def test_production_run_equals_the_bound_run(spark, tmp_path):
+    """The nine role tables and a revenue document, through the command line."""
     import json
-    from decimal import Decimal
 
-    from paylens.operators import bundle
-    from paylens.plans.run import sections
-    from paylens.plans.workspace import workspace
-    pairs = {"headline": "headline", "why_pay.product_mix": "product_mix",
-             "why_pay.wagering_by_game": "wagering_by_game", "why_pay.cosmetics_gap": "cosmetics_gap",
-             "why_pay.payer_archetypes": "payer_archetypes", "payer_dna.loss_chasing": "loss_chasing",
-             "payer_dna.bet_size_lift": "bet_size_lift", "payer_dna.game_type_pay": "game_type_pay",
-             "payer_dna.payer_psychology": "payer_psychology", "payer_dna.why_never_bought": "why_never_bought",
-             "behavior_diff.predictor_lift": "predictor_lift", "propensity.decile_payer_rate": "decile_payer_rate",
-             "propensity.summary": "holdout_summary", "convert_more.target_pool": "target_pool",
-             "convert_more.target_by_country": "target_by_country",
-             "convert_more.conversion_moment": "conversion_moment",
-             "convert_more.wagered_before_paying_pct": "wagered_share_of_payers",
-             "expand_more.purchase_freq": "purchase_freq", "expand_more.one_time_vs_repeat": "one_time_vs_repeat",
-             "expand_more.whale_concentration": "whale_concentration",
-             "expand_more.prime_cross_sell": "prime_cross_sell", "social_retention_geo.social": "social_rates",
-             "social_retention_geo.retention_x_pay": "retention_x_pay", "social_retention_geo.geo": "geo",
-             "diagnostic.levers": "levers", "revenue_validation": "revenue_reconciliation"}
-    got = {r.section: json.loads(r.json) for r in bundle.insights_bundle(sections(workspace(spark, SF001))).collect()}
-
-    def norm(v):
-        return float(v) if isinstance(v, (Decimal, float, int)) and not isinstance(v, bool) else v
+    from paylens.config import REFERENCE_PROFILE
+    from paylens.plans.run import main, run_all
+    from paylens.plans.workspace import Workspace
+    from tests.conftest import SF0001
+    ws = Workspace(spark, SF0001, REFERENCE_PROFILE)
+    for name, df in ws.roles.as_dict().items():
+        df.write.parquet(str(tmp_path / "roles" / name))
+    r = ws.revenue.first()
+    (tmp_path / "revenue.json").write_text(json.dumps({"revenue_total": {"revenue_usd": str(r.revenue_usd)},
+                                                       "overview_28d": {"active_users_28d": r.active_users_28d}}))
+    run_all(spark, SF0001, str(tmp_path / "a"), ws=ws)
+    ws.release()
+    main(["--roles", str(tmp_path / "roles"), "--revenue", str(tmp_path / "revenue.json"), "--out", str(tmp_path / "b")])
+    a, b = _document(tmp_path / "a" / "insights.json"), _document(tmp_path / "b" / "insights.json")
+    assert a == b
+
+
+def test_workspace_follows_config_and_input(spark, tmp_path):
+    """A changed threshold or changed input files give fresh answers; release removes the tables."""
+    import os
+    import shutil
 
-    for section, name in pairs.items():
-        want = sorted((tuple(sorted((k, norm(v)) for k, v in r.asDict().items())) for r in q(name).collect()),
-                      key=repr)
-        have = sorted((tuple(sorted((k, norm(v)) for k, v in r.items())) for r in got[section]), key=repr)
-        assert have == want, section
+    from paylens.config import FIXTURE_PROFILE
+    from paylens.operators.headline import headline
+    from paylens.plans.workspace import workspace
+    from tests.conftest import SF0001
+    d = str(tmp_path / "data")
+    shutil.copytree(SF0001, d)
+    ws = workspace(spark, d)
+    before = headline(ws.store).first().players
+    assert workspace(spark, d) is ws
+    other = workspace(spark, d, FIXTURE_PROFILE.with_(target_score=5.0))
+    assert other is not ws and other.cfg.target_score == 5.0
+    customers = spark.read.parquet(f"{d}/customer.parquet")
+    customers.unionByName(customers.withColumn("c_custkey", customers.c_custkey + 1_000_000)).coalesce(1).write.parquet(f"{d}/more")
+    part = next(f for f in os.listdir(f"{d}/more") if f.endswith(".parquet"))
+    shutil.copyfile(f"{d}/more/{part}", f"{d}/customer.parquet")
+    fresh = workspace(spark, d)
+    assert fresh is not ws and headline(fresh.store).first().players > before
+    written = [p.replace("file:", "") for p in fresh._written]
+    assert written and all(os.path.isdir(p) for p in written)
+    fresh.release()
+    assert not any(os.path.exists(p) for p in written)
+    other.release()

@@ -19,32 +19,79 @@ def _formatted(spark, df):
 
 
 def _names():
-    from __spark_entry__ import queries
-    return [n for n in queries() if n not in ("incremental_player_activity", "model_coefficients", "model_report",
+    from paylens.plans.registry import QUERIES
+    return [n for n in QUERIES if n not in ("incremental_player_activity", "model_coefficients", "model_report",
                                                "class_balance", "insights_bundle", "brief_facts")]
 
 
 @pytest.mark.parametrize("name", _names())
 def test_no_python_udf_in_plan(spark, name):
-    from __spark_entry__ import queries
-    plan = _plan(queries()[name](spark, SF001))
+    from paylens.plans.registry import QUERIES
+    plan = _plan(QUERIES[name](spark, SF001))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
 
 
-def test_ranking_has_no_single_partition_exchange_on_rows(spark):
-    """The global ntile ranks through a range exchange; a SinglePartition
-    exchange may only appear on the per-partition counts table."""
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_ranking_moves_rows_by_range_only(multi_partition, by):
+    """The rows are range-exchanged once and checkpointed; what follows moves
+    one count per partition (and group), never rows through one partition."""
+    spark = multi_partition
     from pyspark.sql import functions as F
 
-    from paylens.operators.ranking import ntile
-    df = spark.range(5000).select("id", (F.col("id") % 7).alias("s"))
-    t = ntile(df, [F.col("s"), F.col("id")], 10, "tile")
-    plan = t._jdf.queryExecution().executedPlan().toString()
-    # the rows themselves come from the checkpoint (already range-partitioned)
-    assert "Exchange rangepartitioning" not in plan or "LogicalRDD" in plan or "Scan ExistingRDD" in plan
-    sql = spark.range(5000).selectExpr("id", "id % 7 AS s").selectExpr("ntile(10) OVER (ORDER BY s, id) AS t")
-    assert "SinglePartition" in _plan(sql)  # what we avoid
+    from paylens.operators.ranking import global_row_number
+    df = spark.range(5000).select("id", (F.col("id") % 7).alias("s"), (F.col("id") % 3).alias("g"))
+    ranked = global_row_number(df, [F.col("s"), F.col("id")], "rn", by=by)
+    assert ranked.rdd.getNumPartitions() > 1
+    plan = _plan(ranked)
+    assert "ExistingRDD" in plan and "rangepartitioning" not in plan  # the sort is behind the checkpoint
+    for below in _single_partition_inputs(plan):
+        assert "Aggregate" in below
+    want = df.selectExpr("id", f"row_number() OVER (PARTITION BY {'g' if by else '1'} ORDER BY s, id) AS rn")
+    assert sorted(map(tuple, ranked.select("id", "rn").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_class_balance_sorts_ids_only(spark):
+    from pyspark.sql import DataFrame, functions as F
+
+    from paylens.config import REFERENCE_PROFILE
+    from paylens.operators import model
+    cfg = REFERENCE_PROFILE.with_(model_features=("a", "b"))
+    m = spark.range(3000).select(F.col("id").alias("player_id"), F.lit(0).alias("is_test"), (F.col("id") % 50 == 0).cast("int").alias("y"),
+                                 F.rand(1).alias("a"), F.rand(2).alias("b"))
+    seen, plain = [], DataFrame.checkpoint
+    DataFrame.checkpoint = lambda self, *a, **k: (seen.append(self.columns), plain(self, *a, **k))[1]
+    try:
+        out = model.class_balance(m, cfg)
+    finally:
+        DataFrame.checkpoint = plain
+    assert seen == [["player_id", "_h"]] and out.columns == m.columns
+    assert out.filter("y = 1").count() == 60 and out.filter("y = 0").count() == -(-2940 // 12)
+
+
+def test_training_set_leaves_the_scan_wide(spark, tmp_path):
+    """No Coalesce above a table scan: the store is read by as many tasks as it has splits."""
+    from paylens.operators import model
+    from paylens.plans.workspace import workspace
+    ws = workspace(spark, SF001)
+    plan = []
+    plain = model.fit
+    model.fit = lambda train, cfg: (plan.append(_plan(train)), plain(train, cfg))[1]
+    try:
+        model.train(ws.store, ws.cfg)
+    finally:
+        model.fit = plain
+    assert "Coalesce" not in plan[0] and "Scan" in plan[0]
+
+
+@pytest.mark.parametrize("name", ["wagering_pct_of_max", "revenue_reconciliation"])
+def test_events_are_scanned_once(spark, name):
+    from paylens.plans.audit import final_plan
+    from paylens.plans.registry import QUERIES
+    from paylens.plans.workspace import workspace
+    workspace(spark, SF001).store  # built beforehand
+    plan = final_plan(QUERIES[name](spark, SF001))
+    assert plan.count("events.parquet") == 1
 
 
 def test_store_pushes_soft_delete_filter_and_prunes(spark):
@@ -87,36 +134,37 @@ def test_store_can_be_materialised_as_a_table(spark):
     assert all(f.startswith("file:") and "paylens-store-" in f for f in a.store.inputFiles())
 
 
-def _single_partition_children(plan: str) -> list[str]:
-    """The operator under each ``Exchange SinglePartition`` (tree text)."""
-    lines = plan.splitlines()
-    out = []
+def _single_partition_inputs(plan: str) -> list[str]:
+    """The plan text under each ``Exchange SinglePartition``."""
+    lines, out = plan.splitlines(), []
     for i, line in enumerate(lines):
         node = line.lstrip(" :+-")
-        if node.startswith("Exchange SinglePartition") and i + 1 < len(lines):
-            depth = len(line) - len(node)
-            nxt = lines[i + 1]
-            if len(nxt) - len(nxt.lstrip(" :+-")) > depth:  # the exchange's only child
-                out.append(nxt.strip(" :+-*()0123456789"))
+        if node.startswith("Exchange SinglePartition"):
+            depth, below = len(line) - len(node), []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                below.append(nxt)
+            out.append("\n".join(below))
     return out
 
 
 def _batch_names():
-    from __spark_entry__ import queries
-    return [n for n in queries() if n != "incremental_player_activity"]
+    from paylens.plans.registry import QUERIES
+    return [n for n in QUERIES if n != "incremental_player_activity"]
 
 
 @pytest.mark.parametrize("name", _batch_names())
 def test_single_partition_only_above_aggregates(spark, name):
     """No unaggregated rows ever funnel into one partition: a SinglePartition
-    exchange may only carry partial aggregates (one row per task) or the
-    per-partition counts of the global ranking."""
-    from __spark_entry__ import queries
-    df = queries()[name](spark, SF001)
+    exchange may only carry aggregates (partial ones, the rows of a report)
+    or the per-partition counts of the global ranking."""
+    from paylens.plans.registry import QUERIES
+    df = QUERIES[name](spark, SF001)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    for child in _single_partition_children(plan):
-        assert "Aggregate" in child, f"{name}: SinglePartition over {child[:80]}"
+    for below in _single_partition_inputs(plan):
+        assert "Aggregate" in below or "LocalTableScan" in below or "Scan ExistingRDD" in below, f"{name}: {below[:200]}"

@@ -284,3 +284,21 @@ def test_login_dates_as_json_text(spark):
         "language string, acquisition_source string, invited_by bigint, is_deleted boolean, pcoins double, "
         "coins double, login_dates string")
     assert {r.player_id: r.login_days for r in player_base(df).collect()} == {1: 2, 2: 0}
+
+
+def test_mixed_id_types_and_letter_case(spark, roles):
+    """Typed participants with text winners; text keys match whatever their case."""
+    from paylens.operators.economy import player_game_economy
+    from paylens.operators.features import feature_store
+    from paylens.sources.bindings import KEY_COLUMNS, RoleTables
+    s = spark.createDataFrame([([1, 2, 1], ["1"], 10, 30)], "participants array<bigint>, winner_ids array<string>, "
+                              "bet_amount int, total_pot int")
+    got = {r.player_id: (r.games, r.wins) for r in player_game_economy(s).collect()}
+    assert got == {1: (2, 2), 2: (1, 0)}
+    tables = roles(player=[(1, None, None, "TW", None, None, "ads", None, False, 0.0, 0.0, None)],
+                   player_room=[(1, 7)]).as_dict()
+    text = lambda df: df.withColumns({c: F.concat(F.lit("Ab-"), F.col(c)) for c in KEY_COLUMNS if c in df.columns})
+    tables = {k: text(v) for k, v in tables.items()}
+    tables["player_room"] = tables["player_room"].withColumn("player_id", F.upper("player_id"))
+    r = feature_store(RoleTables(**tables)).first()
+    assert (r.player_id, r.max_streak) == ("ab-1", 7)

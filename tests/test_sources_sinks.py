@@ -22,8 +22,8 @@ def test_revenue_document_reconciles(spark):
     ws = workspace(spark, SF001)
     r = revenue_reconciliation(doc, ws.store).first()
     total = ws.store.agg({"lifetime_usd": "sum"}).first()[0]
-    assert r.external_active_users_28d == 157 and r.store_revenue_usd == total
-    assert r.diff_usd == total - r.external_revenue_usd and r.within_tolerance
+    assert r.rc_active_users_28d == 157 and r.db_total_revenue_usd == total
+    assert r.diff_usd == total - r.rc_total_revenue_usd and r.within_tolerance
 
 
 def test_csv_export_and_gated_documents(spark):
@@ -77,7 +77,7 @@ def test_store_sink_partitioned_by_tenant(spark):
 
 def test_gate_blocks_every_write(spark):
     """A personal-data-shaped value reaching any document stops the run
-    before a single output (store included) is written."""
+    before a single output is written."""
     from pyspark.sql import functions as F
 
     from paylens.operators.quality import PIIGateError
@@ -114,3 +114,67 @@ def test_role_tables_read_back_give_the_same_store(spark):
     a = feature_store(roles).select(*STORE_COLUMNS)
     b = feature_store(back).select(*STORE_COLUMNS)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_player_rows_never_reach_the_published_folder(spark):
+    """An email in one player's row that no aggregate shows: the documents
+    are clean and are written; the row itself is in no published file."""
+    from pyspark.sql import functions as F
+
+    from paylens.plans.run import run_all
+    from paylens.plans.workspace import Workspace
+    from paylens.sources.bindings import bind_fixture_tables
+    from tests.conftest import SF0001
+    ws = Workspace(spark, SF0001)
+    roles = bind_fixture_tables(ws.tables)
+    roles.player = roles.player.withColumn("gender", F.when(F.col("player_id") == 1, F.lit("a.b@example.org")))
+    ws = Workspace(spark, SF0001, roles=roles)
+    out = os.path.join(tempfile.mkdtemp(prefix="paylens-private-"), "out")
+    run_all(spark, SF0001, out, ws=ws)
+    texts = "".join(open(os.path.join(d, f), errors="replace").read() for d, _, names in os.walk(out) for f in names)
+    assert "headline" in texts and "example.org" not in texts
+    ws.release()
+
+
+def test_roles_subset_and_jdbc_shape(spark, tmp_path):
+    """Roles left out are empty tables; explicit schemas need no inference."""
+    from paylens.sources.bindings import ROLES
+    from paylens.sources.tables import read_role_tables
+    spark.createDataFrame([(1, 5)], "player_id bigint, current_streak int").write.parquet(str(tmp_path / "player_room"))
+    back = read_role_tables(spark, str(tmp_path), roles=["player_room"])
+    assert back.player_room.count() == 1 and back.player.count() == 0 and set(back.as_dict()) == set(ROLES)
+    with pytest.raises(ValueError, match="unknown"):
+        read_role_tables(spark, str(tmp_path), roles=["nope"])
+
+
+@pytest.mark.parametrize("external, stored", [("1e20", "3e16"), ("3e16", "1e20"), ("100", "104"), ("0", "5")])
+def test_reconciliation_of_very_large_totals(spark, external, stored):
+    from decimal import Decimal
+    from paylens.operators.quality import revenue_reconciliation
+    ext, own = int(float(external)), int(float(stored))
+    src = spark.createDataFrame([(Decimal(ext), 1)], "revenue_usd decimal(38,2), active_users_28d bigint")
+    store = spark.createDataFrame([(Decimal(own),)], "lifetime_usd decimal(38,2)")
+    r = revenue_reconciliation(src, store).first()
+    assert r.diff_usd == own - ext
+    if ext:
+        assert r.diff_pct == pytest.approx(100 * (own - ext) / ext, abs=0.006)
+    else:
+        assert r.diff_pct is None
+
+
+def test_pii_scan_pattern_is_equal_and_linear(spark):
+    import random
+    import re
+    import time
+
+    from paylens.operators.quality import EMAIL_PATTERN, pii_scan
+    r = random.Random(2)
+    texts = ["".join(r.choice("ab.@-_% \n1") for _ in range(r.randint(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {row.kind: row.violations for row in pii_scan(df, "x").collect()}
+    assert got["email"] == sum(bool(re.search(EMAIL_PATTERN, t)) for t in texts) > 0
+    long = spark.createDataFrame([("w" * 1_000_000 + " @",)], "t string")
+    pii_scan(long, "x").collect()
+    t0 = time.time()
+    assert {row.violations for row in pii_scan(long, "x").collect()} == {0}
+    assert time.time() - t0 < 2

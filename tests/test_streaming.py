@@ -1,52 +1,84 @@
-"""The stream equals the batch after replay with duplicates and late rows."""
+"""Whatever the files, their order and their repeats, the stream equals the batch."""
 
 import os
-import tempfile
 
-from pyspark.sql import functions as F
+import pytest
 
 from tests.conftest import SF001
 
 
 def _collect(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_stream_equals_batch_with_duplicates_and_late_rows(spark):
-    from paylens.streaming.incremental import EVENT_SCHEMA, StreamSettings, activity_updates, run_to_completion
-    events = spark.read.parquet(os.path.join(SF001, "events.parquet"))
-    root = tempfile.mkdtemp(prefix="paylens-stream-test-")
-    src = os.path.join(root, "in")
-    ordered = events.orderBy("ts").withColumn("_n", F.monotonically_increasing_id())
-    rows = ordered.collect()
+@pytest.fixture(scope="module")
+def events(spark):
+    return spark.read.parquet(os.path.join(SF001, "events.parquet"))
+
+
+def _write_files(spark, rows, chunks, folder):
+    """One file per chunk, delivered (by modification time) in this order."""
+    from paylens.streaming.incremental import EVENT_SCHEMA
+    os.makedirs(folder)
+    for i, chunk in enumerate(chunks):
+        tmp = f"{folder}-{i}"
+        spark.createDataFrame([tuple(r) for r in chunk], EVENT_SCHEMA).coalesce(1).write.parquet(tmp)
+        f = next(x for x in os.listdir(tmp) if x.endswith(".parquet"))
+        target = os.path.join(folder, f"events-{i}.parquet")
+        os.link(os.path.join(tmp, f), target)
+        os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+@pytest.mark.parametrize("order", ["oldest_first", "newest_first"])
+def test_stream_keeps_every_event_once(spark, events, tmp_path, order):
+    from paylens.streaming.incremental import StreamSettings, activity, current_table, run_to_completion, start
+    rows = sorted(events.collect(), key=lambda r: r.ts, reverse=order == "newest_first")
     n = len(rows)
-    cols = [c for c in events.columns]
-    chunks = [rows[: n // 3], rows[n // 3: 2 * n // 3], rows[2 * n // 3:]]
-    # duplicates of earlier events re-delivered in later files, and a few late rows
-    # (event time 1 hour before the newest seen) arriving in the last file
-    dup = rows[n // 3 - 20: n // 3]
-    late = rows[2 * n // 3 - 5: 2 * n // 3]
-    chunks[1] = chunks[1] + dup
-    chunks[2] = chunks[2] + dup + late
-    for i, ch in enumerate(chunks):
-        spark.createDataFrame([tuple(r[c] for c in cols) for r in ch], EVENT_SCHEMA) \
-            .coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
-    # flatten into one folder of files, one file per micro-batch
-    flat = os.path.join(root, "flat")
-    os.makedirs(flat)
-    for i in range(3):
-        d = os.path.join(src, f"part{i}")
-        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
-        os.link(os.path.join(d, f), os.path.join(flat, f"events-{i}.parquet"))
-    s = StreamSettings(watermark="1 day")
-    got = run_to_completion(spark, flat, s, root=os.path.join(root, "run"), max_files=1)
-    want = activity_updates(events, s)
+    chunks = [rows[i * n // 4: (i + 1) * n // 4] for i in range(4)]
+    chunks[1] = chunks[1] + chunks[0][:50] + chunks[1][:20]      # repeats of an earlier file and of the same one
+    chunks[3] = chunks[3] + chunks[0][-50:] + chunks[2][:30]
+    _write_files(spark, rows, chunks, str(tmp_path / "in"))
+    s = StreamSettings(compact_every=2)                          # folds while it runs
+    got = run_to_completion(spark, str(tmp_path / "in"), s, root=str(tmp_path / "run"), max_files=1)
+    want = activity(events, s)
     assert _collect(got.select(*want.columns)) == _collect(want)
-    # one micro-batch per file (plus a no-data batch that advances the watermark)
-    assert len([d for d in os.listdir(os.path.join(root, "run", "sink")) if d.startswith("batch_id=")]) >= 3
-    # restarting from the same checkpoint replays nothing and leaves the table unchanged
-    from paylens.streaming.incremental import current_table, start
-    q = start(spark, flat, os.path.join(root, "run", "sink"), os.path.join(root, "run", "state"), s, max_files=1)
+    assert len(os.listdir(tmp_path / "run" / "sink" / "activity" / "base")) == 1
+    # a restart replays nothing
+    q = start(spark, str(tmp_path / "in"), str(tmp_path / "run" / "sink"), str(tmp_path / "run" / "state"), s, max_files=1)
     q.awaitTermination()
-    again = current_table(spark, os.path.join(root, "run", "sink"))
-    assert _collect(again.select(*want.columns)) == _collect(want)
+    assert _collect(current_table(spark, str(tmp_path / "run" / "sink")).select(*want.columns)) == _collect(want)
+
+
+def test_replayed_batch_counts_once(spark, events, tmp_path):
+    """A batch that runs again after a crash overwrites itself, also across a fold."""
+    from paylens.streaming.incremental import StreamSettings, _batch_writer, activity, current_table
+    s = StreamSettings(compact_every=2)
+    rows = events.collect()
+    parts = [spark.createDataFrame(rows[i::4], events.schema) for i in range(4)]
+    write = _batch_writer(str(tmp_path / "sink"), s)
+    for i, p in enumerate(parts):
+        write(p, i)
+        write(p, i)
+    want = activity(events, s)
+    assert _collect(current_table(spark, str(tmp_path / "sink")).select(*want.columns)) == _collect(want)
+
+
+def test_one_file_and_a_folder_of_parts_agree(spark, events, tmp_path):
+    from paylens.plans.registry import QUERIES
+    from paylens.streaming.incremental import activity
+    events.repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    want = _collect(activity(events))
+    for d in (str(tmp_path), SF001):
+        got = QUERIES["incremental_player_activity"](spark, d)
+        assert _collect(got.select(*activity(events).columns)) == want
+
+
+def test_events_without_id_all_count(spark, tmp_path):
+    from paylens.streaming.incremental import EVENT_SCHEMA, run_to_completion
+    import datetime as dt
+    t = dt.datetime(2025, 1, 1)
+    rows = [(None, t, 1, "click", 2.0, None), (None, t, 1, "click", 2.0, None), (7, None, 1, "click", 1.0, None), (7, None, 1, "click", 1.0, None)]
+    for i in range(2):
+        spark.createDataFrame(rows[2 * i: 2 * i + 2] if i else rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = run_to_completion(spark, str(tmp_path / "in"), root=str(tmp_path / "run"), max_files=1).collect()
+    assert [(r.user_id, r.events) for r in got] == [(1, 3)]
