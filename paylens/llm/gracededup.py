@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from paylens.llm.common import materialise
 from paylens.llm.words import flat
 
 BLANK = b" \t\n\x0b\x0c\r"
-BLOCK_BYTES = 48 << 20   # input rows deduplicated together before the shuffle
+BLOCK_BYTES = 32 << 20   # input rows deduplicated together before the shuffle
 TABLE_BYTES = 32 << 20   # distinct content that one open-addressing table may hold
 LEVEL_BITS = 4           # fan-out of 16 per recursion level
 MAX_BITS = 60
@@ -97,10 +98,9 @@ def _rank(n_points: int, doc_id) -> tuple:
 def _contents(texts) -> tuple[list[bytes], np.ndarray]:
     """Normalised content and code points of each text."""
     raw, off = flat(texts)
-    base, buf = off[0], raw[off[0]: off[-1]].tobytes()
-    cuts = (off - base).tolist()
-    lead = np.concatenate([[0], np.cumsum((raw[off[0]: off[-1]] & 0xC0) != 0x80)])
-    return [buf[a:b].translate(None, BLANK) for a, b in zip(cuts, cuts[1:])], np.diff(lead[off - base])
+    buf, cuts = memoryview(raw), off.tolist()
+    points = pc.fill_null(pc.utf8_length(texts.cast(pa.large_string())), 0)
+    return [bytes(buf[a:b]).translate(None, BLANK) for a, b in zip(cuts, cuts[1:])], points.to_numpy()
 
 
 def _blocks(batches, limit: int) -> Iterator[pa.Table]:
