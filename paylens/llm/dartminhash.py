@@ -289,19 +289,7 @@ def _links(sketches: DataFrame, reps: DataFrame, threshold: float, block: int, w
 
     star = members.filter("rid <> leader").filter(may_reach(F.col("size"), F.col("leader_size")))
     links = verified(star.select(F.col("rid").alias("a"), F.col("leader").alias("b")))
-    roots = components(links).withColumnRenamed("node", "rid")
-    rooted = members.select("rid", "size", "key").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    open_ = materialise(_mixed(rooted), "dart-open")
-
-    # a text can only be linked out of its class if shingles that occur in
-    # other classes make up the threshold of its weight
-    some = open_.select("rid", "root").distinct().join(texts.select("rid", "text"), "rid").select("rid", "root", "text")
-    elements = materialise(some.mapInArrow(_element_rows(weighting), "rid long, root long, h long, w double"), "dart-elements")
-    across = elements.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("h")
-    common = elements.join(across, "h", "left_semi").groupBy("rid").agg(F.sum("w").alias("common"))
-    able = common.join(texts.select("rid", "size"), "rid").filter(
-        F.col("common") >= F.lit(threshold - slack) * F.col("size")).select("rid")
-    open_ = _mixed(open_.drop("n").join(able, "rid", "left_semi"))
+    open_ = classed(members.select("rid", "size", "key"), links)
 
     # what is left is compared across classes, block against block
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
