@@ -54,8 +54,8 @@ PREFIXES = (4, 5, 6, 7)          # bytes of a word's beginning that an arc may s
 OTHER, TARGET, NEGATOR, REPORTER, THREAT, INSULT, CLAUSE = range(7)
 SYMBOLS = 16                     # threat, negated, targeted, reported
 MAX_ROWS, MAX_ARCS, MAX_WEIGHT = 10_000, 4096, 6.0
-MIN_RATIO = 200.0                # share of toxic rows with an arc over that of clean ones
-MIN_EVIDENCE = 14.0              # log likelihood ratio of an arc; chance stays below it in a million arcs
+MIN_RATIO = 5.0                  # share of toxic rows with an arc over that of clean ones; weak arcs weigh little
+MIN_EVIDENCE = 10.0              # log likelihood ratio of an arc; chance passes it about 4 times in a million arcs
 THRESHOLD, FOLDS = 0.3, 4
 
 

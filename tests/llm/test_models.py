@@ -12,6 +12,8 @@ from paylens.llm.common import table
 from paylens.llm.registry import QUERIES
 from tests.conftest import SF001
 
+SF01 = "/root/testdata/sf0.1"
+
 
 def held(doc_id, mod):
     return zlib.crc32(str(doc_id).encode()) % mod == 2
@@ -117,6 +119,25 @@ def test_toxicity_on_held_out_labels(spark):
     assert right / len(rows) >= 0.92 and clean_hit / len(rows) <= 0.02
 
 
+def test_weak_markers_are_found_in_every_language(spark):
+    """Markers that some clean texts hold too: held-out recall per language, few clean texts hit."""
+    docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
+    grammar = toxgrammar.fit(docs, labels)
+    rows = (toxgrammar.scores(docs, grammar).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+            .join(labels.filter("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id").collect())
+    hit, seen = Counter(r["lang"] for r in rows if r["toxic"] and r["predicted"]), Counter(r["lang"] for r in rows if r["toxic"])
+    assert len(seen) == 4 and all(hit[x] >= 0.85 * seen[x] for x in seen), (hit, seen)
+    assert sum(not r["patterns"] for r in rows if r["toxic"]) <= 0.06 * sum(seen.values())
+    clean = [r["predicted"] for r in rows if not r["toxic"]]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
+def test_toxicity_bound_on_held_out_labels(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, SF001, "labels").collect()}
+    rows = [r for r in QUERIES["op8_toxicity_grammar"](spark, SF001).collect() if r["doc_id"] in labels and held(r["doc_id"], 4)]
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in rows) / len(rows) >= 0.93
+
+
 def test_grammar_composes_context():
     arcs = toxgrammar.word_hashes(["stupid"])
     g = toxgrammar.Grammar(arcs, np.array([2.0]), np.zeros(17))
