@@ -19,7 +19,10 @@ weights per symbol; a logistic model on these 16 numbers gives the score.
 
 The trie and the model are learned from at most ``max_rows`` labelled rows
 of each class outside the held-out fold (smallest hashes of the id), the
-only bound here; every whole text is scored.
+only bound here; every whole text is scored. In the model a sampled row
+weighs its class's training labels over its sampled ones, so the prior is
+the labels' own at every size. Arcs are tested and weighed by the rates
+within each class, which the sample sizes do not shift.
 
 Edge cases: null, empty and wordless texts have no match and get the
 model's base score; rows with a null label or without a document are not
@@ -191,15 +194,18 @@ def probability(x: np.ndarray, model: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model[0] + x @ model[1:], -30, 30)))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """At most ``max_rows`` labelled training documents of each class."""
+def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFrame, dict[int, float]]:
+    """At most ``max_rows`` labelled training documents of each class, and per
+    class the training labels that one sampled label stands for."""
     known = labels.filter(F.col("toxic").isin(0, 1)).filter(~held_out(FOLDS)).groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
+        F.max("toxic").cast("int").alias("toxic"))
+    known = materialise(known, "tox-known")
+    each = {r["toxic"]: r["n"] / min(r["n"], max_rows) for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     picked = [known.filter(F.col("toxic") == t).orderBy(*order).limit(max_rows) for t in (0, 1)]
     picked = materialise(picked[0].unionByName(picked[1]).coalesce(1), "tox-picked")
     return materialise(docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                       .join(F.broadcast(picked), "doc_id").select("toxic", "text"), "tox-sample")
+                       .join(F.broadcast(picked), "doc_id").select("toxic", "text"), "tox-sample"), each
 
 
 def _arc_counts(batches):
@@ -222,7 +228,7 @@ def _arc_counts(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs: int = MAX_ARCS) -> Grammar:
     """Learn arcs and model from at most ``2 max_rows`` labelled documents."""
-    sample = _sample(docs, labels, max_rows)
+    sample, each = _sample(docs, labels, max_rows)
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -247,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs:
             yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(list(x))], ["y", "x"])
     made = sample.mapInArrow(rows, "y int, x array<double>").groupBy("y", "x").agg(F.count("*").alias("n")).collect()
     x = np.array([r["x"] for r in made])
-    y, n = np.array([r["y"] for r in made], float), np.array([r["n"] for r in made], float)
+    y, n = np.array([r["y"] for r in made], float), np.array([r["n"] * each[r["y"]] for r in made], float)
     grammar.model = _logistic(x, y, n)
     return grammar
 

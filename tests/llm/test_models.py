@@ -138,6 +138,18 @@ def test_toxicity_bound_on_held_out_labels(spark):
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in rows) / len(rows) >= 0.93
 
 
+def test_smaller_sample_keeps_the_prior(spark):
+    """An eighth of the clean labels: scores stay about as they are."""
+    docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
+    few, every = toxgrammar.fit(docs, labels, max_rows=330), toxgrammar.fit(docs, labels)
+    assert abs(few.model[0] - every.model[0]) < 1, (few.model[0], every.model[0])
+    p = [{r["doc_id"]: r["score"] for r in toxgrammar.scores(docs, g).collect()} for g in (few, every)]
+    gap = np.array([abs(p[0][i] - p[1][i]) for i in p[0]])
+    flipped = np.mean([(p[0][i] >= toxgrammar.THRESHOLD) != (p[1][i] >= toxgrammar.THRESHOLD) for i in p[0]])
+    print("median gap", np.median(gap), "flipped", flipped)
+    assert np.median(gap) < 0.01 and flipped < 0.03
+
+
 def test_grammar_composes_context():
     arcs = toxgrammar.word_hashes(["stupid"])
     g = toxgrammar.Grammar(arcs, np.array([2.0]), np.zeros(17))
