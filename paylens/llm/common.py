@@ -38,6 +38,14 @@ def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def one_text(docs: DataFrame, picked: DataFrame, label: str) -> DataFrame:
+    """(``label``, text) of the documents in ``picked`` (doc_id, ``label``; few
+    rows): one text per id, of a repeated id the one with the smallest hash."""
+    return (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+            .groupBy("doc_id", label).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+            .select(label, F.col("t.text").alias("text")))
+
+
 def free_name(columns: list[str], base: str) -> str:
     """A column name close to ``base`` that no existing column has."""
     taken, name = {c.lower() for c in columns}, base

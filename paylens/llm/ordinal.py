@@ -16,9 +16,10 @@ Every whole text is scored.
 
 Edge cases: null and empty texts have no features and get the thresholds'
 own probabilities; rows with a null grade or without a document are not
-learned from; grades without rows leave their threshold at its start; with
-fewer than two grades the model is flat; repeated rows are scored alike; an
-empty table gives no rows; extra columns are ignored.
+learned from, a repeated id counts once; grades without rows leave their
+threshold at its start; with fewer than two grades the model is flat;
+repeated rows are scored alike; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise
+from paylens.llm.common import held_out, materialise, one_text
 from paylens.llm.words import U, VISIBLE, _LOWER, _powers, counted, mix, slices, words
 
-BITS, MAX_ROWS, FOLDS, RIDGE, TURNS, KEEP = 15, 2000, 5, 1e-5, 120, 0.5
+BITS, MAX_ROWS, FOLDS, RIDGE, TURNS, KEEP = 15, 3000, 5, 1e-5, 200, 0.5
 
 
 @dataclass
@@ -116,8 +117,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, max_rows: int = MAX_RO
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grade[i:j].astype(np.int32)), pa.ListArray.from_arrays(cuts, pa.array(bucket.astype(np.int32))),
                      pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32)))], ["grade", "bucket", "value"])
-    made = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
-            .select("grade", "text").mapInArrow(rows, "grade int, bucket array<int>, value array<float>").toArrow())
+    made = one_text(docs, sample, "grade").mapInArrow(rows, "grade int, bucket array<int>, value array<float>").toArrow()
     grade = made.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grade)) < 2:
         return Ordinal(np.zeros(1 << bits), np.arange(grades - 1) - (grades - 2) / 2)

@@ -26,9 +26,10 @@ within each class, which the sample sizes do not shift.
 
 Edge cases: null, empty and wordless texts have no match and get the
 model's base score; rows with a null label or without a document are not
-learned from; without toxic rows the trie is empty and all scores are the
-base score; repeated rows are scored alike; an empty table gives no rows;
-extra columns are ignored by ``scores`` and kept by ``drop_toxic``.
+learned from, a repeated id counts once; without toxic rows the trie is
+empty and all scores are the base score; repeated rows are scored alike; an
+empty table gives no rows; extra columns are ignored by ``scores`` and kept
+by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise
+from paylens.llm.common import held_out, materialise, one_text
 from paylens.llm.words import U, _LOWER, _powers, counted, mix, slices, words
 
 # Fixed word lists (English, German, French, Spanish).
@@ -204,8 +205,7 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFram
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     picked = [known.filter(F.col("toxic") == t).orderBy(*order).limit(max_rows) for t in (0, 1)]
     picked = materialise(picked[0].unionByName(picked[1]).coalesce(1), "tox-picked")
-    return materialise(docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                       .join(F.broadcast(picked), "doc_id").select("toxic", "text"), "tox-sample"), each
+    return materialise(one_text(docs, picked, "toxic"), "tox-sample"), each
 
 
 def _arc_counts(batches):

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from paylens.llm import ctw, ordinal, toxgrammar
 from paylens.llm.common import table
@@ -171,6 +172,25 @@ def test_quality_on_held_out_labels(spark):
     assert all(0 <= r["p_ge_2"] <= r["p_ge_1"] <= 1 and abs(r["expected_grade"] - r["p_ge_1"] - r["p_ge_2"]) < 1e-9 for r in rows)
 
 
+def test_repeated_ids_are_learned_once(spark):
+    """A labelled id that is repeated a thousand times changes neither fit."""
+    docs, labels = table(spark, SF001, "documents").select("doc_id", "text"), table(spark, SF001, "labels")
+    ids = [r["doc_id"] for r in labels.filter("toxic = 1 AND quality = 1").orderBy("doc_id").collect()]
+    one = next(i for i in ids if not held(i, 4) and not held(i, 5))
+    more = docs.unionByName(docs.filter(F.col("doc_id") == one).join(spark.range(1000).select("id")).select("doc_id", "text"))
+    a, b = toxgrammar.fit(docs, labels), toxgrammar.fit(more, labels)
+    assert len(a.arcs) and np.array_equal(a.arcs, b.arcs) and np.allclose(a.model, b.model)
+    a, b = (ordinal.fit(d, ordinal.graded(labels), 3) for d in (docs, more))
+    assert np.allclose(a.thresholds, b.thresholds, atol=1e-6)
+
+
+def test_quality_grades_on_held_out_labels(spark):
+    grade = {r["doc_id"]: r["grade"] for r in ordinal.graded(table(spark, SF01, "labels")).collect()}
+    rows = [r for r in QUERIES["op3_ordinal_quality"](spark, SF01).collect() if r["held_out"] and r["doc_id"] in grade]
+    right = sum((r["p_ge_1"] >= 0.5) + (r["p_ge_2"] >= 0.5) == grade[r["doc_id"]] for r in rows)
+    assert sum(r["kept"] == (grade[r["doc_id"]] >= 1) for r in rows) / len(rows) >= 0.98 and right / len(rows) >= 0.89
+
+
 def test_cumulative_link_recovers_order():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 4, 800)
