@@ -15,14 +15,18 @@ observed tree, the last node on it acts as a leaf. Both bits see the same
 path, so every prediction is a probability and a text's score is the log10
 probability of its bytes and end.
 
-Jobs. Each task counts the (depth+1)-byte grams of its texts; the counts
-are summed by key. The tree is cut by the two nearest context bytes into
-subtrees that tasks weight in numpy; depths 0 and 1 (at most 65,280 nodes)
-are finished on the driver from per-node sums. The weighted tree is
-broadcast; its depth is the largest one up to ``depth`` whose nodes fit
-``max_model_bytes`` (8 nodes of 16 bytes per distinct gram and level at
-most), so the bound holds for any corpus and every text is counted and
-scored at every size.
+Jobs. The texts are written once, numbered by blocks of about
+``BLOCK_BYTES``. Each task lists the distinct (depth+1)-byte grams of its
+blocks with their training counts; the counts are summed by gram. The tree
+is cut by the three nearest context bytes into subtrees that tasks weight in
+numpy, a run of whole subtrees at a time; only depths 0 to 2 (at most 65,793
+contexts of 255 nodes, whatever the corpus) are finished on the driver from
+per-node sums and broadcast. With these, tasks turn every distinct gram,
+also those of held-out texts only, into its log2 probability, a table keyed
+by gram. It is joined to the grams of the blocks, and each block's texts
+meet their grams' values in one task. Neither the grams nor the deep nodes
+pass through the driver or a broadcast, and the depth is the same at every
+size (3 to 7: a gram is a 64-bit key).
 
 Baseline. ``base_score`` is the add-one unigram score over words
 ``[^\\x20\\x09-\\x0D]+`` and one end token. Counts of the ``hot_words`` most
@@ -45,10 +49,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise
+from paylens.llm.common import drop_scratch, held_out, materialise
 from paylens.llm.words import U, VISIBLE, _LOWER, counted, slices, words
 
-DEPTH, FOLDS, END = 5, 7, 0xFF
+DEPTH, FOLDS, END = 7, 7, 0xFF
+BLOCK_BYTES = 32 << 20           # texts whose grams are listed and looked up together
+CHUNK = 1 << 18                  # grams weighted together, rounded up to whole subtrees
 HOT_WORDS = 1 << 20
 MAX_MODEL_BYTES = 768 << 20
 NODE_BYTES = 8 * 16
@@ -137,7 +143,7 @@ class Model:
         """log2 probability of each gram's last byte after its context."""
         total = np.zeros(len(grams))
         for path, bit in _bits(grams & U(0xFF)):
-            p = np.full(len(grams), 0.5)
+            p, inside = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
             for d in range(self.depth, -1, -1):
                 keys, one, own = self.nodes[d]
                 if not len(keys):
@@ -166,35 +172,98 @@ def build(levels: dict[int, tuple], depth: int) -> Model:
     return m
 
 
+def _blocks(batches):
+    """Number the rows of a task (rid) and its runs of about BLOCK_BYTES of text (block)."""
+    pid, seq, size = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        n = batch.column("n_bytes").to_numpy()
+        before = size + np.cumsum(n) - n
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array((pid << 20) + before // BLOCK_BYTES), pa.array((pid << 33) + seq + np.arange(len(n)))],
+            [*batch.schema.names, "block", "rid"])
+        seq, size = seq + len(n), size + int(n.sum())
+
+
 def _count(depth: int):
-    """Grams and words of a task's texts, counted: kind, key, n."""
+    """Grams per block with their training counts (0: in held-out texts only)
+    and the words of a task's training texts: kind, block, key, n."""
+    def parts(kind, block, held):
+        if held:
+            key, n = _sum_by(*map(np.concatenate, zip(*held)))
+            for i in range(0, len(key), 1 << 18):
+                part = key[i: i + (1 << 18)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), kind, np.int32)), pa.array(np.full(len(part), block)),
+                     pa.array(part.view(np.int64)), pa.array(n[i: i + (1 << 18)].astype(np.int64))], ["kind", "block", "key", "n"])
+
     def run(batches):
-        grams, heard, texts = [], [], 0
+        grams, heard, texts, now = [], [], 0, None
         for batch in batches:
-            for _, _, raw, off in slices(batch.column("text")):
-                texts += len(off) - 1
-                grams.append(np.unique(text_grams(raw, off, depth)[1], return_counts=True))
-                heard.append(np.unique(words(raw, off, VISIBLE)[3], return_counts=True))
-            for held in (grams, heard):
-                if len(held) > 16:
-                    held[:] = [_sum_by(*map(np.concatenate, zip(*held)))]
+            block = batch.column("block").to_numpy()
+            train = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            texts += int(train.sum())
+            for i, j, raw, off in slices(batch.column("text")):
+                cuts = [0, *(np.flatnonzero(np.diff(block[i:j])) + 1), j - i]
+                for a, b in zip(cuts, cuts[1:]):
+                    if block[i + a] != now:
+                        yield from parts(GRAM, now, grams)
+                        grams, now = [], int(block[i + a])
+                    part, at, learn = raw[off[a]: off[b]], off[a: b + 1] - off[a], train[i + a: i + b]
+                    doc, g = text_grams(part, at, depth)
+                    grams.append(np.unique(g[learn[doc]], return_counts=True))
+                    other = np.unique(g[~learn[doc]])
+                    grams.append((other, np.zeros(len(other), np.int64)))
+                    _, _, doc, h = words(part, at, VISIBLE)
+                    heard.append(np.unique(h[learn[doc]], return_counts=True))
+                    for held in (grams, heard):
+                        if len(held) > 16:
+                            held[:] = [_sum_by(*map(np.concatenate, zip(*held)))]
+        yield from parts(GRAM, now, grams)
         if texts:
             heard.append((np.array([END_WORD], np.int64).view(U), np.array([texts])))
-        for kind, held in ((GRAM, grams), (WORD, heard)):
-            if held:
-                key, n = _sum_by(*map(np.concatenate, zip(*held)))
-                for i in range(0, len(key), 1 << 18):
-                    part = key[i: i + (1 << 18)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part.view(np.int64)),
-                                                      pa.array(n[i: i + (1 << 18)].astype(np.int64))], ["kind", "key", "n"])
+        yield from parts(WORD, -1, heard)
     return run
 
 
+def block_counts(texts: DataFrame, depth: int) -> DataFrame:
+    """(kind, block, key, n) of texts with block and held_out."""
+    return texts.select("block", "held_out", "text").mapInArrow(_count(depth), "kind int, block long, key long, n long")
+
+
+def _summed(cells: DataFrame) -> DataFrame:
+    return materialise(cells.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
+
+
 def corpus_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(kind, key, n) of all training texts: (depth+1)-byte grams and word hashes."""
-    return materialise(training.select(F.col("text").cast("string").alias("text"))
-                       .mapInArrow(_count(depth), "kind int, key long, n long")
-                       .groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
+    return _summed(block_counts(training.select(F.lit(0).cast("long").alias("block"), F.lit(False).alias("held_out"),
+                                                F.col("text").cast("string").alias("text")), depth))
+
+
+def _near(grams: DataFrame) -> DataFrame:
+    """Whole subtrees (same three nearest context bytes) per task, one after the other."""
+    cut = F.shiftright("gram", 8).bitwiseAND(0xFFFFFF)
+    return grams.repartition(cut).sortWithinPartitions(cut)
+
+
+def _whole(batches):
+    """(grams, counts) of runs of whole subtrees, of CHUNK grams or one subtree."""
+    held, size = [], 0
+    for b in batches:
+        g, n = b.column("gram").to_numpy().astype(np.int64).view(U), b.column("n").to_numpy()
+        if size >= CHUNK:
+            cut = (g >> U(8)) & U(0xFFFFFF)
+            last = (held[-1][0][-1] >> U(8)) & U(0xFFFFFF)
+            new = np.flatnonzero(cut != last)
+            if len(new):
+                held.append((g[:new[0]], n[:new[0]]))
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size, g, n = [], 0, g[new[0]:], n[new[0]:]
+        if len(g):
+            held.append((g, n))
+            size += len(g)
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 def _subtrees(depth: int, sums: bool):
@@ -202,23 +271,33 @@ def _subtrees(depth: int, sums: bool):
     ``sums``: per depth-2 node the counts and ln Pw of the nodes below it, and
     (key -1) the number of nodes; else the nodes themselves."""
     def run(batches):
-        held = [(b.column("gram").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if not held:
-            return
-        grams, n = map(np.concatenate, zip(*held))
-        levels = tree(grams.astype(np.int64).view(U), n, depth, 3)
-        if sums:
-            key, n0, n1, lp = _sum_by(levels[3][0] & U(0xFFFFFF), *levels[3][1:4])
-            size = sum(len(v[0]) for v in levels.values())
-            key, n0, n1, lp = (np.append(key.view(np.int64), -1), np.append(n0, size), np.append(n1, 0), np.append(lp, 0.0))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n0), pa.array(n1), pa.array(lp)],
-                                             ["key", "n0", "n1", "lp"])
-        else:
-            m = build({**{d: (np.zeros(0, U),) + (np.zeros(0),) * 4 for d in range(3)}, **levels}, depth)
-            for d in range(3, depth + 1):
-                key, one, own = m.nodes[d]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)),
-                                                  pa.array(one), pa.array(own)], ["d", "key", "one", "own"])
+        for grams, n in _whole(batches):
+            levels = tree(grams, n, depth, 3)
+            if sums:
+                key, n0, n1, lp = _sum_by(levels[3][0] & U(0xFFFFFF), *levels[3][1:4])
+                size = sum(len(v[0]) for v in levels.values())
+                key, n0, n1, lp = (np.append(key.view(np.int64), -1), np.append(n0, size), np.append(n1, 0), np.append(lp, 0.0))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n0), pa.array(n1), pa.array(lp)],
+                                                 ["key", "n0", "n1", "lp"])
+            else:
+                m = build({**{d: (np.zeros(0, U),) + (np.zeros(0),) * 4 for d in range(3)}, **levels}, depth)
+                for d in range(3, depth + 1):
+                    key, one, own = m.nodes[d]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)),
+                                                      pa.array(one), pa.array(own)], ["d", "key", "one", "own"])
+    return run
+
+
+def _logs(depth: int, top):
+    """log2 probability of a task's grams, given the depths 0 to 2 (broadcast)."""
+    def run(batches):
+        for grams, n in _whole(batches):
+            seen = n > 0
+            deep = build({**{d: (np.zeros(0, U),) + (np.zeros(0),) * 4 for d in range(3)},
+                          **tree(grams[seen], n[seen], depth, 3)}, depth)
+            model = Model(depth, [*top.value, *deep.nodes[3:]])
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(model.log2_of(grams).astype(np.float32))],
+                                             ["key", "lp"])
     return run
 
 
@@ -229,39 +308,51 @@ def _level_of(pdf) -> tuple:
     return weighted(key[order], *[pdf[c].to_numpy()[order] for c in ("n0", "n1", "lp")])
 
 
+def _sums(grams: DataFrame, depth: int) -> DataFrame:
+    """Per depth-2 node the sums over its children (n0, n1, lp); key -1: number of deeper nodes."""
+    return materialise(_near(grams).mapInArrow(_subtrees(depth, True), "key long, n0 long, n1 long, lp double")
+                       .groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "lp")]), "ctw-second")
+
+
+def _top(second: DataFrame) -> dict[int, tuple]:
+    """Weighted nodes of depths 0 to 2 (at most 65,793 contexts) from the sums."""
+    levels = {2: _level_of(second.filter("key >= 0").toPandas())}
+    key, n0, n1, pw, _ = levels[2]
+    for d, mask in ((1, 0xFFFF), (0, 0xFF)):
+        levels[d] = weighted(*_sum_by(key & U(mask), n0, n1, pw))
+        key, n0, n1, pw, _ = levels[d]
+    return levels
+
+
+_EMPTY = (np.zeros(0, U), np.zeros(0, np.float32), np.zeros(0, np.float32))
+
+
+def gram_logs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, lp): log2 probability of the last byte of every counted gram after its context."""
+    grams = counts.filter(F.col("kind") == GRAM).select(F.col("key").alias("gram"), "n")
+    second = _sums(grams.filter("n > 0"), depth)
+    levels = _top(second)
+    top = build({**levels, **{k: (np.zeros(0, U),) + (np.zeros(0),) * 4 for k in range(3, depth + 1)}}, depth).nodes[:3]
+    return materialise(_near(grams).mapInArrow(_logs(depth, counts.sparkSession.sparkContext.broadcast(top)),
+                                               "key long, lp float"), "ctw-logs")
+
+
 def fit(counts: DataFrame, depth: int = DEPTH, max_model_bytes: int = MAX_MODEL_BYTES) -> Model:
-    """The weighted tree from the gram counts (``depth`` at least 3)."""
+    """The tree as one local object, for small corpora (``depth`` at least 3): its
+    depth is the largest whose nodes fit ``max_model_bytes``. ``log_scores`` does not use it."""
     grams = counts.filter(F.col("kind") == GRAM).select(F.col("key").alias("gram"), "n")
-    add = [F.sum(c).alias(c) for c in ("n0", "n1", "lp")]
     while True:
-        near = grams.repartition(F.shiftright("gram", 8).bitwiseAND(0xFFFFFF))
-        second = materialise(near.mapInArrow(_subtrees(depth, True), "key long, n0 long, n1 long, lp double")
-                             .groupBy("key").agg(*add), "ctw-second")
+        second = _sums(grams, depth)
         size = second.filter("key = -1").first()
         if size is None:
-            return Model(depth, [(np.zeros(0, U), np.zeros(0, np.float32), np.zeros(0, np.float32))] * (depth + 1))
+            return Model(depth, [_EMPTY] * (depth + 1))
         if size["n0"] * 16 <= max_model_bytes or depth == 3:
             break
         depth -= 1                                   # drop the farthest context byte; no count is lost
         grams = grams.select(F.col("gram").bitwiseAND((1 << (8 * depth + 8)) - 1).alias("gram"), "n").groupBy("gram").agg(
             F.sum("n").alias("n"))
-
-    def rows(batches):
-        for b in batches:
-            key, n0, n1, lp = (b.column(c).to_numpy() for c in ("key", "n0", "n1", "lp"))
-            _, _, _, pw, own = weighted(key, n0, n1, lp)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(pw), pa.array(own)], ["key", "n0", "n1", "lp", "own"])
-    second = materialise(second.filter("key >= 0").mapInArrow(rows, "key long, n0 long, n1 long, lp double, own double"),
-                         "ctw-level2")
-    levels = {}
-    two = second.toPandas()                          # at most 256^2 contexts
-    key = two["key"].to_numpy(np.int64).view(U)
-    order = np.argsort(key)
-    levels[2] = (key[order], *[two[c].to_numpy()[order] for c in ("n0", "n1", "lp", "own")])
-    levels[1] = _level_of(second.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("key")).agg(*add).toPandas())
-    key, n0, n1, lp = _sum_by(levels[1][0] & U(0xFF), *levels[1][1:4])
-    levels[0] = weighted(key, n0, n1, lp)
-    deep = near.mapInArrow(_subtrees(depth, False), "d int, key long, one float, own float").toArrow()
+    levels = _top(second)
+    deep = _near(grams).mapInArrow(_subtrees(depth, False), "d int, key long, one float, own float").toArrow()
     d, key = deep.column("d").to_numpy(), deep.column("key").to_numpy().view(U)
     model = build({**levels, **{k: (np.zeros(0, U),) + (np.zeros(0),) * 4 for k in range(3, depth + 1)}}, depth)
     for k in range(3, depth + 1):
@@ -271,53 +362,55 @@ def fit(counts: DataFrame, depth: int = DEPTH, max_model_bytes: int = MAX_MODEL_
     return model
 
 
-def _score(model, hot, arrow):
-    def run(batches):
-        tree_, (keys, seen) = model.value, hot.value
-        logs = np.log10(seen + 1.0)
-        pid, seq = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for i, j, raw, off in slices(batch.column("text")):
-                n = j - i
-                doc, grams = text_grams(raw, off, tree_.depth)
-                unique, back = np.unique(grams, return_inverse=True)
-                score = np.bincount(doc, weights=tree_.log2_of(unique)[back], minlength=n) * np.log10(2)
-                _, _, doc, h = words(raw, off, VISIBLE)
-                total = np.bincount(doc, minlength=n) + 1
-                d, x, c = counted(doc, h)
-                d, x, c = np.append(d, np.arange(n)), np.append(x, np.full(n, END_WORD, np.int64).view(U)), np.append(c, np.ones(n, int))
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-                    hit = keys[at] == x
-                    known = np.bincount(d[hit], weights=c[hit], minlength=n)
-                    base = np.bincount(d[hit], weights=c[hit] * logs[at[hit]], minlength=n)
-                else:
-                    hit, known, base = np.zeros(len(d), bool), np.zeros(n), np.zeros(n)
-                d, x, c = d[~hit], x[~hit], c[~hit]
-                order = np.argsort(d, kind="stable")
-                cuts = pa.array(np.searchsorted(d[order], np.arange(n + 1)), pa.int32())
-                made = {"rid": np.arange(n) + ((pid << 33) + seq), "n_tokens": total, "known": known.astype(np.int64),
-                        "base": base, "score": score,
-                        "rare": pa.ListArray.from_arrays(cuts, pa.array(x[order].view(np.int64))),
-                        "times": pa.ListArray.from_arrays(cuts, pa.array(c[order].astype(np.int64)))}
-                seq += n
-                own = batch.slice(i, n)
-                yield pa.RecordBatch.from_arrays(
-                    [(pa.array(made[f.name]) if f.name in made else own.column(f.name)).cast(f.type) for f in arrow],
-                    schema=arrow)
+def _score(depth, hot, arrow):
+    def run(texts, logs):
+        keys, seen = hot.value
+        each = np.log10(seen + 1.0)
+        gram = logs.column("key").to_numpy().view(U)
+        order = np.argsort(gram)
+        gram, lp = gram[order], logs.column("lp").to_numpy()[order].astype(float) * np.log10(2)
+        out = []
+        for i, j, raw, off in slices(texts.column("text")):
+            n = j - i
+            doc, g = text_grams(raw, off, depth)
+            unique, back = np.unique(g, return_inverse=True)
+            score = np.bincount(doc, weights=lp[np.searchsorted(gram, unique)][back], minlength=n)
+            _, _, doc, h = words(raw, off, VISIBLE)
+            total = np.bincount(doc, minlength=n) + 1
+            d, x, c = counted(doc, h)
+            d, x, c = np.append(d, np.arange(n)), np.append(x, np.full(n, END_WORD, np.int64).view(U)), np.append(c, np.ones(n, int))
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+                hit = keys[at] == x
+                known = np.bincount(d[hit], weights=c[hit], minlength=n)
+                base = np.bincount(d[hit], weights=c[hit] * each[at[hit]], minlength=n)
+            else:
+                hit, known, base = np.zeros(len(d), bool), np.zeros(n), np.zeros(n)
+            d, x, c = d[~hit], x[~hit], c[~hit]
+            order = np.argsort(d, kind="stable")
+            cuts = pa.array(np.searchsorted(d[order], np.arange(n + 1)), pa.int32())
+            made = {"n_tokens": total, "known": known.astype(np.int64), "base": base, "score": score,
+                    "rare": pa.ListArray.from_arrays(cuts, pa.array(x[order].view(np.int64))),
+                    "times": pa.ListArray.from_arrays(cuts, pa.array(c[order].astype(np.int64)))}
+            own = texts.slice(i, n).combine_chunks().to_batches()[0]
+            out.append(pa.RecordBatch.from_arrays(
+                [(pa.array(made[f.name]) if f.name in made else own.column(f.name)).cast(f.type) for f in arrow], schema=arrow))
+        return pa.Table.from_batches(out, schema=arrow)
     return run
 
 
-def log_scores(docs: DataFrame, depth: int = DEPTH, hot_words: int = HOT_WORDS,
-               max_model_bytes: int = MAX_MODEL_BYTES) -> DataFrame:
+def log_scores(docs: DataFrame, depth: int = DEPTH, hot_words: int = HOT_WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, n_bytes (scored symbols) and code_bits (bits per byte)."""
 
     spark = docs.sparkSession
     marked = docs.select("doc_id", held_out(FOLDS).alias("held_out"), F.col("text").cast("string").alias("text"),
                          (F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + 1).cast("long").alias("n_bytes"))
-    counts = corpus_counts(marked.filter(~F.col("held_out")), depth)
-    model = spark.sparkContext.broadcast(fit(counts, depth, max_model_bytes))
+    texts = materialise(marked.mapInArrow(_blocks, T.StructType([*marked.schema, *T.StructType.fromDDL("block long, rid long")])),
+                        "ctw-texts")
+    cells = materialise(block_counts(texts, depth), "ctw-cells")
+    counts = _summed(cells)
+    logs = gram_logs(counts, depth)
     vocabulary = counts.filter(F.col("kind") == WORD).select("key", "n")
     size = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_train, v_train = size["n"] or 0, size["v"]
@@ -331,7 +424,11 @@ def log_scores(docs: DataFrame, depth: int = DEPTH, hot_words: int = HOT_WORDS,
     schema = T.StructType([marked.schema["doc_id"], *T.StructType.fromDDL(
         "held_out boolean, n_bytes long, rid long, n_tokens long, known long, base double, score double, "
         "rare array<long>, times array<long>")])
-    scored = materialise(marked.mapInArrow(_score(model, hot, arrow), schema), "ctw-scored")
+    wanted = cells.filter(F.col("kind") == GRAM).select("block", "key").join(logs, "key")
+    scored = materialise(texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_score(depth, hot, arrow), schema),
+                         "ctw-scored")
+    for done in (texts, cells, logs):
+        drop_scratch(spark, done)
     rare = (scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
             .select("rid", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
             .join(vocabulary, "key").groupBy("rid")

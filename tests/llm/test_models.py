@@ -111,6 +111,34 @@ def test_held_out_code_length(spark):
     assert bits < 2.3 and deep[0] > flat[0] and deep[0] > 1.05 * deep[1]
 
 
+def test_query_scores_at_depth_seven(spark):
+    """Seven context bytes, whatever the number of nodes, and no bound to lower that."""
+    texts = [f"abcabcabd the cat {i % 7} sat" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = slow_ctw([t.encode() for i, t in enumerate(texts) if not held(i, 7)], [t.encode() for t in texts], 7)
+    got = {r["doc_id"]: r["score"] for r in ctw.log_scores(docs).collect()}
+    assert all(math.isclose(got[i], want[i], abs_tol=1e-4) for i in range(len(texts)))
+    assert "max_model_bytes" not in ctw.log_scores.__code__.co_varnames
+
+
+def test_chunks_hold_whole_subtrees(monkeypatch):
+    monkeypatch.setattr(ctw, "CHUNK", 3)
+    cut = np.sort(np.random.default_rng(1).integers(0, 9, 50))
+    gram = (np.arange(50) << 40) | (cut << 8) | 7
+    batches = [pa.RecordBatch.from_arrays([pa.array(gram[i:i + 4]), pa.array(np.arange(i, min(i + 4, 50)))], ["gram", "n"])
+               for i in range(0, 50, 4)]
+    parts = [(g, n) for g, n in ctw._whole(batches)]
+    assert np.array_equal(np.concatenate([n for _, n in parts]), np.arange(50)) and len(parts) > 4
+    groups = [set(((g >> np.uint64(8)) & np.uint64(0xFFFFFF)).tolist()) for g, _ in parts]
+    assert sum(map(len, groups)) == len(set().union(*groups))
+
+
+def test_held_out_score_beats_the_baseline(spark):
+    """Depth 7 on sf0.1: over the word baseline."""
+    t = QUERIES["op7_context_tree_weighting"](spark, SF01).filter("held_out").groupBy().sum("score", "base_score").first()
+    assert t[0] > t[1] and t[0] > -2_300_000
+
+
 def test_toxicity_on_held_out_labels(spark):
     labels = {r["doc_id"]: r["toxic"] for r in table(spark, SF001, "labels").collect()}
     rows = [r for r in QUERIES["op8_toxicity_grammar"](spark, SF001).collect() if r["doc_id"] in labels and held(r["doc_id"], 4)]
