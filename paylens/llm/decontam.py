@@ -78,7 +78,7 @@ def _positions(docs: DataFrame, shingles: DataFrame, window: int, shingle: int)
               .withColumn("sid", F.monotonically_increasing_id())
               .withColumn("key", F.coalesce(*keyed, F.lit(None).cast("long"))))
     listed = materialise(listed, "decon-listed")
-    probe = materialise(listed.select("key").distinct().coalesce(1), "decon-probe")
+    probe = materialise(listed.select("key").distinct(), "decon-probe")
     tokens = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", words_of("text").alias("w"))
     zipped = F.arrays_zip(*[(F.col("w") if j == 0 else F.slice("w", j + 1, F.greatest(F.size("w"), F.lit(1)))).alias(f"w{j + 1}")
                             for j in range(shingle)])

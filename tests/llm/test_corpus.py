@@ -281,3 +281,15 @@ def test_stage_digest_matches_contract(spark):
     rows = QUERIES["op5_benchmark_decontamination"](spark, SF001).filter("n_items = 0").limit(3).collect()
     assert all(r["items_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows)
     assert decontam.WINDOW == 10
+
+
+def test_benchmark_keys_are_written_by_several_tasks(multi_partition, monkeypatch):
+    spark, plans, write = multi_partition, {}, decontam.materialise
+
+    def watched(df, name):
+        plans[name] = (df._jdf.queryExecution().optimizedPlan().toString(), out := write(df, name))
+        return out
+    monkeypatch.setattr(decontam, "materialise", watched)
+    decontam.contamination(table(spark, SF001, "documents"), table(spark, SF001, "benchmark"))
+    plan, probe = plans["decon-probe"]
+    assert "Repartition 1" not in plan and len(probe.inputFiles()) > 1
