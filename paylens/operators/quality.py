@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,9 +59,8 @@ def pii_scan(df: DataFrame, table: str) -> DataFrame:
         return df.sparkSession.createDataFrame([], "table string, column string, kind string, violations bigint")
     # render nested columns once, below the aggregate, for both patterns
     texts = df.select(*[c.alias(f"t{i}") for i, (_, c) in enumerate(cols)])
-    aggs = [F.count(F.when(F.col(f"t{i}").contains(_MUST_CONTAIN[kind]) & F.col(f"t{i}").rlike(_SCAN_PATTERNS[kind]), 1))
-            .alias(f"{name}__{kind}") for i, (name, _) in enumerate(cols) for kind, _ in PII_PATTERNS]
-    one = texts.agg(*aggs)
+    one = texts.agg(*[_violations(F.col(f"t{i}"), kind).alias(f"{name}__{kind}")
+                      for i, (name, _) in enumerate(cols) for kind, _ in PII_PATTERNS])
     rows = F.array(*[F.struct(F.lit(table).alias("table"), F.lit(name).alias("column"),
                               F.lit(kind).alias("kind"), F.col(f"`{name}__{kind}`").alias("violations"))
                      for name, _ in cols for kind, _ in PII_PATTERNS])
@@ -70,6 +71,25 @@ class PIIGateError(ValueError):
     pass
 
 
+def _violations(text: F.Column, kind: str) -> F.Column:
+    return F.count(F.when(text.contains(_MUST_CONTAIN[kind]) & text.rlike(_SCAN_PATTERNS[kind]), 1))
+
+
+def gated(df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], None]]:
+    """V2 inside a write: ``df`` that counts its violations while it is written, and
+    the check to call after the write and before publishing what it wrote."""
+    counts = [_violations(c, kind).alias(f"{name}: {kind}") for name, c in _text_columns(df) for kind, _ in PII_PATTERNS]
+    if not counts:
+        return df, lambda: None
+    seen = Observation()
+
+    def check():
+        hits = {k: n for k, n in seen.get.items() if n}
+        if hits:
+            raise PIIGateError(f"PII gate: {table} holds personal-data-shaped values ({hits})")
+    return df.observe(seen, *counts), check
+
+
 def assert_no_pii(df: DataFrame, table: str = "output") -> None:
     """The gate: refuse ``df`` if one of its texts has the shape of a personal identifier."""
     hits = pii_scan(df, table).filter(F.col("violations") > 0).collect()  # at most 2 rows per column

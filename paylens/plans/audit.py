@@ -29,21 +29,29 @@ MARKERS = {
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
+def _parts(node) -> list:
+    """What a node runs: its inputs, then its subqueries; a reused part has none of its own."""
+    kind = node.getClass().getSimpleName()
+    if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+        return []
+    if kind == "AdaptiveSparkPlanExec":
+        return [node.executedPlan()]
+    if kind.endswith("QueryStageExec"):
+        return [node.plan()]
+    seqs = (node.children(), node.subqueries())
+    return [seq.apply(i) for seq in seqs for i in range(seq.size())]
+
+
 def final_plan(df) -> str:
-    """Execute ``df`` and return its final adaptive plan, each reused part once."""
+    """Execute ``df`` and return its final adaptive plan, one node a line; a
+    reused exchange or subquery is a line without the nodes below it."""
     df.collect()
-    kept, skip = [], None
-    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
-        depth = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and depth > skip:
-            continue
-        skip = None
-        node = line[depth:]
-        if node.startswith(("== Initial Plan ==", "ReusedSubquery", "ReusedExchange")):
-            skip = depth - 1 if node.startswith("==") else depth
-            continue
-        kept.append(line)
-    return "\n".join(kept)
+    lines, todo = [], [(0, df._jdf.queryExecution().executedPlan())]
+    while todo:
+        depth, node = todo.pop()
+        lines.append("  " * depth + node.simpleString(25))
+        todo += [(depth + 1, p) for p in reversed(_parts(node))]
+    return "\n".join(lines)
 
 
 def audit(spark, sf_dir: str) -> list[tuple[str, dict, list[str]]]:

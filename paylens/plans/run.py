@@ -3,8 +3,8 @@
     python -m paylens --roles <folder of role tables> --revenue <document.json> --out <folder>
     python -m paylens --data /root/testdata/sf0.1 --out <folder>
 
-Nothing is written before the personal-data gate has passed on every
-document (the model report included).
+Nothing is published before the personal-data gate has passed on every
+document (the model report included); the gate counts while they are staged.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from paylens.config import FIXTURE_PROFILE, PROFILES, Config
 from paylens.operators import (behaviour, bundle, growth, headline, levers, model, payer_dna,
                                propensity, social, why_pay)
-from paylens.operators.quality import assert_no_pii, revenue_reconciliation
+from paylens.operators.quality import revenue_reconciliation
 from paylens.plans.workspace import Workspace, workspace
 from paylens.sources import sinks
 
@@ -163,8 +163,8 @@ def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXT
     a = analyses(ws)
     secs = a.sections()  # builds every analysis plan (rankings checkpoint here, once)
     facts_plan = a.brief()
-    # the documents are a few hundred bytes each: keep them so the gate and
-    # the writes do not recompute the analyses behind them. Model report and
+    # the documents are a few hundred bytes each: keep them so the
+    # writes do not recompute the analyses behind them. Model report and
     # facts are independent, so their jobs run concurrently (Spark schedules
     # jobs from several driver threads side by side; most stages are small).
     from concurrent.futures import ThreadPoolExecutor
@@ -184,12 +184,8 @@ def run_all(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config = FIXT
         f_facts = pool.submit(lambda: materialise(facts_plan))
         body, report, facts = f_body.result(), f_report.result(), f_facts.result()
     doc = materialise(bundle.insights_document(body, report))
-    # gate everything first; only then write
-    for name, df in (("insights", doc), ("model_report", report), ("brief_facts", facts)):
-        assert_no_pii(df, name)
-    sinks.write_document(doc, os.path.join(out_dir, "insights.json"), gate=False)
-    sinks.write_document(report, os.path.join(out_dir, "model_report.json"), gate=False)
-    facts.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "brief_facts"))
+    sinks.publish({os.path.join(out_dir, "insights.json"): doc, os.path.join(out_dir, "model_report.json"): report,
+                   os.path.join(out_dir, "brief_facts"): facts})
     if store_dir:
         sinks.write_store(ws.store, store_dir)
     for df in (doc, body, report, facts):

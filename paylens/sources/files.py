@@ -31,6 +31,17 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder, replacing what stands at ``target``."""
+    fs, src = _fs(spark, source)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def identity(spark: SparkSession, path: str) -> tuple:
     """(path, size, modification time) of every file under ``path``: what a
     cached result of reading it depends on. Empty if nothing is there."""

@@ -1,7 +1,8 @@
 """Canonical role schemas (explicit, no inference), FIXTURES.md section 1.
 
-Semi-structured attributes are JSON text here (the source's shape); typed
-arrays and maps are accepted by the same operators.
+Semi-structured attributes are JSON text here (the source's shape). Files
+that hold them as typed arrays and maps keep those types (``tables.as_role``);
+the same operators take both.
 """
 
 from __future__ import annotations

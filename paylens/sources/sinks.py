@@ -1,16 +1,21 @@
 """Materialisation and serialisation.
 
 Only the store (one row per player) is written in parallel; the insights
-document and model report are aggregates of a few hundred bytes and are
-written as one file each, after the personal-data gate has passed.
+document and model report are aggregates of a few hundred bytes and are one
+file each. The personal-data gate runs inside the write (``publish``).
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paylens.operators.quality import assert_no_pii
+from paylens.operators.quality import gated
+from paylens.sources import files
 
 
 def write_store(store: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -26,11 +31,43 @@ def export_csv(matrix: DataFrame, path: str) -> None:
     matrix.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_document(doc: DataFrame, path: str, gate: bool = True) -> None:
-    """One small JSON document, gated first."""
-    if gate:
-        assert_no_pii(doc, path)
-    doc.coalesce(1).write.mode("overwrite").text(path)
+def write_document(doc: DataFrame, path: str) -> None:
+    """One small JSON document as one file."""
+    publish({path: doc})
+
+
+def publish(documents: dict[str, DataFrame]) -> None:
+    """Write documents and publish all of them, or none.
+
+    Each is written once, to a staging folder beside the published one, and the write
+    itself counts the values shaped like personal data. Only if none of the
+    documents holds any are they renamed into place: a one-column text
+    document becomes a file of that name, other rows a folder of JSON lines.
+    """
+    staged, checks = {}, []
+    try:
+        for path, doc in documents.items():
+            staged[path] = f"{os.path.dirname(path)}.staging-{uuid.uuid4().hex}"
+            rows, check = gated(doc.coalesce(1), os.path.basename(path))
+            checks.append(check)
+            w = rows.write.mode("overwrite")
+            w.text(staged[path]) if _is_text(doc) else w.json(staged[path])
+        for check in checks:
+            check()
+        for path, doc in documents.items():
+            spark, at = doc.sparkSession, staged[path]
+            part = next((n for n in files.children(spark, at) if n.startswith("part-")), None)
+            if _is_text(doc) and part:
+                files.move(spark, f"{at}/{part}", path)
+            else:
+                files.move(spark, at, path)
+    finally:
+        for path, at in staged.items():
+            files.delete(documents[path].sparkSession, at)
+
+
+def _is_text(doc: DataFrame) -> bool:
+    return len(doc.columns) == 1 and isinstance(doc.schema[0].dataType, T.StringType)
 
 
 def model_report_document(evaluation: DataFrame, coefficients: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -30,10 +31,33 @@ class Tables:
         return self._cache[name]
 
 
+TEXT_FORMATS = ("csv", "json", "text", "xml")
+
+
+def as_role(df: DataFrame, role: T.StructType) -> DataFrame:
+    """``df`` with the role's columns: nested columns and JSON text keep their type, scalars are cast."""
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    own = {f.name.lower(): f for f in df.schema}
+
+    def column(f: T.StructField):
+        have = own.get(f.name.lower())
+        if have is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        c = F.col(f"`{have.name}`")
+        keep = isinstance(have.dataType, nested) or (isinstance(have.dataType, T.StringType) and isinstance(f.dataType, nested))
+        return (c if keep else c.cast(f.dataType)).alias(f.name)
+    return df.select(*[column(f) for f in role])
+
+
 def read_role_tables(spark: SparkSession, root: str, fmt: str = "parquet", roles=None,
                      options: dict[str, str] | None = None, schemas: dict[str, str] | None = None):
-    """Production entry: the role tables under ``root``, read with their
-    explicit schemas (``schemas`` overrides single ones, e.g. typed arrays).
+    """Production entry: the role tables under ``root``.
+
+    Formats that state their own types (Parquet, ORC, JDBC, catalog formats)
+    are read with them: scalars are cast to the role's type, nested columns
+    (arrays, maps, structs) and JSON text stay as they are, a column that the
+    files lack is null. Text formats are read with the role's schema;
+    ``schemas`` overrides single ones.
 
     One folder per role; with ``fmt="jdbc"`` ``root`` is the database URL and
     each role is a table. Roles left out of ``roles`` are empty tables.
@@ -48,9 +72,8 @@ def read_role_tables(spark: SparkSession, root: str, fmt: str = "parquet", roles
         if role not in wanted:
             return spark.createDataFrame([], schemas[role])
         reader = spark.read.format(fmt).options(**(options or {}))
-        if fmt == "jdbc":  # the database states the types; columns are cast to the role's
-            df = reader.option("url", root).option("dbtable", role).load()
-            fields = T.StructType.fromDDL(schemas[role])
-            return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in fields])
-        return reader.schema(schemas[role]).load(os.path.join(root, role))
+        if fmt in TEXT_FORMATS:
+            return reader.schema(schemas[role]).load(os.path.join(root, role))
+        df = reader.option("url", root).option("dbtable", role).load() if fmt == "jdbc" else reader.load(os.path.join(root, role))
+        return as_role(df, T.StructType.fromDDL(schemas[role]))
     return RoleTables(**{r: read(r) for r in ROLES})

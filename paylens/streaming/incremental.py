@@ -15,17 +15,20 @@ partially aggregated group-by over the deltas. No watermark decides what
 counts: events in any order and any delay are all counted once, and no
 state grows in memory. Every ``compact_every`` batches, all batches before
 the running one (they are committed) are folded into a base, so neither
-table grows in files or in rows beyond its distinct keys.
+table grows in files or in rows beyond its distinct keys. A batch may run
+again at any point, also in the middle of its folds: a fold that is complete
+is not repeated, and a folder that readers use is never written.
 
 Events without an id cannot be recognised as repeats; each of them counts.
-Non-monotone features (modal game, latest survey, refunds) are recomputed
-from the event log by the batch store.
+Features that a retraction can lower (modal game, latest survey, refunded
+purchases) are kept by :mod:`paylens.streaming.profile`.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +49,7 @@ LEDGER_SCHEMA = "event_id bigint, day date"
 class StreamSettings:
     purchase_type: str = "purchase"
     min_purchase_value: float = 150.0
-    max_bytes_per_trigger: str = "16g"
+    max_bytes_per_trigger: int = 16 << 30
     compact_every: int = 50
 
 
@@ -115,15 +118,22 @@ class BatchTable:
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(
             os.path.join(self.path, "batches", f"batch_id={batch_id}"))
 
-    def fold(self, upto: int, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        """Write ``rows`` (all batches up to ``upto``) as the base, then drop what it replaces."""
-        old = self._upto()
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(os.path.join(self.path, "base", f"upto={upto}"))
-        for n in self._complete("batches", "batch_id="):
-            if n <= upto:
-                files.delete(self.spark, os.path.join(self.path, "batches", f"batch_id={n}"))
-        if 0 <= old < upto:
-            files.delete(self.spark, os.path.join(self.path, "base", f"upto={old}"))
+    def holds(self, batch_id: int) -> bool:
+        """Whether the batch is already part of the base."""
+        return self._upto() >= batch_id
+
+    def fold(self, upto: int, merged: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+             partition_by: tuple[str, ...] = ()) -> None:
+        """Make ``merged`` of all batches up to ``upto`` the base, then drop what it
+        replaces. Run again after a crash, it goes on where it stopped."""
+        if not self.holds(upto):  # an incomplete upto= folder is read by nobody and overwritten
+            merged(self.read(before=upto + 1)).write.mode("overwrite").partitionBy(*partition_by).parquet(
+                os.path.join(self.path, "base", f"upto={upto}"))
+        for folder, prefix, last in (("batches", "batch_id=", upto), ("base", "upto=", upto - 1)):
+            at = os.path.join(self.path, folder)
+            for n in files.children(self.spark, at):
+                if n.startswith(prefix) and int(n[len(prefix):]) <= last:
+                    files.delete(self.spark, os.path.join(at, n))
 
 
 def _tables(spark: SparkSession, sink: str) -> tuple[BatchTable, BatchTable]:
@@ -134,9 +144,11 @@ def _tables(spark: SparkSession, sink: str) -> tuple[BatchTable, BatchTable]:
 def _batch_writer(sink: str, s: StreamSettings):
     def write(batch: DataFrame, batch_id: int) -> None:
         ledger, deltas = _tables(batch.sparkSession, sink)
-        if batch_id and batch_id % s.compact_every == 0:  # earlier batches are committed and never replayed
-            ledger.fold(batch_id - 1, ledger.read(before=batch_id), ("day",))
-            deltas.fold(batch_id - 1, merge(deltas.read(before=batch_id)))
+        if ledger.holds(batch_id):
+            return
+        if batch_id and batch_id % s.compact_every == 0:  # earlier batches are committed
+            deltas.fold(batch_id - 1, merge)
+            ledger.fold(batch_id - 1, partition_by=("day",))
         events = unique_events(batch.withColumn("day", F.to_date("ts"))).persist()
         days = [r["day"] for r in events.select("day").distinct().collect()]  # calendar days in the batch
         seen = ledger.read(before=batch_id).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())

@@ -52,19 +52,20 @@ def test_ranking_moves_rows_by_range_only(multi_partition, by):
 
 
 def test_class_balance_sorts_ids_only(spark):
-    from pyspark.sql import DataFrame, functions as F
+    from pyspark.sql import functions as F
 
     from paylens.config import REFERENCE_PROFILE
     from paylens.operators import model
     cfg = REFERENCE_PROFILE.with_(model_features=("a", "b"))
     m = spark.range(3000).select(F.col("id").alias("player_id"), F.lit(0).alias("is_test"), (F.col("id") % 50 == 0).cast("int").alias("y"),
                                  F.rand(1).alias("a"), F.rand(2).alias("b"))
-    seen, plain = [], DataFrame.checkpoint
-    DataFrame.checkpoint = lambda self, *a, **k: (seen.append(self.columns), plain(self, *a, **k))[1]
+    kind = type(m)  # the session's own class overrides checkpoint
+    seen, plain = [], kind.checkpoint
+    kind.checkpoint = lambda self, *a, **k: (seen.append(self.columns), plain(self, *a, **k))[1]
     try:
         out = model.class_balance(m, cfg)
     finally:
-        DataFrame.checkpoint = plain
+        kind.checkpoint = plain
     assert seen == [["player_id", "_h"]] and out.columns == m.columns
     assert out.filter("y = 1").count() == 60 and out.filter("y = 0").count() == -(-2940 // 12)
 

@@ -41,6 +41,13 @@ def test_csv_export_and_gated_documents(spark):
     with pytest.raises(PIIGateError):
         sinks.write_document(bad, os.path.join(d, "bad"))
     assert not os.path.exists(os.path.join(d, "bad"))
+    good = spark.createDataFrame([('{"a": 1}',)], "value string")
+    for _ in range(2):  # a later run replaces the file
+        sinks.publish({os.path.join(d, "good.json"): good, os.path.join(d, "rows"): spark.range(3)})
+        assert json.load(open(os.path.join(d, "good.json"))) == {"a": 1} and spark.read.json(os.path.join(d, "rows")).count() == 3
+    with pytest.raises(PIIGateError, match="email"):  # one bad document holds back all
+        sinks.publish({os.path.join(d, "other.json"): good, os.path.join(d, "bad"): bad})
+    assert not os.path.exists(os.path.join(d, "other.json")) and not [n for n in os.listdir(d) if "staging" in n]
 
 
 def test_views_serve_spark_sql(spark):
@@ -170,9 +177,13 @@ def test_pii_scan_pattern_is_equal_and_linear(spark):
     from paylens.operators.quality import EMAIL_PATTERN, pii_scan
     r = random.Random(2)
     texts = ["".join(r.choice("ab.@-_% \n1") for _ in range(r.randint(0, 14))) for _ in range(3000)]
+    piece = lambda chars: "".join(r.choice(chars) for _ in range(r.randint(0, 4)))
+    texts += [piece("ab \n%") + r.choice(["@", "@", "%@", " @"]) + piece("ab.-_") + r.choice([".", "", ".."]) + piece("abc1")
+              for _ in range(3000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {row.kind: row.violations for row in pii_scan(df, "x").collect()}
-    assert got["email"] == sum(bool(re.search(EMAIL_PATTERN, t)) for t in texts) > 0
+    found = sum(bool(re.search(EMAIL_PATTERN, t)) for t in texts)
+    assert got["email"] == found and 100 < found < len(texts)
     long = spark.createDataFrame([("w" * 1_000_000 + " @",)], "t string")
     pii_scan(long, "x").collect()
     t0 = time.time()

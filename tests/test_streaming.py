@@ -50,19 +50,52 @@ def test_stream_keeps_every_event_once(spark, events, tmp_path, order):
 
 
 def test_replayed_batch_counts_once(spark, events, tmp_path):
-    """A batch that runs again after a crash overwrites itself, also across a fold."""
+    """A batch that runs again after a crash overwrites itself, also at and after a fold."""
     from paylens.streaming.incremental import StreamSettings, _batch_writer, activity, current_table
     s = StreamSettings(compact_every=2)
     rows = events.collect()
-    parts = [spark.createDataFrame(rows[i::4], events.schema) for i in range(4)]
+    parts = [spark.createDataFrame(rows[i::5], events.schema) for i in range(5)]
     write = _batch_writer(str(tmp_path / "sink"), s)
     for i, p in enumerate(parts):
-        write(p, i)
-        write(p, i)
+        for _ in range(3):
+            write(p, i)
+        for j in range(i):          # batches of long ago change nothing
+            if j < i - i % 2:
+                write(parts[j], j)
     want = activity(events, s)
     assert _collect(current_table(spark, str(tmp_path / "sink")).select(*want.columns)) == _collect(want)
 
 
+@pytest.mark.parametrize("stop", [1, 2, 3, 4, 5, 6])
+def test_crash_anywhere_in_a_folding_batch(spark, events, tmp_path, monkeypatch, stop):
+    """The batch that folds dies at its ``stop``-th write or delete and runs again."""
+    from paylens.sources import files
+    from paylens.streaming import incremental
+    s = incremental.StreamSettings(compact_every=2)
+    rows = events.collect()
+    parts = [spark.createDataFrame(rows[i::3], events.schema) for i in range(3)]
+    write = incremental._batch_writer(str(tmp_path / "sink"), s)
+    write(parts[0], 0)
+    write(parts[1], 1)
+    left = [stop]
+
+    def dying(plain):
+        def call(*a, **k):
+            left[0] -= 1
+            if left[0] == 0:
+                raise RuntimeError("lost")
+            return plain(*a, **k)
+        return call
+    monkeypatch.setattr(files, "delete", dying(files.delete))
+    monkeypatch.setattr(incremental.BatchTable, "write", dying(incremental.BatchTable.write))
+    with pytest.raises(RuntimeError, match="lost"):
+        write(parts[2], 2)
+    monkeypatch.undo()
+    write(parts[2], 2)
+    want = incremental.activity(events, s)
+    assert _collect(incremental.current_table(spark, str(tmp_path / "sink")).select(*want.columns)) == _collect(want)
+
+
 def test_one_file_and_a_folder_of_parts_agree(spark, events, tmp_path):
     from paylens.plans.registry import QUERIES
     from paylens.streaming.incremental import activity
