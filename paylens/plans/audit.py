@@ -58,7 +58,7 @@ def audit(spark, sf_dir: str) -> list[tuple[str, dict, list[str]]]:
     from paylens.plans.registry import QUERIES
     rows = []
     for name, fn in QUERIES.items():
-        if name == "incremental_player_activity":
+        if name.startswith("incremental_"):
             continue
         plan = final_plan(fn(spark, sf_dir))
         counts = {k: len(re.findall(rx, plan)) for k, rx in MARKERS.items()}

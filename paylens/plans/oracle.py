@@ -401,6 +401,8 @@ FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
   {S.count_if(f'last_seen > {win_start}')} AS active_users_28d FROM scored)""")
     out.update(_grouped(cfg, W, base, tgt, loss_sel=loss_sel))
     out.update(_model(cfg, W, base, matrix))
+    out.update(_fitted(cfg, base, matrix))
+    out.update(_streams())
     out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,
@@ -463,6 +465,81 @@ FROM scored WHERE is_holdout""")
     return out
 
 
+def _streams() -> dict[str, str]:
+    """What the streams must equal, over all events at once."""
+    live = "SELECT * FROM events WHERE event_id + 1 NOT IN (SELECT event_id FROM events WHERE event_type = 'error')"
+    money = "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+    return {"incremental_player_profile": f"""WITH live AS ({live}),
+games AS (SELECT user_id AS player_id, count(*) AS n_games_hosted, {money} AS pcoins_wagered FROM live GROUP BY user_id),
+modes AS (SELECT user_id AS player_id, first(event_type ORDER BY times DESC, event_type) AS fav_game
+          FROM (SELECT user_id, event_type, count(*) AS times FROM live WHERE event_type IS NOT NULL GROUP BY ALL) GROUP BY user_id),
+surveys AS (SELECT user_id AS player_id, event_id AS survey_id, props AS responses FROM live WHERE event_type = 'view'
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC) = 1),
+buys AS (SELECT user_id AS player_id, count(*) AS n_purchases, {money} AS pcoin_usd, min(ts) AS first_buy FROM live
+         WHERE event_type = 'purchase' AND CAST(value AS DECIMAL(18,2)) >= 150 GROUP BY user_id)
+SELECT * FROM games LEFT JOIN modes USING (player_id) LEFT JOIN surveys USING (player_id) LEFT JOIN buys USING (player_id)""",
+            "incremental_play_sessions": f"""WITH marked AS (
+  SELECT user_id, ts, value, COALESCE(ts > lag(ts) OVER w + INTERVAL 30 MINUTE, true) AS fresh
+  FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+numbered AS (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nr FROM marked)
+SELECT user_id AS player_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
+       {money} AS amount FROM numbered GROUP BY user_id, nr"""}
+
+
+def _fitted(cfg: Config, base, matrix: str, steps: int = 12) -> dict[str, str]:
+    """M4, M6-M8: Newton's method in SQL. A step sums gradient and Hessian over
+    the training rows into an augmented matrix, which is then eliminated
+    column by column (one recursion per column)."""
+    names, d = cfg.model_features, len(cfg.model_features) + 1
+    moments = ", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE 1 END AS s_{f}" for f in names)
+    x = ", ".join([f"({f} - m_{f}) / s_{f}" for f in names] + ["CAST(1 AS DOUBLE)"])
+    ridge = [cfg.reg_param] * (d - 1) + [0.0]
+    rows = ", ".join("[" + ", ".join(
+        [f"avg(p * (1 - p) * x[{i + 1}] * x[{j + 1}])" + (f" + {ridge[i]!r}" if i == j else "") for j in range(d)]
+        + [f"avg((p - y) * x[{i + 1}]) + {ridge[i]!r} * any_value(w[{i + 1}])"]) + "]" for i in range(d))
+    ctes = [*base, f"m AS ({matrix})", f"mom AS (SELECT {moments} FROM m WHERE is_test = 0)",
+            "cb AS (SELECT count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y = 0) AS n FROM m WHERE is_test = 0)",
+            f"kk AS (SELECT p, n, CASE WHEN p > 0 THEN GREATEST(1, n // ({cfg.neg_per_pos} * p)) ELSE 1 END AS k FROM cb)",
+            """negs AS (SELECT player_id, row_number() OVER (
+  ORDER BY CAST(('0x' || substr(md5(CAST(player_id AS VARCHAR)), 1, 8)) AS BIGINT), player_id) AS rn
+  FROM m WHERE is_test = 0 AND y = 0)""",
+            f"zs AS MATERIALIZED (SELECT player_id, is_test, CAST(y AS DOUBLE) AS y, [{x}] AS x FROM m, mom)",
+            """tr AS MATERIALIZED (SELECT y, x FROM zs WHERE is_test = 0 AND (y = 1 OR player_id IN (
+  SELECT player_id FROM negs, kk WHERE (rn - 1) % k = 0)))""",
+            f"w0 AS MATERIALIZED (SELECT [{', '.join(['CAST(0 AS DOUBLE)'] * d)}] AS w)"]
+    for k in range(1, steps + 1):
+        ctes += [f"p{k} AS MATERIALIZED (SELECT x, y, w, 1 / (1 + exp(-list_dot_product(x, w))) AS p FROM tr, w{k - 1})",
+                 f"a{k} AS MATERIALIZED (SELECT [{rows}] AS h FROM p{k})",
+                 f"""e{k}(i, h) AS (SELECT CAST(1 AS BIGINT), h FROM a{k} UNION ALL SELECT i + 1, list_transform(h, lambda r, j:
+  CASE WHEN j = i THEN list_transform(r, lambda v, c: v / h[i][i])
+       ELSE list_transform(r, lambda v, c: v - r[i] * h[i][c] / h[i][i]) END) FROM e{k} WHERE i <= {d})""",
+                 f"w{k} AS MATERIALIZED (SELECT list_transform(w, lambda v, j: v - h[j][{d + 1}]) AS w FROM e{k}, w{k - 1} WHERE i = {d + 1})"]
+
+    def text(*more: str, select: str) -> str:
+        return with_ctes(*ctes, *more, select=select).replace("WITH", "WITH RECURSIVE", 1)
+    out = {"model_coefficients": text(select="\nUNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(w[{i + 1}], 3) + 0.0 AS coef, round(exp(w[{i + 1}]), 2) AS odds_per_sd FROM w{steps}"
+        for i, f in enumerate(names)))}
+    z = "list_dot_product(x, w)"
+    clipped = f"CASE WHEN {z} < -30 THEN 1e-13 WHEN {z} > 30 THEN 1 ELSE 1 / (1 + exp(-{z})) END"
+    out["model_report"] = text(
+        f"hold AS MATERIALIZED (SELECT player_id, CAST(y AS BIGINT) AS y, {clipped} AS s FROM zs, w{steps} WHERE is_test = 1)",
+        """areas AS (SELECT s, n, pos, sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+  FROM (SELECT s, count(*) AS n, sum(y) AS pos FROM hold GROUP BY s))""",
+        f"""tops AS (SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, count(*) FILTER (WHERE rn <= tot // {cfg.n_tiles}) AS top_n,
+  CAST(sum(y) FILTER (WHERE rn <= tot // {cfg.n_tiles}) AS BIGINT) AS top_positives
+  FROM (SELECT *, row_number() OVER (ORDER BY s DESC, player_id) AS rn, count(*) OVER () AS tot FROM hold))""",
+        f"""area AS (SELECT {S.rr_wide('sum(pos * (2 * (COALESCE(below, 0) + 1) + n - 1)) - sum(pos) * (sum(pos) + 1)',
+                                    '2 * sum(pos) * (sum(n) - sum(pos))', 3)} AS test_auc FROM areas)""",
+        select=f"""SELECT 'logistic regression (Newton, L2 on weights)' AS model, kk.p + (kk.n + k - 1) // k AS train_rows, tops.n AS test_rows,
+  'trained on ' || kk.p || ' payers + ' || ((kk.n + k - 1) // k) || ' sampled non-payers' AS class_balance, test_auc,
+  {S.pct('positives', 'tops.n')} AS test_base_rate_pct, {S.pct('top_positives', 'top_n')} AS top_decile_rate_pct,
+  {S.rr_wide('top_positives * tops.n', 'top_n * positives', 1)} AS top_decile_lift,
+  'Coefficients are per +1 SD of the feature; odds_per_sd > 1 means the feature raises the odds of paying.' AS note
+FROM kk, tops, area""")
+    return out
+
+
 def _model(cfg: Config, W, base, matrix: str) -> dict[str, str]:
     """M4/M8: the fitted point has no gradient. M5: scores under a fixed coefficient vector."""
     from paylens.operators.model import CHECK_COEFFICIENTS, CHECK_INTERCEPT, SIGMOID_CLIP

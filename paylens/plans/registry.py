@@ -451,6 +451,20 @@ def q_incremental_player_activity(spark, d):
     return run_to_completion(spark, d.rstrip("/") + "/events.parquet")
 
 
+@query("incremental_player_profile")
+def q_incremental_player_profile(spark, d):
+    """Features that retractions lower, from a change feed of the event table."""
+    from paylens.streaming.profile import stream_profile
+    return stream_profile(spark, d)
+
+
+@query("incremental_play_sessions")
+def q_incremental_play_sessions(spark, d):
+    """Event-time play sessions of the event stream, late rows merged in."""
+    from paylens.streaming.sessions import run_to_completion
+    return run_to_completion(spark, d.rstrip("/") + "/events.parquet").drop("late_events")
+
+
 @query("decile_pct_of_max")
 def q_decile_pct_of_max(spark, d):
     ws = _ws(spark, d)

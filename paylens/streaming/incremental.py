@@ -136,8 +136,13 @@ class BatchTable:
                     files.delete(self.spark, os.path.join(at, n))
 
 
+def ledger_of(spark: SparkSession, sink: str) -> BatchTable:
+    """(event id, day) of every row that counted."""
+    return BatchTable(spark, os.path.join(sink, "ledger"), LEDGER_SCHEMA)
+
+
 def _tables(spark: SparkSession, sink: str) -> tuple[BatchTable, BatchTable]:
-    return (BatchTable(spark, os.path.join(sink, "ledger"), LEDGER_SCHEMA),
+    return (ledger_of(spark, sink),
             BatchTable(spark, os.path.join(sink, "activity"), ACTIVITY_SCHEMA))
 
 
@@ -149,21 +154,24 @@ def _batch_writer(sink: str, s: StreamSettings):
         if batch_id and batch_id % s.compact_every == 0:  # earlier batches are committed
             deltas.fold(batch_id - 1, merge)
             ledger.fold(batch_id - 1, partition_by=("day",))
-        events = unique_events(batch.withColumn("day", F.to_date("ts"))).persist()
-        days = [r["day"] for r in events.select("day").distinct().collect()]  # calendar days in the batch
-        seen = ledger.read(before=batch_id).filter(F.col("day").isin([d for d in days if d is not None]) | F.col("day").isNull())
-        new = events.join(seen.select("event_id"), "event_id", "left_anti").persist()
+        new = new_rows(batch.withColumn("day", F.to_date("ts")), ledger, batch_id).persist()
         deltas.write(activity(new, s), batch_id)
         ledger.write(new.filter("event_id IS NOT NULL").select("event_id", "day"), batch_id, ("day",))
         new.unpersist()
-        events.unpersist()
     return write
 
 
-def start(spark: SparkSession, source: str, sink: str, checkpoint: str,
-          s: StreamSettings = StreamSettings(), available_now: bool = True, max_files: int | None = None):
-    """``source``: a folder that receives event files, or one event file."""
-    reader = spark.readStream.schema(EVENT_SCHEMA)
+def new_rows(batch: DataFrame, ledger: BatchTable, batch_id: int) -> DataFrame:
+    """The batch's rows (event_id, day, ...) that neither it nor an earlier batch had before."""
+    rows = unique_events(batch)
+    days = [r["day"] for r in batch.select("day").distinct().collect()]  # calendar days in the batch
+    on_day = F.col("day").isNull() | F.col("day").isin([d for d in days if d is not None])
+    return rows.join(ledger.read(before=batch_id).filter(on_day).select("event_id"), "event_id", "left_anti")
+
+
+def event_stream(spark: SparkSession, source: str, schema: str, s: StreamSettings, max_files: int | None = None) -> DataFrame:
+    """Files of ``source`` (a folder that receives files, or one file) as a stream."""
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     else:
@@ -171,11 +179,28 @@ def start(spark: SparkSession, source: str, sink: str, checkpoint: str,
     if not files.is_folder(spark, source):
         folder, name = os.path.split(source.rstrip("/"))
         reader, source = reader.option("pathGlobFilter", name), folder
-    w = reader.parquet(source).writeStream.foreachBatch(_batch_writer(sink, s)).option("checkpointLocation", checkpoint)
+    return reader.parquet(source)
+
+
+def start(spark: SparkSession, source: str, sink: str, checkpoint: str,
+          s: StreamSettings = StreamSettings(), available_now: bool = True, max_files: int | None = None):
+    """``source``: a folder that receives event files, or one event file."""
+    w = (event_stream(spark, source, EVENT_SCHEMA, s, max_files).writeStream.foreachBatch(_batch_writer(sink, s))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def available_now(spark: SparkSession, source: str, schema: str, write, checkpoint: str, s: StreamSettings = StreamSettings(),
+                  max_files: int | None = None) -> None:
+    """Hand everything under ``source`` to ``write`` in micro-batches and wait for the end."""
+    q = (event_stream(spark, source, schema, s, max_files).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
 def current_table(spark: SparkSession, sink: str) -> DataFrame:
     """One row per player over all written micro-batches."""
     return merge(_tables(spark, sink)[1].read())
@@ -185,9 +210,6 @@ def run_to_completion(spark: SparkSession, source: str, s: StreamSettings = Stre
                       root: str | None = None, max_files: int | None = None) -> DataFrame:
     """Process everything available under ``source`` and return the current table."""
     base = root or os.path.join(ensure_checkpoint_dir(spark), f"paylens-stream-{uuid.uuid4().hex}")
-    q = start(spark, source, os.path.join(base, "sink"), os.path.join(base, "state"), s,
-              available_now=True, max_files=max_files)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return current_table(spark, os.path.join(base, "sink"))
+    sink = os.path.join(base, "sink")
+    available_now(spark, source, EVENT_SCHEMA, _batch_writer(sink, s), os.path.join(base, "state"), s, max_files)
+    return current_table(spark, sink)

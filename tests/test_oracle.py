@@ -43,8 +43,7 @@ def test_entry_smoke(spark):
     assert len(rows) == 1 and rows[0]["players"] > 0
 
 
-def test_every_query_has_a_text_but_two():
-    """Two model reports hold fitted numbers; model_gradient and model_scores check the fit and the scoring."""
+def test_every_query_has_a_text():
     from paylens.plans.oracle import oracle_sql
     from paylens.plans.registry import QUERIES
-    assert set(QUERIES) - set(oracle_sql()) == {"model_coefficients", "model_report"}
+    assert set(QUERIES) - set(oracle_sql()) == set()

@@ -20,7 +20,7 @@ def _formatted(spark, df):
 
 def _names():
     from paylens.plans.registry import QUERIES
-    return [n for n in QUERIES if n not in ("incremental_player_activity", "model_coefficients", "model_report",
+    return [n for n in QUERIES if not n.startswith("incremental_") and n not in ("model_coefficients", "model_report",
                                                "class_balance", "insights_bundle", "brief_facts")]
 
 
@@ -152,7 +152,7 @@ def _single_partition_inputs(plan: str) -> list[str]:
 
 def _batch_names():
     from paylens.plans.registry import QUERIES
-    return [n for n in QUERIES if n != "incremental_player_activity"]
+    return [n for n in QUERIES if not n.startswith("incremental_")]
 
 
 @pytest.mark.parametrize("name", _batch_names())

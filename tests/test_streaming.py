@@ -115,3 +115,107 @@ def test_events_without_id_all_count(spark, tmp_path):
         spark.createDataFrame(rows[2 * i: 2 * i + 2] if i else rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     got = run_to_completion(spark, str(tmp_path / "in"), root=str(tmp_path / "run"), max_files=1).collect()
     assert [(r.user_id, r.events) for r in got] == [(1, 3)]
+
+
+def _profile_by_force(changes):
+    """Live rows of a change feed, player by player (each change id once)."""
+    from collections import Counter, defaultdict
+    rows = {c.change_id: c for c in changes}.values()
+    live = Counter()
+    for c in rows:
+        live[c.kind, c.player_id, c.at, c.value_id, c.value, c.amount] += 1 if c.op == "insert" else -1
+    by = defaultdict(list)
+    for (kind, player, *row), n in live.items():
+        assert n >= 0
+        by[player] += [(kind, *row)] * n
+    out = []
+    for player, own in by.items():
+        games = [r for r in own if r[0] == "game"]
+        count = Counter(r[3] for r in games if r[3] is not None)
+        surveys = sorted((r[1] is None, r[1], r[2], r[3]) for r in own if r[0] == "survey")
+        buys = [r for r in own if r[0] == "buy"]
+        out.append((player, len(games) or None, sum(r[4] for r in games) if games else None,
+                    min((-n, g) for g, n in count.items())[1] if count else None,
+                    surveys[-1][2] if surveys else None, surveys[-1][3] if surveys else None,
+                    len(buys) or None, sum(r[4] for r in buys) if buys else None, min(r[1] for r in buys) if buys else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("order", ["as_it_comes", "retractions_first", "shuffled"])
+def test_profile_follows_retractions(spark, tmp_path, order):
+    """Any file order, repeats, replays and folds: the features equal those of the live rows."""
+    import random
+
+    from paylens.sources.tables import Tables
+    from paylens.streaming.incremental import StreamSettings
+    from paylens.streaming.profile import CHANGE_SCHEMA, batch_writer, change_feed, current_profile
+    from tests.conftest import SF0001
+    feed = change_feed(Tables(spark, SF0001))
+    changes = sorted(feed.collect(), key=lambda c: c.change_id)
+    assert sum(c.op == "retract" for c in changes) > 100
+    if order == "retractions_first":
+        changes.sort(key=lambda c: c.op == "insert")
+    if order == "shuffled":
+        random.Random(1).shuffle(changes)
+    n, s = len(changes), StreamSettings(compact_every=2)
+    write = batch_writer(str(tmp_path / "sink"), s)
+    for i in range(5):
+        part = changes[i * n // 5: (i + 1) * n // 5] + changes[: 40 * i]      # with repeats of earlier ones
+        frame = spark.createDataFrame([tuple(c) for c in part], feed.schema)
+        for _ in range(2):
+            write(frame, i)
+    got = sorted((tuple(r) for r in current_profile(spark, str(tmp_path / "sink")).collect()), key=repr)
+    assert got == _profile_by_force(changes)
+    assert [f.name for f in feed.schema] == [c.split()[0] for c in CHANGE_SCHEMA.split(", ")]
+    with pytest.raises(Exception, match="unknown operation"):
+        write(frame.selectExpr("change_id + 100000 AS change_id", "'upsert' AS op", "day", "kind", "player_id", "at", "value_id", "value",
+                               "amount"), 6)
+
+
+def test_sessions_keep_late_rows(spark, events, tmp_path):
+    """A third of the rows comes far behind the watermark; sessions equal the batch over all events."""
+    import datetime as dt
+    import random
+
+    from paylens.streaming.sessions import SessionSettings, SessionTables, batch_writer, merged, on_time_sessions, pieces, sessions
+    s = SessionSettings(compact_every=2, delay_minutes=60)
+    rng = random.Random(4)
+    rows = sorted(events.collect(), key=lambda r: r.ts)
+    late = {r.event_id for r in rows if rng.random() < 0.3}
+    chunks, n = [], len(rows)
+    for i in range(4):
+        span = rows[i * n // 4: (i + 1) * n // 4]
+        before = rows[max(0, i - 1) * n // 4: i * n // 4] if i else []
+        chunks.append([r for r in span if r.event_id not in late] + [r for r in before if r.event_id in late])
+    chunks.append([r for r in rows[3 * n // 4:] if r.event_id in late] + chunks[0][:30])     # and repeats
+    write = batch_writer(str(tmp_path / "sink"), s)
+    for i, chunk in enumerate(chunks):
+        frame = spark.createDataFrame(chunk, events.schema)
+        for _ in range(2):
+            write(frame, i)
+    sink = str(tmp_path / "sink")
+    got = sessions(spark, sink, s)
+    by_player = {}
+    for r in rows:
+        own = by_player.setdefault(r.user_id, [])
+        if own and r.ts <= own[-1][1] + dt.timedelta(minutes=30):
+            own[-1][1], own[-1][2] = r.ts, own[-1][2] + 1
+        else:
+            own.append([r.ts, r.ts, 1])
+    want = sorted((p, a, b + dt.timedelta(minutes=30), k) for p, own in by_player.items() for a, b, k in own)
+    assert sorted(tuple(r) for r in got.select("player_id", "session_start", "session_end", "events").collect()) == want
+    n_late = SessionTables.at(spark, sink).late.read().count()
+    assert got.agg({"late_events": "sum"}).first()[0] == n_late > 0.25 * n
+    early = on_time_sessions(spark, sink, s)
+    assert early.agg({"events": "sum"}).first()[0] == n - n_late and early.filter("closed").count() > 0.9 * early.count()
+    # pieces cut anywhere merge to the same sessions
+    whole = merged(pieces(events, s))
+    cut = merged(pieces(events.filter("event_id % 2 = 0"), s).unionByName(pieces(events.filter("event_id % 2 = 1"), s)))
+    assert _collect(whole.drop("late_events")) == _collect(cut.drop("late_events")) == _collect(got.drop("late_events"))
+    odd = spark.createDataFrame([(1, None, 5, "x", 1.0, None), (2, dt.datetime(2024, 1, 1), None, "x", 1.0, None)], events.schema)
+    assert pieces(odd, s).collect() == []
+    # a gap of exactly the limit, in one day and over midnight, is one session
+    at = lambda day, h, m: dt.datetime(2024, 1, day, h, m)
+    tie = spark.createDataFrame([(i, t, 1, "x", 1.0, None) for i, t in enumerate(
+        [at(1, 8, 0), at(1, 8, 30), at(1, 23, 45), at(2, 0, 15), at(2, 0, 46)])], events.schema)
+    assert sorted(r.events for r in merged(pieces(tie, s)).collect()) == [1, 2, 2]
