@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from paylens.llm import binslack, ctw, dartminhash, decontam, gracededup, hilbert, ordinal, rollups, toxgrammar, warc
+from paylens.llm import (binslack, ctw, dartminhash, decontam, divergence, gracededup, hilbert, importance, linededup, ordinal,
+                         rollups, toxgrammar, warc)
 from paylens.llm.common import table
 
 
@@ -48,7 +49,22 @@ def op10_bin_slack_packing(spark, sf_dir):
     return binslack.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark, sf_dir):
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hilbert_sharding, op2_token_rollups, op3_ordinal_quality, op4_warc_source, op5_benchmark_decontamination,
-    op6_dart_minhash, op7_context_tree_weighting, op8_toxicity_grammar, op9_grace_dedup, op10_bin_slack_packing)}
-ORACLES = {"op5_benchmark_decontamination": decontam.ORACLE, "op9_grace_dedup": gracededup.ORACLE}
+    op6_dart_minhash, op7_context_tree_weighting, op8_toxicity_grammar, op9_grace_dedup, op10_bin_slack_packing,
+    op11_importance_resampling, op12_source_divergence, op13_line_dedup)}
+ORACLES = {"op5_benchmark_decontamination": decontam.ORACLE, "op9_grace_dedup": gracededup.ORACLE,
+           "op11_importance_resampling": importance.ORACLE, "op12_source_divergence": divergence.ORACLE,
+           "op13_line_dedup": linededup.ORACLE}

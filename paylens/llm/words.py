@@ -37,15 +37,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS = [np.ones(1, U), np.ones(1, U)]
+_POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n + 1:
-        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+    """Powers 0 to n (or more) of the base and of its inverse. A worker keeps those of a
+    usual slice; a longer text's are made for it and given back."""
+    def made(n: int) -> list[np.ndarray]:
+        out = []
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
             f = np.full(n + 1, b, U)
             f[0] = 1
-            _POWERS[i] = np.cumprod(f)
+            out.append(np.cumprod(f))
+        return out
+    if n > SLICE_BYTES:
+        return tuple(made(n))
+    if not _POWERS or len(_POWERS[0]) <= n:
+        _POWERS[:] = made(min(SLICE_BYTES, 2 * n))
     return _POWERS[0], _POWERS[1]
 
 
@@ -93,6 +101,14 @@ def words(raw: np.ndarray, off: np.ndarray, alphabet: np.ndarray = ALNUM):
     return start, end, doc, h
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range, A-Z as a-z."""
+    up, down = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, U)
+    np.cumsum((_LOWER[raw].astype(U) + U(1)) * up[:len(raw)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+
+
 def shingles(doc: np.ndarray, h: np.ndarray, n_docs: int, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(document index, hash) of every run of ``size`` words, repeats included.
     A document of fewer words, but not none, has the one shingle of all its words."""

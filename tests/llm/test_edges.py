@@ -2,7 +2,8 @@
 
 import pytest
 
-from paylens.llm import binslack, ctw, dartminhash, decontam, gracededup, hilbert, ordinal, rollups, toxgrammar
+from paylens.llm import (binslack, ctw, dartminhash, decontam, divergence, gracededup, hilbert, importance, linededup, ordinal,
+                         rollups, toxgrammar)
 import corpus_pipeline
 
 ITEMS = [(1, "sat on the mat"), (2, None), (3, ""), (None, "cat sat"), (1, "sat on the mat")]
@@ -25,6 +26,9 @@ PER_ROW = {
     "ctw": lambda s, d: ctw.log_scores(d, depth=3),
     "toxicity": lambda s, d: toxgrammar.scores(d, toxgrammar.fit(d, labels(s))),
     "grace": lambda s, d: gracededup.exact_groups(d),
+    "importance": lambda s, d: importance.resample(d, items(s)),
+    "importance_trigrams": lambda s, d: importance.resample(d, items(s), n=3, min_words=1, percent=100),
+    "lines": lambda s, d: linededup.dedup_lines(d, with_text=True),
 }
 
 
@@ -35,6 +39,17 @@ def test_one_row_per_row(spark, odd_docs, no_docs, name):
     assert PER_ROW[name](spark, no_docs).collect() == []
 
 
+def test_audit_of_odd_groups(spark, odd_docs, no_docs):
+    """Null lang and source are groups named ''; no kept terms: pairs of 0; one source: no pairs."""
+    rows = [tuple(r) for r in divergence.audit(odd_docs).collect()]
+    assert sorted(rows) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1), ("fr", "", "pair", "a", 0, 1),
+                            ("fr", "a", "pair", "", 0, 1)]
+    low = divergence.audit(odd_docs, min_docs=1, top=2)
+    # all terms of fr come from one group, whose shares are the lang's own
+    assert {(r["lang"], r["source"]) for r in low.filter("part = 'term'").collect()} == {("en", "a"), ("en", "b")}
+    assert divergence.audit(no_docs).collect() == []
+
+
 def test_packing_and_rollups(spark, odd_docs, no_docs):
     pieces = binslack.pack(odd_docs).collect()
     assert sum(p["length"] for p in pieces if p["doc_id"] == 1) == 1 and {p["doc_id"] for p in pieces} >= {2, None}
