@@ -403,6 +403,7 @@ FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
     out.update(_model(cfg, W, base, matrix))
     out.update(_fitted(cfg, base, matrix))
     out.update(_streams())
+    out.update(_sketches(W))
     out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,
@@ -465,6 +466,24 @@ FROM scored WHERE is_holdout""")
     return out
 
 
+def _sketches(W) -> dict[str, str]:
+    """What the sketches must say: counts that are exact at this size, quantiles inside their bound."""
+    tn = "acquisition_source"
+    done = "SELECT *, CAST(date_trunc('month', created_at) AS DATE) AS period_start FROM pcoin_transaction WHERE status = 'completed'"
+    return {
+        "whales_from_sketches": W(f"""SELECT {tn}, count(*) AS payers, max(lifetime_usd) AS max_usd, true AS median_within,
+  true AS p90_within, true AS p99_within FROM scored WHERE is_payer GROUP BY {tn}"""),
+        "buyers_from_sketches": W(f"""SELECT product_id, count(*) AS n, count(DISTINCT player_id) AS people FROM ({done})
+WHERE player_id IS NOT NULL GROUP BY product_id"""),
+        "monthly_buyer_overlap": W(f"""SELECT a.period_start, count(*) AS buyers, count(b.player_id) AS returning,
+  count(*) - count(b.player_id) AS others
+FROM (SELECT DISTINCT period_start, player_id FROM ({done}) WHERE player_id IS NOT NULL) a
+LEFT JOIN (SELECT DISTINCT period_start, player_id FROM ({done})) b
+  ON b.player_id = a.player_id AND CAST(b.period_start + INTERVAL 1 MONTH AS DATE) = a.period_start
+GROUP BY a.period_start"""),
+        "scored_store_bucketed": W("SELECT player_id, is_payer, lifetime_usd, n_games_hosted, propensity, is_holdout FROM scored")}
+
+
 def _streams() -> dict[str, str]:
     """What the streams must equal, over all events at once."""
     live = "SELECT * FROM events WHERE event_id + 1 NOT IN (SELECT event_id FROM events WHERE event_type = 'error')"

@@ -17,6 +17,7 @@ from paylens.plans.workspace import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+TENANT = ("acquisition_source",)
 
 
 def query(name: str):
@@ -444,6 +445,36 @@ def q_arpu(spark, d):
     return arpu(ws.store, ws.roles.pcoin_transaction)
 
 
+@query("whales_from_sketches")
+def q_whales_from_sketches(spark, d):
+    """Per tenant, quantiles merged from (tenant, month) sketches lie within their bound of the exact ranks."""
+    from paylens.operators import sketches
+    ws = _ws(spark, d)
+    return sketches.spend_quantile_check(ws.store, ws.spend_sketches, TENANT)
+
+
+@query("buyers_from_sketches")
+def q_buyers_from_sketches(spark, d):
+    """Buyers per product over all months, merged from (product, month) sketches."""
+    from paylens.operators import sketches
+    return sketches.distinct_people(_ws(spark, d).buyer_sketches, ("product_id",))
+
+
+@query("monthly_buyer_overlap")
+def q_monthly_buyer_overlap(spark, d):
+    """Each month's buyers, and those who also bought the month before, by sketch intersection."""
+    from paylens.operators import sketches
+    return sketches.month_overlap(_ws(spark, d).buyer_sketches)
+
+
+@query("scored_store_bucketed")
+def q_scored_store_bucketed(spark, d):
+    """The store and the score as tables bucketed by player, joined without moving the store."""
+    ws = _ws(spark, d)
+    store, score = ws.bucketed
+    return store.join(score, "player_id").select("player_id", "is_payer", "lifetime_usd", "n_games_hosted", "propensity", "is_holdout")
+
+
 @query("incremental_player_activity")
 def q_incremental_player_activity(spark, d):
     """The streaming job run over the event table to completion."""
@@ -483,9 +514,6 @@ def q_retention_pct_of_max(spark, d):
     return levers.pct_of_max(social.retention_x_pay(ws.store, ws.cfg), "payer_pct")
 
 
-TENANT = ("acquisition_source",)
-
-
 @query("archetypes_by_tenant")
 def q_archetypes_by_tenant(spark, d):
     ws = _ws(spark, d)

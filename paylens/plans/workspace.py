@@ -23,6 +23,7 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylens.config import FIXTURE_PROFILE, Config
 from paylens.session import ensure_checkpoint_dir
@@ -46,6 +47,7 @@ class Workspace:
         self.tables = Tables(spark, sf_dir)
         self.materialize = "table" if materialize == "auto" else materialize
         self._written: list[str] = []
+        self._tables: list[str] = []
         if roles is not None:
             self.__dict__["roles"] = roles
         if revenue is not None:
@@ -81,6 +83,33 @@ class Workspace:
         econ = player_game_economy(self.roles.game_session, self.roles.player.schema["player_id"].dataType)
         return self._materialize(econ, "economy")
 
+    @cached_property
+    def spend_sketches(self) -> DataFrame:
+        """Quantile sketches by tenant and sign-up month."""
+        from paylens.operators.sketches import spend_sketches
+        return self._materialize(spend_sketches(self.store, ("acquisition_source",)), "spend-sketches")
+
+    @cached_property
+    def buyer_sketches(self) -> DataFrame:
+        """Sketches of the distinct buyers by product and month."""
+        from paylens.operators.sketches import audience_sketches
+        done = self.roles.pcoin_transaction.filter(F.col("status").cast("string") == "completed")
+        return self._materialize(audience_sketches(done, "player_id", ("product_id",)), "buyer-sketches")
+
+    @cached_property
+    def bucketed(self) -> tuple[DataFrame, DataFrame]:
+        """The store without its score, and the score, as tables bucketed and sorted by player."""
+        from paylens.sources.sinks import write_bucketed
+        out = []
+        for name, df in (("store", self.store.drop("propensity", "is_holdout")),
+                         ("score", self.store.select("player_id", "propensity", "is_holdout"))):
+            path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-bucketed-{name}-{uuid.uuid4().hex}")
+            table = f"paylens_{name}_{uuid.uuid4().hex}"
+            self._written.append(path)
+            self._tables.append(table)
+            out.append(write_bucketed(df, table, path, "player_id"))
+        return tuple(out)
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose the store (``player_features``), the game economy
         (``pgs``) and the nine role tables as session temp views for SQL."""
@@ -92,7 +121,11 @@ class Workspace:
 
     def release(self):
         """Remove the materialised tables; the workspace builds them again if used again."""
-        for name in ("store", "economy"):
+        self.__dict__.pop("bucketed", None)
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+        for name in ("store", "economy", "spend_sketches", "buyer_sketches"):
             df = self.__dict__.pop(name, None)
             if df is not None and self.materialize == "cache":
                 df.unpersist()

@@ -26,6 +26,24 @@ def write_store(store: DataFrame, path: str, partition_by: str | None = None) ->
     w.parquet(path)
 
 
+def replace_tenants(store: DataFrame, path: str, tenant: str) -> None:
+    """S3 by tenant: rewrite the folders of the tenants in ``store``, leave the others as they are."""
+    store.write.mode("overwrite").partitionBy(tenant).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """S3/S4 as a table bucketed and sorted by ``key``, one file a bucket; returned as read back.
+
+    Tables with the same buckets join and group on the key without an
+    exchange, however often they are used. ``buckets``: as many as shuffle
+    partitions unless given (a table of T bytes wants about T / 128 MB)."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, key).sortBy(key).saveAsTable(table))
+    return spark.table(table)
+
+
 def export_csv(matrix: DataFrame, path: str) -> None:
     """Feature matrix with header (booleans already 0/1)."""
     matrix.write.mode("overwrite").option("header", True).csv(path)
