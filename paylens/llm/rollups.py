@@ -78,22 +78,32 @@ class RollupStore:
         signed(changes).write.mode("overwrite").parquet(f"{self.path}/batch-{batch_id}")
         return True
 
-    def totals(self) -> DataFrame:
+    def _state(self) -> tuple[str | None, set[str], list[str]]:
+        """One look at the folder: newest snapshot, the batches in it, committed batches beyond it."""
         snapshot = self._snapshot()
         folded = self._folded(snapshot) if snapshot else set()
-        names = [n for n in self._list(r"batch-.+") if n[6:] not in folded] + ([snapshot] if snapshot else [])
+        return snapshot, folded, sorted(n[6:] for n in self._list(r"batch-.+") if n[6:] not in folded)
+
+    def _sum(self, snapshot: str | None, batches: list[str]) -> DataFrame:
+        names = [f"batch-{b}" for b in batches] + ([snapshot] if snapshot else [])
         if not names:
             return self.spark.createDataFrame([], TOTALS)
         parts = self.spark.read.schema(TOTALS).parquet(*[f"{self.path}/{n}" for n in names])
         return parts.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
 
+    def totals(self) -> DataFrame:
+        snapshot, _, batches = self._state()
+        return self._sum(snapshot, batches)
+
     def compact(self) -> None:
-        """Fold all committed batches into the next snapshot (its list is written first)."""
-        done, last = sorted(self.committed()), self._snapshot()
-        number = int(last[9:]) + 1 if last else 1
-        self.spark.createDataFrame([(b,) for b in done], "batch string").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/folded-{number}")
-        self.totals().write.mode("overwrite").parquet(f"{self.path}/snapshot-{number}")
+        """Fold committed batches into the next snapshot. The list of its batches is
+        written first and exactly those are summed: a batch that is committed
+        meanwhile is in neither and counts beside the snapshot."""
+        snapshot, folded, batches = self._state()
+        number = int(snapshot[9:]) + 1 if snapshot else 1
+        self.spark.createDataFrame([(b,) for b in sorted({*folded, *batches})], "batch string").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.path}/folded-{number}")
+        self._sum(snapshot, batches).write.mode("overwrite").parquet(f"{self.path}/snapshot-{number}")
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -125,8 +135,9 @@ def copies(counted: DataFrame) -> DataFrame:
 def corpus_rollup(docs: DataFrame, vocabulary: str = VOCABULARY, version: str = "1", path: str | None = None) -> DataFrame:
     """Totals per source, lang and tokenizer version after three batches over
     ``docs``: every document enters with an estimated count, all counts are
-    revised to the tokenizer's, and exact copies are deleted. The revision is
-    committed twice, as after a lost answer, and applied once."""
+    revised to the tokenizer's (``documents``, ``tokens``: the whole corpus),
+    and exact copies are deleted (``distinct_documents``, ``distinct_tokens``).
+    The revision is committed twice, as after a lost answer, and applied once."""
     spark = docs.sparkSession
     counted = materialise(token_counts(docs, vocabulary), "rollup-counts")
     label = F.lit(f"{vocabulary}@{version}").alias("tokenizer")
@@ -139,5 +150,11 @@ def corpus_rollup(docs: DataFrame, vocabulary: str = VOCABULARY, version: str =
     store.commit("load", change(counted, "insert", "estimate"))
     for _ in range(2):
         store.commit("recount", change(counted, "revise", "tokens", old="estimate"))
+    whole = store.totals()                  # of the batches committed up to here
     store.commit("dedup", change(copies(counted), "delete", "tokens", times="times"))
-    return store.totals()
+    left = store.totals().select(*[F.col(c).alias(f"_{c}") for c in GROUP], F.col("documents").alias("distinct_documents"),
+                                 F.col("tokens").alias("distinct_tokens"))
+    same = F.lit(True)
+    for c in GROUP:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return whole.join(left, same, "left").drop(*[f"_{c}" for c in GROUP])

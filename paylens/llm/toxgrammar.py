@@ -6,13 +6,14 @@ Five small transducers read the words of a clause (clauses end at
 * insult: a trie of learned word and word-beginning arcs, each with its
   log-odds weight;
 * threat: verbs of a fixed list;
-* target: a pronoun of address holds for the next four words;
+* target: a pronoun of address holds for the next four words, and for the
+  four before it (a second transducer, run from the right: "kill you");
 * negation: a negator holds for the next three words;
 * reported speech: a verb of saying or a quotation mark holds to the end of
   the clause.
 
-Their composition is one deterministic transducer over word classes. On an
-insult or threat it emits a symbol (kind, negated, targeted, reported) with
+Those that read from the left compose to one deterministic transducer over
+word classes; the right context is set beside it. On an insult or threat they emit a symbol (kind, negated, targeted, reported) with
 the arc's weight, so "not stupid", "you are stupid" and 'said "stupid"' are
 different matches. A document's features are the log of 1 plus the summed
 weights per symbol; a logistic model on these 16 numbers gives the score.
@@ -57,7 +58,7 @@ TARGET_SCOPE, NEGATION_SCOPE = 4, 3
 PREFIXES = (4, 5, 6, 7)          # bytes of a word's beginning that an arc may spell
 OTHER, TARGET, NEGATOR, REPORTER, THREAT, INSULT, CLAUSE = range(7)
 SYMBOLS = 16                     # threat, negated, targeted, reported
-MAX_ROWS, MAX_ARCS, MAX_WEIGHT = 10_000, 4096, 6.0
+MAX_ROWS, MAX_WEIGHT = 10_000, 6.0
 MIN_RATIO = 5.0                  # share of toxic rows with an arc over that of clean ones; weak arcs weigh little
 MIN_EVIDENCE = 10.0              # log likelihood ratio of an arc; chance passes it about 4 times in a million arcs
 THRESHOLD, FOLDS = 0.3, 4
@@ -93,6 +94,7 @@ def compose(machines: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(step), np.array(emit)
 
 
+TARGETED = 2                     # the target's flag in an emitted symbol
 STEP, EMIT = compose([countdown(NEGATOR, NEGATION_SCOPE), countdown(TARGET, TARGET_SCOPE), latch(REPORTER)])
 
 
@@ -145,6 +147,15 @@ _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?;:\n\r")] = True
 
 
+def _target_ahead(kind: np.ndarray, clause: np.ndarray) -> np.ndarray:
+    """Words that a target follows in their clause within its scope (the countdown, run from the right)."""
+    out = np.zeros(len(kind), bool)
+    for gap in range(1, TARGET_SCOPE + 1):
+        if len(kind) > gap:
+            out[:-gap] |= (kind[gap:] == TARGET) & (clause[gap:] == clause[:-gap])
+    return out
+
+
 def matches(texts, grammar: Grammar):
     """Per matched word: document, symbol, weight, start and end byte."""
     out = []
@@ -166,8 +177,10 @@ def matches(texts, grammar: Grammar):
             continue
         ends = np.concatenate([[0], np.cumsum(_ENDS[raw])])
         clause = ends[start] + doc * (int(ends[-1]) + 1)  # a clause never runs over two documents
+        inner = start > off[doc]          # the byte before a text's first word is another text's
         quoted = np.zeros(len(h), bool)
-        quoted[start > 0] = raw[start[start > 0] - 1] == 0x22
+        quoted[inner] = raw[start[inner] - 1] == 0x22
+        ahead = _target_ahead(kind, clause)
         first = np.searchsorted(clause, clause[found])
         done = -1
         for k, a in zip(found.tolist(), first.tolist()):
@@ -177,7 +190,8 @@ def matches(texts, grammar: Grammar):
                 if quoted[pos]:
                     state = STEP[state, REPORTER]
                 if pos == k:
-                    out.append((i + int(doc[k]), int(EMIT[state, kind[k]]), float(weight[k]),
+                    symbol = int(EMIT[state, kind[k]]) | (TARGETED if ahead[k] else 0)
+                    out.append((i + int(doc[k]), symbol, float(weight[k]),
                                 int(start[k] - off[doc[k]]), int(end[k] - off[doc[k]])))
                 state = STEP[state, kind[pos]]
                 pos += 1
@@ -226,8 +240,9 @@ def _arc_counts(batches):
                 pa.array(np.bincount(inverse, weights=~bad, minlength=len(arcs)).astype(np.int64))], ["arc", "bad", "good"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs: int = MAX_ARCS) -> Grammar:
-    """Learn arcs and model from at most ``2 max_rows`` labelled documents."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Grammar:
+    """Learn arcs and model from at most ``2 max_rows`` labelled documents. Every arc that
+    passes is taken: each needs its evidence in those rows, which bounds their number."""
     sample, each = _sample(docs, labels, max_rows)
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
@@ -242,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_arcs:
             .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
             .withColumn("odds", odds).filter(evidence >= MIN_EVIDENCE)
             .filter(F.col("bad") * good >= MIN_RATIO * bad * F.col("good"))
-            .orderBy(F.desc("bad"), "arc").limit(max_arcs).select("arc", F.log("odds").alias("w")).collect())
+            .select("arc", F.log("odds").alias("w")).collect())
     h = np.array([r["arc"] for r in arcs], np.int64).view(U)
     order = np.argsort(h)
     grammar = Grammar(h[order], np.minimum(np.array([r["w"] for r in arcs]), MAX_WEIGHT)[order], np.zeros(SYMBOLS + 1))

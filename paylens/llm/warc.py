@@ -17,11 +17,11 @@ size field, or plain ``.warc``) are read as well.
 Response and revisit: of pages with equal payloads of at least
 ``min_payload`` bytes the one with the smallest id is a ``response``, the
 others are ``revisit`` records that refer to it and hold no payload. Equal
-means equal SHA-256 and length.
+means equal SHA-256 and length. Of rows that repeat that id with that
+payload one is the response.
 
 Edge cases: null html is an empty payload; a null page id sorts last and
-its record has no number; rows that repeat the smallest id all stay
-responses; a null url has no target header; control characters in a url
+its record has no number; page ids keep their type (text ids too); a null url has no target header; control characters in a url
 are percent-encoded; an empty table writes no records and reads back as no
 rows; extra columns are ignored.
 """
@@ -263,11 +263,11 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.staging = path, f"_staging-{uuid.uuid4().hex}"   # of this write alone
 
     def write(self, iterator):
         fs, root = open_path(self.path)
-        fs.create_dir(f"{root}/_staging", recursive=True)
+        fs.create_dir(f"{root}/{self.staging}", recursive=True)
         files, out, size = [], None, 0
         task = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         for batch in iterator:
@@ -276,7 +276,7 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is not None:
                         out.close()
                     name = f"part-{task}-{len(files):04d}.warc.gz"
-                    files.append((f"{root}/_staging/{name}", f"{root}/{name}"))
+                    files.append((f"{root}/{self.staging}/{name}", f"{root}/{name}"))
                     out, size = fs.open_output_stream(files[-1][0], compression=None), 0
                 member = gzip_member(record_bytes(row))
                 out.write(member)
@@ -291,27 +291,33 @@ class WarcWriter(DataSourceArrowWriter):
         for m in messages:
             for staged, final in (m.files if m else []):
                 fs.move(staged, final)
-        if fs.get_file_info(f"{root}/_staging").type != pafs.FileType.NotFound:
-            fs.delete_dir(f"{root}/_staging")
+        self._clear(fs, root)
 
     def abort(self, messages):
-        fs, root = open_path(self.path)
-        if fs.get_file_info(f"{root}/_staging").type != pafs.FileType.NotFound:
-            fs.delete_dir(f"{root}/_staging")
+        self._clear(*open_path(self.path))
+
+    def _clear(self, fs, root):
+        if fs.get_file_info(f"{root}/{self.staging}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{root}/{self.staging}")
 
 
 def records(pages: DataFrame, min_payload: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Pages (page_id, url, html) as rows to write: response or revisit."""
     base = pages.select("page_id", F.col("url").cast("string").alias("target_uri"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    base = base.withColumn("key", F.struct(F.sha2("payload", 256), F.octet_length("payload")))
-    first = (base.filter(F.octet_length("payload") >= min_payload).groupBy("key")
-             .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first"))
+    # written once: the row numbers that tell repeated rows apart are the same in both readings
+    base = materialise(base.withColumn("key", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
+                       .withColumn("rid", F.monotonically_increasing_id()), "warc-pages")
+    own = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), F.col("rid").alias("rid"))
+    first = (base.filter(F.col("size") >= min_payload).groupBy("key", "size").agg(F.min(own).alias("f"), F.count("*").alias("n"))
+             .filter("n > 1"))
+    # narrow rows find their payload's first; only the revisits' answers meet the payloads, by row number
+    again = materialise(base.select("rid", "key", "size").join(first, ["key", "size"]).filter("rid <> f.rid")
+                        .select("rid", F.lit(True).alias("again"), F.col("f.id").alias("first")), "warc-again")
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return base.join(materialise(first, "warc-first"), "key", "left").select(
-        F.when(again, "revisit").otherwise("response").alias("warc_type"), urn("page_id").alias("record_id"),
-        "target_uri", F.lit(date).alias("date"), F.when(again, urn("first")).alias("refers_to"), "payload")
+    return base.join(again, "rid", "left").select(
+        F.when(F.col("again"), "revisit").otherwise("response").alias("warc_type"), urn("page_id").alias("record_id"),
+        "target_uri", F.lit(date).alias("date"), F.when(F.col("again"), urn("first")).alias("refers_to"), "payload")
 
 
 def write_archives(pages: DataFrame, path: str, min_payload: int = 0) -> None:
@@ -335,7 +341,8 @@ def round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, min_payload)
-    number = lambda c: F.expr(f"try_cast(substring({c}, 10) AS BIGINT)")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    number = lambda c: F.expr(f"try_cast(nullif(substring({c}, 10), '') AS {kind})")
     responses = read_archives(spark, path).filter("warc_type = 'response'")
     revisits = read_archives(spark, path, payload=False).filter("warc_type = 'revisit'")
     return (responses.select("*", F.octet_length("payload").cast("long").alias("bytes"))

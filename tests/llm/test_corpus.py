@@ -54,13 +54,34 @@ def test_shard_files_hold_whole_rows(spark, tmp_path):
 
 def test_rollup_equals_direct_count(spark):
     encode = binslack.encoder()
-    first, want = {}, Counter()
+    first, want = {}, defaultdict(lambda: [0, 0, 0, 0])
     for r in sorted(table(spark, SF0001, "documents").collect(), key=lambda r: r["doc_id"]):
-        if first.setdefault(r["text"] or "", r["doc_id"]) == r["doc_id"]:
-            want[r["source"], r["lang"], "d"] += 1
-            want[r["source"], r["lang"], "t"] += len(encode(r["text"] or ""))
-    for r in QUERIES["op2_token_rollups"](spark, SF0001).collect():
-        assert (r["documents"], r["tokens"]) == (want.get((r["source"], r["lang"], "d"), 0), want.get((r["source"], r["lang"], "t"), 0))
+        n = len(encode(r["text"] or ""))
+        own = first.setdefault(r["text"] or "", r["doc_id"]) == r["doc_id"]
+        group = want[r["source"], r["lang"]]
+        for i, v in enumerate((1, n, own, n * own)):
+            group[i] += v
+    rows = QUERIES["op2_token_rollups"](spark, SF0001).collect()
+    assert {(r["source"], r["lang"]): [r["documents"], r["tokens"], r["distinct_documents"], r["distinct_tokens"]] for r in rows} == want
+
+
+def test_batch_committed_while_compacting_counts_once(spark, tmp_path, monkeypatch):
+    store = rollups.RollupStore(spark, str(tmp_path / "r"))
+    change = lambda n: spark.createDataFrame([("insert", "a", "en", "v1", n, None, 1)], rollups.CHANGES)
+    store.commit("b1", change(1))
+    plain = rollups.RollupStore._sum
+
+    def late(self, snapshot, batches):
+        if not late.done:
+            late.done = True
+            store.commit("b2", change(10))              # after the listing, before the sum
+        return plain(self, snapshot, batches)
+    late.done = False
+    monkeypatch.setattr(rollups.RollupStore, "_sum", late)
+    store.compact()
+    assert [(r["documents"], r["tokens"]) for r in store.totals().collect()] == [(2, 11)]
+    store.compact()
+    assert [(r["documents"], r["tokens"]) for r in store.totals().collect()] == [(2, 11)] and not store.commit("b2", change(10))
 
 
 def test_rollup_batches_are_idempotent(spark, tmp_path):
@@ -103,7 +124,8 @@ def test_warc_edges_pushdown_and_skipping(spark, tmp_path):
     warc.write_archives(pages, path)
     back = warc.read_archives(spark, path)
     assert {(r["record_id"], r["warc_type"], r["refers_to"]) for r in back.collect()} == {
-        ("urn:page:1", "response", None), ("urn:page:2", "response", None), ("urn:page:3", "revisit", "urn:page:2"),
+        ("urn:page:1", "response", None), ("urn:page:1", "revisit", "urn:page:1"), ("urn:page:2", "response", None),
+        ("urn:page:3", "revisit", "urn:page:2"),
         ("urn:page:", "revisit", "urn:page:4"), ("urn:page:4", "response", None)}
     one = back.filter("warc_type = 'response' AND target_uri LIKE 'http://d%'")
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -140,16 +162,35 @@ def test_warc_edges_pushdown_and_skipping(spark, tmp_path):
     assert warc.round_trip(pages.filter("false")).collect() == []
 
 
-def shingle_sets(texts):
+def test_warc_text_ids_and_writers_side_by_side(spark, tmp_path):
+    pages = spark.createDataFrame([("b", "u", "x"), ("a", "u", "x"), ("a", "v", "x"), (None, "u", "x"), ("c", None, "y")],
+                                  "page_id string, url string, html string")
+    rows = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages).collect()), key=repr)
+    assert rows == sorted([("a", "response", None), ("a", "revisit", "a"), ("b", "revisit", "a"), (None, "revisit", "a"),
+                           ("c", "response", None)], key=repr)
+    path = str(tmp_path / "w")
+    one, two = warc.WarcWriter(path), warc.WarcWriter(path)
+    fs, root = warc.open_path(path)
+    for w in (one, two):
+        fs.create_dir(f"{root}/{w.staging}")
+    one.commit([])                                      # leaves the other write's files alone
+    assert fs.get_file_info(f"{root}/{two.staging}").is_file is False and two.staging in {p.name for p in tmp_path.joinpath("w").iterdir()}
+    two.abort([])
+    assert list(tmp_path.joinpath("w").iterdir()) == []
+
+
+def shingle_sets(texts, counted):
     out = {}
     for k, t in texts.items():
         w = plain_words(t)
-        out[k] = frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) or (frozenset([tuple(w)]) if w else frozenset())
+        own = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) or (Counter([tuple(w)]) if w else Counter())
+        out[k] = frozenset((s, i) for s, n in own.items() for i in range(n if counted else 1))
     return out
 
 
-def classes_by_force(texts, threshold=0.8):
-    sets, inverted = shingle_sets(texts), defaultdict(list)
+def classes_by_force(texts, threshold=0.8, counted=True):
+    """Components of weighted Jaccard similarity: a repeated shingle is as many elements (or one)."""
+    sets, inverted = shingle_sets(texts, counted), defaultdict(list)
     for k, s in sets.items():
         for x in s:
             inverted[x].append(k)
@@ -173,7 +214,19 @@ def test_near_duplicate_classes(spark):
     assert got == classes_by_force(texts)
 
 
-def test_large_buckets_lose_no_link(spark):
+@pytest.mark.parametrize("weighting", ["set", "count"])
+def test_weights_decide_links(spark, weighting):
+    """Texts that repeat a passage differ in counts, not in kinds of shingles."""
+    rng = np.random.default_rng(2)
+    some = lambda n: " ".join("w%d" % x for x in rng.integers(0, 10 ** 6, n))
+    a, b = some(60), some(60)
+    texts = {1: a + " " + b, 2: a + " " + b + " " + a + " " + b, 3: a, 4: " ".join([a] * 3), 5: " ".join([a] * 4), 6: a + " x"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicate_classes(docs, weighting=weighting).collect()}
+    assert got == classes_by_force(texts, counted=weighting == "count") and len(set(got.values())) == (2 if weighting == "set" else 5)
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
     """Families around shared passages: many texts meet in buckets without being alike."""
     rng = np.random.default_rng(3)
     word = lambda: "w%d" % rng.integers(0, 10 ** 6)
@@ -185,17 +238,22 @@ def test_large_buckets_lose_no_link(spark):
         base[rng.integers(0, 80)] = word()
         texts[i] = " ".join(base)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for block in (16, 1024):
+    monkeypatch.setattr(dartminhash, "STEP_DARTS", 5000)
+    for block, most in ((16, 1 << 19), (1024, 1 << 19), (1024, 500)):
+        monkeypatch.setattr(dartminhash, "BLOCK_SHINGLES", most)
         got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicate_classes(docs, block=block).collect()}
         assert got == classes_by_force(texts)
 
 
-def test_darts_estimate_weighted_jaccard():
+def test_darts_estimate_weighted_jaccard(monkeypatch):
     rng = np.random.default_rng(1)
     e = rng.integers(0, 2 ** 63, 40).astype(np.uint64)
     wa, wb = rng.uniform(0.2, 9, 40), rng.uniform(0.2, 9, 40)
     sig = dartminhash.darts(np.repeat([0, 1], 40), np.concatenate([e, e]), np.concatenate([wa, wb]), 3, k=4096)
     want = np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum()
+    monkeypatch.setattr(dartminhash, "STEP_DARTS", 100)   # thrown in steps: the same signature
+    steps = dartminhash.darts(np.repeat([0, 1], 40), np.concatenate([e, e]), np.concatenate([wa, wb]), 3, k=4096)
+    assert (steps == sig).all()
     assert abs((sig[0] == sig[1]).mean() - want) < 0.04 and np.isinf(sig[2]).all() and np.isfinite(sig[:2]).all()
 
 

@@ -54,7 +54,7 @@ def test_packing_and_rollups(spark, odd_docs, no_docs):
     pieces = binslack.pack(odd_docs).collect()
     assert sum(p["length"] for p in pieces if p["doc_id"] == 1) == 1 and {p["doc_id"] for p in pieces} >= {2, None}
     assert binslack.pack(no_docs).collect() == [] and rollups.corpus_rollup(no_docs).collect() == []
-    totals = {(r["source"], r["lang"]): r["documents"] for r in rollups.corpus_rollup(odd_docs).collect()}
+    totals = {(r["source"], r["lang"]): r["distinct_documents"] for r in rollups.corpus_rollup(odd_docs).collect()}
     # doc 1 (null) and doc 2 (empty) are one text: 1 stays; 0 is repeated; 3 and 4 are copies
     assert totals[(None, None)] == 1 and totals[("b", "en")] == 1 and sum(totals.values()) == 8
 

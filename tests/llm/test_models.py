@@ -1,6 +1,7 @@
 """CTW against a direct computation, toxicity and quality on held-out labels."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -189,7 +190,49 @@ def test_grammar_composes_context():
     neg, target, said, threat = 1, 2, 4, 8
     assert found == {"you are stupid": (target, "stupid"), "not stupid": (neg, "stupid"),
                      "they said stupid": (target + said, "stupid"), "stupid": (0, "stupid"),
-                     "I will kill you.": (threat, "kill"), "you. stupid": (0, "stupid")}
+                     "I will kill you.": (target + threat, "kill"), "you. stupid": (0, "stupid")}
+
+
+def slow_matches(text, insults):
+    """The grammar word by word: clauses, scopes of negation and target, speech reported before."""
+    words = [(m.start(), m.group().decode(errors="replace").lower(), m.group())
+             for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", text.encode())]
+    raw, out, clause, before = text.encode(), [], [], 0
+    lists = {"target": toxgrammar.TARGETS, "not": toxgrammar.NEGATORS, "said": toxgrammar.REPORTERS, "threat": toxgrammar.THREATS}
+    clauses = []
+    for at, low, own in words:
+        if any(c in b".!?;:\n\r" for c in raw[before:at]) or not clauses:
+            clauses.append([])
+        clauses[-1].append((at, "insult" if low in insults else next((k for k, v in lists.items() if low in v), "other"), own))
+        before = at
+    for clause in clauses:
+        steps = []                                    # a quotation mark counts as a word of its own
+        for at, kind, own in clause:
+            if at and raw[at - 1: at] == b'"':
+                steps.append((None, "said", None))
+            steps.append((at, kind, own))
+        for i, (at, kind, own) in enumerate(steps):
+            if kind not in ("insult", "threat"):
+                continue
+            last = lambda c, n: any(k == c for _, k, _ in steps[max(0, i - n): i])  # noqa: E731, B023
+            place = next(j for j, w in enumerate(clause) if w[0] == at)
+            ahead = any(k == "target" for _, k, _ in clause[place + 1: place + 5])
+            out.append((1 * last("not", 3) + 2 * (last("target", 4) or ahead) + 4 * any(k == "said" for _, k, _ in steps[:i])
+                        + 8 * (kind == "threat"), at, at + len(own)))
+    return out
+
+
+def test_grammar_equals_a_slow_one():
+    rng = np.random.default_rng(6)
+    insults = ["stupid", "idiot", "dumm"]
+    g = toxgrammar.Grammar(toxgrammar.word_hashes(insults), np.full(3, 2.0), np.zeros(17))
+    pool = [*insults, "Stupid", "kill", "töten", "you", "tú", "not", "kein", "said", "écrit", "the", "cat", "é", "x1"]
+    joins = [" ", " ", " ", ", ", ". ", "! ", "\n", ' "', '" ', "; ", " - "]
+    texts = ["".join(str(rng.choice(pool)) + str(rng.choice(joins)) for _ in range(rng.integers(0, 25))) for _ in range(400)]
+    found = [[] for _ in texts]
+    for doc, symbol, _, start, end in toxgrammar.matches(pa.array(texts), g):
+        found[doc].append((symbol, start, end))
+    assert found == [slow_matches(t, insults) for t in texts] and sum(map(len, found)) > 1000
 
 
 def test_quality_on_held_out_labels(spark):
