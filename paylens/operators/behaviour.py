@@ -12,19 +12,27 @@ from pyspark.sql import functions as F
 
 from paylens.config import Config
 from paylens.functions.exact import round_ratio, round_ratio_scaled
+from paylens.operators.headline import aggregate
 
 
-def predictor_lift(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
-    payer = F.col("is_payer").cast("int")
-    aggs, rows = [], []
+def lift_metrics(cfg: Config) -> dict:
+    """Payers and players on either side of every signal, as named aggregates."""
+    payer, out = F.col("is_payer").cast("int"), {}
     for i, sig in enumerate(cfg.lifts):
         for side, cond in (("h", sig.high), ("l", sig.low)):
             v = F.when(F.expr(cond), payer)
-            aggs += [F.sum(v).alias(f"{side}n{i}"), F.count(v).alias(f"{side}d{i}")]
-        rows.append(F.struct(F.lit(sig.name).alias("feature"),
-                             F.col(f"hn{i}").alias("hn"), F.col(f"hd{i}").alias("hd"),
-                             F.col(f"ln{i}").alias("ln"), F.col(f"ld{i}").alias("ld")))
-    one = store.groupBy(*by).agg(*aggs)
+            out[f"{side}n{i}"], out[f"{side}d{i}"] = F.sum(v), F.count(v)
+    return out
+
+
+def predictor_lift(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    return lift_rows(aggregate(store, lift_metrics(cfg), by), cfg, by)
+
+
+def lift_rows(one: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per signal from ``lift_metrics``."""
+    rows = [F.struct(F.lit(sig.name).alias("feature"), *[F.col(f"{c}{i}").alias(c) for c in ("hn", "hd", "ln", "ld")])
+            for i, sig in enumerate(cfg.lifts)]
     long = one.select(*by, F.inline(F.array(*rows)))
     # pcts are rounded to hundredths first; the lift is the ratio of the rounded pcts
     high_h = round_ratio_scaled(F.col("hn") * 100, F.col("hd"), 2)

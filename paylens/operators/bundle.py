@@ -84,7 +84,7 @@ SECTIONS = (
     _s("diagnostic.levers", "levers", ROWS, "lever pool assumption est_upside_usd", [("est_upside_usd", "desc"), "lever"],
        "lever assumption"),
     _s("revenuecat_validation", "revenue_reconciliation", OBJECT, "rc_total_revenue_usd db_total_revenue_usd "
-       "rc_active_users_28d diff_usd diff_pct within_tolerance"),
+       "rc_active_users_28d diff_usd diff_pct within_tolerance note", [], "note"),
 )
 MODEL = "model"   # stands between the levers and the validation
 

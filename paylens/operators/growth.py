@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, label_of
 from paylens.functions.exact import avg_days, avg_exact, cents, count_if, money_sum, pct
+from paylens.operators.breakdown import Breakdown
 from paylens.operators.headline import aggregate
 from paylens.operators.ranking import percentiles_cont, top_rows
 
@@ -28,11 +29,15 @@ def target_pool(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> Data
     return aggregate(store, target_pool_metrics(cfg), by)
 
 
+def targets_by_country(cfg: Config) -> Breakdown:
+    return Breakdown("country_code", F.col("country_code"), {"targets": F.count("*")},
+                     where=_target(cfg) & F.col("country_code").isNotNull(),
+                     finish=lambda g, by: top_rows(g, [F.col("targets").desc(), F.col("country_code")], cfg.top_countries_target, by))
+
+
 def target_by_country(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """Top countries of the target pool (ties by country code)."""
-    counts = (store.filter(_target(cfg) & F.col("country_code").isNotNull())
-              .groupBy(*by, "country_code").agg(F.count("*").alias("targets")))
-    return top_rows(counts, [F.col("targets").desc(), F.col("country_code")], cfg.top_countries_target, by)
+    return targets_by_country(cfg).alone(store, by)
 
 
 def conversion_moment(store: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -57,23 +62,29 @@ def wagered_share_of_payers(store: DataFrame, by: tuple[str, ...] = ()) -> DataF
     return aggregate(store, wagered_share_metrics(), by)
 
 
+def by_frequency(cfg: Config) -> Breakdown:
+    return Breakdown(
+        "_b", band_ord(F.col("n_purchases"), cfg.freq_band), where=F.col("n_purchases") >= 1,
+        aggregates={"ord": F.min("n_purchases"), "payers": F.count("*"), "usd": money_sum(F.col("pcoin_usd"))},
+        finish=lambda g, by: g.select(*by, label_of(F.col("_b"), cfg.freq_band).alias("bucket"), "ord", "payers", "usd"))
+
+
 def purchase_freq(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """E1."""
-    ordc = band_ord(F.col("n_purchases"), cfg.freq_band)
-    return (store.filter(F.col("n_purchases") >= 1).groupBy(*by, ordc.alias("_b"))
-            .agg(F.min("n_purchases").alias("ord"), F.count("*").alias("payers"),
-                 money_sum(F.col("pcoin_usd")).alias("usd"))
-            .select(*by, label_of(F.col("_b"), cfg.freq_band).alias("bucket"), "ord", "payers", "usd"))
+    return by_frequency(cfg).alone(store, by)
+
+
+def by_repeat(cfg: Config) -> Breakdown:
+    return Breakdown(
+        "grp", F.when(F.col("n_purchases") >= cfg.repeat_min, F.lit("repeat")).otherwise(F.lit("one_time")),
+        where=F.col("n_purchases") >= 1, aggregates={
+            "players": F.count("*"), "avg_wagered": avg_exact(F.col("pcoins_wagered"), None, 0, money=True),
+            "avg_streak": avg_exact(F.col("max_streak"), None, 1), "avg_active_days": avg_days(F.col("active_days"), 1)})
 
 
 def one_time_vs_repeat(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """E2."""
-    grp = F.when(F.col("n_purchases") >= cfg.repeat_min, F.lit("repeat")).otherwise(F.lit("one_time"))
-    return (store.filter(F.col("n_purchases") >= 1).groupBy(*by, grp.alias("grp"))
-            .agg(F.count("*").alias("players"),
-                 avg_exact(F.col("pcoins_wagered"), None, 0, money=True).alias("avg_wagered"),
-                 avg_exact(F.col("max_streak"), None, 1).alias("avg_streak"),
-                 avg_days(F.col("active_days"), 1).alias("avg_active_days")))
+    return by_repeat(cfg).alone(store, by)
 
 
 def whale_concentration(store: DataFrame, approx_accuracy: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:

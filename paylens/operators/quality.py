@@ -24,18 +24,27 @@ _SCAN_PATTERNS = {"uuid": UUID_PATTERN, "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-
 
 
 def revenue_reconciliation(second_source: DataFrame, store: DataFrame, tolerance_pct: float = 5.0) -> DataFrame:
-    """V1: both totals side by side, difference, and a tolerance flag (ours)."""
-    db_total = store.select(F.sum("lifetime_usd").cast("decimal(38,2)")).scalar()
+    """V1: both totals side by side, difference, a tolerance flag and a note in words (ours)."""
+    return reconcile(second_source, store.select(F.sum("lifetime_usd").cast("decimal(38,2)")), tolerance_pct)
+
+
+def reconcile(second_source: DataFrame, total: DataFrame, tolerance_pct: float = 5.0) -> DataFrame:
+    """V1 for a database total that is known already (one row, one column)."""
+    db_total = total.scalar()
     rc = F.col("revenue_usd")
     diff = (db_total - rc).cast("decimal(38,2)")
     # totals may pass 64 bits in cents: widen before the factor of 100
     wide = lambda c: (c * 100).cast("decimal(38,0)")
     diff_pct = round_ratio(wide(diff) * 100, wide(rc), 2, wide=True)
+    near = F.abs(diff_pct) <= tolerance_pct
+    note = (F.when(near, f"database revenue agrees with the second source within {tolerance_pct} %")
+            .when(~near, f"database revenue differs from the second source by more than {tolerance_pct} %")
+            .otherwise("one of the totals is missing"))
     return second_source.select(
         # fixed values: the published field names
         rc.alias("rc_total_revenue_usd"), db_total.alias("db_total_revenue_usd"),
         F.col("active_users_28d").alias("rc_active_users_28d"), diff.alias("diff_usd"),
-        diff_pct.alias("diff_pct"), (F.abs(diff_pct) <= tolerance_pct).alias("within_tolerance"))
+        diff_pct.alias("diff_pct"), near.alias("within_tolerance"), note.alias("note"))
 
 
 def _text_columns(df: DataFrame) -> list[tuple[str, F.Column]]:

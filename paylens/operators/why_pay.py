@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paylens.config import Config
 from paylens.functions.exact import avg_exact, count_if, money_sum, pct
+from paylens.operators.breakdown import Breakdown
 
 
 def _distinct(col: str, rsd: float | None):
@@ -49,9 +50,13 @@ def archetype(cfg: Config):
             .otherwise(F.lit("one_time")))
 
 
+def by_archetype(cfg: Config) -> Breakdown:
+    return Breakdown("archetype", archetype(cfg), where=F.col("is_payer"), aggregates={
+        "players": F.count("*"), "usd": money_sum(F.col("lifetime_usd")),
+        "avg_wagered": avg_exact(F.col("pcoins_wagered"), None, 0, money=True),
+        "avg_streak": avg_exact(F.col("max_streak"), None, 1)})
+
+
 def payer_archetypes(store: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """W4."""
-    return (store.filter(F.col("is_payer")).groupBy(*by, archetype(cfg).alias("archetype"))
-            .agg(F.count("*").alias("players"), money_sum(F.col("lifetime_usd")).alias("usd"),
-                 avg_exact(F.col("pcoins_wagered"), None, 0, money=True).alias("avg_wagered"),
-                 avg_exact(F.col("max_streak"), None, 1).alias("avg_streak")))
+    return by_archetype(cfg).alone(store, by)

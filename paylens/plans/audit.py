@@ -29,29 +29,40 @@ MARKERS = {
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
-def _parts(node) -> list:
-    """What a node runs: its inputs, then its subqueries; a reused part has none of its own."""
-    kind = node.getClass().getSimpleName()
-    if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
-        return []
-    if kind == "AdaptiveSparkPlanExec":
-        return [node.executedPlan()]
-    if kind.endswith("QueryStageExec"):
-        return [node.plan()]
-    seqs = (node.children(), node.subqueries())
-    return [seq.apply(i) for seq in seqs for i in range(seq.size())]
-
-
-def final_plan(df) -> str:
-    """Execute ``df`` and return its final adaptive plan, one node a line; a
-    reused exchange or subquery is a line without the nodes below it."""
+def _nodes(df) -> list[tuple[int, object]]:
+    """Execute ``df``; the nodes of its final adaptive plan with their depths, in order: inputs,
+    then subqueries. A reused exchange or subquery stands without the nodes
+    below it, and so does every further use of a cached table."""
     df.collect()
-    lines, todo = [], [(0, df._jdf.queryExecution().executedPlan())]
+    jvm = df.sparkSession._jvm
+    out, seen, todo = [], set(), [(0, df._jdf.queryExecution().executedPlan())]
     while todo:
         depth, node = todo.pop()
-        lines.append("  " * depth + node.simpleString(25))
-        todo += [(depth + 1, p) for p in reversed(_parts(node))]
-    return "\n".join(lines)
+        out.append((depth, node))
+        kind, below = node.getClass().getSimpleName(), []
+        if kind == "AdaptiveSparkPlanExec":
+            below = [node.executedPlan()]
+        elif kind.endswith("QueryStageExec"):
+            below = [node.plan()]
+        elif kind == "InMemoryTableScanExec":
+            cache = jvm.System.identityHashCode(node.relation().cacheBuilder())
+            below = [] if cache in seen else [node.relation().cachedPlan()]
+            seen.add(cache)
+        elif kind not in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+            below = [seq.apply(i) for seq in (node.children(), node.subqueries()) for i in range(seq.size())]
+        todo += [(depth + 1, p) for p in reversed(below)]
+    return out
+
+
+def final_plan(df) -> str:
+    """The final plan as text, one node a line."""
+    return "\n".join("  " * depth + node.simpleString(25) for depth, node in _nodes(df))
+
+
+def file_scans(df) -> list[str]:
+    """The path behind every file scan of the final plan."""
+    return [node.relation().location().rootPaths().apply(0).toString() for _, node in _nodes(df)
+            if node.getClass().getSimpleName() == "FileSourceScanExec"]
 
 
 def audit(spark, sf_dir: str) -> list[tuple[str, dict, list[str]]]:

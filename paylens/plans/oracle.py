@@ -354,7 +354,10 @@ dbs AS (SELECT CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS db FROM scored),
 rec AS (SELECT rc, db, CAST(db - rc AS DECIMAL(38,2)) AS diff FROM rcs, dbs)""", select=f"""SELECT rc AS rc_total_revenue_usd,
   db AS db_total_revenue_usd, {active} AS rc_active_users_28d, diff AS diff_usd,
   {S.rr_wide('CAST(diff * 100 AS HUGEINT) * 100', 'CAST(rc * 100 AS HUGEINT)', 2)} AS diff_pct,
-  abs({S.rr_wide('CAST(diff * 100 AS HUGEINT) * 100', 'CAST(rc * 100 AS HUGEINT)', 2)}) <= 5.0 AS within_tolerance
+  abs({S.rr_wide('CAST(diff * 100 AS HUGEINT) * 100', 'CAST(rc * 100 AS HUGEINT)', 2)}) <= 5.0 AS within_tolerance,
+  CASE WHEN within_tolerance THEN 'database revenue agrees with the second source within 5.0 %'
+       WHEN NOT within_tolerance THEN 'database revenue differs from the second source by more than 5.0 %'
+       ELSE 'one of the totals is missing' END AS note
 FROM rec""")
     from paylens.operators.quality import PII_PATTERNS
     from paylens.plans.registry import PII_SOURCES

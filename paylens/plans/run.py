@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from paylens.config import FIXTURE_PROFILE, PROFILES, Config
 from paylens.operators import (behaviour, bundle, growth, headline, levers, model, payer_dna,
                                propensity, social, why_pay)
-from paylens.operators.quality import revenue_reconciliation
+from paylens.operators.breakdown import one_pass
+from paylens.operators.quality import reconcile
 from paylens.plans.workspace import Workspace, workspace
 from paylens.sources import sinks
 
@@ -37,7 +38,7 @@ class Analyses:
         return {"head": headline.headline_metrics(), "cos": why_pay.cosmetics_metrics(),
                 "pool": growth.target_pool_metrics(cfg), "wsh": growth.wagered_share_metrics(),
                 "pcs": growth.prime_cross_sell_metrics(), "soc": social.social_metrics(),
-                "li": levers.lever_input_metrics(cfg)}
+                "li": levers.lever_input_metrics(cfg), "lift": behaviour.lift_metrics(cfg)}
 
     @cached_property
     def store_metrics(self) -> DataFrame:
@@ -64,7 +65,19 @@ class Analyses:
 
     @cached_property
     def lift(self) -> DataFrame:
-        return behaviour.predictor_lift(self.ws.store, self.ws.cfg)
+        return behaviour.lift_rows(self._family("lift"), self.ws.cfg)
+
+    @cached_property
+    def breakdowns(self) -> dict[str, DataFrame]:
+        """Every breakdown by a band or group, from one grouping-sets pass over the store."""
+        cfg = self.ws.cfg
+        return one_pass(self.ws.store, {
+            "payer_archetypes": why_pay.by_archetype(cfg), "loss_chasing": payer_dna.by_net_outcome(cfg),
+            "bet_size_lift": payer_dna.by_stake(cfg), "game_type_pay": payer_dna.by_game_type(),
+            "payer_psychology": payer_dna.by_spender(cfg), "target_by_country": growth.targets_by_country(cfg),
+            "purchase_freq": growth.by_frequency(cfg), "one_time_vs_repeat": growth.by_repeat(cfg),
+            "retention_x_pay": social.by_active_days(cfg), "geo": social.by_country(cfg)},
+            keep=lambda groups: self.ws._materialize(groups, "breakdowns"))
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -88,7 +101,7 @@ class Analyses:
 
     @cached_property
     def freq(self) -> DataFrame:
-        return growth.purchase_freq(self.ws.store, self.ws.cfg)
+        return self.breakdowns["purchase_freq"]
 
     @cached_property
     def cross_sell(self) -> DataFrame:
@@ -103,29 +116,29 @@ class Analyses:
             "why_pay.product_mix": why_pay.product_mix(roles.pcoin_transaction),
             "why_pay.wagering_by_game": why_pay.wagering_by_game(roles.game_session),
             "why_pay.cosmetics_gap": self.cosmetics,
-            "why_pay.payer_archetypes": why_pay.payer_archetypes(s, cfg),
-            "payer_dna.loss_chasing": payer_dna.loss_chasing(s, cfg),
-            "payer_dna.bet_size_lift": payer_dna.bet_size_lift(s, cfg),
-            "payer_dna.game_type_pay": payer_dna.game_type_pay(s),
-            "payer_dna.payer_psychology": payer_dna.payer_psychology(s, cfg),
+            "why_pay.payer_archetypes": self.breakdowns["payer_archetypes"],
+            "payer_dna.loss_chasing": self.breakdowns["loss_chasing"],
+            "payer_dna.bet_size_lift": self.breakdowns["bet_size_lift"],
+            "payer_dna.game_type_pay": self.breakdowns["game_type_pay"],
+            "payer_dna.payer_psychology": self.breakdowns["payer_psychology"],
             "payer_dna.why_never_bought": payer_dna.why_never_bought(roles.survey_response, s),
             "behavior_diff.predictor_lift": self.lift,
             "propensity.decile_payer_rate": propensity.decile_payer_rate(self.deciles),
             "propensity.summary": self.summary,
             "propensity.weights": propensity.score_weights(ws.spark, cfg),
             "convert_more.target_pool": self.pool,
-            "convert_more.target_by_country": growth.target_by_country(s, cfg),
+            "convert_more.target_by_country": self.breakdowns["target_by_country"],
             "convert_more.conversion_moment": self.moment,
             "convert_more.wagered_before_paying_pct": self.wager_share,
             "expand_more.purchase_freq": self.freq,
-            "expand_more.one_time_vs_repeat": growth.one_time_vs_repeat(s, cfg),
+            "expand_more.one_time_vs_repeat": self.breakdowns["one_time_vs_repeat"],
             "expand_more.whale_concentration": growth.whale_concentration(s),
             "expand_more.prime_cross_sell": self.cross_sell,
             "social_retention_geo.social": self._family("soc"),
-            "social_retention_geo.retention_x_pay": social.retention_x_pay(s, cfg),
-            "social_retention_geo.geo": social.geo(s, cfg),
+            "social_retention_geo.retention_x_pay": self.breakdowns["retention_x_pay"],
+            "social_retention_geo.geo": self.breakdowns["geo"],
             "diagnostic.levers": self.levers,
-            "revenuecat_validation": revenue_reconciliation(ws.revenue, s),
+            "revenuecat_validation": reconcile(ws.revenue, self.head.select("total_usd")),
         }
 
     def brief(self) -> DataFrame:

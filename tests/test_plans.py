@@ -95,6 +95,33 @@ def test_events_are_scanned_once(spark, name):
     assert plan.count("events.parquet") == 1
 
 
+def test_bundle_scans_the_store_three_times(spark):
+    """One pass for all one-row metrics, one for all breakdowns, one for the barriers' join."""
+    from paylens.operators import bundle
+    from paylens.plans.audit import file_scans
+    from paylens.plans.run import Analyses
+    from paylens.plans.workspace import Workspace
+    ws = Workspace(spark, SF001)
+    scans = file_scans(bundle.insights_rows(Analyses(ws).sections()))
+    assert 1 <= sum("paylens-store-" in p for p in scans) <= 3
+    ws.release()
+
+
+def test_breakdowns_together_equal_each_alone(spark):
+    from pyspark.sql import functions as F
+
+    from paylens.operators.breakdown import Breakdown, one_pass
+    rows = spark.range(500).select("id", (F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("b"))
+    total = {"n": F.count("*"), "top": F.max("id")}
+    parts = {"one": Breakdown("a", F.col("a"), total), "two": Breakdown("b", F.col("b"), {"n": F.count("*")}, where=F.col("b").isNotNull()),
+             "three": Breakdown("g", F.lit("x"), total, where=F.col("id") > 450),
+             "none": Breakdown("g", F.lit(1), {"s": F.sum("id")}, where=F.col("id") < 0)}
+    out = one_pass(rows, parts)
+    for name, b in parts.items():
+        assert sorted(map(tuple, out[name].collect())) == sorted(map(tuple, b.alone(rows).collect()))
+        assert out[name].columns == b.alone(rows).columns
+
+
 def test_store_pushes_soft_delete_filter_and_prunes(spark):
     from paylens.plans.workspace import workspace
     from paylens.operators.features import feature_store
@@ -168,4 +195,5 @@ def test_single_partition_only_above_aggregates(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     for below in _single_partition_inputs(plan):
-        assert "Aggregate" in below or "LocalTableScan" in below or "Scan ExistingRDD" in below, f"{name}: {below[:200]}"
+        groups = "_set:bigint" in below  # the written groups of all breakdowns: aggregates already
+        assert "Aggregate" in below or "LocalTableScan" in below or "Scan ExistingRDD" in below or groups, f"{name}: {below[:200]}"
