@@ -268,7 +268,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bits: int =
     kinds = T.StructType([T.StructField("rid", T.LongType()), id_field, *T.StructType.fromDDL("n_lines long, n_dropped long, kept_sha256 string")])
     if with_text:
         out, kinds = out + [("kept_text", pa.string())], T.StructType([*kinds, T.StructField("kept_text", T.StringType())])
-    changed = rows.select("rid", "doc_id", "n_lines", "text").join(lost, "rid").mapInArrow(_shortened(pa.schema(out), with_text), kinds)
+    changed = rows.select("rid", "doc_id", "n_lines", "text").join(lost.hint("merge"), "rid").mapInArrow(_shortened(pa.schema(out), with_text), kinds)
     same = rows.select("rid", "doc_id", "n_lines", "whole_sha").join(lost.select("rid"), "rid", "left_anti").select(
         "rid", "doc_id", "n_lines", F.lit(0).cast("long").alias("n_dropped"), F.col("whole_sha").alias("kept_sha256"),
         *([F.lit(None).cast("string").alias("kept_text")] if with_text else []))
