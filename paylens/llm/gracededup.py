@@ -8,16 +8,19 @@ the original text stays, then the smallest ``doc_id`` (null ids last).
    open-addressing table that compares complete content. A block's rows of
    one text become one record (with the ids of its rows), so a text that
    makes up a third of all rows costs one record per block, not per row.
-2. The records are written to the shared folder and partitioned by leading
+2. A hash with records from more than ``fan`` blocks is merged first, in
+   groups of about ``fan`` records (hash and salt), level by level, so a
+   text of a third of all rows reaches no task more than ``fan`` times or so.
+3. The records are written to the shared folder and partitioned by leading
    bits of a 64-bit content hash. Partitions whose distinct content exceeds
    ``table_bytes`` are written out again and split by further bits, level
    by level, until each bucket fits one table (a bucket of a single text
    cannot be split and needs none).
-3. A task reads its buckets one after another (Spark's shuffle files are
+4. A task reads its buckets one after another (Spark's shuffle files are
    the spill files, sorted by bucket) into an open-addressing table and
    compares complete content, so equal hashes never merge different texts.
-4. Group results return to the rows through the records' unique ids: no
-   join key is hot.
+5. Group results return to the rows through the records' unique ids: no
+   join key is hot (a merged record has at most about ``fan`` records below it).
 
 Nulls and edge cases: a null text counts as empty and all empty or blank
 texts form one group; null ids sort last; a repeated row is a copy like any
@@ -47,6 +50,7 @@ BLOCK_BYTES = 32 << 20   # input rows deduplicated together before the shuffle
 TABLE_BYTES = 32 << 20   # distinct content that one open-addressing table may hold
 LEVEL_BITS = 4           # fan-out of 16 per recursion level
 MAX_BITS = 60
+FAN = 8                  # records of one hash that meet in one task
 
 
 class OpenTable:
@@ -193,6 +197,72 @@ def _merge_buckets(schema: pa.Schema, hasher, with_rows: bool):
     return run
 
 
+def _merge_salted(schema: pa.Schema, hasher):
+    """Per (h, salt): records of equal content become one, that of the best row;
+    the others are returned as rep_id and parent (the one they went into)."""
+    payload = "row" if "row" in schema.names else "text"
+    plain = [f for f in schema.names if f not in (payload, "parent")]
+
+    def emit(groups):
+        out = {name: [] for name in schema.names}
+        for own in groups:
+            best = min(own, key=lambda r: (*_rank(r["points"], r["best_id"]), r["rep_id"]))
+            for r in own:
+                first = r is best
+                for name in plain:
+                    out[name].append(r[name] if first or name == "rep_id" else None)
+                if first:
+                    out["size"][-1] = sum(m["size"] for m in own)
+                out["parent"].append(None if first else best["rep_id"])
+                out[payload].append(r[payload] if first else None)
+        kind = schema.field(payload).type
+        blobs = pa.concat_arrays([p.cast(kind) if p is not None else pa.nulls(1, kind) for p in out[payload]])
+        return pa.RecordBatch.from_arrays([blobs if f.name == payload else pa.array(out[f.name], f.type) for f in schema], schema=schema)
+
+    def run(batches):
+        now, table, groups = None, None, []
+        for b in batches:
+            texts = b.column("text") if payload == "text" else b.column("row").field("text")
+            contents, _ = _contents(texts.cast(pa.string()))
+            cols = {c: b.column(c).to_pylist() for c in (*plain, "salt")}
+            for i, content in enumerate(contents):
+                if (cols["h"][i], cols["salt"][i]) != now:
+                    if groups:
+                        yield emit(groups)
+                    now, table, groups = (cols["h"][i], cols["salt"][i]), OpenTable(), []
+                k = table.find_or_add(hasher(cols["sha"][i]), content)
+                if k == len(groups):
+                    groups.append([])
+                groups[k].append({**{c: cols[c][i] for c in plain}, payload: b.column(payload).slice(i, 1)})
+        if groups:
+            yield emit(groups)
+    return run
+
+
+def _premerged(records: DataFrame, arrow: pa.Schema, hasher, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Records with at most about ``fan`` of one content, and per level the
+    (rep_id, parent) of those that went into another. Different contents of
+    one hash do not shrink: a level that merges nothing is the last."""
+    links = []
+    while True:
+        many = records.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > fan).select(
+            "h", F.ceil(F.col("n") / fan).cast("int").alias("salts"))
+        many = materialise(many, "grace-many")
+        if many.isEmpty():
+            return records, links
+        salted = (records.join(many, "h").withColumn("salt", F.pmod(F.xxhash64("rep_id"), "salts").cast("int")).drop("salts")
+                  .repartition("h", "salt").sortWithinPartitions("h", "salt"))
+        out = arrow.append(pa.field("parent", pa.int64()))
+        schema = T.StructType([*records.schema, T.StructField("parent", T.LongType())])
+        met = materialise(salted.select(*records.columns, "salt").mapInArrow(_merge_salted(out, hasher), schema), "grace-met")
+        gone = met.filter("parent IS NOT NULL").select("rep_id", "parent")
+        if gone.isEmpty():
+            return records, links
+        links.append(gone)
+        records = records.join(many, "h", "left_anti").select(records.columns).unionByName(
+            met.filter("parent IS NULL").select(records.columns))
+
+
 def _schemas(docs: DataFrame, fields: list[str]) -> tuple[T.StructType, pa.Schema]:
     """Spark and Arrow schema of record fields; ``id`` takes the type of
     ``doc_id`` and ``row`` that of a whole row of ``docs``."""
@@ -234,7 +304,7 @@ def _bucketed(records: DataFrame, table_bytes: int) -> DataFrame:
     return out
 
 
-def _grace(docs: DataFrame, with_rows: bool, hasher, block_bytes: int, table_bytes: int):
+def _grace(docs: DataFrame, with_rows: bool, hasher, block_bytes: int, table_bytes: int, fan: int):
     narrow = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"),
                          *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_rows else []))
     tail = ["row"] if with_rows else []  # a whole row holds the text as well
@@ -242,15 +312,20 @@ def _grace(docs: DataFrame, with_rows: bool, hasher, block_bytes: int, table_byt
                                           "members", *(tail or ["text"])])
     records = materialise(narrow.mapInArrow(_local_records(arrow, hasher, block_bytes), spark_schema), "grace-records")
     out_schema, out_arrow = _schemas(docs, ["rep_id", "keep_rep", "keep_at", "keep_id", "group_size", *tail])
-    dealt = (_bucketed(records.drop("members"), table_bytes).repartition("bits", "prefix")
+    merged, links = _premerged(records.drop("members"), arrow.remove(arrow.get_field_index("members")), hasher, fan)
+    dealt = (_bucketed(merged, table_bytes).repartition("bits", "prefix")
              .sortWithinPartitions("bits", "prefix"))
-    return records, dealt.mapInArrow(_merge_buckets(out_arrow, hasher, with_rows), out_schema)
+    return records, dealt.mapInArrow(_merge_buckets(out_arrow, hasher, with_rows), out_schema), links
 
 
 def exact_groups(docs: DataFrame, hasher=content_hash, block_bytes: int = BLOCK_BYTES,
-                 table_bytes: int = TABLE_BYTES) -> DataFrame:
+                 table_bytes: int = TABLE_BYTES, fan: int = FAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    records, groups = _grace(docs, False, hasher, block_bytes, table_bytes)
+    records, groups, links = _grace(docs, False, hasher, block_bytes, table_bytes, fan)
+    if links:
+        groups = materialise(groups, "grace-groups")
+    for gone in reversed(links):
+        groups = groups.unionByName(gone.join(groups.withColumnRenamed("rep_id", "parent"), "parent").drop("parent"))
     rows = (records.select("rep_id", "sha", "members").join(groups, "rep_id")
             .select("rep_id", "sha", "keep_rep", "keep_at", "keep_id", "group_size",
                     F.posexplode("members").alias("at", "doc_id")))
@@ -261,9 +336,9 @@ def exact_groups(docs: DataFrame, hasher=content_hash, block_bytes: int = BLOCK_
 
 
 def drop_exact_copies(docs: DataFrame, hasher=content_hash, block_bytes: int = BLOCK_BYTES,
-                      table_bytes: int = TABLE_BYTES) -> DataFrame:
+                      table_bytes: int = TABLE_BYTES, fan: int = FAN) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    _, groups = _grace(docs, True, hasher, block_bytes, table_bytes)
+    _, groups, _ = _grace(docs, True, hasher, block_bytes, table_bytes, fan)  # a merged record is the best of its own
     return groups.filter(F.col("rep_id") == F.col("keep_rep")).select(
         *[F.col("row").getField(c).alias(c) for c in docs.columns])
 
