@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from paylens.llm.common import materialise
 
 WINDOW, END_ID, GROUP_PIECES = 2048, 1, 2000
+GROUPS_PER_TASK, MAX_TASKS = 4, 20_000
 VOCABULARY = "byte_bpe_50k"
 
 _ENCODERS: dict = {}
@@ -168,7 +169,9 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary
     pieces = materialise(cut(docs, window, end_id, vocabulary, with_ids), "pack-pieces")
     short = pieces.filter(F.col("length") < window)
     groups = max(1, -(-short.count() // group_pieces))
-    dealt = short.select("piece", "length", F.pmod(F.xxhash64("piece"), F.lit(groups)).alias("grp"))
+    # lengths are a few bytes: the number of tasks follows the groups, not the bytes that AQE would coalesce
+    dealt = (short.select("piece", "length", F.pmod(F.xxhash64("piece"), F.lit(groups)).alias("grp"))
+             .repartition(min(MAX_TASKS, -(-groups // GROUPS_PER_TASK)), "grp"))
     placed = dealt.groupBy("grp").applyInPandas(_fill_group(window), "piece long, sequence_id long, offset long")
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
     full = (pieces.filter(F.col("length") == window)
