@@ -1,7 +1,7 @@
 """M1-M8: logistic-regression propensity model.
 
 Distributed end to end: moments are one aggregate, class balance is a
-global-rank stride, the fit is six or seven Newton steps, each one aggregate
+global-rank stride, the fit is a handful of Newton steps, each one aggregate
 (``newton_fit``; ``fit`` is MLlib's L-BFGS on the same objective), of the
 objective the reference minimises by gradient descent (mean log-loss +
 lambda/2 * ||w||^2, intercept unpenalised, inputs z-scored with the
