@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.exact import MONEY, round_ratio
-from paylens.functions.json import array_len, key_count
-from paylens.functions.survey import (RESPONSE_SCHEMA, age_bucket, blank_to_null,
+from paylens.functions.json import array_len, key_count, object_fields
+from paylens.functions.survey import (RESPONSE_FIELDS, age_bucket, blank_to_null,
                                       stated_intent)
 from paylens.sources.bindings import RoleTables
 
@@ -56,7 +56,7 @@ def latest_survey(survey: DataFrame) -> DataFrame:
     """
     latest = (survey.groupBy("player_id")
               .agg(F.max_by("responses", _survey_order(survey)).alias("responses")))
-    r = F.from_json("responses", RESPONSE_SCHEMA)
+    r = object_fields(F.col("responses"), survey.schema["responses"].dataType, RESPONSE_FIELDS)
     parsed = latest.select("player_id", r.alias("r"))
     return parsed.select(
         "player_id",

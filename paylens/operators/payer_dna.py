@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from paylens.config import Config
 from paylens.functions.buckets import band_ord, band_ord_ratio, label_of
 from paylens.functions.exact import avg_exact, rate_pct, round_ratio, round_ratio_scaled
-from paylens.functions.survey import RESPONSE_SCHEMA
+from paylens.functions.json import object_fields
+from paylens.functions.survey import RESPONSE_FIELDS
 from paylens.operators.breakdown import Breakdown
 
 
@@ -78,7 +79,7 @@ def why_never_bought(survey: DataFrame, store: DataFrame, by: tuple[str, ...] =
     row filter, which the optimizer would push below the parse and so
     parse every document twice.
     """
-    reason = F.from_json("responses", RESPONSE_SCHEMA)["neverBoughtReason"]
+    reason = object_fields(F.col("responses"), survey.schema["responses"].dataType, RESPONSE_FIELDS)["neverBoughtReason"]
     named = F.col("reason").isNotNull() & (F.col("reason") != "")
     per_player = (survey.select("player_id", reason.alias("reason"))
                   .groupBy("player_id", "reason").agg(F.count_if(named).alias("n")))

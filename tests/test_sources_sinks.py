@@ -123,6 +123,56 @@ def test_role_tables_read_back_give_the_same_store(spark):
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_variant_role_tables_give_the_same_store(spark, tmp_path):
+    """The semi-structured columns as VARIANT, written and read back: same store, economy and barriers."""
+    from pyspark.sql import functions as F
+
+    from paylens.operators.economy import player_game_economy
+    from paylens.operators.features import STORE_COLUMNS, feature_store
+    from paylens.operators.payer_dna import why_never_bought
+    from paylens.sources.bindings import ROLES, bind_fixture_tables
+    from paylens.sources.tables import Tables, read_role_tables
+    from tests.conftest import SF0001
+    roles = bind_fixture_tables(Tables(spark, SF0001))
+    nested = {"survey_response": ("responses",), "room": ("furniture_objects", "wardrobe_items"), "game_session": ("participants", "winner_ids")}
+    for name, df in roles.as_dict().items():
+        for c in nested.get(name, ()):
+            text = F.col(c) if df.schema[c].dataType.simpleString() == "string" else F.to_json(c)
+            df = df.withColumn(c, F.try_parse_json(text))
+        if name == "game_session":     # participants as objects, as the source has them
+            ids = F.transform(F.from_json(F.to_json("participants"), "array<bigint>"), lambda i: F.struct(i.cast("string").alias("playerId")))
+            df = df.withColumn("participants", F.try_parse_json(F.to_json(ids)))
+        df.write.parquet(str(tmp_path / name))
+    back = read_role_tables(spark, str(tmp_path))
+    assert back.survey_response.schema["responses"].dataType.simpleString() == "variant" and set(back.as_dict()) == set(ROLES)
+    a, b = (feature_store(r).select(*STORE_COLUMNS) for r in (roles, back))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    a, b = (player_game_economy(r.game_session) for r in (roles, back))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    store = feature_store(roles)
+    a, b = (why_never_bought(r.survey_response, store) for r in (roles, back))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) != []
+
+
+def test_variant_helpers_read_odd_documents_as_text_does(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from paylens.functions import json as J
+    docs = ['[1, "a", null, {"playerId": 7}, {"playerId": "x"}, {"other": 1}]', "[]", "{}", '{"a": 1, "b": null, "c": ["x"], "d": {"e": 2}, "f": "t"}',
+            "3", '"text"', "null", None, '[{"playerId": null}]']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, t string").withColumn("v", F.try_parse_json("t"))
+    text, var = T.StringType(), T.VariantType()
+    for name, fn in (("len", J.array_len), ("ids", J.participant_ids),
+                     ("fields", lambda c, d: J.object_fields(c, d, ("a", "b", "c", "d", "f", "g")))):
+        rows = df.select("i", "t", fn(F.col("t"), text).alias("x"), fn(F.col("v"), var).alias("y")).collect()
+        for r in rows:
+            x, y = (tuple(v) if isinstance(v, tuple) else v for v in (r["x"], r["y"]))
+            if name == "fields":                        # a value that is no object has no fields either way
+                x, y = x or (None,) * 6, y or (None,) * 6
+            assert x == y, (name, r["t"], x, y)
+
+
 def test_player_rows_never_reach_the_published_folder(spark):
     """An email in one player's row that no aggregate shows: the documents
     are clean and are written; the row itself is in no published file."""
