@@ -1,10 +1,10 @@
 """Near-duplicate classes by DartMinHash signatures and banded joining.
 
 A document is the weighted set of its five-word shingles (lower-cased
-letter/digit words). Similarity is the weighted Jaccard similarity; with
-the default ``weighting="set"`` every weight is 1 and it is the plain
-Jaccard similarity. Two texts of similarity 0.8 or more are linked, and
-classes are the connected components of links.
+letter/digit words). Similarity is the weighted Jaccard similarity: a
+shingle weighs as often as it occurs (``weighting="count"``, the default) or
+1 (``"set"``, the plain Jaccard similarity). Two texts of similarity 0.8 or
+more are linked, and classes are the connected components of links.
 
 Signatures. Every element owns a half-plane weight x rank, cut into regions
 of area one. A hash of (element, region) gives the region's number of darts
@@ -19,16 +19,19 @@ Joining. ``bands`` bands of four coordinates: a pair of similarity 0.8
 meets in at least one of 32 buckets with probability 1 - 5e-8. Buckets are
 never expanded into all pairs:
 
-* each bucket's members are compared with one leader (its smallest text);
-  those at the threshold are linked, and components give first classes;
+* each bucket has one leader (its smallest text). A text is compared with the
+  smallest of its leaders, then, in buckets where the links so far leave
+  several classes, with the leaders outside its class; those at the
+  threshold are linked, and components give the classes;
 * only buckets that still hold several classes go on. There a text drops out
   if shingles that occur in another class make up less than the threshold
   of it, since no text outside its class can then be similar enough (texts
   that share a passage and little else end here, without any pair);
-* what stays of a bucket is dealt into blocks of about ``block`` texts, and
-  each pair of blocks is one task's group: it counts the overlaps of all its
-  texts as a matrix product over their shared shingles and returns at most
-  one link per text, so no pairs are emitted however many there are.
+* what stays of a bucket is dealt into blocks of about ``block`` texts or
+  ``block_shingles`` shingles, whichever is less, and each pair of blocks is
+  one task's group of shingle hashes (no texts travel): it counts the
+  overlaps as a matrix product over their shared shingles and returns at
+  most one link per text, so no pairs are emitted however many there are.
 
 So no link between texts that share a bucket is lost for the classes.
 Every link is verified on the full shingle sets. Equal word sequences are
@@ -46,18 +49,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import materialise
+from paylens.llm.common import drop_scratch, free_name, materialise
 from paylens.llm.components import components
 from paylens.llm.words import U, counted, flat, mix, shingles, slices, words, _powers
 
 K, ROWS_PER_BAND = 128, 4
 THRESHOLD = 0.8
 BLOCK = 1024                     # texts per block in the comparison of what one leader leaves open
+BLOCK_SHINGLES = 1 << 19         # shingles per block: bounds a group where texts are long
+STEP_DARTS = 1 << 18             # darts thrown at once: bounds a worker however many documents a slice holds
 COLUMNS = 8192                   # shingles per step of a block's overlap matrix
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(14)])
 
@@ -75,8 +79,19 @@ def darts(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int,
     np.divide(k * (math.log(k) + 2), total, out=reach, where=total > 0)
     todo = total > 0
     while todo.any():
-        use = todo[doc]
-        d, e, w = doc[use], element[use], weight[use]
+        use = np.flatnonzero(todo[doc])
+        load = np.cumsum(1 + reach[doc[use]] * np.maximum(weight[use], 1))   # slabs and darts to expect
+        cuts = np.searchsorted(load, np.arange(STEP_DARTS, load[-1], STEP_DARTS))
+        for own in np.split(use, cuts):
+            _throw(sig, doc[own], element[own], weight[own], reach, k)
+        todo &= np.isinf(sig.reshape(n_docs, k)).any(axis=1)
+        reach[todo] *= 2
+    return sig.reshape(n_docs, k)
+
+
+def _throw(sig: np.ndarray, d: np.ndarray, e: np.ndarray, w: np.ndarray, reach: np.ndarray, k: int) -> None:
+    """Lower ``sig`` to the ranks of these elements' darts below their weights and their documents' reach."""
+    if len(d):
         level, low, width = 0, 0.0, 1.0
         while len(d):  # weight intervals [0,1), [1,2), [2,4), [4,8) ...; slabs of height 1/width
             slabs = np.ceil(reach[d] * width).astype(np.int64)
@@ -96,9 +111,6 @@ def darts(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int,
             low, width, level = (1.0, 1.0, 1) if level == 0 else (2 * low, 2 * width, level + 1)
             more = w > low
             d, e, w = d[more], e[more], w[more]
-        todo &= np.isinf(sig.reshape(n_docs, k)).any(axis=1)
-        reach[todo] *= 2
-    return sig.reshape(n_docs, k)
 
 
 def band_keys(sig: np.ndarray, rows: int = ROWS_PER_BAND) -> np.ndarray:
@@ -132,7 +144,6 @@ def _elements(raw, off, weighting: str):
 
 def _sketcher(k: int, weighting: str, arrow: pa.Schema):
     def run(batches):
-        pid, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             for i, j, raw, off in slices(batch.column("text")):
                 doc, h, d, x, w = _elements(raw, off, weighting)
@@ -143,26 +154,28 @@ def _sketcher(k: int, weighting: str, arrow: pa.Schema):
                 hi, lo = (s.view(np.int64) for s in _sequence_hash(doc, h, n))
                 per = keys.shape[1]
                 offsets = pa.array(np.arange(n + 1) * per, pa.int32())
-                made = {"rid": pa.array(np.arange(n) + ((pid << 33) + seq)),
-                        "hi": pa.array(hi, mask=empty), "lo": pa.array(lo, mask=empty), "size": pa.array(sizes),
+                made = {"hi": pa.array(hi, mask=empty), "lo": pa.array(lo, mask=empty), "size": pa.array(sizes),
                         "bands": pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))}
-                seq += n
                 own = batch.slice(i, n)
                 yield pa.RecordBatch.from_arrays(
                     [(made[f.name] if f.name in made else own.column(f.name)).cast(f.type) for f in arrow], schema=arrow)
     return run
 
 
-def _sketches(docs: DataFrame, k: int, weighting: str, with_rows: bool) -> DataFrame:
-    narrow = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"),
-                         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")]
-                           if with_rows else []))
-    made = [pa.field("rid", pa.int64()), pa.field("hi", pa.int64()), pa.field("lo", pa.int64()),
-            pa.field("size", pa.float64()), pa.field("bands", pa.list_(pa.int64()))]
-    arrow = pa.schema(list(narrow.limit(0).toArrow().schema) + made)
-    schema = T.StructType([*narrow.schema, *T.StructType.fromDDL(
-        "rid long, hi long, lo long, size double, bands array<long>")])
-    return materialise(narrow.mapInArrow(_sketcher(k, weighting, arrow), schema), "dart-sketches")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a row number, whose column name is returned."""
+    rid = free_name(docs.columns, "rid")
+    return materialise(docs.withColumn(rid, F.monotonically_increasing_id()), "dart-rows"), rid
+
+
+def _sketches(rows: DataFrame, rid: str, k: int, weighting: str) -> tuple[DataFrame, DataFrame]:
+    """(rid, id, hi, lo, size, bands) and (rid, text) of numbered rows; only number and text go through Python."""
+    texts = rows.select(F.col(f"`{rid}`").alias("rid"), F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    arrow = pa.schema([("rid", pa.int64()), texts.limit(0).toArrow().schema.field("id"), ("hi", pa.int64()), ("lo", pa.int64()),
+                       ("size", pa.float64()), ("bands", pa.list_(pa.int64()))])
+    schema = T.StructType([T.StructField("rid", T.LongType()), texts.schema["id"], *T.StructType.fromDDL(
+        "hi long, lo long, size double, bands array<long>")])
+    return materialise(texts.mapInArrow(_sketcher(k, weighting, arrow), schema), "dart-sketches"), texts.select("rid", "text")
 
 
 def _similarity(weighting: str, limit: int = 4 << 20):
@@ -191,34 +204,33 @@ def _similarity(weighting: str, limit: int = 4 << 20):
     return run
 
 
-def _element_rows(weighting: str):
-    """(rid, root, h, w): the weighted shingles of each text."""
+def _element_lists(weighting: str):
+    """(rid, root, hs, ws): the weighted shingles of each text, as two lists."""
     def run(batches):
         for batch in batches:
             for i, j, raw, off in slices(batch.column("text")):
                 _, _, d, x, w = _elements(raw, off, weighting)
-                at = pa.array(d + i)
-                yield pa.RecordBatch.from_arrays([batch.column("rid").take(at), batch.column("root").take(at),
-                                                  pa.array(x.view(np.int64)), pa.array(w)], ["rid", "root", "h", "w"])
+                cuts = pa.array(np.searchsorted(d, np.arange(j - i + 1)), pa.int32())
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("rid"), own.column("root"), pa.ListArray.from_arrays(cuts, pa.array(x.view(np.int64))),
+                     pa.ListArray.from_arrays(cuts, pa.array(w.astype(np.int64)))], ["rid", "root", "hs", "ws"])
     return run
 
 
-def _block_links(threshold: float, weighting: str):
+def _block_links(threshold: float):
     """Links between the texts of one block pair (or block) that are in different
     classes: each text that has any, with a text it is connected to."""
     def run(table: pa.Table) -> pa.Table:
-        rid, root, own = (table.column(c).to_numpy() for c in ("rid", "root", "own"))
-        n, docs, hashes = len(rid), [], []
-        for i, _, raw, off in slices(table.column("text")):
-            _, _, d, x, w = _elements(raw, off, weighting)
-            if weighting == "count":                   # a weight of 3 is three unit elements
-                times = w.astype(np.int64)
-                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                d, x = np.repeat(d, times), mix(np.repeat(x, times) + nth.astype(U))
-            docs.append(d + i)
-            hashes.append(x)
-        doc = np.concatenate(docs)
-        _, column, seen = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        rid, root = (table.column(c).to_numpy() for c in ("rid", "root"))
+        n, hashes = len(rid), table.column("hs").combine_chunks()
+        x = hashes.flatten().to_numpy().view(U)
+        times = table.column("ws").combine_chunks().flatten().to_numpy()
+        doc = np.repeat(np.arange(n), np.diff(hashes.offsets.to_numpy()))
+        if (times > 1).any():                          # a weight of 3 is three unit elements
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            doc, x = np.repeat(doc, times), mix(np.repeat(x, times) + nth.astype(U))
+        _, column, seen = np.unique(x, return_inverse=True, return_counts=True)
         size = np.bincount(doc, minlength=n).astype(np.float32)
         use = seen[column] > 1                         # other columns overlap with nothing
         doc, column = doc[use], np.unique(column[use], return_inverse=True)[1]
@@ -246,12 +258,18 @@ def _block_links(threshold: float, weighting: str):
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Members (rid, size, root, key) of buckets that hold more than one class, with the bucket's n."""
-    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    return members.join(mixed.select("key", "n"), "key").select("rid", "size", "root", "key", "n")
+    """Members (rid, size, root, key, leader, leader_size) of buckets that hold more than one
+    class, with the bucket's texts and shingles and its leader's class (null: the leader is gone)."""
+    mixed = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.max(F.when(F.col("rid") == F.col("leader"), F.col("root"))).alias("leader_root")).filter("lo <> hi")
+    return members.join(mixed.select("key", "n", "shingles", "leader_root"), "key").select(*_MEMBER, "n", "shingles", "leader_root")
 
 
-def _links(sketches: DataFrame, reps: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
+_MEMBER = ("rid", "size", "root", "key", "leader", "leader_size")
+
+
+def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
     """Verified links (a, b) between representatives: enough of them that every
     pair at or over the threshold that shares a bucket is in one component."""
     slack = 1e-9
@@ -260,8 +278,8 @@ def _links(sketches: DataFrame, reps: DataFrame, threshold: float, block: int, w
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("size", "rid")).alias("l")).filter("n > 1")
     members = materialise(rows.join(shared.select("key", "l"), "key").select(
         "rid", "size", "key", F.col("l.rid").alias("leader"), F.col("l.size").alias("leader_size")), "dart-members")
-    texts = materialise(own.select("rid", "size", "bands", "text")
-                        .join(members.select("rid").distinct(), "rid", "left_semi"), "dart-texts")
+    texts = materialise(own.select("rid", "size").join(members.select("rid").distinct(), "rid", "left_semi")
+                        .join(all_texts, "rid"), "dart-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.select("a", "b").distinct()
@@ -273,41 +291,56 @@ def _links(sketches: DataFrame, reps: DataFrame, threshold: float, block: int, w
     def may_reach(a, b):
         return F.least(a, b) >= F.lit(threshold - slack) * F.greatest(a, b)
 
-    def classed(rows: DataFrame, links: DataFrame) -> DataFrame:
-        """Rows in buckets of several classes under the links found so far, without
-        the texts that cannot be linked out of their class."""
+    def opened(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows in buckets of several classes under the links found so far."""
         roots = components(links).withColumnRenamed("node", "rid")
-        rooted = rows.join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-        open_ = materialise(_mixed(rooted), "dart-open")
+        rooted = rows.drop("root").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+        return materialise(_mixed(rooted.select(*_MEMBER)), "dart-open")
+
+    def able(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The open rows without the texts that cannot be linked out of their class; and the texts' shingles."""
         some = open_.select("rid", "root").distinct().join(texts.select("rid", "text"), "rid").select("rid", "root", "text")
-        elements = materialise(some.mapInArrow(_element_rows(weighting), "rid long, root long, h long, w double"), "dart-elements")
+        lists = materialise(some.mapInArrow(_element_lists(weighting), "rid long, root long, hs array<long>, ws array<long>"),
+                            "dart-elements")
+        elements = lists.select("rid", "root", F.explode(F.arrays_zip("hs", "ws")).alias("e")).select(
+            "rid", "root", F.col("e.hs").alias("h"), F.col("e.ws").alias("w"))
         across = elements.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("h")
         common = elements.join(across, "h", "left_semi").groupBy("rid").agg(F.sum("w").alias("common"))
-        able = common.join(texts.select("rid", "size"), "rid").filter(
+        kept = common.join(texts.select("rid", "size"), "rid").filter(
             F.col("common") >= F.lit(threshold - slack) * F.col("size")).select("rid")
-        return materialise(_mixed(open_.drop("n").join(able, "rid", "left_semi")), "dart-open")
+        return materialise(_mixed(open_.select(*_MEMBER).join(kept, "rid", "left_semi")), "dart-open"), lists
 
+    # a text meets the smallest of its leaders first; what that settles needs no other leader
     star = members.filter("rid <> leader").filter(may_reach(F.col("size"), F.col("leader_size")))
-    links = verified(star.select(F.col("rid").alias("a"), F.col("leader").alias("b")))
-    open_ = classed(members.select("rid", "size", "key"), links)
+    first = materialise(star.groupBy("rid").agg(F.min(F.struct("leader_size", "leader")).alias("l")).select(
+        F.col("rid").alias("a"), F.col("l.leader").alias("b")), "dart-first")
+    links = verified(first)
+    open_ = opened(members, links)
+    others = (open_.filter("rid <> leader AND root <> leader_root").filter(may_reach(F.col("size"), F.col("leader_size")))
+              .select(F.col("rid").alias("a"), F.col("leader").alias("b")))
+    links = links.unionByName(verified(others.join(first, ["a", "b"], "left_anti")))
+    open_, lists = able(opened(open_, links))
 
     # what is left is compared across classes, block against block
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(block), F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
     own_block = F.pmod(F.xxhash64("rid", "key"), blocks).cast("int")
     placed = (open_.select("key", "rid", "root", blocks.alias("blocks"), own_block.alias("own"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", "rid", "root", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")))
-    full = placed.join(texts.select("rid", "text"), "rid")
-    more = full.groupBy("key", "one", "two").applyInArrow(_block_links(threshold, weighting), "a long, b long")
-    return links.unionByName(materialise(more.distinct(), "dart-links")).distinct()
+              .select("key", "rid", "root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")))
+    full = placed.join(lists.select("rid", "hs", "ws"), "rid")
+    more = full.groupBy("key", "one", "two").applyInArrow(_block_links(threshold), "a long, b long")
+    found = materialise(links.unionByName(materialise(more.distinct(), "dart-links")).distinct(), "dart-links")
+    for done in (members, texts, first, open_, lists):
+        drop_scratch(sketches.sparkSession, done)
+    return found
 
 
-def _classes(sketches: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
+def _classes(sketches: DataFrame, texts: DataFrame, threshold: float, block: int, weighting: str) -> DataFrame:
     """(hi, lo) -> class_id, class_size, keep_rid for texts with words."""
     best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("rid").alias("rid")))
     reps = materialise(sketches.filter("hi is not null").groupBy("hi", "lo").agg(
         F.min("rid").alias("rep"), best.alias("best"), F.count("*").alias("n")), "dart-reps")
-    roots = components(_links(sketches, reps, threshold, block, weighting))
+    roots = components(_links(sketches, texts, reps, threshold, block, weighting))
     placed = (reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
               .withColumn("root", F.coalesce("root", "rep")))
     total = placed.groupBy("root").agg(F.min("best").alias("keep"), F.sum("n").alias("class_size"))
@@ -315,11 +348,12 @@ def _classes(sketches: DataFrame, threshold: float, block: int, weighting: str)
         "hi", "lo", F.col("keep.id").alias("class_id"), "class_size", F.col("keep.rid").alias("keep_rid"))
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "set",
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "count",
                            block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest id of its class), class_size."""
-    sk = _sketches(docs, k, weighting, False)
-    classes = _classes(sk, threshold, block, weighting)
+    rows, rid = _numbered(docs.select("doc_id", "text"))
+    sk, texts = _sketches(rows, rid, k, weighting)
+    classes = _classes(sk, texts, threshold, block, weighting)
     with_words = (sk.filter("hi is not null").select("id", "hi", "lo").join(classes, ["hi", "lo"])
                   .select(F.col("id").alias("doc_id"), "class_id", "class_size"))
     without = sk.filter("hi is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"),
@@ -327,12 +361,12 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int
     return with_words.unionByName(without)
 
 
-def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "set",
+def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "count",
                      block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay (one per class, the smallest id), with all their columns."""
-    sk = _sketches(docs, k, weighting, True)
-    classes = _classes(sk, threshold, block, weighting).filter("class_size > 1")
+    rows, rid = _numbered(docs)
+    sk, texts = _sketches(rows, rid, k, weighting)
+    classes = _classes(sk, texts, threshold, block, weighting).filter("class_size > 1")
     gone = materialise(sk.filter("hi is not null").select("rid", "hi", "lo").join(classes, ["hi", "lo"])
-                       .filter("rid <> keep_rid").select("rid"), "dart-gone")
-    stay = sk.join(gone, "rid", "left_anti")
-    return stay.select(*[(F.col("text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
+                       .filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "dart-gone")
+    return rows.join(gone, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

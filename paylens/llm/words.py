@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 4 << 20          # documents are processed in slices of about this size
+SLICE_BYTES = 1 << 20          # documents are processed in slices of about this size
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 _LOWER = np.arange(256, dtype=np.uint8)

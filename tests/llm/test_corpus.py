@@ -45,6 +45,59 @@ def test_shards(spark, multi_partition):
     assert order == sorted(order)
 
 
+def shards_by_force(rows, shards=24, bits=6):
+    """Cells from the sorted values, the curve point by point, cuts at the bytes. rows: id, source, lang, size, crc."""
+    def starts(values):
+        values, out = sorted(values), {}
+        for i, v in enumerate(values):                    # a value belongs to the cell its first row falls in
+            first = values.index(v)
+            out.setdefault((first << bits) // len(values), []).append(v)
+        return sorted(min(v) for v in out.values())
+
+    def point(cell):                                      # walk down the curve, one bit of each dimension at a time
+        return int(hilbert.hilbert_index(np.array([cell]), bits)[0])
+    cells = []
+    for k in (1, 2, 3):
+        cut = starts([r[k] for r in rows if r[k] is not None])
+        cells.append([0 if r[k] is None else max(0, sum(c <= r[k] for c in cut) - 1) for r in rows])
+    order = sorted(range(len(rows)), key=lambda i: (point([c[i] for c in cells]), rows[i][0], rows[i][4], rows[i][3]))
+    total, before, out = sum(r[3] for r in rows), 0, {}
+    for i in order:
+        out[rows[i][0]] = min(shards - 1, (2 * before + rows[i][3]) * shards // (2 * total))
+        before += rows[i][3]
+    return out
+
+
+def test_shards_by_force(spark):
+    rows = [(r["doc_id"], r["source"], r["lang"], len((r["text"] or "").encode()) + 8, zlib.crc32((r["text"] or "").encode()))
+            for r in table(spark, SF0001, "documents").collect()]
+    got = {r["doc_id"]: r["shard"] for r in hilbert.assign(table(spark, SF0001, "documents")).collect()}
+    assert got == shards_by_force(rows)
+
+
+def test_shards_prune_every_dimension(spark):
+    """Share of shards that min/max statistics rule out, by dimension, against one plain sort."""
+    rows = hilbert.assign(table(spark, SF001, "documents")).join(table(spark, SF001, "documents").select("doc_id", "source", "lang"), "doc_id")
+    rows = [(r["shard"], r["source"], r["lang"], r["size"]) for r in rows.collect()]
+    sizes = np.quantile([r[3] for r in rows], np.linspace(0, 1, 21))
+    asked = {1: [(v, v) for v in {r[1] for r in rows}], 2: [(v, v) for v in {r[2] for r in rows}], 3: list(zip(sizes, sizes[1:]))}
+
+    def ruled_out(shard_of):
+        out = {}
+        for k, ranges in asked.items():
+            held = defaultdict(list)
+            for r, s in zip(rows, shard_of):
+                held[s].append(r[k])
+            box = [(min(v), max(v)) for v in held.values()]
+            out[k] = np.mean([b < lo or a > hi for lo, hi in ranges for a, b in box])
+        return out
+    curve = ruled_out([r[0] for r in rows])
+    place = {i: k for k, i in enumerate(sorted(range(len(rows)), key=lambda i: rows[i][1:]))}
+    plain = ruled_out([place[i] * 24 // len(rows) for i in range(len(rows))])
+    print("ruled out by the curve", curve, "by a sort on source, lang, size", plain)
+    assert min(curve.values()) > min(plain.values()) and curve[3] > plain[3] + 0.1
+
+
 def test_shard_files_hold_whole_rows(spark, tmp_path):
     docs = table(spark, SF0001, "documents")
     hilbert.write_shards(docs, str(tmp_path / "out"), shards=4)
