@@ -83,24 +83,31 @@ def test_ctw_equals_direct_computation(spark):
             assert math.isclose(r["base_score"], base, abs_tol=1e-9) and math.isclose(r["score"], want[i], abs_tol=1e-4)
 
 
-def test_ctw_predictions_sum_to_one(spark):
+def test_ctw_predictions_sum_to_one():
     texts = ["the cat sat", "the dog sat", "a cat ran"]
-    d = pa.array(texts)
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
     off = np.cumsum([0, *map(len, texts)])
-    keys, n = np.unique(ctw.text_grams(raw, off, 3)[1], return_counts=True)
-    model = ctw.build(ctw.tree(keys, n, 3, 0), 3)
-    for context in (b"the", b"zzz", b" ca"):
-        base = int.from_bytes(context, "big") << 8
-        grams = np.array([base | b for b in range(256)], np.uint64)
-        assert math.isclose(np.exp2(model.log2_of(grams)).sum(), 1.0, rel_tol=1e-5)
-    assert len(d) == 3
-
-
-def test_smaller_model_only_loses_depth(spark):
-    docs = spark.createDataFrame([(i, "abcabcabd" * 3) for i in range(20)], "doc_id long, text string")
-    counts = ctw.corpus_counts(docs, 5)
-    assert ctw.fit(counts, 5, max_model_bytes=1).depth == 3 and ctw.fit(counts, 5).depth == 5
+    for depth in (3, 5, 7):
+        keys, n = np.unique(ctw.text_grams(raw, off, depth)[1], return_counts=True)
+        top = ctw.top_of(*ctw.Subtrees(keys, n, depth).sums())
+        for context in (b"\xff\xff\xff\xffthe", b"zzzzzzz", b"zzzz ca", b"the cat"):
+            head = sum(b << (56 - 8 * j) for j, b in enumerate(reversed(context)) if j < depth)
+            grams = np.array([head | b for b in range(256)], np.uint64)
+            every = np.unique(np.concatenate([keys, grams]))
+            counts = np.zeros(len(every), np.int64)
+            counts[np.searchsorted(every, keys)] = n
+            lp = ctw.Subtrees(every, counts, depth).log2(top)[np.searchsorted(every, grams)]
+            assert math.isclose(np.exp2(lp).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_grams_stand_nearest_byte_first():
+    raw, off = np.frombuffer(b"abcXy", np.uint8), np.array([0, 3, 3, 5])
+    doc, g = ctw.text_grams(raw, off, 4)
+    spelled = [x.to_bytes(8, "big") for x in g.tolist()]
+    pad = b"\xff"
+    want = [pad * 4 + b"\0\0\0a", b"a" + pad * 3 + b"\0\0\0b", b"ba" + pad * 2 + b"\0\0\0c", b"cba" + pad + b"\0\0\0" + pad,
+            pad * 4 + b"\0\0\0" + pad, pad * 4 + b"\0\0\0x", b"x" + pad * 3 + b"\0\0\0y", b"yx" + pad * 2 + b"\0\0\0" + pad]
+    assert spelled == want and doc.tolist() == [0, 0, 0, 0, 1, 2, 2, 2]
 
 
 def test_held_out_code_length(spark):
@@ -124,14 +131,28 @@ def test_query_scores_at_depth_seven(spark):
 
 def test_chunks_hold_whole_subtrees(monkeypatch):
     monkeypatch.setattr(ctw, "CHUNK", 3)
-    cut = np.sort(np.random.default_rng(1).integers(0, 9, 50))
-    gram = (np.arange(50) << 40) | (cut << 8) | 7
-    batches = [pa.RecordBatch.from_arrays([pa.array(gram[i:i + 4]), pa.array(np.arange(i, min(i + 4, 50)))], ["gram", "n"])
-               for i in range(0, 50, 4)]
-    parts = [(g, n) for g, n in ctw._whole(batches)]
-    assert np.array_equal(np.concatenate([n for _, n in parts]), np.arange(50)) and len(parts) > 4
-    groups = [set(((g >> np.uint64(8)) & np.uint64(0xFFFFFF)).tolist()) for g, _ in parts]
-    assert sum(map(len, groups)) == len(set().union(*groups))
+    head = np.sort(np.random.default_rng(1).integers(0, 9, 50)).astype(np.uint64)
+    grams = (head << np.uint64(40)) | np.arange(50, dtype=np.uint64)
+    parts = [grams[i:j] for i, j in ctw._chunks(grams)]
+    assert (np.concatenate(parts) == grams).all() and all(len(p) >= 3 for p in parts[:-1])
+    heads = [set((p >> np.uint64(40)).tolist()) for p in parts]
+    assert all(not a & b for a, b in zip(heads, heads[1:])) and len(parts) > 3
+
+
+def test_partitions_and_buckets_score_alike(spark, monkeypatch):
+    """However the grams are cut, held and dealt, a text's score is the same."""
+    rng = np.random.default_rng(9)
+    words = ["the", "cat", "sät", "on", "mats", "Übung", "x1", "\U0001f600", "of"]
+    texts = [" ".join(str(rng.choice(words)) for _ in range(rng.integers(0, 30))) for _ in range(120)] + ["", None, "a" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = {r["doc_id"]: tuple(r) for r in ctw.log_scores(docs).collect()}
+    low = [re.sub("[A-Z]", lambda m: m.group().lower(), t or "").encode() for t in texts]
+    slow = slow_ctw([t for i, t in enumerate(low) if not held(i, 7)], low, 7)
+    assert all(math.isclose(want[i][6], slow[i], abs_tol=1e-6) for i in range(len(texts)))
+    monkeypatch.setattr(ctw, "BUCKET_BYTES", 200)
+    got = {r["doc_id"]: tuple(r) for r in ctw.log_scores(docs.repartition(11), hot_words=2).collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(a, b, abs_tol=1e-6) for i in want for a, b in zip(got[i][2:], want[i][2:]))
 
 
 def test_held_out_score_beats_the_baseline(spark):
@@ -269,3 +290,49 @@ def test_cumulative_link_recovers_order():
     m = ordinal.fit_rows(doc, bucket, np.ones(800), grade, 4, bits=4)
     tails = m.tails(m.weights[bucket])
     assert (np.diff(m.thresholds) > 0).all() and (tails.sum(axis=1).round() == grade).mean() > 0.98
+
+
+def test_ordinal_gradient_and_likelihood():
+    """The gradient against differences, the likelihood against the model written out row by row."""
+    rng = np.random.default_rng(4)
+    bits, grades, n = 3, 4, 25
+    grade = rng.integers(0, grades, n)
+    doc, bucket = np.repeat(np.arange(n), 3), rng.integers(0, 1 << bits, 3 * n)
+    value, weight = rng.uniform(0.1, 1, 3 * n), rng.uniform(0.5, 2, grades)
+    p = rng.normal(0, 0.7, (1 << bits) + grades - 1)
+    loss, g = ordinal.loss_and_gradient(p, doc, bucket, value, grade, weight, bits)
+    sig = lambda z: 1 / (1 + math.exp(-z))
+    theta, want = [-40, p[8], p[8] + math.exp(p[9]), p[8] + math.exp(p[9]) + math.exp(p[10]), 40], 0.0
+    for i in range(n):
+        s = sum(p[b] * v for d, b, v in zip(doc, bucket, value) if d == i)
+        want -= weight[grade[i]] * math.log(sig(theta[grade[i] + 1] - s) - sig(theta[grade[i]] - s))
+    assert math.isclose(loss, want, rel_tol=1e-9)
+    for k in range(len(p)):
+        e = np.zeros(len(p))
+        e[k] = 1e-6
+        slope = (ordinal.loss_and_gradient(p + e, doc, bucket, value, grade, weight, bits)[0]
+                 - ordinal.loss_and_gradient(p - e, doc, bucket, value, grade, weight, bits)[0]) / 2e-6
+        assert math.isclose(g[k], slope, rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_minimiser_finds_the_bottom():
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(12, 12))
+    a = a @ a.T + np.eye(12) * 0.1
+    b = rng.normal(size=12)
+    p = ordinal.minimise(lambda x: (float(x @ a @ x / 2 - b @ x), a @ x - b), np.zeros(12), turns=200)
+    assert np.abs(a @ p - b).max() < 1e-2
+
+
+def test_ordinal_fit_is_spread_over_tasks(spark, monkeypatch):
+    """The distributed fit is the maximum of the same likelihood, however its rows are dealt."""
+    monkeypatch.setattr(ordinal, "FIT_TASKS", 3)
+    rng = np.random.default_rng(6)
+    words = {0: "bad junk", 1: "fair junk good", 2: "good fine"}
+    docs = [(i, " ".join(rng.choice(words[i % 3].split(), 8)) + f" t{i}") for i in range(90)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    ratings = spark.createDataFrame([(i, i % 3) for i, _ in docs], "doc_id long, grade int")
+    model = ordinal.fit(frame, ratings, 3, bits=8)
+    rows = {r["doc_id"]: r["expected_grade"] for r in ordinal.quality(frame, model).collect()}
+    means = [np.mean([rows[i] for i in rows if i % 3 == g]) for g in range(3)]
+    assert means[0] < 0.6 < means[1] < 1.4 < means[2] and list(model.thresholds) == sorted(model.thresholds)
