@@ -407,6 +407,12 @@ FROM (SELECT count(*) AS players, {S.money_sum('lifetime_usd')} AS total_usd,
     out.update(_fitted(cfg, base, matrix))
     out.update(_streams())
     out.update(_sketches(W))
+    out["revenue_document"] = f"SELECT {rc} AS revenue_usd, {active} AS active_users_28d FROM lineitem"
+    out["store_view_sql"] = with_ctes(*base, _econ(), select="""SELECT country_code, count(*) AS players,
+  count(*) FILTER (WHERE is_payer) AS payers, CAST(sum(games) AS BIGINT) AS games, CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS usd
+FROM scored LEFT JOIN pgs USING (player_id) GROUP BY country_code""")
+    for file, rows in (("feature_matrix_csv", "feature_matrix"), ("insights_file", "headline"), ("model_report_file", "model_coefficients")):
+        out[file] = out[rows]  # what is written reads back as it was
     out["incremental_player_activity"] = """SELECT user_id, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS purchases,
   CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase' AND value >= 150) AS DECIMAL(38,2)) AS purchase_usd,

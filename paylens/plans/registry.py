@@ -445,6 +445,64 @@ def q_arpu(spark, d):
     return arpu(ws.store, ws.roles.pcoin_transaction)
 
 
+@query("revenue_document")
+def q_revenue_document(spark, d):
+    """The second source as the nested JSON document it comes as, written and read back."""
+    from paylens.sources import sinks
+    from paylens.sources.revenue import read_revenue_document
+    ws = _ws(spark, d)
+    path = ws.output_folder("revenue") + "/revenue.json"
+    nested = F.struct(F.struct("revenue_usd").alias("revenue_total"), F.struct("active_users_28d").alias("overview_28d"))
+    sinks.write_document(ws.revenue.select(F.to_json(nested).alias("value")), path)
+    return read_revenue_document(spark, path)
+
+
+@query("store_view_sql")
+def q_store_view_sql(spark, d):
+    """The store and the game economy as session temp views, asked in SQL."""
+    ws = _ws(spark, d)
+    ws.register_views("q_")
+    return spark.sql("""SELECT country_code, count(*) AS players, count_if(is_payer) AS payers, sum(g.games) AS games,
+        CAST(sum(lifetime_usd) AS DECIMAL(38,2)) AS usd
+        FROM q_player_features LEFT JOIN q_pgs g USING (player_id) GROUP BY country_code""")
+
+
+@query("feature_matrix_csv")
+def q_feature_matrix_csv(spark, d):
+    """The feature matrix exported as CSV with a header, read back with its types."""
+    from paylens.operators import model
+    from paylens.sources import sinks
+    ws = _ws(spark, d)
+    matrix, path = model.feature_matrix(ws.store, ws.cfg), ws.output_folder("matrix")
+    sinks.export_csv(matrix, path)
+    return spark.read.option("header", True).schema(matrix.schema).csv(path)
+
+
+@query("insights_file")
+def q_insights_file(spark, d):
+    """The published insights file, its headline read back."""
+    from paylens.operators import bundle
+    from paylens.plans.run import sections
+    from paylens.sources import sinks
+    ws = _ws(spark, d)
+    path = ws.output_folder("insights") + "/insights.json"
+    sinks.write_document(bundle.insights_document(bundle.insights_members(sections(ws))), path)
+    head = headline.headline(ws.store).schema.simpleString()
+    return spark.read.schema(f"headline {head}").json(path).select("headline.*")
+
+
+@query("model_report_file")
+def q_model_report_file(spark, d):
+    """The published model report, its coefficients read back."""
+    from paylens.operators import model
+    from paylens.sources import sinks
+    ws = _ws(spark, d)
+    run, path = _model_run(ws), ws.output_folder("report") + "/model_report.json"
+    sinks.write_document(sinks.model_report_document(model.evaluation(run, ws.cfg), run.coefficient_frame(spark)), path)
+    rows = "coefficients_by_importance array<struct<feature string, coef double, odds_per_sd double>>"
+    return spark.read.schema(rows).json(path).select(F.inline("coefficients_by_importance"))
+
+
 @query("whales_from_sketches")
 def q_whales_from_sketches(spark, d):
     """Per tenant, quantiles merged from (tenant, month) sketches lie within their bound of the exact ranks."""

@@ -55,8 +55,7 @@ class Workspace:
 
     def _materialize(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "table":
-            path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-{name}-{uuid.uuid4().hex}")
-            self._written.append(path)
+            path = self.output_folder(name)
             df.write.mode("overwrite").parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -83,6 +82,12 @@ class Workspace:
         econ = player_game_economy(self.roles.game_session, self.roles.player.schema["player_id"].dataType)
         return self._materialize(econ, "economy")
 
+    def output_folder(self, name: str) -> str:
+        """A fresh shared folder for files of this workspace; ``release`` removes it."""
+        path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-{name}-{uuid.uuid4().hex}")
+        self._written.append(path)
+        return path
+
     @cached_property
     def spend_sketches(self) -> DataFrame:
         """Quantile sketches by tenant and sign-up month."""
@@ -103,11 +108,9 @@ class Workspace:
         out = []
         for name, df in (("store", self.store.drop("propensity", "is_holdout")),
                          ("score", self.store.select("player_id", "propensity", "is_holdout"))):
-            path = os.path.join(ensure_checkpoint_dir(self.spark), f"paylens-bucketed-{name}-{uuid.uuid4().hex}")
             table = f"paylens_{name}_{uuid.uuid4().hex}"
-            self._written.append(path)
             self._tables.append(table)
-            out.append(write_bucketed(df, table, path, "player_id"))
+            out.append(write_bucketed(df, table, self.output_folder(f"bucketed-{name}"), "player_id"))
         return tuple(out)
 
     def register_views(self, prefix: str = "") -> list[str]:
