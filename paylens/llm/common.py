@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +23,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, so a lost executor costs a re-read, and the planner knows the
     table's size (it broadcasts a side only below the session's threshold)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**({"compression": codec} if codec else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,6 +41,33 @@ def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nobody holds any more: Spark deletes
+    them when the driver's JVM collects the plans, by itself only every half hour."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: an idle worker keeps what its
+    largest task took, beside the JVM and the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):          # another C library: nothing to trim
+        pass
+
+
+def tidy(run):
+    """A task function over batches that gives its memory back at its end."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
 def one_text(docs: DataFrame, picked: DataFrame, label: str) -> DataFrame:
     """(``label``, text) of the documents in ``picked`` (doc_id, ``label``; few
     rows): one text per id, of a repeated id the one with the smallest hash."""

@@ -57,12 +57,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise
+from paylens.llm.common import held_out, materialise, release_shuffles, tidy
 from paylens.llm.words import SLICE_BYTES, U, VISIBLE, _LOWER, counted, mix, slices, words
 
 DEPTH, FOLDS, END = 7, 7, 0xFF
-COUNT_BYTES = 8 << 20            # texts whose grams are counted together
-BLOCK_BYTES = 6 << 20            # texts whose grams are listed together with the documents they occur in
+COUNT_BYTES = 6 << 20            # texts whose grams are counted together
+BLOCK_BYTES = 4 << 20            # texts whose grams are listed together with the documents they occur in
 BLOCK_DOCS = 60_000              # of at most this many texts: a document's place in its block has 16 bits
 HELD = 2 << 20                   # distinct words (or documents' sums) a task holds before it hands them on
 CHUNK = 1 << 18                  # grams weighted together, rounded up to whole subtrees
@@ -503,9 +503,9 @@ def n_buckets(docs: DataFrame) -> int:
 def corpus_counts(marked: DataFrame, depth: int, buckets: int) -> DataFrame:
     """Of the training texts (held_out, text): kind GRAM (key, n0, n1, lp) per depth-2 node (parts to be summed),
     kind WORD (key, n0)."""
-    packed = marked.select("held_out", "text").mapInArrow(_counter(depth, buckets), PACKED)
-    sums = _met(packed, buckets).mapInArrow(_summer(depth), "kind int, key long, n0 long, n1 long, lp double")
-    return materialise(sums, "ctw-counts")    # a word is in one bucket; a depth-2 node may be in several
+    packed = marked.select("held_out", "text").mapInArrow(tidy(_counter(depth, buckets)), PACKED)
+    sums = _met(packed, buckets).mapInArrow(tidy(_summer(depth)), "kind int, key long, n0 long, n1 long, lp double")
+    return materialise(sums, "ctw-counts", "zstd")    # a word is in one bucket; a depth-2 node may be in several
 
 
 def top_of(key: np.ndarray, n0: np.ndarray, n1: np.ndarray, lp: np.ndarray) -> Model:
@@ -665,18 +665,19 @@ def log_scores(docs: DataFrame, depth: int = DEPTH, hot_words: int = HOT_WORDS)
     order = np.argsort(key)
     hot = spark.sparkContext.broadcast((key[order], n[order]))
     model = spark.sparkContext.broadcast(top_model(counts))
+    release_shuffles(spark)                  # the first pass's grams are not read again
 
     doc_type = T.StructType([T.StructField("rid", T.LongType()), marked.schema["doc_id"], *T.StructType.fromDDL(
         "held_out boolean, n_bytes long, n_tokens long, known long, base double, rare array<long>, times array<long>")])
     arrow_doc = pa.struct([("rid", pa.int64()), docs.limit(0).toArrow().schema.field("doc_id"), ("held_out", pa.bool_()),
                            ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
                            ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
-    packed = marked.mapInArrow(_lister(depth, buckets, hot, _PACKED.append(pa.field("doc", arrow_doc))),
+    packed = marked.mapInArrow(tidy(_lister(depth, buckets, hot, _PACKED.append(pa.field("doc", arrow_doc)))),
                                T.StructType([*T.StructType.fromDDL(PACKED), T.StructField("doc", doc_type)]))
     out = pa.schema([("rid", pa.int64()), ("lp", pa.float64()), ("doc", arrow_doc)])
     shares = materialise(_met(packed, buckets).mapInArrow(
-        _scorer(depth, model, out),
-        T.StructType([*T.StructType.fromDDL("rid long, lp double"), T.StructField("doc", doc_type)])), "ctw-shares")
+        tidy(_scorer(depth, model, out)),
+        T.StructType([*T.StructType.fromDDL("rid long, lp double"), T.StructField("doc", doc_type)])), "ctw-shares", "zstd")
     texts = shares.filter("rid IS NULL").select("doc.*")
     rare = (texts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
             .select("rid", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))

@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import drop_scratch, free_name, materialise
+from paylens.llm.common import drop_scratch, free_name, give_back, materialise, tidy
 from paylens.llm.components import components
 from paylens.llm.words import U, counted, flat, mix, shingles, slices, words, _powers
 
@@ -175,7 +175,7 @@ def _sketches(rows: DataFrame, rid: str, k: int, weighting: str) -> tuple[DataFr
                        ("size", pa.float64()), ("bands", pa.list_(pa.int64()))])
     schema = T.StructType([T.StructField("rid", T.LongType()), texts.schema["id"], *T.StructType.fromDDL(
         "hi long, lo long, size double, bands array<long>")])
-    return materialise(texts.mapInArrow(_sketcher(k, weighting, arrow), schema), "dart-sketches"), texts.select("rid", "text")
+    return materialise(texts.mapInArrow(tidy(_sketcher(k, weighting, arrow)), schema), "dart-sketches"), texts.select("rid", "text")
 
 
 def _similarity(weighting: str, limit: int = 4 << 20):
@@ -236,7 +236,7 @@ def _block_links(threshold: float):
         doc, column = doc[use], np.unique(column[use], return_inverse=True)[1]
         order = np.argsort(column, kind="stable")
         doc, column = doc[order], column[order]
-        overlap = np.zeros((n, n), np.float32)
+        overlap, part = np.zeros((n, n), np.float32), None
         width = int(column[-1]) + 1 if len(column) else 0
         for c in range(0, width, COLUMNS):
             lo, hi = np.searchsorted(column, [c, c + COLUMNS])
@@ -253,6 +253,9 @@ def _block_links(threshold: float):
                 break
             label = new
         at = np.flatnonzero(label != np.arange(n))
+        if n > 256:
+            del overlap, linked, part, doc, column, x
+            give_back()
         return pa.table({"a": pa.array(rid[at], pa.int64()), "b": pa.array(rid[label[at]], pa.int64())})
     return run
 
@@ -285,7 +288,7 @@ def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold
         both = (pairs.select("a", "b").distinct()
                 .join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b"))
-        sims = both.mapInArrow(_similarity(weighting), "a long, b long, sim double")
+        sims = both.mapInArrow(tidy(_similarity(weighting)), "a long, b long, sim double")
         return materialise(sims.filter(F.col("sim") >= threshold).select("a", "b"), "dart-links")
 
     def may_reach(a, b):
@@ -300,7 +303,7 @@ def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold
     def able(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The open rows without the texts that cannot be linked out of their class; and the texts' shingles."""
         some = open_.select("rid", "root").distinct().join(texts.select("rid", "text"), "rid").select("rid", "root", "text")
-        lists = materialise(some.mapInArrow(_element_lists(weighting), "rid long, root long, hs array<long>, ws array<long>"),
+        lists = materialise(some.mapInArrow(tidy(_element_lists(weighting)), "rid long, root long, hs array<long>, ws array<long>"),
                             "dart-elements")
         elements = lists.select("rid", "root", F.explode(F.arrays_zip("hs", "ws")).alias("e")).select(
             "rid", "root", F.col("e.hs").alias("h"), F.col("e.ws").alias("w"))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import materialise
+from paylens.llm.common import materialise, tidy
 from paylens.llm.words import flat
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -254,7 +254,7 @@ def _premerged(records: DataFrame, arrow: pa.Schema, hasher, fan: int) -> tuple[
                   .repartition("h", "salt").sortWithinPartitions("h", "salt"))
         out = arrow.append(pa.field("parent", pa.int64()))
         schema = T.StructType([*records.schema, T.StructField("parent", T.LongType())])
-        met = materialise(salted.select(*records.columns, "salt").mapInArrow(_merge_salted(out, hasher), schema), "grace-met")
+        met = materialise(salted.select(*records.columns, "salt").mapInArrow(tidy(_merge_salted(out, hasher)), schema), "grace-met")
         gone = met.filter("parent IS NOT NULL").select("rep_id", "parent")
         if gone.isEmpty():
             return records, links
@@ -310,12 +310,12 @@ def _grace(docs: DataFrame, with_rows: bool, hasher, block_bytes: int, table_byt
     tail = ["row"] if with_rows else []  # a whole row holds the text as well
     spark_schema, arrow = _schemas(docs, ["rep_id", "h", "sha", "bytes", "points", "best_id", "best_at", "size",
                                           "members", *(tail or ["text"])])
-    records = materialise(narrow.mapInArrow(_local_records(arrow, hasher, block_bytes), spark_schema), "grace-records")
+    records = materialise(narrow.mapInArrow(tidy(_local_records(arrow, hasher, block_bytes)), spark_schema), "grace-records")
     out_schema, out_arrow = _schemas(docs, ["rep_id", "keep_rep", "keep_at", "keep_id", "group_size", *tail])
     merged, links = _premerged(records.drop("members"), arrow.remove(arrow.get_field_index("members")), hasher, fan)
     dealt = (_bucketed(merged, table_bytes).repartition("bits", "prefix")
              .sortWithinPartitions("bits", "prefix"))
-    return records, dealt.mapInArrow(_merge_buckets(out_arrow, hasher, with_rows), out_schema), links
+    return records, dealt.mapInArrow(tidy(_merge_buckets(out_arrow, hasher, with_rows)), out_schema), links
 
 
 def exact_groups(docs: DataFrame, hasher=content_hash, block_bytes: int = BLOCK_BYTES,

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise, one_text
+from paylens.llm.common import held_out, materialise, one_text, tidy
 from paylens.llm.words import U, _LOWER, _powers, counted, mix, slices, words
 
 # Fixed word lists (English, German, French, Spanish).
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Grammar
     share = bad / (bad + good)
     evidence = F.expr(f"bad * ln(greatest(bad, 0.5D) / ((bad + good) * {share}D)) + "
                       f"good * ln(greatest(good, 0.5D) / ((bad + good) * {1 - share}D))")
-    arcs = (sample.mapInArrow(_arc_counts, "arc long, bad long, good long").groupBy("arc")
+    arcs = (sample.mapInArrow(tidy(_arc_counts), "arc long, bad long, good long").groupBy("arc")
             .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
             .withColumn("odds", odds).filter(evidence >= MIN_EVIDENCE)
             .filter(F.col("bad") * good >= MIN_RATIO * bad * F.col("good"))
@@ -304,7 +304,7 @@ def scores(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> D
                          F.col("text").cast("string").alias("text"))
     schema = T.StructType([narrow.schema["doc_id"], narrow.schema["held_out"], T.StructField("score", T.DoubleType()),
                            T.StructField("patterns", T.LongType())])
-    return narrow.mapInArrow(_scorer(grammar), schema).select(
+    return narrow.mapInArrow(tidy(_scorer(grammar)), schema).select(
         "doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "patterns")
 
 
@@ -331,4 +331,4 @@ def drop_toxic(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD)
         for batch in batches:
             p = probability(features(batch.column("text").cast(pa.string()), grammar), grammar.model)
             yield batch.filter(pa.array(p < threshold))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
