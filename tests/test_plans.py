@@ -76,12 +76,12 @@ def test_training_set_leaves_the_scan_wide(spark, tmp_path):
     from paylens.plans.workspace import workspace
     ws = workspace(spark, SF001)
     plan = []
-    plain = model.fit
-    model.fit = lambda train, cfg: (plan.append(_plan(train)), plain(train, cfg))[1]
+    plain = model.newton_fit
+    model.newton_fit = lambda train, cfg: (plan.append(_plan(train)), plain(train, cfg))[1]
     try:
         model.train(ws.store, ws.cfg)
     finally:
-        model.fit = plain
+        model.newton_fit = plain
     assert "Coalesce" not in plan[0] and "Scan" in plan[0]
 
 
