@@ -491,8 +491,11 @@ def _rows(kind: int, key, n0, n1, lp) -> pa.RecordBatch:
 
 
 def _met(packed: DataFrame, buckets: int) -> DataFrame:
-    """Packed rows, one task a bucket: what a bucket costs follows the text behind it, not its packed bytes."""
-    return packed.repartitionById(buckets, "bucket").sortWithinPartitions("kind", "bucket")
+    """Packed rows in tasks that take their buckets one after the other: memory follows a
+    bucket, and a document gets one sum from each task, so tasks follow the cluster and not
+    the data (with one task a bucket the sums would grow with its square)."""
+    tasks = min(buckets, 2 * packed.sparkSession.sparkContext.defaultParallelism)
+    return packed.repartitionById(tasks, F.pmod("bucket", F.lit(tasks))).sortWithinPartitions("kind", "bucket")
 
 
 def n_buckets(docs: DataFrame) -> int:
