@@ -67,6 +67,7 @@ BLOCK_DOCS = 60_000              # of at most this many texts: a document's plac
 HELD = 2 << 20                   # distinct words (or documents' sums) a task holds before it hands them on
 CHUNK = 1 << 18                  # grams weighted together, rounded up to whole subtrees
 BUCKET_BYTES = 8 << 20           # text behind the grams of one bucket of subtrees, on average
+ROWS = 64                        # packed rows decoded at once
 HOT_WORDS = 1 << 20
 END_WORD = -1                    # key of the end token
 GRAM, WORD, TEXT = 0, 1, 2
@@ -461,12 +462,13 @@ def _by_bucket(batches):
     """(kind, rows) of each bucket of a task; rows come sorted by kind and bucket."""
     now, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if (row["kind"], row["bucket"]) != now:
-                if held:
-                    yield now[0], held
-                now, held = (row["kind"], row["bucket"]), []
-            held.append(row)
+        for i in range(0, batch.num_rows, ROWS):     # a batch may hold a whole task's packed rows: no copy of all of it
+            for row in batch.slice(i, ROWS).to_pylist():
+                if (row["kind"], row["bucket"]) != now:
+                    if held:
+                        yield now[0], held
+                    now, held = (row["kind"], row["bucket"]), []
+                held.append(row)
     if held:
         yield now[0], held
 
@@ -494,7 +496,7 @@ def _met(packed: DataFrame, buckets: int) -> DataFrame:
     """Packed rows in tasks that take their buckets one after the other: memory follows a
     bucket, and a document gets one sum from each task, so tasks follow the cluster and not
     the data (with one task a bucket the sums would grow with its square)."""
-    tasks = min(buckets, 2 * packed.sparkSession.sparkContext.defaultParallelism)
+    tasks = min(buckets, 6 * packed.sparkSession.sparkContext.defaultParallelism)
     return packed.repartitionById(tasks, F.pmod("bucket", F.lit(tasks))).sortWithinPartitions("kind", "bucket")
 
 
@@ -633,12 +635,14 @@ def _scorer(depth: int, top, arrow: pa.Schema):
         shares, size = {}, 0
 
         def packed():
-            for b in batches:
-                text = pc.equal(b.column("kind"), TEXT)
-                documents = b.filter(text)
-                if documents.num_rows:
-                    through.append(documents.column("doc"))
-                yield b.filter(pc.invert(text)).select(_PACKED.names)
+            for batch in batches:
+                for i in range(0, batch.num_rows, ROWS):
+                    b = batch.slice(i, ROWS)
+                    text = pc.equal(b.column("kind"), TEXT)
+                    documents = b.filter(text)
+                    if documents.num_rows:
+                        through.append(documents.column("doc"))
+                    yield b.filter(pc.invert(text)).select(_PACKED.names)
         through = []
         for _, rows in _by_bucket(packed()):
             grams(rows, shares)
