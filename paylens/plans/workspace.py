@@ -74,7 +74,7 @@ class Workspace:
     def store(self) -> DataFrame:
         from paylens.operators.features import feature_store
         from paylens.operators.propensity import with_propensity
-        return self._materialize(with_propensity(feature_store(self.roles, self.economy), self.cfg), "store")
+        return self._materialize(with_propensity(feature_store(self.roles, self.economy, gathered=True), self.cfg), "store")
 
     @cached_property
     def economy(self) -> DataFrame:
