@@ -38,7 +38,9 @@ depth is the same at every size (3 to 7: a gram is a 64-bit key).
 
 Baseline. ``base_score`` is the add-one unigram score over words
 ``[^\\x20\\x09-\\x0D]+`` and one end token. Counts of the ``hot_words`` most
-frequent words (16 bytes each) are broadcast; the rest are joined by word.
+frequent words (16 bytes each) are broadcast; every other word goes to its
+bucket with the documents it occurs in, is counted there anew and adds to
+its documents' sums, as the grams do: no table of words is joined.
 
 Edge cases: null text is empty (one end byte, one end token); null ids fall
 in the fold of ''; repeated rows are learned and scored each; without
@@ -57,7 +59,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import held_out, materialise, release_shuffles, tidy
+from paylens.llm.common import drop_scratch, held_out, materialise, release_shuffles, tidy
 from paylens.llm.words import SLICE_BYTES, U, VISIBLE, _LOWER, counted, mix, slices, words
 
 DEPTH, FOLDS, END = 7, 7, 0xFF
@@ -531,8 +533,8 @@ def top_model(counts: DataFrame) -> Model:
 
 
 def _lister(depth: int, buckets: int, hot, arrow: pa.Schema):
-    """Packed grams with the documents they occur in, by bucket; and one row per document
-    (kind TEXT: its number, word counts and the words that are not hot)."""
+    """Packed grams, and packed words that are not hot, with the documents they occur in, by
+    bucket; and one row per document (kind TEXT: its number and word counts)."""
     def run(batches):
         pid, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -544,7 +546,7 @@ def _lister(depth: int, buckets: int, hot, arrow: pa.Schema):
                     base = (pid << 33) + seq
                     seq += b - a
                     yield from _postings(part, at, train[a:b], base, depth, buckets, arrow)
-                    yield _texts(part, at, batch.slice(a, b - a), base, hot, buckets, arrow)
+                    yield from _texts(part, at, batch.slice(a, b - a), train[a:b], base, hot, buckets, arrow)
     return run
 
 
@@ -564,14 +566,18 @@ def _postings(raw, off, train, base: int, depth: int, buckets: int, arrow: pa.Sc
     del g, doc, fresh
     of, who = (pair >> U(16)).astype(np.int32), (pair & U(0xFFFF)).astype("<u2")
     del pair
-    per = np.bincount(of, minlength=len(grams))
+    yield from _posted(GRAM, grams, np.bincount(of, minlength=len(grams)), who, times, bucket_of(grams, buckets), base, train, arrow)
+
+
+def _posted(kind: int, keys, per, who, times, bucket, base: int, train, arrow: pa.Schema):
+    """Packed rows by bucket: sorted distinct keys, ``per`` places of each, and every place's document and times."""
     first = np.cumsum(per) - per
     flags, rows = np.packbits(train).tobytes(), []
-    for bucket, at in _dealt(bucket_of(grams, buckets)):
+    for b, at in _dealt(bucket):
         size = per[at]
         places = np.repeat(first[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        rows.append({"kind": GRAM, "bucket": bucket, "base": base, "docs": len(off) - 1, "n": len(at), "m": len(places),
-                     "a": pack_keys(grams[at]), "b": pack_counts(size), "c": pack(who[places]), "d": pack_counts(times[places]), "e": flags})
+        rows.append({"kind": kind, "bucket": b, "base": base, "docs": len(train), "n": len(at), "m": len(places),
+                     "a": pack_keys(keys[at]), "b": pack_counts(size), "c": pack(who[places]), "d": pack_counts(times[places]), "e": flags})
         if len(rows) == 256:
             yield _packed(rows, arrow)
             rows = []
@@ -579,7 +585,8 @@ def _postings(raw, off, train, base: int, depth: int, buckets: int, arrow: pa.Sc
         yield _packed(rows, arrow)
 
 
-def _texts(raw, off, own: pa.RecordBatch, base: int, hot, buckets: int, arrow: pa.Schema) -> pa.RecordBatch:
+def _texts(raw, off, own: pa.RecordBatch, train, base: int, hot, buckets: int, arrow: pa.Schema):
+    """The words that are not hot, packed by bucket with the documents they occur in; and the documents' rows."""
     keys, seen = hot.value
     each, n = np.log10(seen + 1.0), len(off) - 1
     _, _, doc, h = words(raw, off, VISIBLE)
@@ -594,27 +601,37 @@ def _texts(raw, off, own: pa.RecordBatch, base: int, hot, buckets: int, arrow: p
     else:
         hit, known, base_score = np.zeros(len(d), bool), np.zeros(n), np.zeros(n)
     d, x, c = d[~hit], x[~hit], c[~hit]
-    order = np.argsort(d, kind="stable")
-    cuts = pa.array(np.searchsorted(d[order], np.arange(n + 1)), pa.int32())
+    order = np.lexsort((d, x))
+    rare, per = _runs(x[order])
+    yield from _posted(WORD, rare, per, d[order].astype("<u2"), c[order].astype(np.int64), (mix(rare) % U(buckets)).astype(np.int64),
+                       base, train, arrow)
     rid = np.arange(n) + base
     made = {"rid": pa.array(rid), "n_tokens": pa.array(total), "known": pa.array(known.astype(np.int64)), "base": pa.array(base_score),
-            "n_bytes": pa.array(np.diff(off) + 1), "rare": pa.ListArray.from_arrays(cuts, pa.array(x[order].view(np.int64))),
-            "times": pa.ListArray.from_arrays(cuts, pa.array(c[order].astype(np.int64)))}
+            "n_bytes": pa.array(np.diff(off) + 1)}
     kind = arrow.field("doc").type
     fields = [kind.field(i) for i in range(kind.num_fields)]
     struct = pa.StructArray.from_arrays([(made[f.name] if f.name in made else own.column(f.name)).cast(f.type) for f in fields], fields=fields)
     cols = {"kind": pa.array(np.full(n, TEXT, np.int32)), "bucket": pa.array((rid % buckets).astype(np.int32)), "doc": struct}
-    return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+    yield pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(n, f.type) for f in arrow], schema=arrow)
 
 
 def _scorer(depth: int, top, arrow: pa.Schema):
-    """(rid, lp): a task's share of every document's log2 probability; documents' own rows pass through."""
-    def sums(shares):
-        for base, lp in shares.items():
-            n = len(lp)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n) + base), pa.array(lp), pa.nulls(n, arrow.field("doc").type)], schema=arrow)
+    """(rid, lp, known, more): a task's share of every document's log2 probability, and of the count
+    and score of its words that are not hot; documents' own rows pass through."""
+    def row(rid, lp=None, known=None, more=None) -> pa.RecordBatch:
+        made = {"rid": rid, "lp": lp, "known": known, "more": more}
+        return pa.RecordBatch.from_arrays([pa.nulls(len(rid), f.type) if made.get(f.name) is None else pa.array(made[f.name], f.type)
+                                           for f in arrow], schema=arrow)
+
+    def sums(kind, shares):
+        for base, share in shares.items():
+            if kind == GRAM:
+                yield row(np.arange(share.shape[1]) + base, lp=share[0])
+            else:
+                at = np.flatnonzero(share[0])
+                yield row(at + base, known=share[0][at].astype(np.int64), more=share[1][at])
 
-    def grams(rows, shares):
+    def add(kind, rows, shares):
         keys = [unpack_keys(r["a"], r["n"]) for r in rows]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         place = place.astype(np.int32)
@@ -626,13 +643,16 @@ def _scorer(depth: int, top, arrow: pa.Schema):
             train = np.unpackbits(np.frombuffer(r["e"], np.uint8), count=r["docs"]).astype(bool)
             count += np.bincount(own, weights=times * train[who], minlength=len(distinct)).astype(np.int64)
             posted.append((r["base"], r["docs"], own, who, times))
-        lp = np.concatenate([Subtrees(distinct[i:j], count[i:j], depth).log2(top.value) for i, j in _chunks(distinct)])
+        if kind == GRAM:
+            values = [np.concatenate([Subtrees(distinct[i:j], count[i:j], depth).log2(top.value) for i, j in _chunks(distinct)])]
+        else:                                              # every occurrence of the word stands in this bucket
+            values = [(count > 0).astype(float), np.log10(count + 1.0)]
         for base, docs, own, who, times in posted:
-            share = np.bincount(who, weights=lp[own] * times, minlength=docs)
+            share = np.stack([np.bincount(who, weights=v[own] * times, minlength=docs) for v in values])
             shares[base] = shares[base] + share if base in shares else share
 
     def run(batches):
-        shares, size = {}, 0
+        shares, now = {}, GRAM
 
         def packed():
             for batch in batches:
@@ -644,16 +664,15 @@ def _scorer(depth: int, top, arrow: pa.Schema):
                         through.append(documents.column("doc"))
                     yield b.filter(pc.invert(text)).select(_PACKED.names)
         through = []
-        for _, rows in _by_bucket(packed()):
-            grams(rows, shares)
-            size = sum(map(len, shares.values()))
-            if size > HELD:
-                yield from sums(shares)
-                shares = {}
-        yield from sums(shares)
+        for kind, rows in _by_bucket(packed()):
+            if kind != now or sum(s.size for s in shares.values()) > HELD:
+                yield from sums(now, shares)
+                shares, now = {}, kind
+            add(kind, rows, shares)
+        yield from sums(now, shares)
         for doc in through:
             n = len(doc)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), doc.cast(arrow.field("doc").type)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([doc.cast(f.type) if f.name == "doc" else pa.nulls(n, f.type) for f in arrow], schema=arrow)
     return run
 
 
@@ -672,27 +691,25 @@ def log_scores(docs: DataFrame, depth: int = DEPTH, hot_words: int = HOT_WORDS)
     order = np.argsort(key)
     hot = spark.sparkContext.broadcast((key[order], n[order]))
     model = spark.sparkContext.broadcast(top_model(counts))
+    drop_scratch(spark, counts)
     release_shuffles(spark)                  # the first pass's grams are not read again
 
     doc_type = T.StructType([T.StructField("rid", T.LongType()), marked.schema["doc_id"], *T.StructType.fromDDL(
-        "held_out boolean, n_bytes long, n_tokens long, known long, base double, rare array<long>, times array<long>")])
+        "held_out boolean, n_bytes long, n_tokens long, known long, base double")])
     arrow_doc = pa.struct([("rid", pa.int64()), docs.limit(0).toArrow().schema.field("doc_id"), ("held_out", pa.bool_()),
-                           ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
-                           ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+                           ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64())])
     packed = marked.mapInArrow(tidy(_lister(depth, buckets, hot, _PACKED.append(pa.field("doc", arrow_doc)))),
                                T.StructType([*T.StructType.fromDDL(PACKED), T.StructField("doc", doc_type)]))
-    out = pa.schema([("rid", pa.int64()), ("lp", pa.float64()), ("doc", arrow_doc)])
+    out = pa.schema([("rid", pa.int64()), ("lp", pa.float64()), ("known", pa.int64()), ("more", pa.float64()), ("doc", arrow_doc)])
     shares = materialise(_met(packed, buckets).mapInArrow(
         tidy(_scorer(depth, model, out)),
-        T.StructType([*T.StructType.fromDDL("rid long, lp double"), T.StructField("doc", doc_type)])), "ctw-shares", "zstd")
+        T.StructType([*T.StructType.fromDDL("rid long, lp double, known long, more double"), T.StructField("doc", doc_type)])), "ctw-shares", "zstd")
+    release_shuffles(spark)                  # nor are the second's
     texts = shares.filter("rid IS NULL").select("doc.*")
-    rare = (texts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-            .select("rid", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-            .join(vocabulary, "key").groupBy("rid")
-            .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_base")))
-    scores = shares.filter("rid IS NOT NULL").groupBy("rid").agg((F.sum("lp") * F.lit(float(np.log10(2)))).alias("score"))
+    scores = shares.filter("rid IS NOT NULL").groupBy("rid").agg(
+        (F.sum("lp") * F.lit(float(np.log10(2)))).alias("score"), F.sum("known").alias("more"), F.sum("more").alias("more_base"))
     each = float(np.log10(n_train + v_train + 1))
-    return texts.drop("rare", "times").join(scores, "rid").join(rare, "rid", "left").select(
+    return texts.join(scores, "rid").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(each)).alias("base_score"),
