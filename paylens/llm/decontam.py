@@ -34,7 +34,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.llm.common import free_name, materialise
+from paylens.llm.common import free_name, materialise, release_shuffles
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 10, 3
@@ -151,7 +151,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with all their columns."""
     key = free_name(docs.columns, "text_key")
-    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
+    release_shuffles(docs.sparkSession)      # an earlier operator's files are not read again
+    # 32 bytes a contaminated text: as long as the planner can broadcast them, no text is shuffled
+    keyed = docs.withColumn(key, F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)))
     heads, hits, _ = _occurrences(keyed.select(F.col(key).alias("doc_id"), "text"), items, window, shingle)
     dirty = heads.join(hits.select("rid").distinct(), "rid", "left_semi").select(F.col("doc_id").alias(key)).distinct()
     return keyed.join(materialise(dirty, "decon-dirty"), key, "left_anti").select(docs.columns)
