@@ -21,8 +21,9 @@ never expanded into all pairs:
 
 * each bucket has one leader (its smallest text). A text is compared with the
   smallest of its leaders, then, in buckets where the links so far leave
-  several classes, with the leaders outside its class; those at the
-  threshold are linked, and components give the classes;
+  several classes, with the next smallest leader outside its class, one a
+  round for ``ROUNDS`` rounds, so a round verifies at most one pair a text;
+  those at the threshold are linked, and components give the classes;
 * only buckets that still hold several classes go on. There a text drops out
   if shingles that occur in another class make up less than the threshold
   of it, since no text outside its class can then be similar enough (texts
@@ -53,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.llm.common import drop_scratch, free_name, give_back, materialise, tidy
+from paylens.llm.common import drop_scratch, free_name, give_back, materialise, release_shuffles, tidy
 from paylens.llm.components import components
 from paylens.llm.words import U, counted, flat, mix, shingles, slices, words, _powers
 
@@ -62,6 +63,7 @@ THRESHOLD = 0.8
 BLOCK = 1024                     # texts per block in the comparison of what one leader leaves open
 BLOCK_SHINGLES = 1 << 19         # shingles per block: bounds a group where texts are long
 STEP_DARTS = 1 << 18             # darts thrown at once: bounds a worker however many documents a slice holds
+ROUNDS = 2                       # further leaders a text meets one after the other; the blocks compare what they leave
 COLUMNS = 8192                   # shingles per step of a block's overlap matrix
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(14)])
 
@@ -283,6 +285,7 @@ def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold
         "rid", "size", "key", F.col("l.rid").alias("leader"), F.col("l.size").alias("leader_size")), "dart-members")
     texts = materialise(own.select("rid", "size").join(members.select("rid").distinct(), "rid", "left_semi")
                         .join(all_texts, "rid"), "dart-texts")
+    release_shuffles(sketches.sparkSession)
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.select("a", "b").distinct()
@@ -313,16 +316,33 @@ def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold
             F.col("common") >= F.lit(threshold - slack) * F.col("size")).select("rid")
         return materialise(_mixed(open_.select(*_MEMBER).join(kept, "rid", "left_semi")), "dart-open"), lists
 
+    def nearest(rows: DataFrame, met: DataFrame | None) -> DataFrame:
+        """(a, b): each text's smallest leader that it has not met: one row per text, whatever its buckets."""
+        reach = rows.filter("rid <> leader").filter(may_reach(F.col("size"), F.col("leader_size")))
+        to = F.struct("leader_size", "leader")
+        if met is None:
+            best = reach.groupBy(F.col("rid").alias("a")).agg(F.min(to).alias("to"))
+        else:                                              # at most one leader a band: the array is short
+            each = reach.groupBy(F.col("rid").alias("a")).agg(F.collect_set(to).alias("all"))
+            seen = met.groupBy("a").agg(F.collect_set("b").alias("seen"))
+            fresh = F.filter("all", lambda x: ~F.array_contains(F.coalesce("seen", F.array().cast("array<long>")), x["leader"]))
+            best = each.join(seen, "a", "left").select("a", F.array_min(fresh).alias("to")).filter("to IS NOT NULL")
+        return materialise(best.select("a", F.col("to.leader").alias("b")), "dart-pairs")
+
     # a text meets the smallest of its leaders first; what that settles needs no other leader
-    star = members.filter("rid <> leader").filter(may_reach(F.col("size"), F.col("leader_size")))
-    first = materialise(star.groupBy("rid").agg(F.min(F.struct("leader_size", "leader")).alias("l")).select(
-        F.col("rid").alias("a"), F.col("l.leader").alias("b")), "dart-first")
-    links = verified(first)
+    met = nearest(members, None)
+    links, gone = verified(met), [members, texts, met]
     open_ = opened(members, links)
-    others = (open_.filter("rid <> leader AND root <> leader_root").filter(may_reach(F.col("size"), F.col("leader_size")))
-              .select(F.col("rid").alias("a"), F.col("leader").alias("b")))
-    links = links.unionByName(verified(others.join(first, ["a", "b"], "left_anti")))
-    open_, lists = able(opened(open_, links))
+    for _ in range(ROUNDS):
+        pairs = nearest(open_.filter("root <> leader_root"), met)
+        gone += [pairs, open_]
+        if pairs.isEmpty():
+            break
+        met, links = met.unionByName(pairs), links.unionByName(verified(pairs))
+        release_shuffles(sketches.sparkSession)
+        open_ = opened(open_, links)
+    open_, lists = able(open_)
+    release_shuffles(sketches.sparkSession)
 
     # what is left is compared across classes, block against block
     blocks = F.ceil(F.greatest(F.col("n") / F.lit(block), F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
@@ -333,7 +353,7 @@ def _links(sketches: DataFrame, all_texts: DataFrame, reps: DataFrame, threshold
     full = placed.join(lists.select("rid", "hs", "ws"), "rid")
     more = full.groupBy("key", "one", "two").applyInArrow(_block_links(threshold), "a long, b long")
     found = materialise(links.unionByName(materialise(more.distinct(), "dart-links")).distinct(), "dart-links")
-    for done in (members, texts, first, open_, lists):
+    for done in (*gone, open_, lists):
         drop_scratch(sketches.sparkSession, done)
     return found
 
@@ -367,6 +387,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, weighting: str = "count",
                      block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay (one per class, the smallest id), with all their columns."""
+    release_shuffles(docs.sparkSession)      # an earlier operator's files are not read again
     rows, rid = _numbered(docs)
     sk, texts = _sketches(rows, rid, k, weighting)
     classes = _classes(sk, texts, threshold, block, weighting).filter("class_size > 1")
